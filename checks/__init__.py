@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("traces",)
+MODULES = ("traces", "ingest", "logs", "metrics", "documents", "scalars", "processors", "streams")
 
 
 def _load():

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from telesift import configure
-from telesift.schema import LOGS, METRICS, SPANS
+from telesift.schema import EVENTS, LINKS, LOGS, METRICS, SPANS
 from telesift.sources.otlp import METRIC_FIELDS
 
 # Every event is a span. Traces are runs of 8 or 16 neighbouring events; a span's parent is one
@@ -189,8 +189,8 @@ class Views:
                  'Attributes', map('why', 'follows'))) END AS links_0""",
         ).withColumns(
             {
-                "Events": F.coalesce("events_0", F.array().cast(SPANS["Events"].dataType)),
-                "Links": F.coalesce("links_0", F.array().cast(SPANS["Links"].dataType)),
+                "Events": F.coalesce("events_0", F.array().cast(EVENTS)),
+                "Links": F.coalesce("links_0", F.array().cast(LINKS)),
             }
         ).drop("events_0", "links_0")
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 TRACE_ID_CHARS = 32
 SPAN_ID_CHARS = 16
@@ -24,12 +25,6 @@ def normal_id(text: Column) -> Column:
     return _blank_if_zero(F.lower(F.coalesce(text, F.lit(""))))
 
 
-def zero_filled_id(text: Column, chars: int) -> Column:
-    """Hex text id where a missing one is written as zeros (exemplars)."""
-    filled = F.lower(F.coalesce(text, F.lit("")))
-    return F.when(filled == "", F.lit("0" * chars)).otherwise(filled)
-
-
 def _u64(hex16: Column) -> Column:
     return F.conv(hex16, 16, 10).cast("decimal(20,0)")
 
@@ -63,17 +58,21 @@ FNV_OFFSET = 14695981039346656037
 FNV_PRIME = 1099511628211
 
 
-@F.pandas_udf("string")
-def _fnv1a_hex(text: pd.Series) -> pd.Series:
+def _fnv1a_hex():
+    """The hash as an Arrow UDF; it is made here, whole, so that executors need no module of ours."""
+
     def digest(value: str) -> str:
         state = FNV_OFFSET
         for byte in value.encode("utf-8"):
             state = ((state ^ byte) * FNV_PRIME) & 0xFFFFFFFFFFFFFFFF
         return format(state, "x")
 
-    return text.map(digest, na_action="ignore")
+    def digests(values: pd.Series) -> pd.Series:
+        return values.map(digest, na_action="ignore")
+
+    return F.pandas_udf(digests, StringType())
 
 
 def service_operation_id(service: Column, operation: Column) -> Column:
     """FNV-1a 64 of service and operation, in hex without padding. An Arrow UDF: use on distinct pairs."""
-    return _fnv1a_hex(F.concat(service, operation))
+    return _fnv1a_hex()(F.concat(service, operation))

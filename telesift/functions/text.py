@@ -34,27 +34,24 @@ def json_number(body: Column, path: str) -> Column:
     return F.coalesce(F.get_json_object(body, path).try_cast("double"), F.lit(0.0))
 
 
-def double_text(value: Column) -> Column:
-    """Shortest decimal text: `0`, `1.5`, exponents only below 1e-6 and from 1e21 on."""
-    java = value.cast("string")
-    size = F.abs(value)
-    whole = value % 1 == 0
-    plain = F.rtrim(java.try_cast("decimal(38,22)").cast("string"), F.lit("0"))
-    mantissa = F.regexp_replace(F.substring_index(java, "E", 1), r"\.0$", "")
-    exponent = F.substring_index(java, "E", -1)
-    scientific = F.concat(
-        mantissa, F.lit("e"), F.when(exponent.startswith("-"), "").otherwise("+"), exponent
-    )
-    return (
-        F.when(F.isnan(value), "NaN")
-        .when(value == float("inf"), "+Inf")
-        .when(value == float("-inf"), "-Inf")
-        .when(size == 0, "0")
-        .when(size >= 1e21, scientific)
-        .when(size < 1e-6, scientific)
-        .when(whole, java.try_cast("decimal(38,0)").cast("string"))
-        .otherwise(plain)
+def double_text_sql(value: str) -> str:
+    """SQL for the shortest decimal text of a double: `0`, `1.5`, exponents only below 1e-6 and from 1e21 on."""
+    java, size = f"CAST({value} AS STRING)", f"abs({value})"
+    exponent = f"substring_index({java}, 'E', -1)"
+    scientific = (
+        f"concat(regexp_replace(substring_index({java}, 'E', 1), '[.]0$', ''), 'e',"
+        f" if(startswith({exponent}, '-'), '', '+'), {exponent})"
     )
+    return f"""CASE WHEN {value} IS NULL THEN NULL WHEN isnan({value}) THEN 'NaN'
+        WHEN {size} = double('Infinity') THEN if({value} > 0, '+Inf', '-Inf') WHEN {value} = 0 THEN '0'
+        WHEN {size} >= 1e21 OR {size} < 1e-6 THEN {scientific}
+        WHEN {value} % 1 = 0 THEN CAST(try_cast({java} AS DECIMAL(38,0)) AS STRING)
+        ELSE rtrim('0', CAST(try_cast({java} AS DECIMAL(38,22)) AS STRING)) END"""
+
+
+def json_string_sql(value: str) -> str:
+    """SQL for a string as a JSON string literal, NULL for NULL."""
+    return f"if({value} IS NULL, NULL, btrim(to_json(array({value})), '[]'))"
 
 
 def number_value(int_text: Column, double: Column) -> Column:

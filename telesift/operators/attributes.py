@@ -71,13 +71,8 @@ def redact(
     """Drop the keys not allowed, mask matches of blocked patterns in the values, count both."""
     attrs = F.col(column)
     kept = maps.only_keys(attrs, allowed_keys)
-    masked = kept
-    blocked = F.lit(False)
-    for pattern in blocked_patterns:
-        masked = F.transform_values(
-            masked, lambda _, v, pattern=pattern: F.regexp_replace(v, pattern, MASK.replace("$", r"\$"))
-        )
-    hits = F.map_filter(kept, lambda _, v: _any_match(v, blocked_patterns, blocked))
+    masked = F.transform_values(kept, lambda _, v: _mask(v, blocked_patterns))
+    hits = F.map_filter(kept, lambda _, v: _any_match(v, blocked_patterns))
     return df.withColumns(
         {
             column: masked,
@@ -87,8 +82,14 @@ def redact(
     )
 
 
-def _any_match(value: Column, patterns: list[str], none: Column) -> Column:
-    found = none
+def _mask(value: Column, patterns: list[str]) -> Column:
+    for pattern in patterns:
+        value = F.regexp_replace(value, pattern, MASK)
+    return value
+
+
+def _any_match(value: Column, patterns: list[str]) -> Column:
+    found = F.lit(False)
     for pattern in patterns:
         found = found | value.rlike(pattern)
     return found

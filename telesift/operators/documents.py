@@ -12,6 +12,7 @@ import json
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from telesift.functions import maps, names, text, times
 
@@ -52,52 +53,51 @@ def flatten_attributes(prefix: str | Column, attrs: Column) -> Column:
 # ---- values of unknown depth ------------------------------------------------------------------
 
 
-def _flat_pairs(path: str, value):
-    for key, item in value.items():
-        below = f"{path}.{key}" if path else key
-        if isinstance(item, dict):
-            yield from _flat_pairs(below, item)
-        elif item is not None:
-            yield below, item
-
-
-def _nested_in_array(item):
-    """An object inside an array: flat, deduplicated, and nested again."""
-    if isinstance(item, list):
-        return [_nested_in_array(i) for i in item]
-    if not isinstance(item, dict):
-        return item
-    flat = dict(sorted(dict(_flat_pairs("", item)).items()))
-    prefixes = {key[:i] for key in flat for i, char in enumerate(key) if char == "."}
-    result: dict = {}
-    for key, value in flat.items():
-        name = f"{key}.value" if key in prefixes else key
-        if name != key and name in flat:
-            continue
-        *parents, leaf = name.split(".")
-        level = result
-        for parent in parents:
-            level = level.setdefault(parent, {})
-        level[leaf] = _nested_in_array(value)
-    return result or None
-
-
-@F.pandas_udf("struct<keys:array<string>,jsons:array<string>>")
-def _flatten_json(objects: pd.Series) -> pd.DataFrame:
-    keys, values = [], []
-    for raw in objects:
-        pairs = list(_flat_pairs("", json.loads(raw))) if raw else []
-        keys.append([k for k, _ in pairs])
-        values.append(
-            [json.dumps(_nested_in_array(v), ensure_ascii=False, separators=(",", ":"), allow_nan=False)
-             for _, v in pairs]
-        )
-    return pd.DataFrame({"keys": keys, "jsons": values})
+_FLAT = StructType([StructField("keys", ArrayType(StringType())), StructField("jsons", ArrayType(StringType()))])
+
+
+def _flatten_json():
+    """Objects to flat keys and values as an Arrow UDF; made whole here, so that executors need no module of ours."""
+
+    def pairs(path, value):
+        for key, item in value.items():
+            below = f"{path}.{key}" if path else key
+            if isinstance(item, dict):
+                yield from pairs(below, item)
+            elif item is not None:
+                yield below, item
+
+    def in_array(item):
+        """An object inside an array: flat, deduplicated, and nested again."""
+        if isinstance(item, list):
+            return [in_array(i) for i in item]
+        if not isinstance(item, dict):
+            return item
+        flat = dict(sorted(dict(pairs("", item)).items()))
+        parents = {key[:i] for key in flat for i, char in enumerate(key) if char == "."}
+        result = {}
+        for key, value in flat.items():
+            name = f"{key}.value" if key in parents else key
+            if name != key and name in flat:
+                continue
+            *levels, leaf = name.split(".")
+            level = result
+            for step in levels:
+                level = level.setdefault(step, {})
+            level[leaf] = in_array(value)
+        return result or None
+
+    def flatten(objects: pd.Series) -> pd.DataFrame:
+        rows = [list(pairs("", json.loads(raw))) if raw else [] for raw in objects]
+        texts = [[json.dumps(in_array(v), ensure_ascii=False, separators=(",", ":")) for _, v in row] for row in rows]
+        return pd.DataFrame({"keys": [[k for k, _ in row] for row in rows], "jsons": texts})
+
+    return F.pandas_udf(flatten, _FLAT)
 
 
 def flatten_nested(prefix: str, object_text: Column) -> Column:
     """A JSON object of any depth as fields with dotted keys; nulls are dropped. An Arrow UDF."""
-    flat = _flatten_json(object_text)
+    flat = _flatten_json()(object_text)
     path = f"{prefix}." if prefix else ""
     return F.transform(
         F.arrays_zip(flat["keys"], flat["jsons"]),

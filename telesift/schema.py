@@ -1,56 +1,57 @@
 """Fixed table schemas. Nanosecond times are kept as BIGINT next to a microsecond TIMESTAMP."""
 
-from pyspark.sql.types import StructType
+from __future__ import annotations
 
-_MAP = "MAP<STRING,STRING>"
-_EXEMPLARS = (
-    "Exemplars ARRAY<STRUCT<FilteredAttributes: MAP<STRING,STRING>, TimeUnix: TIMESTAMP,"
-    " Value: DOUBLE, SpanId: STRING, TraceId: STRING>>"
+from pyspark.sql.types import (
+    ArrayType, BooleanType, DataType, DoubleType, IntegerType, LongType, MapType, StringType, StructField, StructType,
+    TimestampType,
 )
 
-SPANS_DDL = f"""
-    Timestamp TIMESTAMP, TimestampNs BIGINT, TraceId STRING, SpanId STRING, ParentSpanId STRING,
-    TraceState STRING, SpanName STRING, SpanKind STRING, ServiceName STRING,
-    ResourceAttributes {_MAP}, ScopeName STRING, ScopeVersion STRING, SpanAttributes {_MAP},
-    Duration BIGINT, StatusCode STRING, StatusMessage STRING,
-    Events ARRAY<STRUCT<Timestamp: TIMESTAMP, TimestampNs: BIGINT, Name: STRING, Attributes: {_MAP}>>,
-    Links ARRAY<STRUCT<TraceId: STRING, SpanId: STRING, TraceState: STRING, Attributes: {_MAP}>>
-"""
-
-LOGS_DDL = f"""
-    Timestamp TIMESTAMP, TimestampNs BIGINT, TraceId STRING, SpanId STRING, TraceFlags BIGINT,
-    SeverityText STRING, SeverityNumber INT, ServiceName STRING, Body STRING,
-    ResourceSchemaUrl STRING, ResourceAttributes {_MAP}, ScopeSchemaUrl STRING, ScopeName STRING,
-    ScopeVersion STRING, ScopeAttributes {_MAP}, LogAttributes {_MAP}
-"""
-
-_METRIC_COMMON = f"""
-    ResourceAttributes {_MAP}, ResourceSchemaUrl STRING, ScopeName STRING, ScopeVersion STRING,
-    ScopeAttributes {_MAP}, ScopeDroppedAttrCount BIGINT, ScopeSchemaUrl STRING, MetricName STRING,
-    MetricDescription STRING, MetricUnit STRING, Attributes {_MAP}, StartTimeUnix TIMESTAMP,
-    StartTimeUnixNs BIGINT, TimeUnix TIMESTAMP, TimeUnixNs BIGINT, Flags BIGINT
-"""
-
-_METRIC_EXTRA = {
-    "gauge": f"Value DOUBLE, {_EXEMPLARS}",
-    "sum": f"Value DOUBLE, {_EXEMPLARS}, AggTemp INT, IsMonotonic BOOLEAN",
-    "histogram": (
-        "Count BIGINT, Sum DOUBLE, BucketCounts ARRAY<BIGINT>, ExplicitBounds ARRAY<DOUBLE>,"
-        f" {_EXEMPLARS}, Min DOUBLE, Max DOUBLE"
-    ),
-    "exponential_histogram": (
-        "Count BIGINT, Sum DOUBLE, Scale INT, ZeroCount BIGINT, PositiveOffset INT,"
-        " PositiveBucketCounts ARRAY<BIGINT>, NegativeOffset INT, NegativeBucketCounts ARRAY<BIGINT>,"
-        f" {_EXEMPLARS}, Min DOUBLE, Max DOUBLE"
-    ),
-    "summary": (
-        "Count BIGINT, Sum DOUBLE, ValueAtQuantiles ARRAY<STRUCT<Quantile: DOUBLE, Value: DOUBLE>>"
-    ),
-}
+TEXT, LONG, INT, DOUBLE, TIME = StringType(), LongType(), IntegerType(), DoubleType(), TimestampType()
+ATTRIBUTES = MapType(TEXT, TEXT)
+
+
+def _struct(**fields: DataType) -> StructType:
+    return StructType([StructField(name, kind) for name, kind in fields.items()])
+
+
+EVENTS = ArrayType(_struct(Timestamp=TIME, TimestampNs=LONG, Name=TEXT, Attributes=ATTRIBUTES))
+LINKS = ArrayType(_struct(TraceId=TEXT, SpanId=TEXT, TraceState=TEXT, Attributes=ATTRIBUTES))
+EXEMPLARS = ArrayType(
+    _struct(FilteredAttributes=ATTRIBUTES, TimeUnix=TIME, Value=DOUBLE, SpanId=TEXT, TraceId=TEXT)
+)
+QUANTILES = ArrayType(_struct(Quantile=DOUBLE, Value=DOUBLE))
+
+SPANS = _struct(
+    Timestamp=TIME, TimestampNs=LONG, TraceId=TEXT, SpanId=TEXT, ParentSpanId=TEXT, TraceState=TEXT, SpanName=TEXT,
+    SpanKind=TEXT, ServiceName=TEXT, ResourceAttributes=ATTRIBUTES, ScopeName=TEXT, ScopeVersion=TEXT,
+    SpanAttributes=ATTRIBUTES, Duration=LONG, StatusCode=TEXT, StatusMessage=TEXT, Events=EVENTS, Links=LINKS,
+)
+
+LOGS = _struct(
+    Timestamp=TIME, TimestampNs=LONG, TraceId=TEXT, SpanId=TEXT, TraceFlags=LONG, SeverityText=TEXT,
+    SeverityNumber=INT, ServiceName=TEXT, Body=TEXT, ResourceSchemaUrl=TEXT, ResourceAttributes=ATTRIBUTES,
+    ScopeSchemaUrl=TEXT, ScopeName=TEXT, ScopeVersion=TEXT, ScopeAttributes=ATTRIBUTES, LogAttributes=ATTRIBUTES,
+)
 
-SPANS = StructType.fromDDL(SPANS_DDL)
-LOGS = StructType.fromDDL(LOGS_DDL)
+_POINT = dict(
+    ResourceAttributes=ATTRIBUTES, ResourceSchemaUrl=TEXT, ScopeName=TEXT, ScopeVersion=TEXT,
+    ScopeAttributes=ATTRIBUTES, ScopeDroppedAttrCount=LONG, ScopeSchemaUrl=TEXT, MetricName=TEXT,
+    MetricDescription=TEXT, MetricUnit=TEXT, Attributes=ATTRIBUTES, StartTimeUnix=TIME, StartTimeUnixNs=LONG,
+    TimeUnix=TIME, TimeUnixNs=LONG, Flags=LONG,
+)
 METRICS = {
-    kind: StructType.fromDDL(f"{_METRIC_COMMON}, {extra}") for kind, extra in _METRIC_EXTRA.items()
+    "gauge": _struct(**_POINT, Value=DOUBLE, Exemplars=EXEMPLARS),
+    "sum": _struct(**_POINT, Value=DOUBLE, Exemplars=EXEMPLARS, AggTemp=INT, IsMonotonic=BooleanType()),
+    "histogram": _struct(
+        **_POINT, Count=LONG, Sum=DOUBLE, BucketCounts=ArrayType(LONG), ExplicitBounds=ArrayType(DOUBLE),
+        Exemplars=EXEMPLARS, Min=DOUBLE, Max=DOUBLE,
+    ),
+    "exponential_histogram": _struct(
+        **_POINT, Count=LONG, Sum=DOUBLE, Scale=INT, ZeroCount=LONG, PositiveOffset=INT,
+        PositiveBucketCounts=ArrayType(LONG), NegativeOffset=INT, NegativeBucketCounts=ArrayType(LONG),
+        Exemplars=EXEMPLARS, Min=DOUBLE, Max=DOUBLE,
+    ),
+    "summary": _struct(**_POINT, Count=LONG, Sum=DOUBLE, ValueAtQuantiles=QUANTILES),
 }
 METRIC_KINDS = tuple(METRICS)

@@ -35,8 +35,8 @@ def documents_to_spans(documents: DataFrame, column: str = "document") -> DataFr
         "SpanAttributes": _under(d, "Attributes."),
         "Duration": end - start,
         "StatusCode": names.status_code_name(d["TraceStatus"]),
-        "Events": F.array().cast(schema.SPANS["Events"].dataType),
-        "Links": F.array().cast(schema.SPANS["Links"].dataType),
+        "Events": F.array().cast(schema.EVENTS),
+        "Links": F.array().cast(schema.LINKS),
     }
     blank = F.lit("")
     return rows.filter(d.isNotNull()).select(*[columns.get(c, blank).alias(c) for c in schema.SPANS.names])

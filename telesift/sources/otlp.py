@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DataType
 
 from telesift import schema
 from telesift.functions import ids, maps, names, text, times
@@ -64,8 +64,8 @@ _METRIC = (
 )
 
 
-def _message(top: str, scopes: str, items: str, item: str) -> StructType:
-    return StructType.fromDDL(
+def _message(top: str, scopes: str, items: str, item: str) -> str:
+    return (
         f"{top} ARRAY<STRUCT<resource: {_RESOURCE}, schemaUrl: STRING, {scopes}:"
         f" ARRAY<STRUCT<scope: {_SCOPE}, schemaUrl: STRING, {items}: ARRAY<{item}>>>>>, {CORRUPT} STRING"
     )
@@ -90,76 +90,67 @@ def parse_otlp_json(messages: DataFrame, column: str, signal: str) -> DataFrame:
 
 
 # ---- attribute values -------------------------------------------------------------------------
+#
+# These take a column as SQL text and are SQL text inside: the expressions are large, and the
+# parser builds them far faster than one call per node would.
 
 _NESTED_LEVELS = 3
-_VALUES_SCHEMA = f"values ARRAY<{_VALUE}>"
-_KVS_SCHEMA = f"values {_KVS}"
+_VALUE_FIELDS = (
+    "stringValue STRING, boolValue BOOLEAN, intValue STRING, doubleValue DOUBLE, bytesValue STRING,"
+    " arrayValue STRING, kvlistValue STRING"
+)
+# An item of an array is a value, one of a map a key with a value; one schema reads both.
+_ITEMS = f"values ARRAY<STRUCT<key STRING, value STRUCT<{_VALUE_FIELDS}>, {_VALUE_FIELDS}>>"
 
 
-def _json_array(raw: Column, levels: int) -> Column:
-    values = F.coalesce(F.from_json(raw, _VALUES_SCHEMA)["values"], F.array())
-    items = F.transform(values, lambda v: _json_value(v, levels - 1))
-    return F.concat(F.lit("["), F.array_join(items, ","), F.lit("]"))
+def _nested(value: str, levels: int) -> str:
+    """An array or map as plain JSON. Below the deepest level its message text is kept as it came."""
+    raw, is_map = f"coalesce({value}.arrayValue, {value}.kvlistValue)", f"{value}.kvlistValue IS NOT NULL"
+    if levels == 0:
+        return raw
+    i, v, p, e = (f"{letter}{levels}" for letter in "ivpe")
+    own = ", ".join(f"{i}.{f.split()[0]}" for f in _VALUE_FIELDS.split(", "))
+    values = f"transform(from_json({raw}, '{_ITEMS}').values, {i} -> struct({i}.key AS key, coalesce({i}.value, struct({own})) AS v))"
+    parts = f"transform({values}, {v} -> struct({v}.key AS key, {_json_value(f'{v}.v', levels - 1)} AS json))"
+    member = f"concat({text.json_string_sql(f'{e}.key')}, ':', {e}.value)"
+    members = f"transform(array_sort(map_entries(map_from_entries({p}))), {e} -> {member})"
+    as_map = f"concat('{{', array_join({members}, ','), '}}')"
+    as_array = f"concat('[', array_join({p}.json, ','), ']')"
+    some = f"coalesce({parts}, CAST(array() AS ARRAY<STRUCT<key: STRING, json: STRING>>))"
+    return f"if({raw} IS NULL, NULL, transform(array({some}), {p} -> if({is_map}, {as_map}, {as_array}))[0])"
 
 
-def _json_object(raw: Column, levels: int) -> Column:
-    pairs = F.coalesce(F.from_json(raw, _KVS_SCHEMA)["values"], F.array())
-    unique = F.map_from_entries(
-        F.transform(pairs, lambda a: F.struct(a["key"], _json_value(a["value"], levels - 1)))
-    )
-    items = F.transform(
-        F.array_sort(F.map_entries(unique)),
-        lambda e: F.concat(text.json_string(e["key"]), F.lit(":"), e["value"]),
-    )
-    return F.concat(F.lit("{"), F.array_join(items, ","), F.lit("}"))
-
-
-def _json_value(value: Column, levels: int) -> Column:
-    """A value as plain JSON. Below the deepest level its message text is kept as it came."""
-    array, kvlist = value["arrayValue"], value["kvlistValue"]
-    if levels > 0:
-        array = F.when(array.isNotNull(), _json_array(array, levels))
-        kvlist = F.when(kvlist.isNotNull(), _json_object(kvlist, levels))
-    return F.coalesce(
-        text.json_string(value["stringValue"]),
-        value["boolValue"].cast("string"),
-        value["intValue"],
-        text.double_text(value["doubleValue"]),
-        text.json_string(value["bytesValue"]),
-        array,
-        kvlist,
-        F.lit("null"),
-    )
+def _json_value(value: str, levels: int = _NESTED_LEVELS) -> str:
+    """A value as plain JSON."""
+    return f"""coalesce({text.json_string_sql(f'{value}.stringValue')}, CAST({value}.boolValue AS STRING), {value}.intValue,
+        {text.double_text_sql(f'{value}.doubleValue')}, {text.json_string_sql(f'{value}.bytesValue')},
+        {_nested(value, levels)}, 'null')"""
+
+
+def _value_text(value: str) -> str:
+    return f"""coalesce({value}.stringValue, CAST({value}.boolValue AS STRING), {value}.intValue,
+        {text.double_text_sql(f'{value}.doubleValue')}, {value}.bytesValue, {_nested(value, _NESTED_LEVELS)}, '')"""
+
+
+def _attribute_map(kvs: str) -> str:
+    pairs = f"transform({kvs}, a -> struct(a.key AS key, {_value_text('a.value')} AS value))"
+    return f"coalesce(map_from_entries({pairs}), CAST(map() AS MAP<STRING,STRING>))"
 
 
-def value_text(value: Column) -> Column:
+def value_text(value: str) -> Column:
     """String form of any attribute value; arrays and maps as JSON, an empty value as ''."""
-    array, kvlist = value["arrayValue"], value["kvlistValue"]
-    return F.coalesce(
-        value["stringValue"],
-        value["boolValue"].cast("string"),
-        value["intValue"],
-        text.double_text(value["doubleValue"]),
-        value["bytesValue"],
-        F.when(array.isNotNull(), _json_array(array, _NESTED_LEVELS)),
-        F.when(kvlist.isNotNull(), _json_object(kvlist, _NESTED_LEVELS)),
-        F.lit(""),
-    )
+    return F.expr(_value_text(value))
 
 
-def attributes_to_map(kvs: Column) -> Column:
+def attributes_to_map(kvs: str) -> Column:
     """Attribute list to map; of equal keys the last wins, no list gives an empty map."""
-    pairs = F.transform(kvs, lambda a: F.struct(a["key"], value_text(a["value"])))
-    return F.coalesce(F.map_from_entries(pairs), maps.empty_map())
+    return F.expr(_attribute_map(kvs))
 
 
-def attributes_to_fields(kvs: Column) -> Column:
+def attributes_to_fields(kvs: str) -> Column:
     """Attribute list to (key, JSON value) fields, keeping types; for documents."""
-    typed = F.transform(
-        kvs,
-        lambda a: F.struct(a["key"].alias("key"), _json_value(a["value"], _NESTED_LEVELS).alias("json")),
-    )
-    return F.coalesce(typed, F.array().cast("array<struct<key:string,json:string>>"))
+    typed = f"transform({kvs}, a -> struct(a.key AS key, {_json_value('a.value')} AS json))"
+    return F.expr(f"coalesce({typed}, CAST(array() AS ARRAY<STRUCT<key: STRING, json: STRING>>))")
 
 
 # ---- shared pieces ----------------------------------------------------------------------------
@@ -173,42 +164,40 @@ def _blank(value: Column) -> Column:
     return F.coalesce(value, F.lit(""))
 
 
-def span_events(events: Column) -> Column:
-    return F.transform(
-        events,
-        lambda e: F.struct(
-            times.ns_to_timestamp(_ns(e["timeUnixNano"])).alias("Timestamp"),
-            _ns(e["timeUnixNano"]).alias("TimestampNs"),
-            _blank(e["name"]).alias("Name"),
-            attributes_to_map(e["attributes"]).alias("Attributes"),
-        ),
-    )
+def _id(value: str) -> str:
+    return f"if(translate({value}, '0', '') = '', '', lower(coalesce({value}, '')))"
 
 
-def span_links(links: Column) -> Column:
-    return F.transform(
-        links,
-        lambda l: F.struct(
-            ids.normal_id(l["traceId"]).alias("TraceId"),
-            ids.normal_id(l["spanId"]).alias("SpanId"),
-            _blank(l["traceState"]).alias("TraceState"),
-            attributes_to_map(l["attributes"]).alias("Attributes"),
-        ),
-    )
+def _ns_sql(value: str) -> str:
+    return f"coalesce(try_cast({value} AS BIGINT), 0L)"
+
+
+def _time_sql(value: str) -> str:
+    ns = _ns_sql(value)
+    return f"timestamp_micros(({ns} - pmod({ns}, 1000L)) DIV 1000L)"
+
 
+def span_events(events: str) -> Column:
+    return F.expr(f"""transform({events}, e -> struct({_time_sql('e.timeUnixNano')} AS Timestamp,
+        {_ns_sql('e.timeUnixNano')} AS TimestampNs, coalesce(e.name, '') AS Name,
+        {_attribute_map('e.attributes')} AS Attributes))""")
 
-def exemplars(items: Column) -> Column:
+
+def span_links(links: str) -> Column:
+    return F.expr(f"""transform({links}, l -> struct({_id('l.traceId')} AS TraceId, {_id('l.spanId')} AS SpanId,
+        coalesce(l.traceState, '') AS TraceState, {_attribute_map('l.attributes')} AS Attributes))""")
+
+
+def exemplars(items: str) -> Column:
     """Exemplars; a missing id is written as zeros here, unlike everywhere else."""
-    return F.transform(
-        items,
-        lambda e: F.struct(
-            attributes_to_map(e["filteredAttributes"]).alias("FilteredAttributes"),
-            times.ns_to_timestamp(_ns(e["timeUnixNano"])).alias("TimeUnix"),
-            text.number_value(e["asInt"], e["asDouble"]).alias("Value"),
-            ids.zero_filled_id(e["spanId"], ids.SPAN_ID_CHARS).alias("SpanId"),
-            ids.zero_filled_id(e["traceId"], ids.TRACE_ID_CHARS).alias("TraceId"),
-        ),
-    )
+
+    def filled(value: str, chars: int) -> str:
+        return f"if(coalesce({value}, '') = '', repeat('0', {chars}), lower({value}))"
+
+    return F.expr(f"""transform({items}, e -> struct({_attribute_map('e.filteredAttributes')} AS FilteredAttributes,
+        {_time_sql('e.timeUnixNano')} AS TimeUnix,
+        coalesce(e.asDouble, try_cast(e.asInt AS DOUBLE), 0.0D) AS Value,
+        {filled('e.spanId', ids.SPAN_ID_CHARS)} AS SpanId, {filled('e.traceId', ids.TRACE_ID_CHARS)} AS TraceId))""")
 
 
 def quantile_pairs(items: Column) -> Column:
@@ -221,14 +210,14 @@ def quantile_pairs(items: Column) -> Column:
     )
 
 
-def _or_empty(column: Column, ddl: str) -> Column:
-    return F.coalesce(column, F.array().cast(ddl))
+def _or_empty(column: Column, kind: DataType) -> Column:
+    return F.coalesce(column, F.array().cast(kind))
 
 
 def _scopes(messages: DataFrame, top: str, scopes: str, fields: bool = False) -> DataFrame:
     """One row per (resource, scope), with the resource's columns worked out once."""
     resource = messages.select(F.explode(top).alias("r"))
-    attrs = F.col("r.resource.attributes")
+    attrs = "r.resource.attributes"
     columns = [
         attributes_to_map(attrs).alias("ResourceAttributes"),
         _blank(F.col("r.schemaUrl")).alias("ResourceSchemaUrl"),
@@ -274,16 +263,16 @@ def flatten_spans(messages: DataFrame, fields: bool = False) -> DataFrame:
         "TraceState": _blank(F.col("x.traceState")),
         "SpanName": _blank(F.col("x.name")),
         "SpanKind": names.span_kind_name(F.col("x.kind")),
-        "SpanAttributes": attributes_to_map(F.col("x.attributes")),
+        "SpanAttributes": attributes_to_map("x.attributes"),
         "Duration": end - start,
         "StatusCode": names.status_code_name(F.col("x.status.code")),
         "StatusMessage": _blank(F.col("x.status.message")),
-        "Events": _or_empty(span_events(F.col("x.events")), schema.SPANS["Events"].dataType.simpleString()),
-        "Links": _or_empty(span_links(F.col("x.links")), schema.SPANS["Links"].dataType.simpleString()),
+        "Events": _or_empty(span_events("x.events"), schema.EVENTS),
+        "Links": _or_empty(span_links("x.links"), schema.LINKS),
     }
     selected = [columns[c].alias(c) if c in columns else F.col(c) for c in schema.SPANS.names]
     if fields:
-        selected += [attributes_to_fields(F.col("x.attributes")).alias("SpanFields"), F.col("ResourceFields")]
+        selected += [attributes_to_fields("x.attributes").alias("SpanFields"), F.col("ResourceFields")]
     return spans.select(*selected)
 
 
@@ -298,7 +287,7 @@ def flatten_logs(messages: DataFrame, fields: bool = False) -> DataFrame:
         _blank(F.col("s.schemaUrl")).alias("ScopeSchemaUrl"),
         _blank(F.col("s.scope.name")).alias("ScopeName"),
         _blank(F.col("s.scope.version")).alias("ScopeVersion"),
-        attributes_to_map(F.col("s.scope.attributes")).alias("ScopeAttributes"),
+        attributes_to_map("s.scope.attributes").alias("ScopeAttributes"),
         *extra,
         F.explode("s.logRecords").alias("x"),
     )
@@ -311,12 +300,12 @@ def flatten_logs(messages: DataFrame, fields: bool = False) -> DataFrame:
         "TraceFlags": F.coalesce(F.col("x.flags"), F.lit(0).cast("bigint")),
         "SeverityText": _blank(F.col("x.severityText")),
         "SeverityNumber": F.coalesce(F.col("x.severityNumber"), F.lit(0)),
-        "Body": value_text(F.col("x.body")),
-        "LogAttributes": attributes_to_map(F.col("x.attributes")),
+        "Body": value_text("x.body"),
+        "LogAttributes": attributes_to_map("x.attributes"),
     }
     selected = [columns[c].alias(c) if c in columns else F.col(c) for c in schema.LOGS.names]
     if fields:
-        selected += [attributes_to_fields(F.col("x.attributes")).alias("LogFields"), F.col("ResourceFields")]
+        selected += [attributes_to_fields("x.attributes").alias("LogFields"), F.col("ResourceFields")]
     return records.select(*selected)
 
 
@@ -327,7 +316,7 @@ def _metrics(messages: DataFrame) -> DataFrame:
         "ResourceSchemaUrl",
         _blank(F.col("s.scope.name")).alias("ScopeName"),
         _blank(F.col("s.scope.version")).alias("ScopeVersion"),
-        attributes_to_map(F.col("s.scope.attributes")).alias("ScopeAttributes"),
+        attributes_to_map("s.scope.attributes").alias("ScopeAttributes"),
         F.coalesce(F.col("s.scope.droppedAttributesCount"), F.lit(0).cast("bigint")).alias("ScopeDroppedAttrCount"),
         _blank(F.col("s.schemaUrl")).alias("ScopeSchemaUrl"),
         F.explode("s.metrics").alias("m"),
@@ -346,9 +335,7 @@ def _point_columns(kind: str, point: Column, metric: Column) -> dict[str, Column
     """Type-specific columns of one data point, as expressions over `point` and its metric."""
     columns: dict[str, Column] = {}
     if kind != "summary":
-        columns["Exemplars"] = _or_empty(
-            exemplars(point["exemplars"]), schema.METRICS["gauge"]["Exemplars"].dataType.simpleString()
-        )
+        columns["Exemplars"] = _or_empty(exemplars("p.exemplars"), schema.EXEMPLARS)
     if kind in ("gauge", "sum"):
         columns["Value"] = text.number_value(point["asInt"], point["asDouble"])
     else:
@@ -370,10 +357,7 @@ def _point_columns(kind: str, point: Column, metric: Column) -> dict[str, Column
             columns[f"{side.title()}Offset"] = F.coalesce(point[side]["offset"], F.lit(0))
             columns[f"{side.title()}BucketCounts"] = _counts(point[side]["bucketCounts"])
     if kind == "summary":
-        columns["ValueAtQuantiles"] = _or_empty(
-            quantile_pairs(point["quantileValues"]),
-            schema.METRICS["summary"]["ValueAtQuantiles"].dataType.simpleString(),
-        )
+        columns["ValueAtQuantiles"] = _or_empty(quantile_pairs(point["quantileValues"]), schema.QUANTILES)
     return columns
 
 
@@ -397,7 +381,7 @@ def flatten_metric(messages: DataFrame, kind: str) -> DataFrame:
     point = F.col("p")
     start, at = _ns(point["startTimeUnixNano"]), _ns(point["timeUnixNano"])
     columns = {
-        "Attributes": attributes_to_map(point["attributes"]),
+        "Attributes": attributes_to_map("p.attributes"),
         "StartTimeUnix": times.ns_to_timestamp(start),
         "StartTimeUnixNs": start,
         "TimeUnix": times.ns_to_timestamp(at),

@@ -77,7 +77,7 @@ def main() -> None:
         .config("spark.sql.shuffle.partitions", "8").config("spark.driver.memory", "8g")
         .config("spark.ui.showConsoleProgress", "false").getOrCreate()
     )
-    spark.sparkContext.setLogLevel("ERROR")
+    spark.sparkContext.setLogLevel("OFF")
     con, oracles = connect(sf_dir), entry.oracle_sql()
     counts = collections.Counter()
     for name, build in entry.queries().items():
