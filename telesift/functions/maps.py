@@ -25,7 +25,7 @@ def first_attribute(key: str, *maps: Column) -> Column:
 def attributes_id(attrs: Column) -> Column:
     """Order-free text key of a map: sorted `k:v` joined by `;`."""
     pairs = F.transform(F.map_entries(attrs), lambda e: F.concat_ws(":", e["key"], e["value"]))
-    return F.array_join(F.array_sort(pairs), ";")
+    return F.array_join(F.sort_array(pairs), ";")
 
 
 def merge_maps(*maps: Column) -> Column:

@@ -24,9 +24,14 @@ def has_token(text: Column, token: str) -> Column:
     return text.contains(token) & text.rlike(f"(?s){pattern}")
 
 
+# Fixed value: the characters that JSON strings escape.
+_ESCAPED = r'[\x00-\x1F"\\]'
+
+
 def json_string(text: Column) -> Column:
-    """A string as a JSON string literal."""
-    return F.when(text.isNotNull(), F.btrim(F.to_json(F.array(text)), F.lit("[]")))
+    """A string as a JSON string literal; the JSON writer is only called where there is something to escape."""
+    quoted = F.btrim(F.to_json(F.array(text)), F.lit("[]"))
+    return F.when(text.rlike(_ESCAPED), quoted).when(text.isNotNull(), F.concat(F.lit('"'), text, F.lit('"')))
 
 
 def json_number(body: Column, path: str) -> Column:
@@ -50,8 +55,9 @@ def double_text_sql(value: str) -> str:
 
 
 def json_string_sql(value: str) -> str:
-    """SQL for a string as a JSON string literal, NULL for NULL."""
-    return f"if({value} IS NULL, NULL, btrim(to_json(array({value})), '[]'))"
+    """SQL for json_string."""
+    quoted = f"btrim(to_json(array({value})), '[]')"
+    return f"""CASE WHEN {value} RLIKE r'{_ESCAPED}' THEN {quoted} WHEN {value} IS NOT NULL THEN concat('"', {value}, '"') END"""
 
 
 def number_value(int_text: Column, double: Column) -> Column:

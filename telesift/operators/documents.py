@@ -128,7 +128,7 @@ def event_fields(events: Column, key: str = "Events") -> Column:
 
 
 def _sorted_map(attrs: Column) -> Column:
-    return F.map_from_entries(F.array_sort(F.map_entries(attrs)))
+    return F.map_from_entries(F.sort_array(F.map_entries(attrs)))
 
 
 def links_text(links: Column) -> Column:
@@ -148,7 +148,11 @@ def links_text(links: Column) -> Column:
 def sort_fields(fields: Column) -> Column:
     """Fields in key order; the order of equal keys stays."""
     numbered = F.transform(fields, lambda f, i: F.struct(f["key"].alias("key"), i.alias("at"), f["json"].alias("json")))
-    return F.transform(F.array_sort(numbered), lambda f: field(f["key"], f["json"]))
+    return F.transform(F.sort_array(numbered), lambda f: field(f["key"], f["json"]))
+
+
+# Below every character that keys have, so that a key sorts right before those it is the parent of.
+_LOW = "\x01"
 
 
 def with_deduplicated(df: DataFrame, column: str) -> DataFrame:
@@ -158,18 +162,20 @@ def with_deduplicated(df: DataFrame, column: str) -> DataFrame:
     such a field already. Each step is a column of its own, so that it is evaluated once.
     """
     entries = F.transform(F.col(column), lambda f: F.struct(f["key"], F.struct(f["json"].alias("json"))))
-    df = df.withColumn("_last", F.map_from_entries(entries)).withColumn("_keys", F.map_keys("_last"))
-
-    def is_parent(key: Column) -> Column:
-        return F.exists("_keys", lambda other: other.startswith(F.concat(key, F.lit("."))))
+    family = F.transform(
+        F.map_entries("_last"),
+        lambda e: F.struct(F.translate(e["key"], ".", _LOW).alias("rank"), e["key"].alias("key"), e["value"]["json"].alias("json")),
+    )
+    df = df.withColumn("_last", F.map_from_entries(entries)).withColumn("_family", F.sort_array(family))
 
-    def renamed(entry: Column) -> Column:
-        key, lifted = entry["key"], F.concat(entry["key"], F.lit(".value"))
-        name = F.when(~is_parent(key), key).when(~F.array_contains(F.col("_keys"), lifted), lifted)
-        return field(name, entry["value"]["json"])
+    def renamed(f: Column, i: Column) -> Column:
+        is_parent = F.coalesce(F.get("_family", i + 1)["rank"].startswith(F.concat(f["rank"], F.lit(_LOW))), F.lit(False))
+        lifted = F.concat(f["key"], F.lit(".value"))
+        name = F.when(~is_parent, f["key"]).when(~F.map_contains_key("_last", lifted), lifted)
+        return field(name, f["json"])
 
-    kept = F.filter(F.transform(F.map_entries("_last"), renamed), lambda f: f["key"].isNotNull())
-    return df.withColumn(column, F.array_sort(kept)).drop("_last", "_keys")
+    kept = F.filter(F.transform("_family", renamed), lambda f: f["key"].isNotNull())
+    return df.withColumn(column, F.sort_array(kept)).drop("_last", "_family")
 
 
 def _written(fields: Column) -> Column:
@@ -188,28 +194,38 @@ def with_nested_json(df: DataFrame, column: str, into: str) -> DataFrame:
     Keys below one prefix are neighbours in key order, so each field only has to close the
     levels it does not share with the one before it, and open its own.
     """
-    paths = F.transform(_written(F.col(column)), lambda f: F.struct(F.split(f["key"], r"\.").alias("p"), f["json"].alias("json")))
-    df = df.withColumn("_paths", paths)
-
-    def shared(a: Column, b: Column) -> Column:
-        depth = F.least(F.size(a), F.size(b)) - 1
-        levels = F.filter(F.sequence(F.lit(1), F.greatest(depth, F.lit(1))),
-                          lambda n: (n <= depth) & (F.slice(a, F.lit(1), n) == F.slice(b, F.lit(1), n)))
-        return F.size(levels)
+    def unquoted(key: Column) -> Column:
+        literal = text.json_string(key)
+        return F.substr(literal, F.lit(2), F.length(literal) - 2)
+
+    escaped = F.transform(_written(F.col(column)), lambda f: F.struct(unquoted(f["key"]).alias("key"), f["json"].alias("json")))
+    paths = F.transform(
+        "_escaped",
+        lambda f: F.struct(
+            f["key"].alias("key"),
+            f["json"].alias("json"),
+            F.split(f["key"], r"\.").alias("steps"),
+            F.transform(
+                F.filter(F.sequence(F.lit(0), F.size(F.split(f["key"], r"\.")) - 1), lambda n: n > 0),
+                lambda n: F.concat(F.call_function("substring_index", f["key"], F.lit("."), n), F.lit(".")),
+            ).alias("parents"),
+        ),
+    )
+    df = df.withColumn("_escaped", escaped).withColumn("_paths", paths)
 
     def member(f: Column, i: Column) -> Column:
-        path, before = f["p"], F.get(F.col("_paths"), i - 1)["p"]
-        common = F.when(i == 0, F.lit(0)).otherwise(shared(path, before))
-        closed = F.when(i == 0, F.lit("")).otherwise(F.concat(F.repeat(F.lit("}"), F.size(before) - 1 - common), F.lit(",")))
-        opened = F.transform(F.slice(path, common + 1, F.size(path) - 1 - common),
-                             lambda s: F.concat(text.json_string(s), F.lit(":{")))
-        leaf = F.concat(text.json_string(F.element_at(path, -1)), F.lit(":"), f["json"])
-        return F.concat(closed, F.array_join(opened, ""), leaf)
-
-    last = F.get(F.col("_paths"), F.size("_paths") - 1)["p"]
-    ending = F.when(F.size("_paths") == 0, F.lit("")).otherwise(F.repeat(F.lit("}"), F.size(last) - 1))
+        before = F.get("_paths", i - 1)
+        shared = F.size(F.filter(f["parents"], lambda p: F.startswith(before["key"], p)))
+        closed = F.concat(F.repeat(F.lit("}"), F.size(before["parents"]) - shared), F.lit(","))
+        own = F.slice(f["steps"], shared + 1, F.size(f["parents"]) - shared)
+        opened = F.when(F.size(own) > 0, F.concat(F.lit('"'), F.array_join(own, '":{"'), F.lit('":{'))).otherwise("")
+        start = F.when(i == 0, F.lit("")).otherwise(closed)
+        return F.concat(start, opened, F.lit('"'), F.element_at(f["steps"], -1), F.lit('":'), f["json"])
+
+    ending = F.repeat(F.lit("}"), F.greatest(F.size(F.get("_paths", F.size("_paths") - 1)["parents"]), F.lit(0)))
     body = F.array_join(F.transform("_paths", member), "")
-    return df.withColumn(into, F.concat(F.lit("{"), body, ending, F.lit("}"))).drop("_paths")
+    whole = F.concat(F.lit("{"), body, F.coalesce(ending, F.lit("")), F.lit("}"))
+    return df.withColumn(into, whole).drop("_escaped", "_paths")
 
 
 def _encode(df: DataFrame, fields: Column, dedup: bool, dedot: bool) -> DataFrame:

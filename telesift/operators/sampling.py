@@ -77,6 +77,6 @@ def group_by_trace(spans: DataFrame, max_spans: int = 10_000) -> DataFrame:
     )
     return (
         parts.groupBy("TraceId", "part", "parts")
-        .agg(F.array_sort(F.collect_list(span)).alias("Spans"))
+        .agg(F.sort_array(F.collect_list(span)).alias("Spans"))
         .withColumn("span_count", F.size("Spans"))
     )

@@ -16,8 +16,11 @@ def _under(fields: Column, prefix: str) -> Column:
 
 
 def documents_to_spans(documents: DataFrame, column: str = "document") -> DataFrame:
-    """Documents of the span encoder to the spans table; attribute values come back as strings."""
-    rows = documents.select(F.from_json(column, "map<string,string>").alias("d"))
+    """Documents of the span encoder to the spans table; attribute values come back as strings.
+
+    What is no JSON object gives a span without ids, which validation puts into quarantine.
+    """
+    rows = documents.filter(F.col(column).isNotNull()).select(F.from_json(column, "map<string,string>").alias("d"))
     d = F.col("d")
     start = F.coalesce(times.parse_ns(d["@timestamp"]), F.lit(0).cast("bigint"))
     end = F.coalesce(times.parse_ns(d["EndTimestamp"]), F.lit(0).cast("bigint"))
@@ -39,4 +42,4 @@ def documents_to_spans(documents: DataFrame, column: str = "document") -> DataFr
         "Links": F.array().cast(schema.LINKS),
     }
     blank = F.lit("")
-    return rows.filter(d.isNotNull()).select(*[columns.get(c, blank).alias(c) for c in schema.SPANS.names])
+    return rows.select(*[columns.get(c, blank).alias(c) for c in schema.SPANS.names])

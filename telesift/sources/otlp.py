@@ -113,7 +113,7 @@ def _nested(value: str, levels: int) -> str:
     values = f"transform(from_json({raw}, '{_ITEMS}').values, {i} -> struct({i}.key AS key, coalesce({i}.value, struct({own})) AS v))"
     parts = f"transform({values}, {v} -> struct({v}.key AS key, {_json_value(f'{v}.v', levels - 1)} AS json))"
     member = f"concat({text.json_string_sql(f'{e}.key')}, ':', {e}.value)"
-    members = f"transform(array_sort(map_entries(map_from_entries({p}))), {e} -> {member})"
+    members = f"transform(sort_array(map_entries(map_from_entries({p}))), {e} -> {member})"
     as_map = f"concat('{{', array_join({members}, ','), '}}')"
     as_array = f"concat('[', array_join({p}.json, ','), ']')"
     some = f"coalesce({parts}, CAST(array() AS ARRAY<STRUCT<key: STRING, json: STRING>>))"
