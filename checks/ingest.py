@@ -99,12 +99,8 @@ def _(v):
   UNION ALL SELECT kind, event_type || '.size', count(DISTINCT CAST("Timestamp" AS DATE))
     FROM spans_v, (VALUES ('histogram'), ('exponential_histogram'), ('summary')) x(kind) GROUP BY 1, 2"""))
 def _(v):
-    parsed = otlp.parse_otlp_json(v.metric_messages, "value", "metrics")
-    counts = None
-    for kind, points in otlp.split_metrics(parsed).items():
-        one = points.groupBy(F.lit(kind).alias("kind"), "MetricName").agg(F.count("*").alias("points"))
-        counts = one if counts is None else counts.unionAll(one)
-    return counts
+    points = otlp.flatten_metrics(otlp.parse_otlp_json(v.metric_messages, "value", "metrics"))
+    return points.groupBy("kind", "MetricName").agg(F.count("*").alias("points"))
 
 
 @query("untyped_metrics", duck("spans_v", """SELECT 'untyped.' || event_type || '.size' AS MetricName,
@@ -226,6 +222,18 @@ def _(v):
     return counts
 
 
+@query("write_metric_points", duck("day_v", """
+  SELECT 'gauge' AS kind, event_type || '.value' AS MetricName, CAST(CAST(ts AS DATE) AS VARCHAR) AS day_text, count(*) AS points
+    FROM base GROUP BY ALL
+  UNION ALL SELECT 'sum', event_type || '.total', CAST(CAST(ts AS DATE) AS VARCHAR), count(*) FROM base GROUP BY ALL
+  UNION ALL SELECT kind, MetricName, day_text, 1 FROM day_v, (VALUES ('histogram'), ('exponential_histogram'), ('summary')) x(kind)"""))
+def _(v):
+    path = scratch_path(v.spark, "metrics")
+    tables.write_metric_points(otlp.flatten_metrics(otlp.parse_otlp_json(v.metric_messages, "value", "metrics")), path)
+    stored = tables.read_table(v.spark, path)
+    return stored.groupBy("kind", "MetricName", F.col("day").cast("string").alias("day_text")).agg(F.count("*").alias("points"))
+
+
 @query("apply_retention", duck("spans_v", """SELECT CAST(CAST("Timestamp" AS DATE) AS VARCHAR) AS day_text, count(*) AS spans
   FROM spans_v WHERE CAST("Timestamp" AS DATE) >= DATE '2024-01-21' GROUP BY 1"""))
 def _(v):

@@ -35,7 +35,7 @@ def _(v):
     )
 
 
-@query("metric_table_for", duck("day_v", """SELECT kind, 'metrics_' || kind AS folder, points FROM (
+@query("metric_table_for", duck("day_v", """SELECT kind, 'kind=' || kind AS folder, points FROM (
   SELECT 'gauge' AS kind, count(*) AS points FROM base UNION ALL SELECT 'sum', count(*) FROM base
   UNION ALL SELECT kind, count(*) FROM day_v, (VALUES ('histogram'), ('exponential_histogram'), ('summary')) x(kind) GROUP BY 1)"""))
 def _(v):

@@ -189,6 +189,14 @@ def _(v):
     return _summary_out(ts.search_traces_by_matches(v.spans, BY_SERVICE))
 
 
+@query("search_traces_by_matches_in_days", duck("spans_v", _summary_sql("AND TraceId IN (SELECT TraceId FROM ids)"), ids=BY_SERVICE_SQL, roots=ROOTS_SQL))
+def _(v):
+    path = scratch_path(v.spark, "spans")
+    tables.write_spans(v.spans, path)
+    stored = tables.read_table(v.spark, path)
+    return _summary_out(ts.search_traces_by_matches(stored, BY_SERVICE, bounds.trace_bounds(v.spans)))
+
+
 @query("trace_summaries", duck("spans_v", _summary_sql(""), roots=ROOTS_SQL))
 def _(v):
     return _summary_out(span_ops.trace_summaries(v.spans))

@@ -94,41 +94,31 @@ def _by_span_key(spans: DataFrame, with_services: bool) -> DataFrame:
     giant trace nor a parent with countless children makes one large group. A candidate whose
     key no span has is a root. With services, every span is also sent under its service.
     """
-    none = F.lit(None)
-    own = F.struct(
-        F.lit("id").alias("part"),
-        F.col("SpanId").alias("key"),
-        F.lit(1).cast("bigint").alias("spans"),
-        F.when(F.lit(False), _root_struct()).alias("candidate"),
-    )
-    parent = F.struct(
-        F.lit("id").alias("part"),
-        F.col("ParentSpanId").alias("key"),
-        none.cast("bigint").alias("spans"),
-        _root_struct().alias("candidate"),
-    )
-    sent = [own, parent]
+    none, no_root = F.lit(None), F.when(F.lit(False), _root_struct())
+    no_resource = none.cast("map<string,string>")
+
+    def row(part: str, key: str, counted: Column, candidate: Column, resource: Column) -> Column:
+        fields = {"part": F.lit(part), "key": F.col(key), "spans": counted.cast("bigint"), "candidate": candidate}
+        if with_services:
+            fields["resource"] = resource
+        return F.struct(*[value.alias(name) for name, value in fields.items()])
+
+    sent = [
+        row("id", "SpanId", F.lit(1), no_root, no_resource),
+        row("id", "ParentSpanId", none, _root_struct(), no_resource),
+    ]
+    aggregates = [F.sum("spans").alias("spans"), F.min("candidate").alias("candidate")]
     if with_services:
-        sent.append(
-            F.struct(
-                F.lit("service").alias("part"),
-                F.col("ServiceName").alias("key"),
-                none.cast("bigint").alias("spans"),
-                _root_struct().alias("candidate"),
-            )
-        )
-    carried = ["ResourceAttributes"] if with_services else []
-    rows = (
+        sent.append(row("service", "ServiceName", none, _root_struct(), F.col("ResourceAttributes")))
+        aggregates.append(F.min_by("resource", "candidate").alias("resource"))
+    return (
         spans.filter(F.col("TraceId") != "")
-        .select("TraceId", *carried, F.explode(F.array(*sent)).alias("x"))
-        .select("TraceId", *carried, "x.*")
+        .select("TraceId", F.explode(F.array(*sent)).alias("x"))
+        .select("TraceId", "x.*")
         .filter((F.col("part") == "id") | (F.col("key") != ""))
+        .groupBy("TraceId", "part", "key")
+        .agg(*aggregates)
     )
-    aggregates = [F.sum("spans").alias("spans"), F.min("candidate").alias("candidate")]
-    if with_services:
-        resource = F.when(F.col("part") == "service", F.col("ResourceAttributes"))
-        aggregates.append(F.min_by(resource, F.col("candidate")).alias("resource"))
-    return rows.groupBy("TraceId", "part", "key").agg(*aggregates)
 
 
 def _root() -> Column:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from telesift.operators.bounds import merge_trace_bounds
 from telesift.operators.spans import span_filter, trace_summaries
-from telesift.sources.tables import time_range
+from telesift.sources.tables import DAY, time_range
 
 DEFAULT_TRACES = 20
 # An id row is below 100 bytes, so a broadcast of this many stays below 10 MB.
@@ -50,6 +50,23 @@ def _at_most(ids: DataFrame, limit: int) -> DataFrame:
     return F.broadcast(ids) if limit <= MAX_BROADCAST_IDS else ids
 
 
+def _spans_of(spans: DataFrame, traces: DataFrame, limit: int | None) -> DataFrame:
+    """All spans of traces given with their Start and End.
+
+    On a table with days the join is on trace and day, so that Spark reads only the days that
+    the traces touch: the broadcast side becomes a dynamic partition filter.
+    """
+    keys = ["TraceId"]
+    if DAY in spans.columns:
+        days = F.sequence(F.to_date("Start"), F.to_date("End"))
+        traces = traces.select("TraceId", F.explode(days).alias(DAY))
+        keys = ["TraceId", DAY]
+    wanted = traces.select(*keys)
+    if limit is not None:
+        wanted = _at_most(wanted, limit)
+    return spans.join(wanted, keys, "left_semi")
+
+
 def get_trace(spans: DataFrame, trace_id: str) -> DataFrame:
     """All spans of one trace."""
     if not trace_id:
@@ -85,10 +102,17 @@ def find_trace_ids(spans: DataFrame, query: TraceQuery) -> DataFrame:
     )
 
 
-def search_traces_by_matches(spans: DataFrame, query: TraceQuery) -> DataFrame:
-    """Summaries of the traces with most matching spans: filter first, then limit."""
+def search_traces_by_matches(spans: DataFrame, query: TraceQuery, bounds: DataFrame | None = None) -> DataFrame:
+    """Summaries of the traces with most matching spans: filter first, then limit.
+
+    A trace may reach beyond the time searched. With its bounds known only the days it touches
+    are read for its other spans, without them all days are.
+    """
     ids = _at_most(find_trace_ids(spans, query).select("TraceId"), query.limit)
-    return trace_summaries(spans.join(ids, "TraceId", "left_semi"))
+    if bounds is None:
+        return trace_summaries(spans.join(ids, "TraceId", "left_semi"))
+    traces = merge_trace_bounds(bounds.join(ids, "TraceId", "left_semi"))
+    return trace_summaries(_spans_of(spans, traces, query.limit))
 
 
 def search_spans_recent(spans: DataFrame, bounds: DataFrame, query: TraceQuery) -> DataFrame:
@@ -96,23 +120,34 @@ def search_spans_recent(spans: DataFrame, bounds: DataFrame, query: TraceQuery)
 
     `bounds` may hold partial rows; they are merged first.
     """
-    merged = merge_trace_bounds(bounds)
+    merged = merge_trace_bounds(bounds.filter(F.col("TraceId") != ""))
     if query.start is not None and query.end is not None and query.start < query.end:
         merged = merged.filter(F.col("Start").between(F.lit(query.start), F.lit(query.end)))
     length_ns = (F.unix_micros("End") - F.unix_micros("Start")) * 1000
     merged = merged.filter(_between(length_ns, query.duration_min, query.duration_max))
     newest = merged.orderBy(F.desc("Start"), "TraceId").limit(query.limit)
-    ids = _at_most(newest.select("TraceId"), query.limit)
-    rows = spans.join(ids, "TraceId", "left_semi")
+    rows = _spans_of(spans, newest, query.limit)
     return span_filter(rows, query.service_name, query.operation_name, query.tags)
 
 
-def multi_get_traces(spans: DataFrame, ids: DataFrame | Iterable[str], max_rows: int | None = 5000) -> DataFrame:
-    """Spans of many traces, by a list of ids or a DataFrame with a TraceId column."""
-    if isinstance(ids, DataFrame):
-        wanted = ids.select("TraceId").filter(F.col("TraceId") != "")
+def multi_get_traces(
+    spans: DataFrame,
+    ids: DataFrame | Iterable[str],
+    max_rows: int | None = 5000,
+    bounds: DataFrame | None = None,
+) -> DataFrame:
+    """Spans of many traces, by a list of ids or a DataFrame with a TraceId column.
+
+    With the traces' bounds only the days they touch are read.
+    """
+    limit = None
+    if not isinstance(ids, DataFrame):
+        rows = [(i,) for i in ids]
+        limit = len(rows)
+        ids = spans.sparkSession.createDataFrame(rows, "TraceId string")
+    wanted = ids.select("TraceId").filter(F.col("TraceId") != "")
+    if bounds is not None:
+        found = _spans_of(spans, merge_trace_bounds(bounds.join(wanted, "TraceId", "left_semi")), limit)
     else:
-        rows = [(i,) for i in ids if i]
-        wanted = _at_most(spans.sparkSession.createDataFrame(rows, "TraceId string"), len(rows))
-    found = spans.join(wanted, "TraceId", "left_semi")
+        found = spans.join(wanted if limit is None else _at_most(wanted, limit), "TraceId", "left_semi")
     return found if max_rows is None else found.orderBy("TraceId", "TimestampNs", "SpanId").limit(max_rows)

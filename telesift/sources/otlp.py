@@ -32,19 +32,24 @@ _RECORD = f"""STRUCT<timeUnixNano: STRING, severityNumber: INT, severityText: ST
     attributes: {_KVS}, flags: BIGINT, traceId: STRING, spanId: STRING>"""
 _EXEMPLAR = f"""STRUCT<filteredAttributes: {_KVS}, timeUnixNano: STRING, asDouble: DOUBLE, asInt: STRING,
     spanId: STRING, traceId: STRING>"""
-_POINT = f"attributes: {_KVS}, startTimeUnixNano: STRING, timeUnixNano: STRING, flags: BIGINT"
-_NUMBER = f"{_POINT}, asDouble: DOUBLE, asInt: STRING, exemplars: ARRAY<{_EXEMPLAR}>"
 _BUCKETS = "STRUCT<offset: INT, bucketCounts: ARRAY<STRING>>"
-_POINTS = {
-    "gauge": f"ARRAY<STRUCT<{_NUMBER}>>",
-    "sum": f"ARRAY<STRUCT<{_NUMBER}>>",
-    "histogram": f"""ARRAY<STRUCT<{_POINT}, count: STRING, sum: DOUBLE, bucketCounts: ARRAY<STRING>,
-        explicitBounds: ARRAY<DOUBLE>, exemplars: ARRAY<{_EXEMPLAR}>, min: DOUBLE, max: DOUBLE>>""",
-    "exponential_histogram": f"""ARRAY<STRUCT<{_POINT}, count: STRING, sum: DOUBLE, scale: INT,
-        zeroCount: STRING, positive: {_BUCKETS}, negative: {_BUCKETS},
-        exemplars: ARRAY<{_EXEMPLAR}>, min: DOUBLE, max: DOUBLE>>""",
-    "summary": f"""ARRAY<STRUCT<{_POINT}, count: STRING, sum: DOUBLE,
-        quantileValues: ARRAY<STRUCT<quantile: DOUBLE, value: DOUBLE>>>>""",
+# What data points hold in the messages, and which of it those of each kind.
+_RAW_POINT = {
+    "attributes": _KVS, "startTimeUnixNano": "STRING", "timeUnixNano": "STRING", "flags": "BIGINT", "asDouble": "DOUBLE",
+    "asInt": "STRING", "exemplars": f"ARRAY<{_EXEMPLAR}>", "count": "STRING", "sum": "DOUBLE", "min": "DOUBLE",
+    "max": "DOUBLE", "bucketCounts": "ARRAY<STRING>", "explicitBounds": "ARRAY<DOUBLE>", "scale": "INT",
+    "zeroCount": "STRING", "positive": _BUCKETS, "negative": _BUCKETS,
+    "quantileValues": "ARRAY<STRUCT<quantile: DOUBLE, value: DOUBLE>>",
+}
+_COMMON_FIELDS = ("attributes", "startTimeUnixNano", "timeUnixNano", "flags")
+_NUMBER_FIELDS = (*_COMMON_FIELDS, "asDouble", "asInt", "exemplars")
+_DISTRIBUTION_FIELDS = (*_COMMON_FIELDS, "count", "sum", "min", "max", "exemplars")
+_POINT_FIELDS = {
+    "gauge": _NUMBER_FIELDS,
+    "sum": _NUMBER_FIELDS,
+    "histogram": (*_DISTRIBUTION_FIELDS, "bucketCounts", "explicitBounds"),
+    "exponential_histogram": (*_DISTRIBUTION_FIELDS, "scale", "zeroCount", "positive", "negative"),
+    "summary": (*_COMMON_FIELDS, "count", "sum", "quantileValues"),
 }
 # The message field that holds each kind of metric.
 METRIC_FIELDS = {
@@ -54,12 +59,16 @@ METRIC_FIELDS = {
     "exponential_histogram": "exponentialHistogram",
     "summary": "summary",
 }
+
+
+def _metric_type(kind: str) -> str:
+    point = ", ".join(f"{name}: {_RAW_POINT[name]}" for name in _POINT_FIELDS[kind])
+    return f"STRUCT<dataPoints: ARRAY<STRUCT<{point}>>, aggregationTemporality: INT, isMonotonic: BOOLEAN>"
+
+
 _METRIC = (
     "STRUCT<name: STRING, description: STRING, unit: STRING, "
-    + ", ".join(
-        f"{field}: STRUCT<dataPoints: {_POINTS[kind]}, aggregationTemporality: INT, isMonotonic: BOOLEAN>"
-        for kind, field in METRIC_FIELDS.items()
-    )
+    + ", ".join(f"{field}: {_metric_type(kind)}" for kind, field in METRIC_FIELDS.items())
     + ">"
 )
 
@@ -323,6 +332,18 @@ def _metrics(messages: DataFrame) -> DataFrame:
     )
 
 
+KIND = "kind"
+
+
+def _raw_points(kind: str) -> str:
+    """SQL for the points of one kind as an array of points of any kind; empty where the metric is of another."""
+    field = METRIC_FIELDS[kind]
+    fields = [f"p.{n} AS {n}" if n in _POINT_FIELDS[kind] else f"CAST(NULL AS {t}) AS {n}" for n, t in _RAW_POINT.items()]
+    fields += [f"m.{field}.aggregationTemporality AS aggregationTemporality", f"m.{field}.isMonotonic AS isMonotonic"]
+    points = f"transform(m.{field}.dataPoints, p -> struct('{kind}' AS {KIND}, {', '.join(fields)}))"
+    return f"coalesce({points}, array())"
+
+
 def _counts(raw: Column) -> Column:
     return F.coalesce(F.transform(raw, _ns), F.array().cast("array<bigint>"))
 
@@ -331,52 +352,20 @@ def _zero(value: Column) -> Column:
     return F.coalesce(value, F.lit(0.0))
 
 
-def _point_columns(kind: str, point: Column, metric: Column) -> dict[str, Column]:
-    """Type-specific columns of one data point, as expressions over `point` and its metric."""
-    columns: dict[str, Column] = {}
-    if kind != "summary":
-        columns["Exemplars"] = _or_empty(exemplars("p.exemplars"), schema.EXEMPLARS)
-    if kind in ("gauge", "sum"):
-        columns["Value"] = text.number_value(point["asInt"], point["asDouble"])
-    else:
-        columns["Count"] = _ns(point["count"])
-        columns["Sum"] = _zero(point["sum"])
-    if kind == "sum":
-        columns["AggTemp"] = F.coalesce(metric["aggregationTemporality"], F.lit(0))
-        columns["IsMonotonic"] = F.coalesce(metric["isMonotonic"], F.lit(False))
-    if kind in ("histogram", "exponential_histogram"):
-        columns["Min"] = _zero(point["min"])
-        columns["Max"] = _zero(point["max"])
-    if kind == "histogram":
-        columns["BucketCounts"] = _counts(point["bucketCounts"])
-        columns["ExplicitBounds"] = F.coalesce(point["explicitBounds"], F.array().cast("array<double>"))
-    if kind == "exponential_histogram":
-        columns["Scale"] = F.coalesce(point["scale"], F.lit(0))
-        columns["ZeroCount"] = _ns(point["zeroCount"])
-        for side in ("positive", "negative"):
-            columns[f"{side.title()}Offset"] = F.coalesce(point[side]["offset"], F.lit(0))
-            columns[f"{side.title()}BucketCounts"] = _counts(point[side]["bucketCounts"])
-    if kind == "summary":
-        columns["ValueAtQuantiles"] = _or_empty(quantile_pairs(point["quantileValues"]), schema.QUANTILES)
-    return columns
-
+def flatten_metrics(messages: DataFrame, kinds: tuple[str, ...] = schema.METRIC_KINDS) -> DataFrame:
+    """Metric messages to data points of all kinds in one pass, one row per point.
 
-def flatten_metric(messages: DataFrame, kind: str) -> DataFrame:
-    """Metric messages to the table of one kind, one row per data point."""
-    field = METRIC_FIELDS[kind]
+    `kind` names the table a point belongs to. There is a column for every column of the five
+    tables; those that a point's own table lacks mean nothing in its row.
+    """
     shared = ["ResourceAttributes", "ResourceSchemaUrl", "ScopeName", "ScopeVersion", "ScopeAttributes",
               "ScopeDroppedAttrCount", "ScopeSchemaUrl"]
-    points = (
-        _metrics(messages)
-        .filter(F.col(f"m.{field}").isNotNull())
-        .select(
-            *shared,
-            _blank(F.col("m.name")).alias("MetricName"),
-            _blank(F.col("m.description")).alias("MetricDescription"),
-            _blank(F.col("m.unit")).alias("MetricUnit"),
-            F.struct(f"m.{field}.aggregationTemporality", f"m.{field}.isMonotonic").alias("metric"),
-            F.explode(f"m.{field}.dataPoints").alias("p"),
-        )
+    points = _metrics(messages).select(
+        *shared,
+        _blank(F.col("m.name")).alias("MetricName"),
+        _blank(F.col("m.description")).alias("MetricDescription"),
+        _blank(F.col("m.unit")).alias("MetricUnit"),
+        F.explode(F.expr(f"concat({', '.join(map(_raw_points, kinds))})")).alias("p"),
     )
     point = F.col("p")
     start, at = _ns(point["startTimeUnixNano"]), _ns(point["timeUnixNano"])
@@ -387,13 +376,40 @@ def flatten_metric(messages: DataFrame, kind: str) -> DataFrame:
         "TimeUnix": times.ns_to_timestamp(at),
         "TimeUnixNs": at,
         "Flags": F.coalesce(point["flags"], F.lit(0).cast("bigint")),
-        **_point_columns(kind, point, F.col("metric")),
+        "Value": text.number_value(point["asInt"], point["asDouble"]),
+        "Exemplars": _or_empty(exemplars("p.exemplars"), schema.EXEMPLARS),
+        "AggTemp": F.coalesce(point["aggregationTemporality"], F.lit(0)),
+        "IsMonotonic": F.coalesce(point["isMonotonic"], F.lit(False)),
+        "Count": _ns(point["count"]),
+        "Sum": _zero(point["sum"]),
+        "Min": _zero(point["min"]),
+        "Max": _zero(point["max"]),
+        "BucketCounts": _counts(point["bucketCounts"]),
+        "ExplicitBounds": F.coalesce(point["explicitBounds"], F.array().cast("array<double>")),
+        "Scale": F.coalesce(point["scale"], F.lit(0)),
+        "ZeroCount": _ns(point["zeroCount"]),
+        "PositiveOffset": F.coalesce(point["positive"]["offset"], F.lit(0)),
+        "PositiveBucketCounts": _counts(point["positive"]["bucketCounts"]),
+        "NegativeOffset": F.coalesce(point["negative"]["offset"], F.lit(0)),
+        "NegativeBucketCounts": _counts(point["negative"]["bucketCounts"]),
+        "ValueAtQuantiles": _or_empty(quantile_pairs(point["quantileValues"]), schema.QUANTILES),
     }
-    return points.select(*[columns[c].alias(c) if c in columns else F.col(c) for c in schema.METRICS[kind].names])
+    wanted = dict.fromkeys(name for kind in kinds for name in schema.METRICS[kind].names)
+    return points.select(
+        point[KIND].alias(KIND), *[columns[c].alias(c) if c in columns else F.col(c) for c in wanted]
+    )
+
+
+def flatten_metric(messages: DataFrame, kind: str) -> DataFrame:
+    """Metric messages to the table of one kind, one row per data point."""
+    return flatten_metrics(messages, (kind,)).select(*schema.METRICS[kind].names)
 
 
 def split_metrics(messages: DataFrame) -> dict[str, DataFrame]:
-    """All five metric tables by kind. A metric of no known kind is in none: see untyped_metrics."""
+    """All five metric tables by kind. A metric of no known kind is in none: see untyped_metrics.
+
+    To write all five use flatten_metrics and write_metric_points, which parse messages once.
+    """
     return {kind: flatten_metric(messages, kind) for kind in schema.METRIC_KINDS}
 
 

@@ -19,6 +19,7 @@ from telesift import schema
 from telesift.functions import maps
 
 DAY = "day"
+KIND = "kind"
 _PROMOTED = "attr"
 
 
@@ -117,21 +118,30 @@ def write_logs(
     _write(df, path, ["ServiceName", "SeverityText"], order, partitions, ["TraceId"], mode)
 
 
+def _write_points(df: DataFrame, path: str, leading: list[str], promote, batch_id: int | None) -> None:
+    df = _promote(df, promote).withColumn(DAY, F.to_date("TimeUnix"))
+    df, partitions, mode = _batch_columns(df, batch_id)
+    # Maps have no order; their canonical text is the sort key.
+    order = ["MetricName", maps.attributes_id(F.col("Attributes")), "TimeUnix"]
+    _write(df, path, ["MetricName"], order, leading + partitions, (), mode)
+
+
 def write_metrics(
     tables: dict[str, DataFrame],
     path: str,
     promote: dict[str, list[str]] | None = None,
     batch_id: int | None = None,
 ) -> None:
-    """Append the five metric tables below one folder: by day, sorted by name, attributes and time.
-
-    Maps have no order, so their canonical text (attributes_id) is the sort key.
-    """
+    """Append metric tables below one folder: by day, sorted by name, attributes and time."""
     for kind, points in tables.items():
-        df = _promote(points, promote).withColumn(DAY, F.to_date("TimeUnix"))
-        df, partitions, mode = _batch_columns(df, batch_id)
-        order = ["MetricName", maps.attributes_id(F.col("Attributes")), "TimeUnix"]
-        _write(df, metric_table_for(path, kind), ["MetricName"], order, partitions, (), mode)
+        _write_points(points, metric_table_for(path, kind), [], promote, batch_id)
+
+
+def write_metric_points(
+    points: DataFrame, path: str, promote: dict[str, list[str]] | None = None, batch_id: int | None = None
+) -> None:
+    """The same from flatten_metrics: all five tables in one job, with `kind` as the first partition."""
+    _write_points(points, path, [KIND], promote, batch_id)
 
 
 def write_bounds(bounds: DataFrame, path: str, batch_id: int | None = None) -> None:
@@ -155,7 +165,7 @@ def metric_table_for(path: str, kind: str) -> str:
     """Folder of the table that holds one kind of metric."""
     if kind not in schema.METRICS:
         raise ValueError(f"no metric kind {kind!r}; known: {', '.join(schema.METRIC_KINDS)}")
-    return f"{path.rstrip('/')}/metrics_{kind}"
+    return f"{path.rstrip('/')}/{KIND}={kind}"
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
@@ -163,7 +173,10 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_metric_table(spark: SparkSession, path: str, kind: str) -> DataFrame:
-    return spark.read.parquet(metric_table_for(path, kind))
+    """One kind's table, without the columns that only other kinds have."""
+    table = spark.read.parquet(metric_table_for(path, kind))
+    others = {name for other in schema.METRICS.values() for name in other.names} - set(schema.METRICS[kind].names)
+    return table.drop(*others)
 
 
 def retained(table: DataFrame, days: int, now: dt.datetime) -> DataFrame:

@@ -27,13 +27,31 @@ def _run(stream: DataFrame, each_batch, checkpoint: str, trigger: dict | None) -
     return writer.trigger(**(trigger or AVAILABLE)).start()
 
 
+def _rejected(parsed: DataFrame, signal: str) -> DataFrame:
+    """What of a batch cannot be stored as it should be, with the reason."""
+    rejected = otlp.corrupt_messages(parsed).select(F.col("message").alias("what"), "reason")
+    if signal == "traces":
+        bad = otlp.out_of_range_times(parsed).select(F.concat_ws("/", "TraceId", "SpanId").alias("what"), "reason")
+        rejected = rejected.unionByName(bad)
+    if signal == "metrics":
+        rejected = rejected.unionByName(otlp.untyped_metrics(parsed).select(F.col("MetricName").alias("what"), "reason"))
+    return rejected
+
+
 def stream_ingest(
-    messages: DataFrame, signal: str, path: str, checkpoint: str, trigger: dict | None = None, column: str = "value"
+    messages: DataFrame,
+    signal: str,
+    path: str,
+    checkpoint: str,
+    trigger: dict | None = None,
+    column: str = "value",
+    quarantine: str | None = None,
 ) -> StreamingQuery:
     """Messages to the tables of a signal, micro-batch by micro-batch.
 
     A batch overwrites only folders with its own number, so that one run again after a
-    failure leaves each row once.
+    failure leaves each row once. What cannot be stored goes to the quarantine folder, if one
+    is given, and all else still goes through.
     """
 
     def each_batch(batch: DataFrame, batch_id: int) -> None:
@@ -43,7 +61,9 @@ def stream_ingest(
         elif signal == "logs":
             tables.write_logs(otlp.flatten_logs(parsed), path, batch_id=batch_id)
         else:
-            tables.write_metrics(otlp.split_metrics(parsed), path, batch_id=batch_id)
+            tables.write_metric_points(otlp.flatten_metrics(parsed), path, batch_id=batch_id)
+        if quarantine is not None:
+            _rejected(parsed, signal).write.mode("overwrite").parquet(f"{quarantine}/batch_id={batch_id}")
 
     return _run(messages, each_batch, checkpoint, trigger)
 
