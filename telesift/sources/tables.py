@@ -78,7 +78,9 @@ def _write(
     if mode == "overwrite":
         writer = writer.option("partitionOverwriteMode", "dynamic")
     for column in bloom:
+        # Parquet leaves the bloom filter out of a dictionary-encoded column; ids gain nothing from one.
         writer = writer.option(f"parquet.bloom.filter.enabled#{column}", "true")
+        writer = writer.option(f"parquet.enable.dictionary#{column}", "false")
     writer.parquet(path)
 
 

@@ -14,6 +14,7 @@ def spark(tmp_path_factory):
         SparkSession.builder.master("local[8]").appName("tests")
         .config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", "8").config("spark.driver.memory", "8g")
+        .config("spark.sql.maxMetadataStringLength", "10000").config("spark.sql.debug.maxToStringFields", "1000")
         .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared"))).getOrCreate()
     )
     session.sparkContext.setLogLevel("OFF")
