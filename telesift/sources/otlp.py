@@ -224,23 +224,18 @@ def _or_empty(column: Column, kind: DataType) -> Column:
 
 
 def _scopes(messages: DataFrame, top: str, scopes: str, fields: bool = False) -> DataFrame:
-    """One row per (resource, scope), with the resource's columns worked out once."""
-    resource = messages.select(F.explode(top).alias("r"))
+    """One row per (resource, scope), with the resource's columns worked out once.
+
+    Both levels come out of one explode, as each explode copies all that is below it.
+    """
+    pairs = f"transform(r.{scopes}, s -> struct(r.resource AS resource, r.schemaUrl AS schemaUrl, s AS s))"
+    rows = messages.select(F.explode(F.expr(f"flatten(transform({top}, r -> coalesce({pairs}, array())))")).alias("r"))
     attrs = "r.resource.attributes"
-    columns = [
-        attributes_to_map(attrs).alias("ResourceAttributes"),
-        _blank(F.col("r.schemaUrl")).alias("ResourceSchemaUrl"),
-        F.col(f"r.{scopes}").alias("scopes"),
-    ]
+    columns = [attributes_to_map(attrs).alias("ResourceAttributes"), _blank(F.col("r.schemaUrl")).alias("ResourceSchemaUrl")]
     if fields:
         columns.append(attributes_to_fields(attrs).alias("ResourceFields"))
-    rows = resource.select(*columns)
-    kept = [c for c in rows.columns if c != "scopes"]
-    return rows.select(
-        *kept,
-        maps.attribute(F.col("ResourceAttributes"), "service.name").alias("ServiceName"),
-        F.explode("scopes").alias("s"),
-    )
+    service = maps.attribute(F.col("ResourceAttributes"), "service.name").alias("ServiceName")
+    return rows.select(*columns, F.col("r.s").alias("s")).select("*", service)
 
 
 # ---- signals ----------------------------------------------------------------------------------
