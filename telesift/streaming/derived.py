@@ -8,6 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from telesift.operators import logs as log_ops
 from telesift.operators import span_metrics as metric_ops
+from telesift.session import configure
 from telesift.streaming.ingest import AVAILABLE
 
 
@@ -33,8 +34,10 @@ def group_by_trace_stream(spans: DataFrame, gap: str = "30 seconds", delay: str
     """A trace's counts and bounds, when no span of it came for `gap`.
 
     Only sums and bounds are state, so a giant trace costs no more than a small one; the spans
-    themselves stay in the spans table, to be gathered by group_by_trace.
+    themselves stay in the spans table, to be gathered by group_by_trace. The session setting
+    that merges a hot trace's sessions on the map side too is part of session.configure.
     """
+    configure(spans.sparkSession)
     session = F.session_window("Timestamp", gap)
     return (
         spans.filter(F.col("TraceId") != "")
@@ -50,10 +53,14 @@ def group_by_trace_stream(spans: DataFrame, gap: str = "30 seconds", delay: str
     )
 
 
-def service_graph_pairs_stream(spans: DataFrame, ttl: str = "1 second", delay: str = "1 second") -> DataFrame:
+def service_graph_pairs_stream(
+    spans: DataFrame, ttl: str = "1 second", delay: str = "1 second", salts: int = 4
+) -> DataFrame:
     """Client spans with the server spans they call, paired when both have come within `ttl`.
 
     Both sides have a watermark and the join a time range, so unpaired spans leave the state.
+    A client span is kept once per salt and its children are spread over the salts, so that a
+    client span with countless children is not all one task's.
     """
     traced = spans.filter(F.col("TraceId") != "")
     failed = F.col("StatusCode") == metric_ops.ERROR
@@ -62,6 +69,7 @@ def service_graph_pairs_stream(spans: DataFrame, ttl: str = "1 second", delay: s
         .select(
             F.col("Timestamp").alias("client_time"), F.col("TraceId").alias("client_trace"), F.col("SpanId").alias("client_id"),
             F.col("ServiceName").alias("client"), failed.alias("client_failed"), F.col("Duration").alias("client_ns"),
+            F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("client_salt"),
         )
         .withWatermark("client_time", delay)
     )
@@ -71,6 +79,7 @@ def service_graph_pairs_stream(spans: DataFrame, ttl: str = "1 second", delay: s
             F.col("Timestamp").alias("server_time"), F.col("TraceId").alias("server_trace"),
             F.col("ParentSpanId").alias("server_parent"), F.col("ServiceName").alias("server"),
             failed.alias("server_failed"), F.col("Duration").alias("server_ns"),
+            F.pmod(F.xxhash64("SpanId"), F.lit(salts)).cast("int").alias("server_salt"),
         )
         .withWatermark("server_time", delay)
     )
@@ -78,6 +87,7 @@ def service_graph_pairs_stream(spans: DataFrame, ttl: str = "1 second", delay: s
     condition = (
         (F.col("client_trace") == F.col("server_trace"))
         & (F.col("client_id") == F.col("server_parent"))
+        & (F.col("client_salt") == F.col("server_salt"))
         & (F.col("server_time") >= F.col("client_time") - span_of)
         & (F.col("server_time") <= F.col("client_time") + span_of)
     )
