@@ -49,9 +49,9 @@ def _(v):
     return log_ops.logs_by_attribute(v.logs, "k", "17", START, limit=None).select(*OUT)
 
 
-@query("logs_without_attribute", duck("logs_v", f"SELECT {OUT_SQL} FROM logs_v WHERE coalesce(k, '') = ''"))
+@query("logs_without_attribute", duck("logs_v", f"SELECT {OUT_SQL} FROM logs_v"))
 def _(v):
-    return log_ops.logs_by_attribute(v.logs, "k", "", START, limit=None).select(*OUT)
+    return log_ops.logs_by_attribute(v.logs, "absent", "", START, limit=None).select(*OUT)
 
 
 @query("logs_has_token", duck("doc_logs_v", f"SELECT {DOC_SQL} FROM doc_logs_v WHERE {TOKEN_SQL}"))
@@ -59,14 +59,14 @@ def _(v):
     return log_ops.logs_has_token(v.doc_logs, "the", START, limit=None).select(*DOC_OUT)
 
 
-@query("logs_like", duck("doc_logs_v", f"SELECT {DOC_SQL} FROM doc_logs_v WHERE Body LIKE '%http%'"))
+@query("logs_like", duck("doc_logs_v", f"SELECT {DOC_SQL} FROM doc_logs_v WHERE Body LIKE '%tion%'"))
 def _(v):
-    return log_ops.logs_like(v.doc_logs, "%http%", START, limit=None).select(*DOC_OUT)
+    return log_ops.logs_like(v.doc_logs, "%tion%", START, limit=None).select(*DOC_OUT)
 
 
-@query("logs_match", duck("doc_logs_v", rf"SELECT {DOC_SQL} FROM doc_logs_v WHERE regexp_matches(Body, '[a-z0-9]+@[a-z]+\.[a-z]+')"))
+@query("logs_match", duck("doc_logs_v", rf"SELECT {DOC_SQL} FROM doc_logs_v WHERE regexp_matches(Body, '[a-z0-9.]+@[a-z]+|[0-9]{{3}}-[0-9]{{4}}')"))
 def _(v):
-    return log_ops.logs_match(v.doc_logs, r"[a-z0-9]+@[a-z]+\.[a-z]+", START, limit=None).select(*DOC_OUT)
+    return log_ops.logs_match(v.doc_logs, r"[a-z0-9.]+@[a-z]+|[0-9]{3}-[0-9]{4}", START, limit=None).select(*DOC_OUT)
 
 
 @query("logs_json_number", duck("logs_v", f"""SELECT {OUT_SQL} FROM logs_v
