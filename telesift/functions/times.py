@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -13,6 +15,15 @@ def floor_div(value: Column, by: int) -> Column:
     return F.call_function("div", value - F.pmod(value, F.lit(by)), F.lit(by))
 
 
+def moment(value) -> Column:
+    """A time given as a Column, a datetime or a text; a datetime without a zone is UTC, whatever the machine's is."""
+    if isinstance(value, Column):
+        return value.cast("timestamp")
+    if isinstance(value, dt.datetime) and value.tzinfo is None:
+        value = value.replace(tzinfo=dt.timezone.utc)
+    return F.lit(value).cast("timestamp")
+
+
 def timestamp_to_ns(ts: Column) -> Column:
     return F.unix_micros(ts) * 1000
 

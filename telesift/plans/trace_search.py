@@ -9,6 +9,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from telesift.functions import times
 from telesift.operators.bounds import merge_trace_bounds
 from telesift.operators.spans import span_filter, trace_summaries
 from telesift.sources.tables import DAY, time_range
@@ -122,7 +123,7 @@ def search_spans_recent(spans: DataFrame, bounds: DataFrame, query: TraceQuery)
     """
     merged = merge_trace_bounds(bounds.filter(F.col("TraceId") != ""))
     if query.start is not None and query.end is not None and query.start < query.end:
-        merged = merged.filter(F.col("Start").between(F.lit(query.start), F.lit(query.end)))
+        merged = merged.filter(F.col("Start").between(times.moment(query.start), times.moment(query.end)))
     length_ns = (F.unix_micros("End") - F.unix_micros("Start")) * 1000
     merged = merged.filter(_between(length_ns, query.duration_min, query.duration_max))
     newest = merged.orderBy(F.desc("Start"), "TraceId").limit(query.limit)

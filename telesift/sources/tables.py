@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from telesift import schema
-from telesift.functions import maps
+from telesift.functions import maps, times
 
 DAY = "day"
 KIND = "kind"
@@ -54,9 +54,7 @@ def time_range(df: DataFrame, column: str, start=None, end=None) -> DataFrame:
     for bound, is_start in ((start, True), (end, False)):
         if bound is None:
             continue
-        limit = bound if isinstance(bound, Column) else F.lit(bound)
-        limit = limit.cast("timestamp")
-        ts = F.col(column)
+        limit, ts = times.moment(bound), F.col(column)
         df = df.filter(ts >= limit if is_start else ts <= limit)
         if DAY in df.columns:
             day = F.to_date(limit)

@@ -112,3 +112,19 @@ def test_fnv_known_values(spark):
     rows = spark.createDataFrame([("", ""), ("a", ""), ("foo", "bar"), ("", "foobar")], "s string, o string")
     made = [r[0] for r in rows.select(ids.service_operation_id(F.col("s"), F.col("o"))).collect()]
     assert made == ["cbf29ce484222325", "af63dc4c8601ec8c", "85944171f73967e8", "85944171f73967e8"]
+
+
+def test_moments_are_utc_on_any_machine(spark, monkeypatch):
+    import datetime as dt
+    import time
+
+    monkeypatch.setenv("TZ", "Asia/Tokyo")
+    time.tzset()
+    try:
+        noon = dt.datetime(2024, 1, 1, 12)
+        forms = [noon, noon.replace(tzinfo=dt.timezone.utc), "2024-01-01 12:00:00", F.lit("2024-01-01 12:00:00")]
+        made = [spark.range(1).select(F.unix_seconds(times.moment(f))).first()[0] for f in forms]
+    finally:
+        monkeypatch.undo()
+        time.tzset()
+    assert made == [1704110400] * 4
