@@ -86,6 +86,12 @@ def _root_struct() -> Column:
     return F.struct(*_ROOT_FIELDS)
 
 
+def _order_struct() -> Column:
+    """The same type with only what orders spans, for rows that are never roots."""
+    order, rest = _ROOT_FIELDS[:2], _ROOT_FIELDS[2:]
+    return F.struct(*order, *[F.when(F.lit(False), F.col(name)).alias(name) for name in rest])
+
+
 def _by_span_key(spans: DataFrame, with_services: bool) -> DataFrame:
     """One row per (trace, part, key), from one pass over the spans.
 
@@ -109,7 +115,7 @@ def _by_span_key(spans: DataFrame, with_services: bool) -> DataFrame:
     ]
     aggregates = [F.sum("spans").alias("spans"), F.min("candidate").alias("candidate")]
     if with_services:
-        sent.append(row("service", "ServiceName", none, _root_struct(), F.col("ResourceAttributes")))
+        sent.append(row("service", "ServiceName", none, _order_struct(), F.col("ResourceAttributes")))
         aggregates.append(F.min_by("resource", "candidate").alias("resource"))
     return (
         spans.filter(F.col("TraceId") != "")
