@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from telesift.llm import quality_rules, sharding
+from telesift.llm import quality_rules, sharding, token_output
+from telesift.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -111,3 +112,11 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
         "n_lines", "n_punctuation_lines", "n_navigation_lines", "n_boilerplate_lines",
     )
+
+
+@query("op5_token_output")
+def op5_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All texts written as binary ids in doc_id order, and what the files hold of each."""
+    folder = scratch_path(spark, "token-output")
+    token_output.write(table(spark, sf_dir, "documents"), folder, key="doc_id", text="text", end_id=1)
+    return token_output.read_digests(spark, folder).withColumnRenamed("key", "doc_id")
