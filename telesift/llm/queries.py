@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from telesift.llm import quality_rules, sharding, token_output
+from telesift.llm import packing, quality_rules, sharding, token_output
 from telesift.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -120,3 +120,9 @@ def op5_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_path(spark, "token-output")
     token_output.write(table(spark, sf_dir, "documents"), folder, key="doc_id", text="text", end_id=1)
     return token_output.read_digests(spark, folder).withColumnRenamed("key", "doc_id")
+
+
+@query("op8_packing")
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents' token pieces in sequences of 4096."""
+    return packing.pack(packing.token_pieces(table(spark, sf_dir, "documents"), end_id=1))
