@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from telesift.llm import packing, quality_rules, sharding, token_output
+from telesift.llm import packing, quality_classifier, quality_rules, sharding, token_output
 from telesift.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -126,3 +126,17 @@ def op5_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents' token pieces in sequences of 4096."""
     return packing.pack(packing.token_pieces(table(spark, sf_dir, "documents"), end_id=1))
+
+
+def _folded(spark: SparkSession, sf_dir: str, held_out: int) -> tuple[DataFrame, DataFrame]:
+    """Documents with `held_out`, and the labels of the others."""
+    fold = quality_classifier.in_fold(F.col("doc_id"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", (fold == held_out).alias("held_out"))
+    return docs, table(spark, sf_dir, "labels").filter(fold != held_out)
+
+
+@query("op6_quality_classifier")
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A quality score for every document, learned from labels outside the held-out fifth."""
+    docs, labels = _folded(spark, sf_dir, 0)
+    return quality_classifier.classify(docs, labels, carry=("held_out",))

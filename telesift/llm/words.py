@@ -60,17 +60,25 @@ class Words:
         return mix((total[self.end] - total[self.start]) * back[self.start] + (self.end - self.start).astype(np.uint64))
 
 
-def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Lower-cased bytes of a string column, and offsets of its rows in them."""
+def raw_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes of a string column, and offsets of its rows in them."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     if column.null_count:
         column = column.fill_null("")
     column = column.cast(pa.large_string())
+    if not len(column):
+        return np.zeros(0, np.uint8), np.zeros(1, np.int64)
     offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
     raw = column.buffers()[2]
     data = np.frombuffer(raw, np.uint8)[offsets[0] : offsets[-1]] if raw is not None else np.zeros(0, np.uint8)
-    return _LOWER[data], offsets - offsets[0]
+    return data, offsets - offsets[0]
+
+
+def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Lower-cased bytes of a string column, and offsets of its rows in them."""
+    data, offsets = raw_bytes(column)
+    return _LOWER[data], offsets
 
 
 def find_words(column: pa.Array) -> Words:
