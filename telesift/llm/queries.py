@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from telesift.llm import packing, quality_classifier, quality_rules, sharding, token_output
+from telesift.llm import packing, quality_classifier, quality_rules, sharding, token_output, toxicity
 from telesift.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -140,3 +140,10 @@ def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A quality score for every document, learned from labels outside the held-out fifth."""
     docs, labels = _folded(spark, sf_dir, 0)
     return quality_classifier.classify(docs, labels, carry=("held_out",))
+
+
+@query("op3_toxicity")
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A toxicity score for every document, learned from labels outside the held-out fifth."""
+    docs, labels = _folded(spark, sf_dir, 0)
+    return toxicity.score(docs, labels, carry=("held_out",))

@@ -14,6 +14,8 @@ import pyarrow.compute as pc
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
+#: For words without the marks around them: all of ASCII but letters and digits.
+NOT_ALPHANUMERIC = np.array([b < 0x80 and not chr(b).isalnum() for b in range(256)])
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A") : ord("Z") + 1] += 32
 
@@ -81,10 +83,11 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return _LOWER[data], offsets
 
 
-def find_words(column: pa.Array) -> Words:
+def find_words(column: pa.Array, apart: np.ndarray = _SPACE) -> Words:
+    """Words of each row; `apart` says which bytes are between words."""
     data, offsets = text_bytes(column)
     n, rows = len(data), len(offsets) - 1
-    inside = ~_SPACE[data]
+    inside = ~apart[data]
     # A row's first byte starts a word, and its end ends one, whatever its neighbours hold.
     edge = np.zeros(n + 1, bool)
     edge[offsets] = True
