@@ -7,6 +7,7 @@ A null text has no words. All of it is array arithmetic over the batch's bytes,
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -47,10 +48,18 @@ class Words:
 
     def hashes(self) -> np.ndarray:
         """Equal for equal words whatever the batch; words that differ share one with a chance of about 2^-64."""
-        n = len(self.data)
-        if not len(self.start):
+        return self.span_hashes(self.start, self.end)
+
+    def span_hashes(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Hashes of any runs of bytes: differences of one running sum, cut loose of their place by an inverse power."""
+        if not len(start):
             return np.zeros(0, np.uint64)
-        # Sums over stretches short enough for the caches; a word is cut loose of its place by an inverse power.
+        total, back = self._sums
+        return mix((total[end] - total[start]) * back[start] + (end - start).astype(np.uint64))
+
+    @cached_property
+    def _sums(self) -> tuple[np.ndarray, np.ndarray]:
+        n = len(self.data)
         power = np.full(n, _BASE, np.uint64)
         power[0] = 1
         np.multiply.accumulate(power, out=power)
@@ -59,7 +68,7 @@ class Words:
         back = np.full(n, _INVERSE, np.uint64)
         back[0] = 1
         np.multiply.accumulate(back, out=back)
-        return mix((total[self.end] - total[self.start]) * back[self.start] + (self.end - self.start).astype(np.uint64))
+        return total, back
 
 
 def raw_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
