@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from telesift.llm import packing, quality_classifier, quality_rules, sharding, token_output, toxicity
+from telesift.llm import license_scan, packing, quality_classifier, quality_rules, sharding, token_output, toxicity
 from telesift.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -147,3 +147,63 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A toxicity score for every document, learned from labels outside the held-out fifth."""
     docs, labels = _folded(spark, sf_dir, 0)
     return toxicity.score(docs, labels, carry=("held_out",))
+
+
+_LICENSE_SQL = f"""
+WITH files AS (
+  SELECT row_number() OVER () AS rid, doc_id, source || '/' || lang || '/' || doc_id AS path, text FROM documents
+), template_words AS (
+  SELECT * FROM (VALUES {", ".join(f"('{a}', {b}, '{c}', {d})" for a, b, c, d in license_scan.template_words())}) AS t(name, template, word, n)
+), held AS (
+  SELECT DISTINCT rid, unnest(string_split_regex(lower(text), '{license_scan.NOT_WORD}')) AS word FROM files
+), idf AS (
+  SELECT word, ln(((SELECT count(*) FROM files) + 1) / (coalesce(n, 0) + 1)) + 1 AS idf
+  FROM (SELECT DISTINCT word FROM template_words) LEFT JOIN (SELECT word, count(*) AS n FROM held GROUP BY word) USING (word)
+), template_norm AS (
+  SELECT template, sqrt(sum(n * idf * n * idf)) AS norm FROM template_words JOIN idf USING (word) GROUP BY template
+), templates AS (
+  SELECT name, template, word, n * idf / norm AS x FROM template_words JOIN idf USING (word) JOIN template_norm USING (template)
+), segments AS (
+  SELECT rid, unnest(segs) AS segment, unnest(range(1, len(segs) + 1)) AS pos FROM (
+    SELECT rid, string_split_regex(regexp_replace(text, '([.!?])[ \\t]+', '\\1' || chr(10), 'g'), chr(10)) AS segs FROM files)
+), terms AS (
+  SELECT rid, pos, word, count(*) AS tf FROM (
+    SELECT rid, pos, unnest(string_split_regex(lower(segment), '{license_scan.NOT_WORD}')) AS word FROM segments)
+  WHERE word <> '' GROUP BY rid, pos, word
+), weighed AS (
+  SELECT rid, pos, word, tf, tf * coalesce(idf, (SELECT avg(idf) FROM idf)) AS weight FROM terms LEFT JOIN idf USING (word)
+), normed AS (
+  SELECT rid, pos, sqrt(sum(weight * weight)) AS norm, sum(tf) AS length FROM weighed GROUP BY rid, pos
+), cosines AS (
+  SELECT rid, pos, length, name, template, round(sum(weight / norm * x), 6) AS cosine
+  FROM weighed JOIN templates USING (word) JOIN normed USING (rid, pos) GROUP BY rid, pos, length, norm, name, template
+), best AS (
+  SELECT rid, pos, length, cosine, name FROM cosines WHERE cosine >= {license_scan.MIN_COSINE}
+  QUALIFY row_number() OVER (PARTITION BY rid, pos ORDER BY cosine DESC, name) = 1
+), noticed AS (
+  SELECT rid, first(name ORDER BY cosine DESC, pos) AS own_license, max(cosine) AS own_cosine, count(*) AS n_notices, sum(length) AS length
+  FROM best GROUP BY rid
+), own AS (
+  SELECT files.rid, doc_id, path, regexp_replace(path, '/?[^/]*$', '') AS dir, own_license, own_cosine,
+    coalesce(n_notices, 0) AS n_notices,
+    coalesce(length >= {license_scan.NOTICE_SHARE} * len(list_filter(string_split_regex(lower(text), '{license_scan.NOT_WORD}'), lambda w: w <> '')), false) AS is_license_file
+  FROM files LEFT JOIN noticed USING (rid)
+), given AS (
+  SELECT dir AS above, first(own_license ORDER BY own_cosine DESC, path) AS name FROM own WHERE is_license_file GROUP BY dir
+), nearest AS (
+  SELECT dir, first(above ORDER BY length(above) DESC) AS above, first(name ORDER BY length(above) DESC) AS name
+  FROM (SELECT DISTINCT dir FROM own) JOIN given ON dir = above OR starts_with(dir, above || '/') OR above = '' GROUP BY dir
+)
+SELECT doc_id, path, own_license, own_cosine, n_notices, is_license_file, coalesce(own_license, name) AS license,
+  CASE WHEN own_license IS NOT NULL THEN 'own' ELSE above END AS license_from
+FROM own LEFT JOIN nearest USING (dir)
+"""
+
+
+@query("op1_license_scan", _LICENSE_SQL)
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licences of all documents, each a file in a folder of its source and language."""
+    files = table(spark, sf_dir, "documents").select(
+        "doc_id", F.concat_ws("/", "source", "lang", F.col("doc_id").cast("string")).alias("path"), "text"
+    )
+    return license_scan.scan(files).drop("text")
