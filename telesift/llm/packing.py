@@ -220,7 +220,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, rounds: int = 240) -> Data
     keep = pieces.select(*[F.col(f"`{c}`") for c in pieces.columns if c.lower() not in (*ADDED, "__part", "__number")])
     schema = T.StructType([*keep.schema.fields, T.StructField("__part", T.IntegerType()), T.StructField("__number", T.LongType())])
     # Written once: numbers and counts must be of the same rows, even if executors are lost in between.
-    path = scratch_path(spark, "packing")
+    path, names = scratch_path(spark, "packing"), keep.columns
     keep.mapInArrow(_numbered(capacity), schema).write.parquet(path)
     stored = spark.read.schema(schema).parquet(path)
 
@@ -233,13 +233,13 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, rounds: int = 240) -> Data
 
     before = Window.partitionBy("length").orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = by_part.select("length", "__part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("__before"))
-    numbered = stored.join(offsets, ["length", "__part"]).select(*keep.columns, (F.col("__before") + F.col("__number")).alias("__number"))
+    numbered = stored.join(offsets, ["length", "__part"]).select(*[F.col(f"`{c}`") for c in names], (F.col("__before") + F.col("__number")).alias("__number"))
 
     def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             length, number = batch.column("length").to_numpy(), batch.column("__number").to_numpy()
             sequence, offset = runs.value.place(length, number)
-            kept = [batch.column(c) for c in keep.columns]
-            yield pa.RecordBatch.from_arrays([*kept, pa.array(sequence), pa.array(offset)], names=[*keep.columns, *ADDED])
+            kept = [batch.column(c) for c in names]
+            yield pa.RecordBatch.from_arrays([*kept, pa.array(sequence), pa.array(offset)], names=[*names, *ADDED])
 
     return numbered.mapInArrow(placed, T.StructType([*keep.schema.fields, *_PLACE.fields]))
