@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from telesift.llm import license_scan, packing, quality_classifier, quality_rules, sharding, token_output, toxicity
+from telesift.llm import decontamination, license_scan, packing, quality_classifier, quality_rules, sharding, token_output, toxicity
 from telesift.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -207,3 +207,9 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.concat_ws("/", "source", "lang", F.col("doc_id").cast("string")).alias("path"), "text"
     )
     return license_scan.scan(files).drop("text")
+
+
+@query("op2_decontamination")
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with each benchmark item found and verified in it."""
+    return decontamination.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

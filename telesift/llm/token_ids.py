@@ -2,20 +2,23 @@
 
 The tokenizer cuts its input at every white space before it looks at anything else: its normaliser turns runs of white
 space into a blank, composes and lower-cases character by character, and its pre-tokenizer drops blanks. So the ids of a
-text are the ids of its words one after the other, and a word's ids can be kept. Tests compare this with whole texts.
+text are the ids of its words one after the other, and a word's ids can be kept. In the same way letters and the ASCII marks
+behind them are apart. Pieces of ASCII alone need neither normaliser nor pre-tokenizer, only its merges; whether that
+holds is tried on a few words when a tokenizer is loaded. Tests compare all this with whole texts.
 """
 
 from __future__ import annotations
 
 import os
+import string
 from functools import lru_cache
-from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
 
 #: Words kept in one Python worker; beyond that it starts afresh, which costs time and changes nothing.
-KEPT_WORDS = 1_000_000
+KEPT_WORDS = 500_000
+_PROBES = ("Abc", "word", "STRENGTHS", "rereer", "thththonble", "...", "!!", "***", "),", "x")
 
 
 def vocabulary_path(name: str = "word_bpe_49k.json") -> str:
@@ -24,62 +27,55 @@ def vocabulary_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
-class WordEncoder:
-    """Encodes text columns with the tokenizer of a file."""
+class WordIds(dict):
+    """Word (UTF-8 bytes without ASCII white space) to its ids (little-endian unsigned 32-bit), learned when asked for."""
 
     def __init__(self, path: str):
+        super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
-        self._forget()
-
-    def _forget(self) -> None:
-        self._number: dict[bytes, int] = {}
-        self._ids = np.zeros(0, np.uint32)
-        self._ends = np.zeros(0, np.int64)
-
-    def _learn(self, words: list[bytes]) -> None:
-        ids, ends = [self._ids], [self._ends]
-        total = len(self._ids)
-        for a in range(0, len(words), 20_000):
-            texts = [word.decode() for word in words[a : a + 20_000]]
-            found = [x.ids for x in self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-            lengths = np.fromiter(map(len, found), np.int64, len(found))
-            ids.append(np.fromiter((i for x in found for i in x), np.uint32, int(lengths.sum())))
-            ends.append(total + np.cumsum(lengths))
-            total = int(ends[-1][-1])
-        self._number.update(zip(words, range(len(self._number), len(self._number) + len(words))))
-        self._ids, self._ends = np.concatenate(ids), np.concatenate(ends)
+        self._merges = self._tokenizer.model
+        self._pieces: dict[str, bytes] = {}
+        self._plain = all(self._merged(word) == self._whole(word) for word in _PROBES)
+
+    def _whole(self, text: str) -> bytes:
+        return np.array(self._tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def _merged(self, piece: str) -> bytes:
+        return np.array([token.id for token in self._merges.tokenize(piece.lower())], "<u4").tobytes()
+
+    def _piece(self, piece: str) -> bytes:
+        found = self._pieces.get(piece)
+        if found is None:
+            found = self._pieces[piece] = self._merged(piece) if piece.isascii() else self._whole(piece)
+        return found
+
+    def __missing__(self, word: bytes) -> bytes:
+        text = word.decode()
+        body = text.rstrip(string.punctuation)
+        if self._plain and (not body or body.isalpha()):
+            ids = (self._piece(body) if body else b"") + (self._piece(text[len(body) :]) if len(body) < len(text) else b"")
+        else:
+            ids = self._whole(text)
+        self[word] = ids
+        return ids
 
     def encode(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all rows as one run, `end_id` after each row's, and the number of each row's ids with that end.
 
         A null or empty text has its end only. Other white space than ASCII's stays inside a word, for the tokenizer to cut.
         """
-        split = [(text or b"").split() for text in texts.cast(pa.large_binary()).to_pylist()]
-        counts = np.fromiter(map(len, split), np.int64, len(split))
-        flat = list(chain.from_iterable(split))
-        if len(self._number) > KEPT_WORDS:
-            self._forget()
-        word = np.fromiter(map(self._number.get, flat, repeat(-1)), np.int64, len(flat))
-        missing = np.flatnonzero(word < 0)
-        if len(missing):
-            self._learn(sorted({flat[i] for i in missing}))
-            word[missing] = np.fromiter((self._number[flat[i]] for i in missing), np.int64, len(missing))
-        # The end is kept as one more word behind the learned ones.
-        ids = np.append(self._ids, np.uint32(end_id))
-        ends = np.append(self._ends, len(ids))
-        starts = np.concatenate([[0], self._ends[:-1], [len(ids) - 1]]) if len(self._ends) else np.zeros(1, np.int64)
-        word = np.insert(word, np.cumsum(counts), len(ends) - 1)
-        first, length = starts[word], (ends - starts)[word]
-        upto = np.concatenate([[0], np.cumsum(length)])
-        take = np.arange(upto[-1]) + np.repeat(first - upto[:-1], length)
-        row_end = np.cumsum(counts + 1)
-        return ids[take], np.diff(upto[row_end], prepend=0)
+        if len(self) > KEPT_WORDS:
+            self.clear()
+            self._pieces.clear()
+        end, ids_of = np.array([end_id], "<u4").tobytes(), self.__getitem__
+        rows = [b"".join(map(ids_of, text.split())) + end if text else end for text in texts.cast(pa.large_binary()).to_pylist()]
+        return np.frombuffer(b"".join(rows), "<u4"), np.fromiter(map(len, rows), np.int64, len(rows)) // 4
 
 
 @lru_cache(maxsize=1)
-def encoder(path: str) -> WordEncoder:
+def encoder(path: str) -> WordIds:
     """The encoder of this Python worker, which keeps its words from task to task."""
-    return WordEncoder(path)
+    return WordIds(path)
