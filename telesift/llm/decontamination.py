@@ -4,8 +4,7 @@ Every training passage is a query. A passage is two neighbouring runs of `stride
 of up to `stride` words lies in one passage whole. BM25 scores are divided by the item's score of itself: 1 means that all
 of an item's words are there. All items of at least MIN_SCORE are retrieved, in three steps that lose none:
     the sum of its words' largest weights in any item must reach the bound (else the passage is done with);
-    so must, for a block of items, the sum of the words' largest weights in the block (words of most blocks count with
-    their overall largest); only blocks that qualify are opened;
+    so must, for a block of items, the sum of the words' largest weights in the block; only blocks that qualify are opened;
     their items are scored exactly.
 A retrieved item is verified if enough of its question's and enough of its answer's word triples stand in or near the
 passage. The answer is an item's last sentence, or the last quarter of its words if it has one sentence only.
@@ -40,9 +39,11 @@ MIN_SCORE = 0.6
 MIN_OVERLAP = 0.5
 MIN_STRIDE = 64
 K1, B = 1.2, 0.75
-BLOCK = 8
-#: A word in more of the blocks than this share isn't looked up block by block.
+BLOCK = 4
+#: Words in more of the blocks than this share have a dense row of block maxima.
 COMMON = 0.25
+#: Bounds of passages and blocks worked out at once.
+BOUNDS = 1 << 21
 ITEM_BYTES = 16 << 20
 
 MATCHES = record(doc_id="long", item_id="long", score="double", question_overlap="double", answer_overlap="double", first_word="long", last_word="long")
@@ -79,9 +80,11 @@ class Items:
     answer: list[np.ndarray]
     stride: int
     vocabulary: np.ndarray
-    #: By term: its largest weight, and whether it is common.
+    #: By term: its largest weight, and its row in `common_max` if it is common, else -1.
     most: np.ndarray
     common: np.ndarray
+    #: Largest weights of common terms in each block.
+    common_max: np.ndarray
     #: Postings by (term, block), and in these by item.
     term_first: np.ndarray
     post_block: np.ndarray
@@ -110,11 +113,15 @@ class Items:
         most, block_most = np.zeros(len(vocabulary)), np.maximum.reduceat(weight, first)
         np.maximum.at(most, term, weight)
         in_blocks = np.bincount(keys // blocks, minlength=len(vocabulary))
+        is_common = in_blocks > max(1, COMMON * blocks)
+        common_max = np.zeros((int(is_common.sum()), blocks), np.float32)
+        there = is_common[keys // blocks]
+        common_max[(np.cumsum(is_common) - 1)[keys[there] // blocks], keys[there] % blocks] = block_most[there]
         parts = [_parts(t or "") for _, t in rows]
         hashed = [[find_words(pa.array([p[k]], pa.string()), NOT_ALPHANUMERIC).hashes() for p in parts] for k in (0, 1)]
         return Items(
             np.array([i for i, _ in rows], np.int64), *hashed, max(MIN_STRIDE, int(lengths.max())), vocabulary, most,
-            in_blocks > max(1, COMMON * blocks), np.searchsorted(keys // blocks, np.arange(len(vocabulary) + 1)),
+            np.where(is_common, np.cumsum(is_common) - 1, -1), common_max, np.searchsorted(keys // blocks, np.arange(len(vocabulary) + 1)),
             keys % blocks, block_most, np.append(first, len(key)), item, weight, blocks,
         )
 
@@ -152,21 +159,25 @@ def _retrieve(items: Items, bound: float, row: np.ndarray, place: np.ndarray, te
     if not len(passage):
         return none
     names, at = np.unique(passage, return_inverse=True)
-    common = items.common[term]
-    always = np.bincount(at[common], items.most[term[common]], len(names))
-    rare = np.flatnonzero(~common)
-    posts, of = _spread(items.term_first[term[rare]], items.term_first[term[rare] + 1])
-    key, sum_of = np.unique(at[rare[of]] * np.int64(items.blocks) + items.post_block[posts], return_inverse=True)
-    bounds = np.bincount(sum_of, items.post_max[posts], len(key)) + always[key // items.blocks]
-    opened = key[bounds >= bound - 1e-9]
-    # Common words alone may reach the bound for blocks in which no rare word stands.
-    alone = np.flatnonzero(always >= bound - 1e-9)
-    if len(alone):
-        opened = np.union1d(opened, (alone[:, None] * items.blocks + np.arange(items.blocks)).ravel())
+    begins = np.searchsorted(at, np.arange(len(names) + 1))
+    # Bounds of all blocks for some passages at a time: common words by a matrix product, others along their postings.
+    step, opened = max(1, BOUNDS // items.blocks), []
+    for a in range(0, len(names), step):
+        b = min(len(names), a + step)
+        some = slice(begins[a], begins[b])
+        column = items.common[term[some]]
+        is_common = column >= 0
+        has = np.zeros((b - a, len(items.common_max)), np.float32)
+        has[at[some][is_common] - a, column[is_common]] = 1
+        bounds = (has @ items.common_max).astype(np.float64).ravel()
+        rare = np.flatnonzero(~is_common)
+        posts, of = _spread(items.term_first[term[some][rare]], items.term_first[term[some][rare] + 1])
+        bounds += np.bincount((at[some][rare[of]] - a) * items.blocks + items.post_block[posts], items.post_max[posts], len(bounds))
+        opened.append(np.flatnonzero(bounds >= bound - 1e-4) + a * items.blocks)
+    opened = np.concatenate(opened)
     if not len(opened):
         return none
     # Exact scores in the opened blocks: all words of their passages, the postings of these in the block.
-    begins = np.searchsorted(at, np.arange(len(names) + 1))
     words, of = _spread(begins[opened // items.blocks], begins[opened // items.blocks + 1])
     block = opened[of] % items.blocks
     lookup = np.repeat(np.arange(terms), np.diff(items.term_first)) * np.int64(items.blocks) + items.post_block
