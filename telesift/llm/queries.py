@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from telesift.llm import decontamination, license_scan, packing, quality_classifier, quality_rules, sharding, token_output, toxicity
+from telesift.llm import decontamination, license_scan, ngram_join, packing, quality_classifier, quality_rules, sharding, token_output, toxicity
 from telesift.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -213,3 +213,9 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with each benchmark item found and verified in it."""
     return decontamination.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op9_ngram_join")
+def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the smallest doc_id that links of 75 % or more lead to."""
+    return ngram_join.link(table(spark, sf_dir, "documents"))
