@@ -106,16 +106,9 @@ def in_fold(key: Column, folds: int = 5) -> Column:
     return F.crc32(F.coalesce(key.cast("string"), F.lit("")).cast("binary")) % folds
 
 
-def classify(
-    docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality",
-    carry: tuple[str, ...] = (), threshold: float = THRESHOLD, max_rows: int = MAX_ROWS, settings: gam.Settings = gam.Settings(),
-) -> DataFrame:
-    """Of each document: its key, the columns to carry, `score` (probability of label 1) and `predicted`.
-
-    `labels` (key, label) are all that may be learned from: leave held-out rows out of them.
-    """
+def _learned(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str, max_rows: int, settings: gam.Settings, keep: list[str]):
+    """(the model; keys and columns to keep with the features of each document, as written)."""
     spark = docs.sparkSession
-    keep = [key, *[c for c in carry if c != key and c.lower() not in ("score", "predicted")]]
     picked = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text}`").cast("string").alias("__text"))
     schema = T.StructType([*picked.schema.fields[:-1], T.StructField("__features", T.ArrayType(T.DoubleType()))])
     path = scratch_path(spark, "features")
@@ -125,17 +118,42 @@ def classify(
     known = labels.select(F.col(f"`{key}`").alias("__key"), F.col(f"`{label}`").cast("int").alias("__label")).filter("__label IN (0, 1) AND __key IS NOT NULL")
     known = known.groupBy("__key").agg(F.max("__label").alias("__label"))
     taught = stored.join(known, F.col(f"`{key}`") == F.col("__key")).select("__key", "__features", "__label")
-    rows = taught.orderBy(F.xxhash64("__key"), "__key").limit(max_rows).collect()
+    rows = taught.orderBy(F.xxhash64("__key"), "__key", "__features").limit(max_rows).collect()
     x = np.array([r["__features"] for r in rows]).reshape(-1, len(FEATURES))
-    model = gam.fit(x, np.array([r["__label"] for r in rows], np.float64), settings)
+    return gam.fit(x, np.array([r["__label"] for r in rows], np.float64), settings), stored
+
+
+def classify(
+    docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality",
+    carry: tuple[str, ...] = (), threshold: float = THRESHOLD, max_rows: int = MAX_ROWS, settings: gam.Settings = gam.Settings(),
+) -> DataFrame:
+    """Of each document: its key, the columns to carry, `score` (probability of label 1) and `predicted`.
+
+    `labels` (key, label) are all that may be learned from: leave held-out rows out of them.
+    """
+    keep = [key, *[c for c in carry if c != key and c.lower() not in ("score", "predicted")]]
+    model, stored = _learned(docs, labels, key, text, label, max_rows, settings, keep)
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            values = batch.column("__features")
-            x = values.flatten().to_numpy().reshape(-1, len(FEATURES))
-            score = model.score(x)
+            score = model.score(batch.column("__features").flatten().to_numpy().reshape(-1, len(FEATURES)))
             added = [pa.array(score), pa.array((score >= threshold).astype(np.int32))]
             yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in keep], *added], names=[*keep, "score", "predicted"])
 
-    out = T.StructType([*schema.fields[:-1], T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())])
+    out = T.StructType([*stored.schema.fields[:-1], T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())])
     return stored.mapInArrow(scored, out)
+
+
+def drop_rejected(
+    docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality",
+    threshold: float = THRESHOLD, max_rows: int = MAX_ROWS, settings: gam.Settings = gam.Settings(),
+) -> DataFrame:
+    """The documents of a score of at least `threshold`, in their own columns; rows pass by one by one, so no join is needed."""
+    model, _ = _learned(docs, labels, key, text, label, max_rows, settings, [key])
+
+    def good(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for some in slices(batch, text):
+                yield some.filter(pa.array(model.score(features(some.column(text))) >= threshold))
+
+    return docs.mapInArrow(good, docs.schema)
