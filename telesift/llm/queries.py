@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from telesift.llm import decontamination, license_scan, ngram_join, packing, quality_classifier, quality_rules, sharding, token_output, toxicity
+from telesift.llm import decontamination, license_scan, lm_scoring, ngram_join, packing, quality_classifier, quality_rules, sharding, token_output, toxicity
 from telesift.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -219,3 +219,11 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the smallest doc_id that links of 75 % or more lead to."""
     return ngram_join.link(table(spark, sf_dir, "documents"))
+
+
+@query("op4_lm_scoring")
+def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text's probability, learned from the texts outside the held-out fifth."""
+    fold = quality_classifier.in_fold(F.col("doc_id"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", (fold == 1).alias("held_out"))
+    return lm_scoring.score(docs, ~F.col("held_out"), carry=("doc_id", "held_out"))
