@@ -59,6 +59,12 @@ class Table:
         freq = freq.astype(np.uint64)
         return Table(ids, freq, np.cumsum(freq) - freq, bits)
 
+    def place_of(self) -> np.ndarray:
+        """For every id up to the largest its place in the table, or -1."""
+        out = np.full(int(self.ids.max()) + 1 if len(self.ids) else 0, -1, np.int32)
+        out[self.ids] = np.arange(len(self.ids), dtype=np.int32)
+        return out
+
     def places(self) -> np.ndarray:
         """For every slot the place of its id in the table."""
         return np.repeat(np.arange(len(self.ids), dtype=np.uint32), self.freq.astype(np.int64))
@@ -105,8 +111,8 @@ def _decode_segment(states: np.ndarray, words: np.ndarray, n: int, table: Table,
 
 def encode_block(ids: np.ndarray, lengths: np.ndarray, table: Table) -> bytes:
     """A block of documents with `lengths` ids each."""
-    places = np.searchsorted(table.ids, ids)
-    if len(ids) and (not len(table.ids) or (table.ids[np.minimum(places, len(table.ids) - 1)] != ids).any()):
+    place_of = table.place_of()
+    if len(ids) and (int(ids.max()) >= len(place_of) or (places := place_of[ids]).min() < 0):
         raise ValueError("an id is not in the frequency table")
     heads, bodies = [], []
     for a in range(0, len(ids), SEGMENT_IDS):
