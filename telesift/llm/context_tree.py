@@ -118,13 +118,26 @@ def settle(levels: dict[int, list[Level]], depths: range) -> None:
             level.rest = up.rest[at] * (1 - up.own[at])
 
 
+#: Final probabilities are kept as whole 1024ths of their log-odds: both bits' still add up to 1.
+_ODDS = 1024
+
+
 def finals(key: np.ndarray, levels: list[Level]) -> np.ndarray:
-    """For each gram the final probability of a 1 at the eight nodes it passes, were its context the longest seen."""
+    """For each gram the final log-odds of a 1 at the eight nodes it passes, were its context the longest seen."""
     byte, context = key & np.uint64(255), key >> np.uint64(8) << np.uint64(8)
-    out = np.empty((len(key), 8), np.float32)
+    out = np.empty((len(key), 8), np.int16)
     for j, level in enumerate(levels):
-        out[:, j] = level.final()[np.searchsorted(level.key, context | np.uint64(1 << j) | (byte >> np.uint64(8 - j)))]
-    return np.clip(out, 1e-9, 1 - 1e-7)
+        p = np.clip(level.final()[np.searchsorted(level.key, context | np.uint64(1 << j) | (byte >> np.uint64(8 - j)))], 1e-12, 1 - 1e-12)
+        out[:, j] = np.clip(np.round(np.log(p / (1 - p)) * _ODDS), -32767, 32767)
+    return out
+
+
+def log10_of_odds(odds: np.ndarray) -> np.ndarray:
+    """log10 probability of the bit that the log-odds speak for."""
+    return _LOG10[np.asarray(odds).astype(np.int32) + 32768]
+
+
+_LOG10 = (-np.logaddexp(0, -np.arange(-32768, 32768) / _ODDS) / np.log(10)).astype(np.float32)
 
 
 @dataclass(frozen=True)
@@ -142,14 +155,14 @@ class Model:
         key, final = self.grams[-1]
         total = np.zeros(len(key), np.float32)
         for j in range(8):
-            total += np.log10(np.where((key >> np.uint64(7 - j)) & np.uint64(1) == 1, final[:, j], 1 - final[:, j]))
+            total += log10_of_odds(np.where((key >> np.uint64(7 - j)) & np.uint64(1) == 1, final[:, j], -final[:, j]))
         return HashTable(key, total)
 
     def unseen(self, gram: np.ndarray) -> np.ndarray:
         """log10 probability of other grams: each bit by the longest context that was seen at its node, or one half."""
         total = np.zeros(len(gram))
         for j in range(8):
-            p, left = np.full(len(gram), 0.5), np.arange(len(gram))
+            odds, left = np.zeros(len(gram), np.int16), np.arange(len(gram))
             for depth in range(self.depth, -1, -1):
                 key, final = self.grams[depth]
                 if not len(key) or not len(left):
@@ -159,30 +172,33 @@ class Model:
                 want = (gram[left] & _mask(depth)) >> shift
                 at = np.minimum(np.searchsorted(key, want << shift), len(key) - 1)
                 hit = key[at] >> shift == want
-                p[left[hit]] = final[at[hit], j]
+                odds[left[hit]] = final[at[hit], j]
                 left = left[~hit]
-            total += np.log10(np.where((gram >> np.uint64(7 - j)) & np.uint64(1) == 1, p, 1 - p))
+            total += log10_of_odds(np.where((gram >> np.uint64(7 - j)) & np.uint64(1) == 1, odds, -odds))
         return total
 
 
 class HashTable:
-    """Values by 64-bit keys, looked up for whole arrays: open addressing, a step for all that are still looking."""
+    """Values by distinct 64-bit keys, looked up for whole arrays: open addressing, a step for all that are still looking."""
 
     _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 
     def __init__(self, keys: np.ndarray, values: np.ndarray):
-        bits = max(4, int(len(keys)).bit_length() + 1)
+        bits = max(4, int(len(keys) * 3 // 2).bit_length())
         self._shift, self._last = np.uint64(64 - bits), np.int64((1 << bits) - 1)
-        self._full = np.zeros(1 << bits, bool)
-        self._keys = np.zeros(1 << bits, np.uint64)
-        self._values = np.zeros(1 << bits, values.dtype)
-        at, left = self._home(keys), np.arange(len(keys))
+        # The place of a key, or -1.
+        self._slot = np.full(1 << bits, -1, np.int32)
+        self._keys = keys if len(keys) else np.zeros(1, np.uint64)
+        self._values = values if len(keys) else np.zeros(1, values.dtype)
+        left = np.arange(len(keys), dtype=np.int32)
+        at = self._home(keys)
         while len(left):
-            free = left[~self._full[at[left]]]
+            free = np.flatnonzero(self._slot[at] < 0)
             place, chosen = np.unique(at[free], return_index=True)
-            self._full[place], self._keys[place], self._values[place] = True, keys[free[chosen]], values[free[chosen]]
-            left = np.setdiff1d(left, free[chosen], assume_unique=True)
-            at[left] = (at[left] + 1) & self._last
+            self._slot[place] = left[free[chosen]]
+            stay = np.ones(len(left), bool)
+            stay[free[chosen]] = False
+            left, at = left[stay], (at[stay] + 1) & self._last
 
     def _home(self, keys: np.ndarray) -> np.ndarray:
         return ((keys * self._FACTOR) >> self._shift).astype(np.int64)
@@ -190,16 +206,17 @@ class HashTable:
     def look_up(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(value of each key, places of keys that aren't there)."""
         at = self._home(keys)
-        out = self._values[at]
-        left = np.flatnonzero(~(self._full[at] & (self._keys[at] == keys)))
-        missing = []
-        at = at[left]
+        slot = self._slot[at]
+        out = self._values[slot]
+        left = np.flatnonzero((slot < 0) | (self._keys[slot] != keys))
+        at, missing = at[left], []
         while len(left):
-            gone = ~self._full[at]
+            gone = self._slot[at] < 0
             missing.append(left[gone])
             left, at = left[~gone], (at[~gone] + 1) & self._last
-            hit = self._full[at] & (self._keys[at] == keys[left])
-            out[left[hit]] = self._values[at[hit]]
+            slot = self._slot[at]
+            hit = (slot >= 0) & (self._keys[slot] == keys[left])
+            out[left[hit]] = self._values[slot[hit]]
             left, at = left[~hit], at[~hit]
         return out, np.concatenate(missing) if missing else np.zeros(0, np.int64)
 

@@ -35,7 +35,9 @@ from telesift.session import scratch_path
 RUNS_IN_PASS = 3_000_000
 KNOWN_WORDS = 1 << 20
 #: Runs and words that a task holds before it hands them on.
-HELD = 1 << 21
+HELD = 1 << 20
+#: Bytes of text taken at once.
+SLICE = 1 << 20
 #: The end of a text, counted as a word. It is no hash of a word that could be told from any other.
 END_WORD = -0x0E2D
 RESULT = record(n_tokens="long", n_known="long", train_tokens="long", base_score="double", score="double", bits_per_byte="double")
@@ -43,6 +45,7 @@ RESULT = record(n_tokens="long", n_known="long", train_tokens="long", base_score
 _COUNTS = record(word="bool", key="long", n="long")
 _FAMILY = record(grams="binary", counts="binary", nodes="binary", weights="binary")
 _MODEL = record(depth="int", grams="binary", finals="binary")
+_MODEL_PART = record(grams="binary", finals="binary")
 _SCORED = record(__n="long", __known="long", __base="double", __score="double", __bytes="long", __rare="[long]", __times="[int]")
 
 
@@ -97,7 +100,7 @@ def _counted(depth: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, grams = _Held(), _Held()
         for batch in batches:
-            for some in slices(batch, "text"):
+            for some in slices(batch, "text", SLICE):
                 column = some.column("text")
                 grams.add(_runs(column, depth)[0].view(np.int64))
                 words.add(np.append(find_words(column).hashes().view(np.int64), np.full(len(column), END_WORD)))
@@ -192,16 +195,14 @@ def _learn(spark: SparkSession, grams: DataFrame, depth: int) -> tuple[DataFrame
 def _model_of_pass(stored: DataFrame, above: list, depth: int, k: int, passes: int) -> tree.Model:
     grams = list(above)
     for d in range(tree.TOP, depth + 1):
-        rows = stored.filter(F.col("depth") == d).select("grams", "finals").toArrow() if passes == 1 else stored.filter(F.col("depth") == d).select("grams", "finals").mapInArrow(_of_pass(k, passes), _MODEL_PART).toArrow()
-        key, final = _unpacked(rows, ("grams", np.uint64), ("finals", np.float32))
+        rows = stored.filter(F.col("depth") == d).select("grams", "finals").mapInArrow(_of_pass(k, passes), _MODEL_PART).toArrow()
+        key, final = _unpacked(rows, ("grams", np.uint64), ("finals", np.int16))
+        del rows
         order = np.argsort(key)
         grams.append((key[order], final.reshape(-1, 8)[order]))
     return tree.Model(grams)
 
 
-_MODEL_PART = record(grams="binary", finals="binary")
-
-
 def _pass_of(key: np.ndarray, passes: int) -> np.ndarray:
     family = (key >> np.uint64(8)) & np.uint64(0xFFFF)
     return (family * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(32)) % np.uint64(passes)
@@ -211,7 +212,7 @@ def _of_pass(k: int, passes: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for a, b in zip(batch.column("grams").to_pylist(), batch.column("finals").to_pylist()):
-                key, final = np.frombuffer(a, np.uint64), np.frombuffer(b, np.float32).reshape(-1, 8)
+                key, final = np.frombuffer(a, np.uint64), np.frombuffer(b, np.int16).reshape(-1, 8)
                 use = _pass_of(key, passes) == k
                 yield batch_of(_MODEL_PART, [[key[use].tobytes()], [final[use].tobytes()]])
 
@@ -225,7 +226,7 @@ def _scored(shared, depth: int, keep: list[str], k: int, passes: int):
         model, words, logs, floor, c_end = shared.value
         table, known = model.table(), tree.HashTable(words, np.arange(len(words), dtype=np.int32))
         for batch in batches:
-            for some in slices(batch, "__text"):
+            for some in slices(batch, "__text", SLICE):
                 column, rows = some.column("__text"), some.num_rows
                 runs, row = _runs(column, depth)
                 mine = np.flatnonzero(_pass_of(runs, passes) == k) if passes > 1 else slice(None)
