@@ -48,8 +48,10 @@ class Model:
 
 def _edges(x: np.ndarray, bins: int) -> np.ndarray:
     """Cuts between values, so that bins hold about equally many rows; equal values share a bin."""
+    if not len(x):
+        return np.zeros(0)
     cuts = np.unique(np.quantile(x, np.linspace(0, 1, bins + 1)[1:-1], method="higher"))
-    return cuts[cuts > x.min()] if len(x) else np.zeros(0)
+    return cuts[cuts > x.min()]
 
 
 def _split(g: np.ndarray, h: np.ndarray, s: Settings) -> tuple[float, int]:

@@ -2,8 +2,8 @@
 
 1. Every text becomes a set of 64-bit hashes of its shingles. Texts with the same words (A-Z as a-z) are one node, so that
    any number of copies is one node from here on. Eight smallest-hash values of each set are its sketch.
-2. Groups: nodes that share a sketch value are tried against the smallest node that has it, if the sketches agree enough;
-   links that hold make stars, and the stars' components are the groups. A family of thousands of near copies becomes one
+2. Groups: nodes that share enough sketch values with the smallest node that has them are tried against it; links that hold
+   make stars, and the stars' components are the groups. A family of thousands of near copies becomes one
    group, or few, at one comparison for each member and sketch value.
 3. Token-group matrix: with shingles in one global order, two linked sets share at least L of the first
    |set| - ceil(t |set|) + L shingles, where L is a twentieth of the smaller (and 1 more). The matrix has a row for each
@@ -41,7 +41,7 @@ from telesift.session import scratch_path
 SHINGLE = 5
 PERCENT = 75
 SKETCH = 8
-#: Sketch values that must agree before a pair is tried while groups are made.
+#: Sketch values that a node must share with the smallest node that has them, to be tried with it while groups are made.
 AGREE = 3
 #: Shingles looked at together for frequent ones, and how often one must come in such a chunk and in all of them.
 CHUNK = 1 << 22
@@ -53,6 +53,7 @@ FILTER_BITS = 1 << 27
 
 _SKETCHES = record(key="long", node="long", n="int", sketch="[long]", shingle="long", times="long")
 _PREFIXES = record(node="long", n="int", least="int", tokens="[long]", whole="[long]")
+_CELLS = record(token="long", node="long", least="int")
 _SETS = record(node="long", whole="[long]")
 
 
@@ -193,6 +194,20 @@ def _second_pass(shared, percent: int):
     return run
 
 
+def _cells(shared):
+    """(token, node, least) for the first shingles that the filter lets through."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            tokens = batch.column("tokens")
+            flat, per_row = tokens.flatten().to_numpy(), np.diff(tokens.offsets.to_numpy())
+            use = _in_filter(shared.value, flat.view(np.uint64))
+            row = np.repeat(np.arange(batch.num_rows), per_row)[use]
+            yield batch_of(_CELLS, [flat[use], batch.column("node").to_numpy()[row], batch.column("least").to_numpy()[row]])
+
+    return run
+
+
 def _whole_sets(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits, seen = shared.value, set()
@@ -239,12 +254,11 @@ def link(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int
     nodes = rows.filter("n > 0").groupBy("node").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.min("key").alias("key"))
     nodes = stored(nodes, "nodes")
 
-    # Groups: stars around the smallest node with a sketch value.
-    keyed = nodes.select("node", "n", "sketch", F.explode("sketch").alias("value"))
-    heads = keyed.groupBy("value").agg(F.min(F.struct("node", "n", "sketch")).alias("head"), F.count("*").alias("times")).filter("times > 1")
-    agree = F.size(F.filter(F.zip_with("sketch", "head.sketch", lambda p, q: p == q), lambda same: same))
-    tried = keyed.join(heads, "value").filter((F.col("node") != F.col("head.node")) & _near_size(F.col("n"), F.col("head.n"), percent) & (agree >= AGREE))
-    tried = stored(tried.select("node", F.col("head.node").alias("head")).distinct(), "tried")
+    # Groups: stars around the smallest nodes of sketch values.
+    keyed = nodes.select("node", F.explode(F.array_distinct("sketch")).alias("value"))
+    heads = keyed.groupBy("value").agg(F.min("node").alias("head"), F.count("*").alias("times")).filter("times > 1").select("value", "head")
+    agreed = keyed.join(heads, "value").filter("node <> head").groupBy("node", "head").agg(F.count("*").alias("agree"))
+    tried = stored(agreed.filter(F.col("agree") >= AGREE).select("node", "head"), "tried")
 
     counted = first.filter("shingle IS NOT NULL").groupBy("shingle").agg(F.sum("times").alias("times")).filter(F.col("times") >= FREQUENT)
     often = counted.orderBy(F.desc("times"), "shingle").limit(KNOWN_FREQUENT).toArrow()
@@ -261,14 +275,14 @@ def link(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int
     stars = stored(pairs.filter(_linked(F.col("x"), F.col("y"), percent)).select(F.col("node").alias("a"), F.col("head").alias("b")), "stars")
     groups = stored(components(stars), "groups")
 
-    # The matrix, and pairs of groups that share enough of its rows. Copies that several tasks saw fall together here.
-    grouped = second.select("node", "n", "least", "tokens").join(groups, "node", "left").select(
-        F.coalesce("label", "node").alias("grp"), "node", "n", "least", "tokens"
-    )
-    matrix = grouped.select(F.explode("tokens").alias("token"), "grp", "least")
-    split = matrix.groupBy("token").agg(F.min("grp").alias("lo"), F.max("grp").alias("hi")).filter("lo <> hi").select("token")
+    # Shingles that two nodes or more have among their first ones; no other can be in two groups' rows of the matrix.
+    matrix = second.select(F.explode("tokens").alias("token"), "node")
+    split = matrix.groupBy("token").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).filter("lo <> hi").select("token")
     split = stored(split, "split")
-    cells = matrix.join(split, "token").groupBy("token", "grp").agg(F.min("least").alias("least"))
+    bits = spark_context.broadcast(_wanted(spark, split.withColumnRenamed("token", "node")))
+    some = second.select("node", "least", "tokens").mapInArrow(_cells(bits), _CELLS).join(split, "token")
+    # The matrix itself. Copies that several tasks saw fall together here, and so do the members of a group.
+    cells = some.join(groups, "node", "left").groupBy("token", F.coalesce("label", "node").alias("grp")).agg(F.min("least").alias("least"))
     cells = stored(cells, "cells")
     other = cells.select("token", F.col("grp").alias("grp2"), F.col("least").alias("least2"))
     shared_rows = cells.join(other, "token").filter("grp < grp2").groupBy("grp", "grp2").agg(
