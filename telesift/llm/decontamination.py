@@ -75,7 +75,7 @@ def _parts(text: str) -> tuple[str, str]:
 
 @dataclass(frozen=True)
 class Items:
-    ids: np.ndarray
+    ids: list[int | None]
     question: list[np.ndarray]
     answer: list[np.ndarray]
     stride: int
@@ -120,7 +120,7 @@ class Items:
         parts = [_parts(t or "") for _, t in rows]
         hashed = [[find_words(pa.array([p[k]], pa.string()), NOT_ALPHANUMERIC).hashes() for p in parts] for k in (0, 1)]
         return Items(
-            np.array([i for i, _ in rows], np.int64), *hashed, max(MIN_STRIDE, int(lengths.max())), vocabulary, most,
+            [i for i, _ in rows], *hashed, max(MIN_STRIDE, int(lengths.max())), vocabulary, most,
             np.where(is_common, np.cumsum(is_common) - 1, -1), common_max, np.searchsorted(keys // blocks, np.arange(len(vocabulary) + 1)),
             keys % blocks, block_most, np.append(first, len(key)), item, weight, blocks,
         )
@@ -150,10 +150,11 @@ def _retrieve(items: Items, bound: float, row: np.ndarray, place: np.ndarray, te
     runs = int(run.max()) + 2
     total = np.bincount(run, items.most[term], runs)
     alive = total + np.append(total[1:], 0) >= bound - 1e-9
-    # A word serves the passage that begins with its run and the one that ends with it.
-    passage = np.concatenate([run, run - 1])
-    term = np.concatenate([term, term])
-    use = (passage >= 0) & alive[np.maximum(passage, 0)]
+    # A word serves the passage that begins with its run and, but for a row's first run, the one that ends with it.
+    later = run > base[np.searchsorted(base, run, "right") - 1]
+    passage = np.concatenate([run, run[later] - 1])
+    term = np.concatenate([term, term[later]])
+    use = alive[passage]
     pairs = np.unique(passage[use] * terms + term[use])
     passage, term = pairs // terms, pairs % terms
     if not len(passage):
@@ -243,7 +244,7 @@ def find(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "te
                 for some in slices(batch, "text"):
                     rows = _matches(shared.value, some.column("text"), min_score, min_overlap)
                     ids = some.column("id").to_pylist()
-                    named = [(ids[r], int(shared.value.ids[i]), *rest) for r, i, *rest in rows]
+                    named = [(ids[r], shared.value.ids[i], *rest) for r, i, *rest in rows]
                     yield batch_of(MATCHES, [list(c) for c in zip(*named)] if named else [[]] * len(MATCHES))
 
         out = out.union(picked.mapInArrow(run, MATCHES))
