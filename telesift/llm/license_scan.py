@@ -24,6 +24,8 @@ import uuid
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from telesift.session import scratch_path
+
 MIN_COSINE = 0.75
 NOTICE_SHARE = 0.5
 RESULT_COLUMNS = ("own_license", "own_cosine", "n_notices", "is_license_file", "license", "license_from")
@@ -89,10 +91,13 @@ def _needed(vectors: list[tuple[int, str, float]], bound: float) -> list[str]:
     return sorted(needed)
 
 
-def scan(files: DataFrame, path: str = "path", text: str = "text", min_cosine: float = MIN_COSINE) -> DataFrame:
-    """All rows with their own notice, and the licence that holds for them and where it comes from ('own' or a directory)."""
+def scan(files: DataFrame, path: str = "path", text: str = "text", carry: tuple[str, ...] | None = None, min_cosine: float = MIN_COSINE) -> DataFrame:
+    """All rows with their own notice, and the licence that holds for them and where it comes from ('own' or a directory).
+
+    `carry` names the columns that come back (all, if not given): rows are written once in between, with these.
+    """
     spark = files.sparkSession
-    keep = [c for c in files.columns if c.lower() not in RESULT_COLUMNS]
+    keep = [c for c in (files.columns if carry is None else carry) if c.lower() not in RESULT_COLUMNS]
     vocabulary = sorted({row[2] for row in template_words()})
     known = F.array(*[F.lit(w) for w in vocabulary])
 
@@ -104,47 +109,53 @@ def scan(files: DataFrame, path: str = "path", text: str = "text", min_cosine: f
     needed = "(^|[^a-z0-9])(" + "|".join(_needed(vectors, min_cosine)) + ")($|[^a-z0-9])"
 
     rid = f"__rid_{uuid.uuid4().hex[:8]}"
-    picked = files.select(F.col(f"`{path}`").alias("__path"), F.col(f"`{text}`").alias("__text")).filter(F.lower("__text").rlike(needed))
-    # Texts that are alike give alike results: each is looked at once, whatever its path.
-    texts = picked.select("__text").distinct()
-    segments = texts.select("__text", F.size(_words(F.col("__text"))).alias("__n"), F.posexplode(F.split("__text", SEGMENT_END)).alias("at", "segment"))
-    segments = segments.filter(F.lower("segment").rlike(needed))
-    words = segments.select("__text", "__n", "at", F.explode(_words(F.col("segment"))).alias("word"))
+    # Texts that are alike give alike results: each is looked at once, under a digest, so that no text is shuffled.
+    whole_text = F.col(f"`{text}`")
+    has = F.lower(whole_text).rlike(needed)
+    numbered = F.transform(F.split(whole_text, SEGMENT_END), lambda part, i: F.struct(i.alias("at"), part.alias("segment")))
+    folder = scratch_path(spark, "licences")
+    files.select(
+        *[F.col(f"`{c}`") for c in keep], F.col(f"`{path}`").alias("__path"), F.when(has, F.sha2(whole_text, 256)).alias("__digest"),
+        F.when(has, F.size(_words(whole_text))).alias("__n"),
+        F.when(has, F.filter(numbered, lambda x: F.lower(x["segment"]).rlike(needed))).alias("__parts"),
+    ).write.parquet(folder)
+    stored = spark.read.parquet(folder)
+    texts = stored.filter("__digest IS NOT NULL").groupBy("__digest").agg(F.first("__n").alias("__n"), F.first("__parts").alias("parts"))
+    segments = texts.select("__digest", "__n", F.explode("parts").alias("part")).select("__digest", "__n", "part.at", "part.segment")
+    words = segments.select("__digest", "__n", "at", F.explode(_words(F.col("segment"))).alias("word"))
     weight_of = F.create_map(*[x for w in vocabulary for x in (F.lit(w), F.lit(idf[w]))])
-    terms = words.groupBy("__text", "__n", "at", "word").agg(F.count("*").alias("tf"))
+    terms = words.groupBy("__digest", "__n", "at", "word").agg(F.count("*").alias("tf"))
     terms = terms.withColumn("weight", F.col("tf") * F.coalesce(F.try_element_at(weight_of, F.col("word")), F.lit(other)))
-    whole = Window.partitionBy("__text", "at")
+    whole = Window.partitionBy("__digest", "at")
     terms = terms.withColumn("norm", F.sqrt(F.sum(F.col("weight") * F.col("weight")).over(whole)))
     terms = terms.withColumn("length", F.sum("tf").over(whole))
     table = spark.createDataFrame([(TEMPLATES[n][0], n, w, x) for n, w, x in vectors], "name string, template int, word string, x double")
-    cosines = terms.join(F.broadcast(table), "word").groupBy("__text", "__n", "at", "length", "name", "template").agg(
+    cosines = terms.join(F.broadcast(table), "word").groupBy("__digest", "__n", "at", "length", "name", "template").agg(
         F.sum(F.col("weight") / F.col("norm") * F.col("x")).alias("cosine")
     )
     # The greatest first; of equals the first name.
-    best = cosines.withColumn("cosine", F.round("cosine", 6)).filter(F.col("cosine") >= min_cosine).groupBy("__text", "__n", "at", "length").agg(
+    best = cosines.withColumn("cosine", F.round("cosine", 6)).filter(F.col("cosine") >= min_cosine).groupBy("__digest", "__n", "at", "length").agg(
         F.min(F.struct((-F.col("cosine")).alias("minus"), F.col("name"))).alias("best")
     )
-    noticed = best.groupBy("__text").agg(
+    noticed = best.groupBy("__digest").agg(
         F.min(F.struct(F.col("best.minus").alias("minus"), F.col("at"), F.col("best.name").alias("name"))).alias("first"),
         F.count("*").alias("notices"),
         (F.sum("length") / F.first("__n") >= NOTICE_SHARE).alias("mostly"),
-    ).select(F.col("__text").alias("__of"), "first", "notices", "mostly")
-
-    # Joined by a digest of the text, so that no text is shuffled for it.
-    digest = lambda c: F.sha2(c, 256)
-    noticed = noticed.select(digest(F.col("__of")).alias("__digest"), "first", "notices", "mostly")
-    marked = files.select(*[F.col(f"`{c}`") for c in keep], F.when(F.lower(f"`{text}`").rlike(needed), digest(F.col(f"`{text}`"))).alias("__digest"))
+    )
+    # Rows without a digest match nothing; names of their own keep them from meeting in one task.
+    none = F.concat(F.lit("none "), F.pmod(F.xxhash64("__path"), F.lit(1 << 16)).cast("string"))
+    marked = stored.withColumn("__digest", F.coalesce("__digest", none)).drop("__n", "__parts")
     own = marked.join(noticed, "__digest", "left").select(
-        *[F.col(f"`{c}`") for c in keep],
+        *[F.col(f"`{c}`") for c in keep], "__path",
         F.col("first.name").alias("own_license"),
         (-F.col("first.minus")).alias("own_cosine"),
         F.coalesce("notices", F.lit(0)).cast("long").alias("n_notices"),
-        F.coalesce(F.col("first").isNotNull() & (F.col("mostly") | F.coalesce(F.col(f"`{path}`").rlike(LICENSE_NAME), F.lit(False))), F.lit(False)).alias("is_license_file"),
-        F.regexp_replace(F.col(f"`{path}`"), "/?[^/]*$", "").alias("__dir"),
+        F.coalesce(F.col("first").isNotNull() & (F.col("mostly") | F.coalesce(F.col("__path").rlike(LICENSE_NAME), F.lit(False))), F.lit(False)).alias("is_license_file"),
+        F.regexp_replace("__path", "/?[^/]*$", "").alias("__dir"),
     )
     # What each directory has by its own licence files, and what each distinct directory gets from its nearest one.
     given = own.filter("is_license_file AND __dir IS NOT NULL").groupBy("__dir").agg(
-        F.min(F.struct((-F.col("own_cosine")).alias("minus"), F.col(f"`{path}`").alias("path"), F.col("own_license").alias("name"))).alias("given")
+        F.min(F.struct((-F.col("own_cosine")).alias("minus"), F.col("__path").alias("path"), F.col("own_license").alias("name"))).alias("given")
     ).select(F.col("__dir").alias("__above"), F.col("given.name").alias("name"))
     steps = F.split("__dir", "/")
     above = F.transform(F.sequence(F.lit(0), F.size(steps)), lambda n: F.array_join(F.slice(steps, 1, n), "/"))

@@ -29,7 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -50,9 +50,13 @@ CHUNK_TIMES, FREQUENT = 3, 8
 KNOWN_FREQUENT = 1 << 20
 #: Bits of the filter that says which sets are wanted; what it lets through too much is dropped by a join.
 FILTER_BITS = 1 << 27
+#: Bits of a shingle that say which bucket it is met in; 32 more are compared there.
+BUCKET_BITS = 14
 
 _SKETCHES = record(key="long", node="long", n="int", sketch="[long]", shingle="long", times="long")
 _PREFIXES = record(node="long", n="int", least="int", tokens="[long]", whole="[long]")
+_RUNS = record(bucket="int", low="binary")
+_SET_BITS = record(word="long", bit="long")
 _CELLS = record(token="long", node="long", least="int")
 _SETS = record(node="long", whole="[long]")
 
@@ -128,35 +132,101 @@ def _first_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield frequent()
 
 
-def _wanted(spark: SparkSession, nodes: DataFrame) -> np.ndarray:
-    """A bit for each of some hash values of the nodes (a column `node`): a fixed number of bits, made in the tasks."""
-
-    def bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            word = _filter_places(batch.column("node").to_numpy().view(np.uint64))
-            yield pa.RecordBatch.from_arrays([pa.array((word >> 6).astype(np.int64)), pa.array(np.left_shift(np.uint64(1), (word & 63).astype(np.uint64)).view(np.int64))], names=["word", "bit"])
-
-    words = nodes.select("node").mapInArrow(bits, record(word="long", bit="long")).groupBy("word").agg(F.bit_or("bit").alias("bits"))
+def _filled(words: DataFrame) -> np.ndarray:
+    """A filter of FILTER_BITS bits from rows of (word, bit)."""
     filled = np.zeros(FILTER_BITS // 64, np.int64)
-    got = words.toArrow()  # at most FILTER_BITS / 64 rows
+    got = words.groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()  # at most FILTER_BITS / 64 rows
     filled[got.column("word").to_numpy()] = got.column("bits").to_numpy()
     return filled.view(np.uint64)
 
 
-def _filter_places(node: np.ndarray) -> np.ndarray:
-    return (mix(node) & np.uint64(FILTER_BITS - 1)).astype(np.int64)
+def _bits_of(key: np.ndarray) -> pa.RecordBatch:
+    place = np.unique(_filter_places(key))
+    word, bit = place >> 6, np.left_shift(np.uint64(1), (place & 63).astype(np.uint64))
+    start = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1]])) if len(word) else np.zeros(0, np.int64)
+    bits = np.bitwise_or.reduceat(bit, start) if len(start) else bit
+    return batch_of(_SET_BITS, [word[start], bits.view(np.int64)])
+
 
+def _wanted(nodes: DataFrame) -> np.ndarray:
+    """A filter of the values of a column `node`."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield _bits_of(batch.column("node").to_numpy().view(np.uint64))
 
-def _in_filter(bits: np.ndarray, node: np.ndarray) -> np.ndarray:
-    at = _filter_places(node)
+    return _filled(nodes.select("node").mapInArrow(run, _SET_BITS))
+
+
+def _filter_places(key: np.ndarray) -> np.ndarray:
+    return (mix(key) & np.uint64(FILTER_BITS - 1)).astype(np.int64)
+
+
+def _in_filter(bits: np.ndarray, key: np.ndarray) -> np.ndarray:
+    at = _filter_places(key)
     return (bits[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1) == 1
 
 
+def _owned(node: np.ndarray, key: pa.Array) -> np.ndarray:
+    """One value for a node and a key, null included."""
+    low = key.fill_null(0).to_numpy().view(np.uint64)
+    missing = np.asarray(key.is_null().to_numpy(zero_copy_only=False)).astype(np.uint64)
+    return mix(node ^ mix(low * np.uint64(2) + missing + np.uint64(0x632BE59BD9B4E019)))
+
+
+def _owners(nodes: DataFrame) -> np.ndarray:
+    """A filter of (node, smallest key): copies of a text that pass it by need not be looked at again."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield _bits_of(_owned(batch.column("node").to_numpy().view(np.uint64), batch.column("key")))
+
+    return _filled(nodes.select("node", "key").mapInArrow(run, _SET_BITS))
+
+
+def _cut_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The top bits of all shingles of a task: a bucket, and in it 32 bits more."""
+    held, size = [], 0
+
+    def runs() -> pa.RecordBatch:
+        key = np.sort(np.concatenate(held) >> np.uint64(64 - 32 - BUCKET_BITS))
+        # Two of a kind say it all, however many sets of the task hold the shingle.
+        key = key[np.concatenate([np.ones(min(2, len(key)), bool), key[2:] != key[:-2]])]
+        bucket = (key >> np.uint64(32)).astype(np.int32)
+        start = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
+        low = key.astype(np.uint32)
+        offsets = np.append(start, len(key)).astype(np.int32) * 4
+        data = pa.BinaryArray.from_buffers(pa.binary(), len(start), [None, pa.py_buffer(offsets), pa.py_buffer(low)])
+        return batch_of(_RUNS, [bucket[start], data])
+
+    for batch in batches:
+        held.append(batch.column("tokens").flatten().to_numpy().view(np.uint64))
+        size += len(held[-1])
+        if size >= CHUNK:
+            yield runs()
+            held, size = [], 0
+    if size:
+        yield runs()
+
+
+def _met_twice(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Filter bits of the cut keys that come twice or more, with all runs of a bucket in one task."""
+    runs: dict[int, list[np.ndarray]] = {}
+    for batch in batches:
+        for bucket, data in zip(batch.column("bucket").to_pylist(), batch.column("low").to_pylist()):
+            runs.setdefault(bucket, []).append(np.frombuffer(data, np.uint32))
+    for bucket, parts in runs.items():
+        low = np.sort(np.concatenate(parts))
+        twice = np.unique(low[1:][low[1:] == low[:-1]]).astype(np.uint64)
+        if len(twice):
+            yield _bits_of((np.uint64(bucket) << np.uint64(32)) | twice)
+
+
 def _second_pass(shared, percent: int):
     """For each distinct text of a task: the shingles of its matrix rows, and the whole set where it is wanted."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        frequent, times, bits = shared.value
+        frequent, times, bits, owners = shared.value
         marks = np.zeros(1 << 22, bool)
         marks[frequent >> np.uint64(42)] = True
         seen: set[int] = set()
@@ -164,9 +234,10 @@ def _second_pass(shared, percent: int):
             for some in slices(batch, "text"):
                 node, sets = shingle_sets(some.column("text"))
                 wanted, rows = _in_filter(bits, node), []
+                owner = _in_filter(owners, _owned(node, some.column("key")))
                 for row, name in enumerate(node.tolist()):
                     x = sets[row]
-                    if not len(x) or name in seen:
+                    if not len(x) or not owner[row] or name in seen:
                         continue
                     seen.add(name)
                     n = len(x)
@@ -201,7 +272,7 @@ def _cells(shared):
         for batch in batches:
             tokens = batch.column("tokens")
             flat, per_row = tokens.flatten().to_numpy(), np.diff(tokens.offsets.to_numpy())
-            use = _in_filter(shared.value, flat.view(np.uint64))
+            use = _in_filter(shared.value, flat.view(np.uint64) >> np.uint64(64 - 32 - BUCKET_BITS))
             row = np.repeat(np.arange(batch.num_rows), per_row)[use]
             yield batch_of(_CELLS, [flat[use], batch.column("node").to_numpy()[row], batch.column("least").to_numpy()[row]])
 
@@ -265,8 +336,8 @@ def link(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int
     frequent = often.column("shingle").to_numpy().view(np.uint64)
     order = np.argsort(frequent)
     ends = tried.select("node").unionByName(tried.select(F.col("head").alias("node")))
-    known = (frequent[order], often.column("times").to_numpy()[order], _wanted(spark, ends))
-    shared = spark_context.broadcast(known)  # KNOWN_FREQUENT pairs and FILTER_BITS bits at most
+    known = (frequent[order], often.column("times").to_numpy()[order], _wanted(ends), _owners(nodes))
+    shared = spark_context.broadcast(known)  # KNOWN_FREQUENT pairs and twice FILTER_BITS bits at most
     second = stored(texts.mapInArrow(_second_pass(shared, percent), _PREFIXES), "prefixes")
 
     sets = second.filter("whole IS NOT NULL").select("node", "whole")
@@ -276,14 +347,16 @@ def link(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int
     groups = stored(components(stars), "groups")
 
     # Shingles that two nodes or more have among their first ones; no other can be in two groups' rows of the matrix.
-    matrix = second.select(F.explode("tokens").alias("token"), "node")
-    split = matrix.groupBy("token").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).filter("lo <> hi").select("token")
-    split = stored(split, "split")
-    bits = spark_context.broadcast(_wanted(spark, split.withColumnRenamed("token", "node")))
-    some = second.select("node", "least", "tokens").mapInArrow(_cells(bits), _CELLS).join(split, "token")
+    # They meet as sorted runs of cut keys, four bytes a shingle; what the cut confuses, the exact keys below part again.
+    packed = second.select("tokens").mapInArrow(_cut_keys, _RUNS)
+    met = packed.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "bucket").mapInArrow(_met_twice, _SET_BITS)
+    bits = spark_context.broadcast(_filled(met))
+    some = second.select("node", "least", "tokens").mapInArrow(_cells(bits), _CELLS)
     # The matrix itself. Copies that several tasks saw fall together here, and so do the members of a group.
     cells = some.join(groups, "node", "left").groupBy("token", F.coalesce("label", "node").alias("grp")).agg(F.min("least").alias("least"))
     cells = stored(cells, "cells")
+    split = cells.groupBy("token").agg(F.count("*").alias("times")).filter("times > 1").select("token")
+    cells = cells.join(split, "token")
     other = cells.select("token", F.col("grp").alias("grp2"), F.col("least").alias("least2"))
     shared_rows = cells.join(other, "token").filter("grp < grp2").groupBy("grp", "grp2").agg(
         F.count("*").alias("n"), F.min(F.least("least", "least2")).alias("least")
@@ -306,12 +379,12 @@ def link(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int
     )
 
 
-def _open(spark, texts, nodes, groups, candidates, percent, stored) -> DataFrame:
+def _open(spark, texts: DataFrame, nodes: DataFrame, groups: DataFrame, candidates: DataFrame, percent: int, stored) -> DataFrame:
     """Links (a, b) between members of candidate groups."""
     members = nodes.select("node", "n").join(groups, "node", "left").select("node", "n", F.coalesce("label", "node").alias("grp"))
     chosen = candidates.select("grp").unionByName(candidates.select(F.col("grp2").alias("grp"))).distinct()
     members = stored(members.join(chosen, "grp"), "members")
-    bits = spark.sparkContext.broadcast(_wanted(spark, members))
+    bits = spark.sparkContext.broadcast(_wanted(members))
     sets = stored(texts.mapInArrow(_whole_sets(bits), _SETS).join(members, "node").dropDuplicates(["node"]), "sets")
     sizes = members.groupBy("grp").agg(F.count("*").alias("members"))
     sized = candidates.join(sizes, "grp").join(sizes.select(F.col("grp").alias("grp2"), F.col("members").alias("members2")), "grp2")

@@ -206,7 +206,7 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = table(spark, sf_dir, "documents").select(
         "doc_id", F.concat_ws("/", "source", "lang", F.col("doc_id").cast("string")).alias("path"), "text"
     )
-    return license_scan.scan(files).drop("text")
+    return license_scan.scan(files, carry=("doc_id", "path"))
 
 
 @query("op2_decontamination")
