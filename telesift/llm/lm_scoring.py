@@ -33,9 +33,9 @@ from telesift.llm.words import find_words, slices
 from telesift.session import scratch_path
 
 RUNS_IN_PASS = 3_000_000
-KNOWN_WORDS = 1 << 20
+KNOWN_WORDS = 1 << 19
 #: Runs and words that a task holds before it hands them on.
-HELD = 1 << 20
+HELD = 1 << 19
 #: Bytes of text taken at once.
 SLICE = 1 << 20
 #: The end of a text, counted as a word. It is no hash of a word that could be told from any other.
