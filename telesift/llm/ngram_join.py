@@ -52,13 +52,15 @@ KNOWN_FREQUENT = 1 << 20
 FILTER_BITS = 1 << 27
 #: Bits of a shingle that say which bucket it is met in; 32 more are compared there.
 BUCKET_BITS = 14
+#: Bits of a shingle that a group's union keeps; so no union has more than 2^SHORT_BITS entries.
+SHORT_BITS = 16
 
 _SKETCHES = record(key="long", node="long", n="int", sketch="[long]", shingle="long", times="long")
 _PREFIXES = record(node="long", n="int", least="int", tokens="[long]", whole="[long]")
 _RUNS = record(bucket="int", low="binary")
 _SET_BITS = record(word="long", bit="long")
 _CELLS = record(token="long", node="long", least="int")
-_SETS = record(node="long", whole="[long]")
+_SETS = record(node="long", n="int", short="[int]", whole="[long]")
 
 
 def _constant(n: int) -> np.ndarray:
@@ -280,17 +282,20 @@ def _cells(shared):
 
 
 def _whole_sets(shared):
+    """The sets that the filter asks for, whole and cut to SHORT_BITS a shingle."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits, seen = shared.value, set()
+        (bits, owners), seen = shared.value, set()
         for batch in batches:
             for some in slices(batch, "text"):
                 node, sets = shingle_sets(some.column("text"))
                 rows = []
-                for row in np.flatnonzero(_in_filter(bits, node)).tolist():
-                    name = int(node[row])
-                    if len(sets[row]) and name not in seen:
+                for row in np.flatnonzero(_in_filter(bits, node) & _in_filter(owners, _owned(node, some.column("key")))).tolist():
+                    name, x = int(node[row]), sets[row]
+                    if len(x) and name not in seen:
                         seen.add(name)
-                        rows.append((node[row].view(np.int64), sets[row].view(np.int64)))
+                        short = np.unique(x >> np.uint64(64 - SHORT_BITS)).astype(np.int32)
+                        rows.append((node[row].view(np.int64), len(x), short, x.view(np.int64)))
                 if len(seen) > 1_000_000:
                     seen.clear()
                 if rows:
@@ -299,6 +304,16 @@ def _whole_sets(shared):
     return run
 
 
+def _only(shared):
+    """Rows whose node the filter lets through."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(_in_filter(shared.value, batch.column("node").to_numpy().view(np.uint64))))
+
+    return run
+
+
 def _linked(x, y, percent: int):
     """Whether two arrays of distinct shingles are as similar as asked."""
     shared = F.size(F.array_intersect(x, y))
@@ -381,24 +396,42 @@ def link(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int
 
 def _open(spark, texts: DataFrame, nodes: DataFrame, groups: DataFrame, candidates: DataFrame, percent: int, stored) -> DataFrame:
     """Links (a, b) between members of candidate groups."""
+    broadcast = spark.sparkContext.broadcast
     members = nodes.select("node", "n").join(groups, "node", "left").select("node", "n", F.coalesce("label", "node").alias("grp"))
     chosen = candidates.select("grp").unionByName(candidates.select(F.col("grp2").alias("grp"))).distinct()
     members = stored(members.join(chosen, "grp"), "members")
-    bits = spark.sparkContext.broadcast(_wanted(members))
-    sets = stored(texts.mapInArrow(_whole_sets(bits), _SETS).join(members, "node").dropDuplicates(["node"]), "sets")
-    sizes = members.groupBy("grp").agg(F.count("*").alias("members"))
-    sized = candidates.join(sizes, "grp").join(sizes.select(F.col("grp").alias("grp2"), F.col("members").alias("members2")), "grp2")
+    sizes = members.groupBy("grp").agg(F.count("*").alias("members"), F.min("n").alias("least_n"), F.max("n").alias("most_n"))
+    other = sizes.select(*[F.col(c).alias(f"{c}2") for c in sizes.columns])
+    sized = candidates.join(sizes, "grp").join(other, "grp2")
+    # No member of one can be near in size to one of the other if not even the ranges come near.
+    apart = (F.col("most_n") * 100 < percent * F.col("least_n2")) | (F.col("most_n2") * 100 < percent * F.col("least_n"))
     fewer = F.col("members") <= F.col("members2")
-    asked = sized.select(F.when(fewer, F.col("grp")).otherwise(F.col("grp2")).alias("grp"), F.when(fewer, F.col("grp2")).otherwise(F.col("grp")).alias("other"))
-    # Overlap of each query with the union of the other group's shingles.
-    union = sets.select("grp", F.explode("whole").alias("token")).distinct()
-    queries = asked.join(sets, "grp").select("node", "n", "other", F.explode("whole").alias("token"))
-    bound = queries.join(union.withColumnRenamed("grp", "other"), ["other", "token"]).groupBy("node", "n", "other").agg(F.count("*").alias("overlap"))
-    opened = bound.filter(F.col("overlap") * 100 >= percent * F.col("n")).select("node", "other")
-    opened = opened.join(sets.select("node", "n", F.col("whole").alias("x")), "node")
-    inside = sets.select(F.col("grp").alias("other"), F.col("node").alias("b"), F.col("n").alias("m"), F.col("whole").alias("y"))
-    pairs = opened.join(inside, "other").filter(_near_size(F.col("n"), F.col("m"), percent)).filter(_linked(F.col("x"), F.col("y"), percent))
-    return stored(pairs.select(F.col("node").alias("a"), "b"), "links")
+    asked = sized.filter(~apart).select(
+        F.when(fewer, F.col("grp")).otherwise(F.col("grp2")).alias("grp"), F.when(fewer, F.col("grp2")).otherwise(F.col("grp")).alias("other")
+    )
+    asked = stored(asked, "asked")
+    sides = members.join(asked.select("grp").unionByName(asked.select(F.col("other").alias("grp"))).distinct(), "grp")
+    owners = _owners(nodes)
+    sets = stored(texts.mapInArrow(_whole_sets(broadcast((_wanted(sides), owners))), _SETS), "sets")
+
+    # Overlap of each query with the union of the other group's shingles, both cut short: what the cut confuses adds to it.
+    short = sets.select("node", "short").join(members, "node").dropDuplicates(["node"])
+    alone = sizes.filter("members = 1").select("grp")
+    one = short.join(alone, "grp").select(F.col("grp").alias("other"), F.col("short").alias("union"))
+    many = short.join(sizes.filter("members > 1").select("grp"), "grp").select(F.col("grp").alias("other"), F.explode("short").alias("t"))
+    many = many.distinct().groupBy("other").agg(F.collect_set("t").alias("union"))  # at most 2^SHORT_BITS
+    bound = asked.join(short, "grp").join(one.unionByName(many), "other")
+    overlap = F.size(F.array_intersect("short", "union")) + F.col("n") - F.size("short")
+    opened = stored(bound.filter(overlap * 100 >= percent * F.col("n")).select("node", "n", "other"), "opened")
+
+    # Each query against the members of the groups opened for it, exactly.
+    inside = members.select(F.col("grp").alias("other"), F.col("node").alias("b"), F.col("n").alias("m"))
+    pairs = stored(opened.join(inside, "other").filter(_near_size(F.col("n"), F.col("m"), percent)).select("node", "b"), "pairs")
+    bits = _wanted(pairs.select("node").unionByName(pairs.select(F.col("b").alias("node"))))
+    whole = sets.select("node", "whole").mapInArrow(_only(broadcast(bits)), record(node="long", whole="[long]")).dropDuplicates(["node"])
+    compared = pairs.join(whole.withColumnRenamed("whole", "x"), "node")
+    compared = compared.join(whole.select(F.col("node").alias("b"), F.col("whole").alias("y")), "b")
+    return stored(compared.filter(_linked(F.col("x"), F.col("y"), percent)).select(F.col("node").alias("a"), "b"), "links")
 
 
 def keep_one(docs: DataFrame, text: str = "text", percent: int = PERCENT) -> DataFrame:
