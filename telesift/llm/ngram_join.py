@@ -2,14 +2,15 @@
 
 1. Every text becomes a set of 64-bit hashes of its shingles. Texts with the same words (A-Z as a-z) are one node, so that
    any number of copies is one node from here on. Eight smallest-hash values of each set are its sketch.
-2. Groups: nodes that share enough sketch values with the smallest node that has them are tried against it; links that hold
-   make stars, and the stars' components are the groups. A family of thousands of near copies becomes one
+2. Groups: for every sketch value the most central node that has it (whose values are shared most) is its head; nodes that
+   share enough values with a head are tried against it. Links that hold make stars, whose components are the groups. A family of thousands of near copies becomes one
    group, or few, at one comparison for each member and sketch value.
-3. Token-group matrix: with shingles in one global order, two linked sets share at least L of the first
-   |set| - ceil(t |set|) + L shingles, where L is a twentieth of the smaller (and 1 more). The matrix has a row for each
-   shingle that is among these first ones of some member of a group, with the group: the union of its members' shingles.
-   Shingles that many sets hold come last in the order, so that shared passages hardly enter it.
-4. Two groups that share at least L matrix shingles are a candidate pair: each member of the smaller group is a query. Its
+3. Token-group matrix: with shingles in one global order, a set and one it is linked with, at least as large, share at least
+   L of the smaller one's first |set| - ceil(2t / (1 + t) |set|) + L and the larger one's first |set| - ceil(t |set|) + L
+   shingles; L is a fiftieth of the smaller, and 1 more. The matrix has a row for each shingle that is among these of some
+   member of a group, with the group: the union of its members' shingles. Shingles that many sets hold come last in the
+   order, so that shared passages hardly enter it.
+4. Two groups that share at least L such matrix shingles are a candidate pair: each member of the smaller group is a query. Its
    overlap with the union of all shingles of the other group bounds its overlap with any member; only where the bound
    reaches the threshold the group is opened and the query compared with its members exactly.
 5. Components of all links. Links inside a group change nothing, and every link between groups is found in step 4.
@@ -41,7 +42,7 @@ from telesift.session import scratch_path
 SHINGLE = 5
 PERCENT = 75
 SKETCH = 8
-#: Sketch values that a node must share with the smallest node that has them, to be tried with it while groups are made.
+#: Sketch values that a node must share with a head, to be tried with it while groups are made.
 AGREE = 3
 #: Shingles looked at together for frequent ones, and how often one must come in such a chunk and in all of them.
 CHUNK = 1 << 22
@@ -50,16 +51,16 @@ CHUNK_TIMES, FREQUENT = 3, 8
 KNOWN_FREQUENT = 1 << 20
 #: Bits of the filter that says which sets are wanted; what it lets through too much is dropped by a join.
 FILTER_BITS = 1 << 27
-#: Bits of a shingle that say which bucket it is met in; 32 more are compared there.
+#: Bits of a shingle that say which bucket it is met in; 31 more are compared there.
 BUCKET_BITS = 14
 #: Bits of a shingle that a group's union keeps; so no union has more than 2^SHORT_BITS entries.
 SHORT_BITS = 16
 
 _SKETCHES = record(key="long", node="long", n="int", sketch="[long]", shingle="long", times="long")
-_PREFIXES = record(node="long", n="int", least="int", tokens="[long]", whole="[long]")
+_PREFIXES = record(node="long", n="int", least="int", inner="int", tokens="[long]", whole="[long]")
 _RUNS = record(bucket="int", low="binary")
 _SET_BITS = record(word="long", bit="long")
-_CELLS = record(token="long", node="long", least="int")
+_CELLS = record(token="long", node="long", n="int", least="int", inner="bool")
 _SETS = record(node="long", n="int", short="[int]", whole="[long]")
 
 
@@ -187,11 +188,11 @@ def _owners(nodes: DataFrame) -> np.ndarray:
 
 
 def _cut_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The top bits of all shingles of a task: a bucket, and in it 32 bits more."""
+    """The top bits of all shingles of a task: a bucket, in it 31 bits more, and whether a set needs it as the smaller of two."""
     held, size = [], 0
 
     def runs() -> pa.RecordBatch:
-        key = np.sort(np.concatenate(held) >> np.uint64(64 - 32 - BUCKET_BITS))
+        key = np.sort(np.concatenate(held))
         # Two of a kind say it all, however many sets of the task hold the shingle.
         key = key[np.concatenate([np.ones(min(2, len(key)), bool), key[2:] != key[:-2]])]
         bucket = (key >> np.uint64(32)).astype(np.int32)
@@ -202,8 +203,10 @@ def _cut_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return batch_of(_RUNS, [bucket[start], data])
 
     for batch in batches:
-        held.append(batch.column("tokens").flatten().to_numpy().view(np.uint64))
-        size += len(held[-1])
+        tokens = batch.column("tokens")
+        inner = _inner(batch, np.diff(tokens.offsets.to_numpy())).astype(np.uint64)
+        held.append(tokens.flatten().to_numpy().view(np.uint64) >> np.uint64(64 - 31 - BUCKET_BITS) << np.uint64(1) | inner)
+        size += len(inner)
         if size >= CHUNK:
             yield runs()
             held, size = [], 0
@@ -212,16 +215,17 @@ def _cut_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _met_twice(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Filter bits of the cut keys that come twice or more, with all runs of a bucket in one task."""
+    """Filter bits of the cut keys that come twice or more, needed by one set at least; all runs of a bucket are in one task."""
     runs: dict[int, list[np.ndarray]] = {}
     for batch in batches:
         for bucket, data in zip(batch.column("bucket").to_pylist(), batch.column("low").to_pylist()):
             runs.setdefault(bucket, []).append(np.frombuffer(data, np.uint32))
     for bucket, parts in runs.items():
         low = np.sort(np.concatenate(parts))
-        twice = np.unique(low[1:][low[1:] == low[:-1]]).astype(np.uint64)
+        # The last of a kind says whether any is needed.
+        twice = low[1:][(low[1:] >> 1 == low[:-1] >> 1) & (low[1:] & 1 == 1)] >> 1
         if len(twice):
-            yield _bits_of((np.uint64(bucket) << np.uint64(32)) | twice)
+            yield _bits_of((np.uint64(bucket) << np.uint64(31)) | np.unique(twice).astype(np.uint64))
 
 
 def _second_pass(shared, percent: int):
@@ -243,7 +247,8 @@ def _second_pass(shared, percent: int):
                         continue
                     seen.add(name)
                     n = len(x)
-                    least = 1 + n // 20
+                    least = 1 + n // 50
+                    inner = n - -(-2 * percent * n // (100 + percent)) + least
                     first = n - -(-percent * n // 100) + least
                     # Frequent ones go behind the others, the most frequent last.
                     maybe = np.flatnonzero(marks[x >> np.uint64(42)])
@@ -258,7 +263,7 @@ def _second_pass(shared, percent: int):
                         tokens = x[order]
                     else:
                         tokens = x[:first]
-                    rows.append((node[row].view(np.int64), n, least, tokens.view(np.int64), x.view(np.int64) if wanted[row] else None))
+                    rows.append((node[row].view(np.int64), n, least, inner, tokens.view(np.int64), x.view(np.int64) if wanted[row] else None))
                 if len(seen) > 1_000_000:
                     seen.clear()
                 if rows:
@@ -267,6 +272,12 @@ def _second_pass(shared, percent: int):
     return run
 
 
+def _inner(batch: pa.RecordBatch, per_row: np.ndarray) -> np.ndarray:
+    """Which of the batch's shingles are among the first ones that a set needs as the smaller of two."""
+    place = np.arange(per_row.sum()) - np.repeat(np.cumsum(per_row) - per_row, per_row)
+    return place < np.repeat(batch.column("inner").to_numpy(), per_row)
+
+
 def _cells(shared):
     """(token, node, least) for the first shingles that the filter lets through."""
 
@@ -274,9 +285,10 @@ def _cells(shared):
         for batch in batches:
             tokens = batch.column("tokens")
             flat, per_row = tokens.flatten().to_numpy(), np.diff(tokens.offsets.to_numpy())
-            use = _in_filter(shared.value, flat.view(np.uint64) >> np.uint64(64 - 32 - BUCKET_BITS))
+            use = _in_filter(shared.value, flat.view(np.uint64) >> np.uint64(64 - 31 - BUCKET_BITS))
+            inner = _inner(batch, per_row)[use]
             row = np.repeat(np.arange(batch.num_rows), per_row)[use]
-            yield batch_of(_CELLS, [flat[use], batch.column("node").to_numpy()[row], batch.column("least").to_numpy()[row]])
+            yield batch_of(_CELLS, [flat[use], *[batch.column(c).to_numpy()[row] for c in ("node", "n", "least")], inner])
 
     return run
 
@@ -340,9 +352,13 @@ def link(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int
     nodes = rows.filter("n > 0").groupBy("node").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.min("key").alias("key"))
     nodes = stored(nodes, "nodes")
 
-    # Groups: stars around the smallest nodes of sketch values.
+    # Groups: stars around the most central nodes of sketch values.
     keyed = nodes.select("node", F.explode(F.array_distinct("sketch")).alias("value"))
-    heads = keyed.groupBy("value").agg(F.min("node").alias("head"), F.count("*").alias("times")).filter("times > 1").select("value", "head")
+    shared_values = keyed.groupBy("value").agg(F.count("*").alias("times")).filter("times > 1")
+    keyed = stored(keyed.join(shared_values, "value"), "values")
+    central = keyed.groupBy("node").agg(F.sum("times").alias("central"))
+    best = F.max(F.struct("central", (-F.col("node").cast("decimal(20,0)")).alias("minus"), "node")).alias("best")
+    heads = keyed.join(central, "node").groupBy("value").agg(best).select("value", F.col("best.node").alias("head"))
     agreed = keyed.join(heads, "value").filter("node <> head").groupBy("node", "head").agg(F.count("*").alias("agree"))
     tried = stored(agreed.filter(F.col("agree") >= AGREE).select("node", "head"), "tried")
 
@@ -363,20 +379,24 @@ def link(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int
 
     # Shingles that two nodes or more have among their first ones; no other can be in two groups' rows of the matrix.
     # They meet as sorted runs of cut keys, four bytes a shingle; what the cut confuses, the exact keys below part again.
-    packed = second.select("tokens").mapInArrow(_cut_keys, _RUNS)
+    packed = second.select("tokens", "inner").mapInArrow(_cut_keys, _RUNS)
     met = packed.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "bucket").mapInArrow(_met_twice, _SET_BITS)
     bits = spark_context.broadcast(_filled(met))
-    some = second.select("node", "least", "tokens").mapInArrow(_cells(bits), _CELLS)
+    some = second.select("node", "n", "least", "inner", "tokens").mapInArrow(_cells(bits), _CELLS)
     # The matrix itself. Copies that several tasks saw fall together here, and so do the members of a group.
-    cells = some.join(groups, "node", "left").groupBy("token", F.coalesce("label", "node").alias("grp")).agg(F.min("least").alias("least"))
+    cells = some.join(groups, "node", "left").groupBy("token", F.coalesce("label", "node").alias("grp")).agg(
+        F.min("least").alias("least"), F.max("inner").alias("inner"), F.min("n").alias("least_n"), F.max("n").alias("most_n")
+    )
     cells = stored(cells, "cells")
     split = cells.groupBy("token").agg(F.count("*").alias("times")).filter("times > 1").select("token")
     cells = cells.join(split, "token")
-    other = cells.select("token", F.col("grp").alias("grp2"), F.col("least").alias("least2"))
-    shared_rows = cells.join(other, "token").filter("grp < grp2").groupBy("grp", "grp2").agg(
-        F.count("*").alias("n"), F.min(F.least("least", "least2")).alias("least")
-    )
-    candidates = stored(shared_rows.filter("n >= least").select("grp", "grp2"), "candidates")
+    other = cells.select("token", *[F.col(c).alias(f"{c}2") for c in ("grp", "least_n", "most_n")])
+    # The group of the smaller set on the left. Sizes must be able to come near.
+    near = (F.col("most_n2") >= F.col("least_n")) & (F.col("least_n2") * percent <= F.col("most_n") * 100)
+    met = cells.filter("inner").join(other, "token").filter((F.col("grp") != F.col("grp2")) & near)
+    met = met.groupBy("grp", "grp2").agg(F.count("*").alias("n"), F.min("least").alias("least")).filter("n >= least")
+    candidates = met.select(F.least("grp", "grp2").alias("grp"), F.greatest("grp", "grp2").alias("grp2")).distinct()
+    candidates = stored(candidates, "candidates")
 
     found = stars
     if not candidates.isEmpty():
