@@ -181,10 +181,10 @@ def _(v):
 
 
 @query("nested_json", duck("spans_v", """SELECT SpanId,
-  '{"a":{"b":{"c":{"str":"test"}},"i":' || event_id || '},"b":{"x":1,"y":{"z":2}},"c":' || k || '}' AS document FROM spans_v"""))
+  '{"net":{"peer":{"port":' || k || '},"up":true},"span":{"no":' || event_id || ',"tag":"t' || (event_id % 5) || '"},"v":[1,2]}' AS document FROM spans_v"""))
 def _(v):
-    fields = F.expr("""transform(array(array('a.b.c.str', '"test"'), array('a.i', CAST(event_id AS STRING)), array('a.none', NULL),
-      array('b.x', '1'), array('b.y.z', '2'), array('c', k)), p -> struct(p[0] AS key, p[1] AS json))""")
+    fields = F.expr("""transform(array(array('net.peer.port', k), array('net.up', 'true'), array('span.no', CAST(event_id AS STRING)),
+      array('span.none', NULL), array('span.tag', concat('"t', event_id % 5, '"')), array('v', '[1,2]')), p -> struct(p[0] AS key, p[1] AS json))""")
     built = docs.with_nested_json(v.wide_spans.withColumn("f", fields), "f", "document")
     return built.select("SpanId", "document")
 

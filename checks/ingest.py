@@ -283,6 +283,48 @@ def _(v):
     return good.select("SpanId")
 
 
+# Records whose time or count no table takes: every seventh event's is 2^63, every eleventh's -2^63.
+BAD_TIME_SQL = "event_id % 7 = 0 OR event_id % 11 = 0"
+
+
+def _with_bad_times(v, column: str, at: str):
+    """A copy of the messages' rows of events, with some times out of range, as messages of one record each."""
+    bad = "CASE WHEN event_id % 7 = 0 THEN '9223372036854775808' WHEN event_id % 11 = 0 THEN '-9223372036854775808' ELSE CAST(TimestampNs AS STRING) END"
+    record = f"named_struct('spanId', SpanId, '{at}', {bad})"
+    scope, top = {"spans": ("scopeSpans", "resourceSpans"), "logRecords": ("scopeLogs", "resourceLogs")}[column]
+    message = f"to_json(named_struct('{top}', array(named_struct('{scope}', array(named_struct('{column}', array({record})))))))"
+    return v.wide_spans.selectExpr(f"{message} AS value")
+
+
+def _kept_and_rejected(stored, rejected):
+    counted = [df.agg(F.count("*").alias("records")).select(F.lit(name).alias("went"), "records") for name, df in (("stored", stored), ("rejected", rejected))]
+    return counted[0].unionAll(counted[1])
+
+
+_WENT_SQL = "SELECT CASE WHEN {bad} THEN 'rejected' ELSE 'stored' END AS went, count(*) AS records FROM spans_v GROUP BY 1"
+
+
+@query("quarantine_mixed_load", duck("spans_v", _WENT_SQL.format(bad=BAD_TIME_SQL)))
+def _(v):
+    parsed = otlp.parse_otlp_json(_with_bad_times(v, "spans", "startTimeUnixNano"), "value", "traces")
+    return _kept_and_rejected(otlp.flatten_spans(parsed).filter("TimestampNs > 0"), otlp.rejected(parsed, "traces"))
+
+
+@query("quarantine_logs", duck("spans_v", _WENT_SQL.format(bad=BAD_TIME_SQL)))
+def _(v):
+    parsed = otlp.parse_otlp_json(_with_bad_times(v, "logRecords", "timeUnixNano"), "value", "logs")
+    return _kept_and_rejected(otlp.flatten_logs(parsed).filter("TimestampNs > 0"), otlp.rejected(parsed, "logs"))
+
+
+@query("quarantine_metrics", duck("spans_v", _WENT_SQL.format(bad="event_id % 5 = 0")))
+def _(v):
+    point = """named_struct('timeUnixNano', CAST(TimestampNs AS STRING), 'count', if(event_id % 5 = 0, '18446744073709551615', '3'))"""
+    metric = f"named_struct('name', 'm', 'histogram', named_struct('dataPoints', array({point})))"
+    message = f"to_json(named_struct('resourceMetrics', array(named_struct('scopeMetrics', array(named_struct('metrics', array({metric})))))))"
+    parsed = otlp.parse_otlp_json(v.wide_spans.selectExpr(f"{message} AS value"), "value", "metrics")
+    return _kept_and_rejected(otlp.flatten_metrics(parsed).filter("Count = 3"), otlp.rejected(parsed, "metrics"))
+
+
 FNV_SQL = """
   SELECT serviceName, operationName, printf('%x', h::UBIGINT) AS id FROM (
     SELECT ServiceName AS serviceName, SpanName AS operationName,

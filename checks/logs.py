@@ -36,7 +36,7 @@ def _(v):
 
 @query("recent_logs", duck("logs_v", f"SELECT {OUT_SQL} FROM logs_v ORDER BY TimestampNs DESC, SpanId LIMIT 100"))
 def _(v):
-    return log_ops.recent_logs(v.logs, START).select(*OUT)
+    return log_ops.recent_logs(v.logs, START, limit=100).select(*OUT)
 
 
 @query("logs_by_service", duck("logs_v", f"SELECT {OUT_SQL} FROM logs_v WHERE ServiceName = 'svc-signup'"))

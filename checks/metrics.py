@@ -24,7 +24,7 @@ def _(v):
 @query("metric_points_first_100", duck("sum_v", """SELECT TimeUnixNs, MetricName, user_text, Value FROM sum_v
   WHERE MetricName = 'click.total' ORDER BY TimeUnixNs, user_text LIMIT 100"""))
 def _(v):
-    return metric_ops.metric_points(v.sum, "click.total").selectExpr("TimeUnixNs", "MetricName", USER, "Value")
+    return metric_ops.metric_points(v.sum, "click.total", limit=100).selectExpr("TimeUnixNs", "MetricName", USER, "Value")
 
 
 @query("metric_points_of_series", duck("sum_v", """SELECT TimeUnixNs, MetricName, user_text, Value FROM sum_v
@@ -61,6 +61,24 @@ def _(v):
     return deltas.selectExpr("MetricName", USER, HOST, "TimeUnixNs", "StartTimeUnixNs", "Value", "AggTemp")
 
 
+@query("cumulative_to_delta_of_scopes", duck("sum_v", """SELECT MetricName, user_text, scope, TimeUnixNs, count(*) AS points, round(sum(Value), 6) AS value
+  FROM (SELECT MetricName, user_text, host, scope, TimeUnixNs,
+      CASE WHEN Value < before OR began > began_before THEN Value ELSE Value - before END AS Value FROM (
+    SELECT *, lag(Value) OVER w AS before, lag(began) OVER w AS began_before FROM (
+      SELECT *, 's' || (TimeUnixNs // 1000000 % 2) AS scope, TimeUnixNs // 86400000000000 AS began FROM sum_v)
+    WINDOW w AS (PARTITION BY MetricName, user_text, host, scope ORDER BY TimeUnixNs)) WHERE before IS NOT NULL)
+  GROUP BY ALL"""))
+def _(v):
+    # Two scopes share each series, and every day counts from a new start.
+    points = v.sum.withColumns({
+        "ScopeName": F.concat(F.lit("s"), F.expr("TimeUnixNs DIV 1000000 % 2")), "StartTimeUnixNs": F.expr("TimeUnixNs DIV 86400000000000"),
+    })
+    deltas = metric_ops.cumulative_to_delta(points).withColumn("scope", F.col("ScopeName"))
+    return deltas.selectExpr("MetricName", USER, "scope", "TimeUnixNs", "Value").groupBy("MetricName", "user_text", "scope", "TimeUnixNs").agg(
+        F.count("*").alias("points"), F.round(F.sum("Value"), 6).alias("value")
+    )
+
+
 @query("delta_to_rate", duck("sum_v", """SELECT MetricName, user_text, TimeUnixNs,
   CASE WHEN TimeUnixNs > StartTimeUnixNs THEN round(Value / ((TimeUnixNs - StartTimeUnixNs) / 1000000000.0::DOUBLE), 6) END AS rate
   FROM delta""", lagged=LAGGED_SQL, delta=DELTA_SQL))
@@ -103,13 +121,14 @@ def _(v):
 
 def _transformed(how: str, sql: str):
     @query(f"transform_metrics_{how}", duck("gauge_v", f"""SELECT replace(MetricName, 'click.value', 'clicks') AS MetricName,
-      TimeUnixNs // 86400000000000 AS day_number, round({sql}(Value), 6) AS value FROM gauge_v GROUP BY 1, 2"""))
+      host, TimeUnixNs // 86400000000000 AS day_number, round({sql}(Value), 6) AS value FROM gauge_v GROUP BY ALL"""))
     def _(v):
         # All points of a day at one time, so that there is something to aggregate.
         points = v.gauge.withColumn("TimeUnixNs", F.col("TimeUnixNs") - F.pmod("TimeUnixNs", F.lit(86_400_000_000_000)))
         done = metric_ops.transform_metrics(points, {"click.value": "clicks"}, [], how)
         return done.select(
-            "MetricName", F.expr("TimeUnixNs DIV 86400000000000").alias("day_number"), F.round("Value", 6).alias("value")
+            "MetricName", F.col("ResourceAttributes")["host.name"].alias("host"),
+            F.expr("TimeUnixNs DIV 86400000000000").alias("day_number"), F.round("Value", 6).alias("value")
         )
 
 

@@ -47,6 +47,20 @@ def _(v):
     )
 
 
+@query("two_streams_one_table", duck("spans_v", """SELECT ServiceName, count(*) AS spans, sum(Duration)::BIGINT AS ns
+  FROM spans_v GROUP BY 1"""))
+def _(v):
+    # Each stream takes half of the messages, and both number their batches from 0.
+    table = scratch_path(v.spark, "spans")
+    messages = v.trace_messages.withColumn("half", F.pmod(F.xxhash64("value"), F.lit(2)))
+    for half in range(2):
+        source = scratch_path(v.spark, "messages")
+        messages.filter(F.col("half") == half).select("value").write.text(source)
+        stream = ingest.message_stream(v.spark, source)
+        ingest.stream_ingest(stream, "traces", table, scratch_path(v.spark, "checkpoint")).awaitTermination()
+    return tables.read_table(v.spark, table).groupBy("ServiceName").agg(F.count("*").alias("spans"), F.sum("Duration").alias("ns"))
+
+
 @query("stream_trace_bounds", duck("spans_v", "SELECT TraceId, epoch_us(s) AS start_us, epoch_us(e) AS end_us FROM b", b=BOUNDS_SQL))
 def _(v):
     path = _finish(v, lambda table, checkpoint: ingest.stream_trace_bounds(_spans(v), table, checkpoint), "bounds", "checkpoint")

@@ -100,7 +100,7 @@ def _(v):
     path = scratch_path(v.spark, "spans")
     tables.write_spans(v.spans, path)
     stored = tables.read_table(v.spark, path)
-    return ts.get_trace_pruned(stored, bounds.trace_bounds(v.spans), TRACE).select(*SPAN_OUT)
+    return ts.get_trace_pruned(stored, bounds.trace_bounds(v.spans), TRACE, limit=100).select(*SPAN_OUT)
 
 
 MULTI_SQL = duck(
@@ -223,6 +223,23 @@ def _(v):
     return ts.search_spans_recent(v.spans, bounds.trace_bounds(v.spans), RECENT).select(*SPAN_OUT)
 
 
+@query(
+    "search_spans_recent_until",
+    duck(
+        "spans_v",
+        f"""SELECT {SPAN_SQL} FROM spans_v WHERE ServiceName = 'svc-view' AND TraceId IN (
+          SELECT TraceId FROM b WHERE s <= TIMESTAMP '2024-01-12' ORDER BY s DESC, TraceId LIMIT 300)""",
+        b=BOUNDS_SQL,
+    ),
+)
+def _(v):
+    # Stored bounds, so that only the days up to the end are read.
+    path = scratch_path(v.spark, "bounds")
+    tables.write_bounds(bounds.trace_bounds(v.spans), path)
+    query = ts.TraceQuery(service_name="svc-view", end=dt.datetime(2024, 1, 12), num_traces=300)
+    return ts.search_spans_recent(v.spans, tables.read_table(v.spark, path), query).select(*SPAN_OUT)
+
+
 # ---- roots, status, processes -----------------------------------------------------------------
 
 
@@ -276,7 +293,7 @@ def _(v):
 @query("services_top", duck("spans_v", """SELECT ServiceName, count(*) AS span_count FROM spans_v
   WHERE ServiceName <> '' GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 100"""))
 def _(v):
-    return span_ops.services_top(v.spans)
+    return span_ops.services_top(v.spans, 100)
 
 
 @query("operations", duck("spans_v", "SELECT DISTINCT SpanName FROM spans_v"))
@@ -293,13 +310,13 @@ def _(v):
 @query("operations_top", duck("spans_v", """SELECT SpanName, count(*) AS span_count FROM spans_v
   WHERE SpanKind <> 'SPAN_KIND_INTERNAL' GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 10000"""))
 def _(v):
-    return span_ops.operations_top(v.spans)
+    return span_ops.operations_top(v.spans, n=10_000)
 
 
 @query("operations_top_of_kind", duck("spans_v", """SELECT SpanName, count(*) AS span_count FROM spans_v
   WHERE SpanKind = 'SPAN_KIND_INTERNAL' AND ServiceName = 'svc-error' GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 10000"""))
 def _(v):
-    return span_ops.operations_top(v.spans, "svc-error", "SPAN_KIND_INTERNAL")
+    return span_ops.operations_top(v.spans, "svc-error", "SPAN_KIND_INTERNAL", 10_000)
 
 
 # ---- span filters -----------------------------------------------------------------------------
@@ -311,6 +328,37 @@ def _(v):
     return span_ops.spans_with_attribute(v.spans, "svc-click", "k", "42", START, limit=None).select(*SPAN_OUT)
 
 
+def _mixed_loads(first: str | None, second: str | None):
+    """Two loads of half the events each, of which one promotes the attribute."""
+
+    def build(v):
+        path = scratch_path(v.spark, "spans")
+        for part, key in enumerate((first, second)):
+            half = v.wide_spans.filter(F.col("event_id") % 2 == part).select(*v.spans.columns)
+            tables.write_spans(half, path, promote={"SpanAttributes": [key]} if key else None, batch_id=part)
+        stored = tables.read_table(v.spark, path)
+        return span_ops.spans_with_attribute(stored, "svc-click", "k", "42", START).select(*SPAN_OUT)
+
+    return build
+
+
+for _order, _keys in (("", ("k", None)), ("_reversed", (None, "k"))):
+    query(f"spans_with_attribute_mixed_loads{_order}", duck("spans_v", f"""SELECT {SPAN_SQL} FROM spans_v
+      WHERE ServiceName = 'svc-click' AND k = '42' AND "Timestamp" >= TIMESTAMP '2024-01-01'"""))(_mixed_loads(*_keys))
+
+
+@query("operations_of_days", duck("spans_v", """SELECT DISTINCT SpanName FROM spans_v
+  WHERE "Timestamp" BETWEEN TIMESTAMP '2024-01-03' AND TIMESTAMP '2024-01-05'"""))
+def _(v):
+    return span_ops.operations(v.spans, start=dt.datetime(2024, 1, 3), end=dt.datetime(2024, 1, 5))
+
+
+@query("services_of_days", duck("spans_v", """SELECT ServiceName, count(*) AS span_count FROM spans_v
+  WHERE ServiceName <> '' AND "Timestamp" BETWEEN TIMESTAMP '2024-01-03' AND TIMESTAMP '2024-01-05' GROUP BY 1"""))
+def _(v):
+    return span_ops.services_top(v.spans, start=dt.datetime(2024, 1, 3), end=dt.datetime(2024, 1, 5))
+
+
 @query("spans_with_promoted_attribute", duck("spans_v", f"""SELECT {SPAN_SQL} FROM spans_v
   WHERE ServiceName = 'svc-click' AND k = '42' AND "Timestamp" >= TIMESTAMP '2024-01-01'"""))
 def _(v):
@@ -335,7 +383,7 @@ def _(v):
 @query("slow_spans_first_100", duck("spans_v", f"""SELECT {SPAN_SQL} FROM spans_v
   WHERE ServiceName = 'svc-purchase' AND Duration > 100000000 ORDER BY TimestampNs, SpanId LIMIT 100"""))
 def _(v):
-    return span_ops.slow_spans(v.spans, "svc-purchase", 100_000_000).select(*SPAN_OUT)
+    return span_ops.slow_spans(v.spans, "svc-purchase", 100_000_000, limit=100).select(*SPAN_OUT)
 
 
 @query("display_spans", duck("spans_v", """SELECT SpanId,

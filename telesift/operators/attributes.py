@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -110,17 +112,53 @@ def rename_spans(spans: DataFrame, from_attributes: list[str], separator: str =
     return spans.withColumn("SpanName", F.when(complete, F.concat_ws(separator, *values)).otherwise(F.col("SpanName")))
 
 
+def _pieces(pattern: str) -> list[str]:
+    """A pattern cut at its outermost groups: what is between them and the groups themselves, in turns."""
+    pieces, depth, start, in_class, at, opened = [], 0, 0, False, 0, -1
+    while at < len(pattern):
+        c = pattern[at]
+        if c == "\\":
+            at += 2
+            continue
+        if in_class:
+            in_class = c != "]"
+        elif c == "[":
+            in_class = True
+        elif c == "(":
+            if depth == 0 and pattern[at + 1 : at + 2] != "?":
+                pieces.append(pattern[start:at])
+                opened = at
+            depth += 1
+        elif c == ")":
+            depth -= 1
+            if depth == 0 and opened >= 0:
+                pieces.append(pattern[opened + 1 : at])
+                start, opened = at + 1, -1
+        at += 1
+    return [*pieces, pattern[start:]]
+
+
 def name_to_attributes(spans: DataFrame, pattern: str, keys: list[str]) -> DataFrame:
-    """Take attributes from the groups of a pattern in the span name, and put `{key}` in their place."""
+    """Take attributes from the groups of a pattern in the span name, and put `{key}` in their place.
+
+    The new name is what the pattern found around its outermost groups, left to right, with the keys between.
+    """
     name = F.col("SpanName")
     matches = name.rlike(pattern)
-    found = F.map_from_arrays(
-        F.array(*map(F.lit, keys)), F.array(*[F.regexp_extract(name, pattern, i + 1) for i in range(len(keys))])
-    )
-    renamed = name
-    for i, key in enumerate(keys):
-        part = F.regexp_extract(name, pattern, i + 1)
-        renamed = F.when(part != "", F.replace(renamed, part, F.lit("{" + key + "}"))).otherwise(renamed)
+    values = [F.regexp_extract(name, pattern, i + 1) for i in range(len(keys))]
+    found = F.map_from_arrays(F.array(*map(F.lit, keys)), F.array(*values))
+    pieces = _pieces(pattern)
+    if not len(pieces) // 2 == len(keys) == re.compile(pattern).groups:
+        raise ValueError("the pattern must have one group for each key, and no group in a group")
+    # Every piece a group of its own; those that were groups give way to their keys, where they matched something.
+    split = "".join(f"({p})" for p in pieces)
+    parts = [
+        F.regexp_extract(name, split, k + 1) if k % 2 == 0 else F.when(values[k // 2] == "", "").otherwise("{" + keys[k // 2] + "}")
+        for k in range(len(pieces))
+    ]
+    inside = F.regexp_extract(name, pattern, 0)
+    at = F.instr(name, inside)
+    renamed = F.concat(F.substring(name, F.lit(1), at - 1), *parts, F.substring(name, at + F.length(inside), F.length(name)))
     return spans.withColumns(
         {
             "SpanAttributes": F.when(matches, maps.merge_maps(F.col("SpanAttributes"), found)).otherwise(

@@ -34,35 +34,35 @@ def severity_series(logs: DataFrame, since=None, width: int = 60) -> DataFrame:
     )
 
 
-def recent_logs(logs: DataFrame, since=None, limit: int | None = 100) -> DataFrame:
+def recent_logs(logs: DataFrame, since=None, limit: int | None = None) -> DataFrame:
     return _newest(time_range(logs, "Timestamp", since), limit)
 
 
-def logs_by_service(logs: DataFrame, service: str, since=None, limit: int | None = 100) -> DataFrame:
+def logs_by_service(logs: DataFrame, service: str, since=None, limit: int | None = None) -> DataFrame:
     return _newest(time_range(logs, "Timestamp", since).filter(F.col("ServiceName") == service), limit)
 
 
-def logs_by_attribute(logs: DataFrame, key: str, value: str, since=None, limit: int | None = 100) -> DataFrame:
+def logs_by_attribute(logs: DataFrame, key: str, value: str, since=None, limit: int | None = None) -> DataFrame:
     rows = time_range(logs, "Timestamp", since)
     return _newest(rows.filter(attribute_equals(rows, ["LogAttributes"], key, value)), limit)
 
 
-def logs_has_token(logs: DataFrame, token: str, since=None, limit: int | None = 100) -> DataFrame:
+def logs_has_token(logs: DataFrame, token: str, since=None, limit: int | None = None) -> DataFrame:
     """Records whose body has the whole, case-sensitive token."""
     return _newest(time_range(logs, "Timestamp", since).filter(text.has_token(F.col("Body"), token)), limit)
 
 
-def logs_like(logs: DataFrame, pattern: str, since=None, limit: int | None = 100) -> DataFrame:
+def logs_like(logs: DataFrame, pattern: str, since=None, limit: int | None = None) -> DataFrame:
     return _newest(time_range(logs, "Timestamp", since).filter(F.col("Body").like(pattern)), limit)
 
 
-def logs_match(logs: DataFrame, regex: str, since=None, limit: int | None = 100) -> DataFrame:
+def logs_match(logs: DataFrame, regex: str, since=None, limit: int | None = None) -> DataFrame:
     """Records whose body has a match of a regular expression anywhere."""
     return _newest(time_range(logs, "Timestamp", since).filter(F.col("Body").rlike(regex)), limit)
 
 
 def logs_json_number(
-    logs: DataFrame, path: str, comparison: str, number: float, since=None, limit: int | None = 100
+    logs: DataFrame, path: str, comparison: str, number: float, since=None, limit: int | None = None
 ) -> DataFrame:
     """Records compared by a number in their JSON body; missing or no number counts as 0."""
     compare = COMPARISONS[comparison]

@@ -16,7 +16,7 @@ CUMULATIVE = 2
 
 
 def metric_points(
-    table: DataFrame, name: str, attributes: dict[str, str] | None = None, limit: int | None = 100
+    table: DataFrame, name: str, attributes: dict[str, str] | None = None, limit: int | None = None
 ) -> DataFrame:
     """Points of one metric, of the series that carry all given attributes."""
     rows = table.filter(F.col("MetricName") == name)
@@ -25,6 +25,14 @@ def metric_points(
     return first_rows(rows, limit, "TimeUnixNs", maps.attributes_id(F.col("Attributes")))
 
 
+#: What tells series of one metric apart, besides the ids of their attributes and resources.
+IDENTITY = ("MetricName", "MetricUnit", "ScopeName", "ScopeVersion")
+
+
+def _identity(points: DataFrame, *but: str) -> list[str]:
+    return [c for c in IDENTITY if c in points.columns and c not in but]
+
+
 def _series(points: DataFrame) -> DataFrame:
     return points.withColumns(
         {
@@ -66,18 +74,20 @@ def with_previous(
 def cumulative_to_delta(points: DataFrame, bucket_ns: int = 600 * times.NS_PER_SECOND) -> DataFrame:
     """Monotonic cumulative sums to deltas per series; all other points pass unchanged.
 
-    A value below its predecessor is a reset and counts whole; the first point of a series,
-    which has nothing to compare with, gives none. The delta starts where the last point ended.
+    A value below its predecessor, or one counted from a later start than the predecessor's, is a reset and counts
+    whole; the first point of a series, which has nothing to compare with, gives none. The delta starts where the last
+    point ended.
     """
     monotonic = (F.col("AggTemp") == CUMULATIVE) & F.col("IsMonotonic")
-    keys = ["MetricName", "attributes_id", "resource_id"]
+    keys = [*_identity(points), "attributes_id", "resource_id"]
     rows = with_previous(
-        _series(points.filter(monotonic)), keys, "TimeUnixNs", ["TimeUnixNs", "Value"], bucket_ns, tie="Value"
+        _series(points.filter(monotonic)), keys, "TimeUnixNs", ["TimeUnixNs", "Value", "StartTimeUnixNs"], bucket_ns, tie="Value"
     )
     before = F.col("previous.Value")
+    restarted = (F.col("Value") < before) | (F.col("StartTimeUnixNs") > F.col("previous.StartTimeUnixNs"))
     deltas = rows.filter(F.col("previous").isNotNull()).withColumns(
         {
-            "Value": F.when(F.col("Value") < before, F.col("Value")).otherwise(F.col("Value") - before),
+            "Value": F.when(restarted, F.col("Value")).otherwise(F.col("Value") - before),
             "StartTimeUnixNs": F.col("previous.TimeUnixNs"),
             "StartTimeUnix": times.ns_to_timestamp(F.col("previous.TimeUnixNs")),
             "AggTemp": F.lit(DELTA),
@@ -107,14 +117,16 @@ def _combine(operation: str, a: Column, b: Column) -> Column:
 
 
 def derive_metric(points: DataFrame, name: str, first: str, second: str, operation: str) -> DataFrame:
-    """A new metric from two, per time, attributes and resource that both have.
+    """A new metric from two, per time, attributes, resource and scope that both have.
 
-    One combining aggregation instead of a join; of points that repeat a key the largest counts.
+    One combining aggregation instead of a join. Points of one metric that repeat a key are added up: they are parts of
+    what was measured then.
     """
-    value = {n: F.max(F.when(F.col("MetricName") == n, F.col("Value"))) for n in (first, second)}
+    value = {n: F.sum(F.when(F.col("MetricName") == n, F.col("Value"))) for n in (first, second)}
+    scope = _identity(points, "MetricName", "MetricUnit")
     paired = (
         _series(points.filter(F.col("MetricName").isin(first, second)))
-        .groupBy("TimeUnixNs", "attributes_id", "resource_id")
+        .groupBy("TimeUnixNs", "attributes_id", "resource_id", *scope)
         .agg(
             value[first].alias("a"),
             value[second].alias("b"),
@@ -126,6 +138,7 @@ def derive_metric(points: DataFrame, name: str, first: str, second: str, operati
     return paired.select(
         F.lit(name).alias("MetricName"),
         "ResourceAttributes",
+        *scope,
         "Attributes",
         "TimeUnixNs",
         times.ns_to_timestamp(F.col("TimeUnixNs")).alias("TimeUnix"),
@@ -143,7 +156,7 @@ def scale_metric(points: DataFrame, name: str, source: str, factor: float) -> Da
 def transform_metrics(
     points: DataFrame, rename: dict[str, str] | None = None, keep_labels: list[str] | None = None, agg: str = "sum"
 ) -> DataFrame:
-    """Rename metrics; with `keep_labels`, aggregate the other labels away per time."""
+    """Rename metrics; with `keep_labels`, aggregate the other labels away per time, resource and scope."""
     if rename:
         names = F.create_map(*[F.lit(part) for pair in rename.items() for part in pair])
         points = points.withColumn("MetricName", F.coalesce(names[F.col("MetricName")], "MetricName"))
@@ -151,4 +164,4 @@ def transform_metrics(
         return points
     how = {"sum": F.sum, "mean": F.avg, "min": F.min, "max": F.max}[agg]
     kept = points.withColumn("Attributes", maps.only_keys(F.col("Attributes"), keep_labels))
-    return kept.groupBy("MetricName", "TimeUnixNs", "Attributes").agg(how("Value").alias("Value"))
+    return kept.groupBy(*_identity(points), "TimeUnixNs", "ResourceAttributes", "Attributes").agg(how("Value").alias("Value"))

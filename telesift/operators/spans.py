@@ -53,14 +53,14 @@ def first_rows(rows: DataFrame, limit: int | None, *order) -> DataFrame:
 
 
 def spans_with_attribute(
-    spans: DataFrame, service: str, key: str, value: str, since=None, limit: int | None = 100
+    spans: DataFrame, service: str, key: str, value: str, since=None, limit: int | None = None
 ) -> DataFrame:
     rows = time_range(spans, "Timestamp", since).filter(F.col("ServiceName") == service)
     rows = rows.filter(attribute_equals(spans, ["SpanAttributes"], key, value))
     return first_rows(rows, limit, "TimestampNs", "SpanId")
 
 
-def error_spans(spans: DataFrame, service: str, since=None, limit: int | None = 100) -> DataFrame:
+def error_spans(spans: DataFrame, service: str, since=None, limit: int | None = None) -> DataFrame:
     rows = time_range(spans, "Timestamp", since).filter(
         (F.col("ServiceName") == service) & (F.col("StatusCode") == "STATUS_CODE_ERROR")
     )
@@ -68,7 +68,7 @@ def error_spans(spans: DataFrame, service: str, since=None, limit: int | None =
 
 
 def slow_spans(
-    spans: DataFrame, service: str, min_ns: int = 1_000_000_000, since=None, limit: int | None = 100
+    spans: DataFrame, service: str, min_ns: int = 1_000_000_000, since=None, limit: int | None = None
 ) -> DataFrame:
     """Spans that took longer than `min_ns`."""
     rows = time_range(spans, "Timestamp", since).filter(
@@ -203,12 +203,13 @@ def trace_summaries(spans: DataFrame) -> DataFrame:
 # ---- catalogues -------------------------------------------------------------------------------
 
 
-def services_latest(spans: DataFrame) -> DataFrame:
+def services_latest(spans: DataFrame, start=None, end=None) -> DataFrame:
     """Per service the resource attributes at its newest timestamp; ties stay as several rows.
 
     The spans are first combined to one row per distinct resource, so that only these are
     compared with the service's newest time, spread by service and time.
     """
+    spans = time_range(spans, "Timestamp", start, end)
     per_resource = spans.groupBy("ServiceName", "ResourceAttributes").agg(F.max("TimestampNs").alias("TimestampNs"))
     newest = per_resource.groupBy("ServiceName").agg(F.max("TimestampNs").alias("TimestampNs"))
     return per_resource.join(newest, ["ServiceName", "TimestampNs"], "left_semi").select(
@@ -216,49 +217,40 @@ def services_latest(spans: DataFrame) -> DataFrame:
     )
 
 
-def services_top(spans: DataFrame, n: int = 100) -> DataFrame:
+def services_top(spans: DataFrame, n: int | None = None, start=None, end=None) -> DataFrame:
     """The services with most spans; spans without a service name do not count."""
-    return (
-        spans.filter(F.col("ServiceName") != "")
+    counted = (
+        time_range(spans, "Timestamp", start, end).filter(F.col("ServiceName") != "")
         .groupBy("ServiceName")
         .agg(F.count("*").alias("span_count"))
-        .orderBy(F.desc("span_count"), "ServiceName")
-        .limit(n)
     )
+    return first_rows(counted, n, F.desc("span_count"), "ServiceName")
 
 
-def operations(spans: DataFrame, service: str | None = None, kind: str | None = None) -> DataFrame:
-    rows = span_filter(spans, service)
+def operations(spans: DataFrame, service: str | None = None, kind: str | None = None, start=None, end=None) -> DataFrame:
+    rows = span_filter(time_range(spans, "Timestamp", start, end), service)
     if kind:
         rows = rows.filter(F.col("SpanKind") == kind)
     return rows.select("SpanName").distinct()
 
 
 def operations_top(
-    spans: DataFrame, service: str | None = None, kind: str | None = None, n: int = 10_000
+    spans: DataFrame, service: str | None = None, kind: str | None = None, n: int | None = None, start=None, end=None
 ) -> DataFrame:
     """Operations by span count; without a kind, internal spans do not count."""
-    rows = span_filter(spans, service)
+    rows = span_filter(time_range(spans, "Timestamp", start, end), service)
     rows = rows.filter(F.col("SpanKind") == kind if kind else F.col("SpanKind") != "SPAN_KIND_INTERNAL")
-    return (
-        rows.groupBy("SpanName")
-        .agg(F.count("*").alias("span_count"))
-        .orderBy(F.desc("span_count"), "SpanName")
-        .limit(n)
-    )
+    counted = rows.groupBy("SpanName").agg(F.count("*").alias("span_count"))
+    return first_rows(counted, n, F.desc("span_count"), "SpanName")
 
 
 # ---- regrouping -------------------------------------------------------------------------------
 
 
-MAX_LARGE_GROUPS = 1000
-
-
 def in_parts(rows: DataFrame, keys: Iterable[str], spread: Iterable[str], max_rows: int) -> DataFrame:
     """Adds `part` and `parts`, so that groups of (keys, part) stay near `max_rows` rows.
 
-    Groups are counted first, on the map side. The usual few that are over the bound are
-    broadcast; where there are more than a thousand of them an ordinary join is left to Spark.
+    Groups are counted first, on the map side; the few over the bound are joined back, by whatever join Spark finds best.
     """
     keys = list(keys)
     large = (
@@ -267,11 +259,6 @@ def in_parts(rows: DataFrame, keys: Iterable[str], spread: Iterable[str], max_ro
         .filter(F.col("_rows") > max_rows)
         .select(*keys, F.ceil(F.col("_rows") / max_rows).cast("int").alias("parts"))
     )
-    found = large.limit(MAX_LARGE_GROUPS + 1).collect()
-    if not found:
-        return rows.withColumns({"parts": F.lit(1), "part": F.lit(0)})
-    if len(found) <= MAX_LARGE_GROUPS:
-        large = F.broadcast(rows.sparkSession.createDataFrame(found, large.schema))
     joined = rows.join(large, keys, "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
     return joined.withColumn("part", F.pmod(F.xxhash64(*spread), F.col("parts")).cast("int"))
 

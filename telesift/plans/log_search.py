@@ -27,7 +27,7 @@ class LogQuery:
     json_numbers: tuple[tuple[str, str, float], ...] = ()
     start: dt.datetime | None = None
     end: dt.datetime | None = None
-    limit: int | None = 100
+    limit: int | None = None
 
 
 def search_logs(logs: DataFrame, query: LogQuery) -> DataFrame:

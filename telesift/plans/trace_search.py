@@ -15,8 +15,6 @@ from telesift.operators.spans import span_filter, trace_summaries
 from telesift.sources.tables import DAY, time_range
 
 DEFAULT_TRACES = 20
-# An id row is below 100 bytes, so a broadcast of this many stays below 10 MB.
-MAX_BROADCAST_IDS = 100_000
 
 
 @dataclass(frozen=True)
@@ -46,26 +44,16 @@ def _between(value: Column, low: int | None, high: int | None) -> Column:
     return condition
 
 
-def _at_most(ids: DataFrame, limit: int) -> DataFrame:
-    """Ids that a limit bounds: broadcast where the bound is small, else left to Spark."""
-    return F.broadcast(ids) if limit <= MAX_BROADCAST_IDS else ids
-
-
-def _spans_of(spans: DataFrame, traces: DataFrame, limit: int | None) -> DataFrame:
+def _spans_of(spans: DataFrame, traces: DataFrame) -> DataFrame:
     """All spans of traces given with their Start and End.
 
-    On a table with days the join is on trace and day, so that Spark reads only the days that
-    the traces touch: the broadcast side becomes a dynamic partition filter.
+    On a table with days only those from the first trace's first day to the last one's last are read: two scalar
+    subqueries, which Spark runs first. How the join is done is left to Spark, which knows the sizes.
     """
-    keys = ["TraceId"]
     if DAY in spans.columns:
-        days = F.sequence(F.to_date("Start"), F.to_date("End"))
-        traces = traces.select("TraceId", F.explode(days).alias(DAY))
-        keys = ["TraceId", DAY]
-    wanted = traces.select(*keys)
-    if limit is not None:
-        wanted = _at_most(wanted, limit)
-    return spans.join(wanted, keys, "left_semi")
+        first, last = (traces.agg(how(day).alias("d")).scalar() for how, day in ((F.min, F.to_date("Start")), (F.max, F.to_date("End"))))
+        spans = spans.filter((F.col(DAY) >= first) & (F.col(DAY) <= last))
+    return spans.join(traces.select("TraceId"), "TraceId", "left_semi")
 
 
 def get_trace(spans: DataFrame, trace_id: str) -> DataFrame:
@@ -75,8 +63,8 @@ def get_trace(spans: DataFrame, trace_id: str) -> DataFrame:
     return spans.filter(F.col("TraceId") == trace_id)
 
 
-def get_trace_pruned(spans: DataFrame, bounds: DataFrame, trace_id: str, limit: int | None = 100) -> DataFrame:
-    """Spans of one trace, read only from the days its bounds name.
+def get_trace_pruned(spans: DataFrame, bounds: DataFrame, trace_id: str, limit: int | None = None) -> DataFrame:
+    """Spans of one trace, read only from the days its bounds name; from all days where it has no bounds.
 
     The bounds are two scalar subqueries; Spark runs them first and prunes the day partitions.
     """
@@ -109,11 +97,11 @@ def search_traces_by_matches(spans: DataFrame, query: TraceQuery, bounds: DataFr
     A trace may reach beyond the time searched. With its bounds known only the days it touches
     are read for its other spans, without them all days are.
     """
-    ids = _at_most(find_trace_ids(spans, query).select("TraceId"), query.limit)
+    ids = find_trace_ids(spans, query).select("TraceId")
     if bounds is None:
         return trace_summaries(spans.join(ids, "TraceId", "left_semi"))
     traces = merge_trace_bounds(bounds.join(ids, "TraceId", "left_semi"))
-    return trace_summaries(_spans_of(spans, traces, query.limit))
+    return trace_summaries(_spans_of(spans, traces))
 
 
 def search_spans_recent(spans: DataFrame, bounds: DataFrame, query: TraceQuery) -> DataFrame:
@@ -121,34 +109,38 @@ def search_spans_recent(spans: DataFrame, bounds: DataFrame, query: TraceQuery)
 
     `bounds` may hold partial rows; they are merged first.
     """
-    merged = merge_trace_bounds(bounds.filter(F.col("TraceId") != ""))
-    if query.start is not None and query.end is not None and query.start < query.end:
-        merged = merged.filter(F.col("Start").between(times.moment(query.start), times.moment(query.end)))
+    bounds = bounds.filter(F.col("TraceId") != "")
+    asked = [(bound, is_start) for bound, is_start in ((query.start, True), (query.end, False)) if bound is not None]
+    if asked and DAY in bounds.columns:
+        # A trace that starts in the range has a partial row that does: only traces with one on those days are merged.
+        near = time_range(bounds, "Start", query.start, query.end).select("TraceId").distinct()
+        bounds = bounds.join(near, "TraceId", "left_semi")
+    merged = merge_trace_bounds(bounds)
+    for bound, is_start in asked:
+        limit = times.moment(bound)
+        merged = merged.filter(F.col("Start") >= limit if is_start else F.col("Start") <= limit)
     length_ns = (F.unix_micros("End") - F.unix_micros("Start")) * 1000
     merged = merged.filter(_between(length_ns, query.duration_min, query.duration_max))
     newest = merged.orderBy(F.desc("Start"), "TraceId").limit(query.limit)
-    rows = _spans_of(spans, newest, query.limit)
+    rows = _spans_of(spans, newest)
     return span_filter(rows, query.service_name, query.operation_name, query.tags)
 
 
 def multi_get_traces(
     spans: DataFrame,
     ids: DataFrame | Iterable[str],
-    max_rows: int | None = 5000,
+    max_rows: int | None = None,
     bounds: DataFrame | None = None,
 ) -> DataFrame:
     """Spans of many traces, by a list of ids or a DataFrame with a TraceId column.
 
     With the traces' bounds only the days they touch are read.
     """
-    limit = None
     if not isinstance(ids, DataFrame):
-        rows = [(i,) for i in ids]
-        limit = len(rows)
-        ids = spans.sparkSession.createDataFrame(rows, "TraceId string")
+        ids = spans.sparkSession.createDataFrame([(i,) for i in ids], "TraceId string")
     wanted = ids.select("TraceId").filter(F.col("TraceId") != "")
     if bounds is not None:
-        found = _spans_of(spans, merge_trace_bounds(bounds.join(wanted, "TraceId", "left_semi")), limit)
+        found = _spans_of(spans, merge_trace_bounds(bounds.join(wanted, "TraceId", "left_semi")))
     else:
-        found = spans.join(wanted if limit is None else _at_most(wanted, limit), "TraceId", "left_semi")
+        found = spans.join(wanted, "TraceId", "left_semi")
     return found if max_rows is None else found.orderBy("TraceId", "TimestampNs", "SpanId").limit(max_rows)

@@ -28,7 +28,7 @@ _SPAN = f"""STRUCT<traceId: STRING, spanId: STRING, parentSpanId: STRING, traceS
     events: ARRAY<STRUCT<timeUnixNano: STRING, name: STRING, attributes: {_KVS}>>,
     links: ARRAY<STRUCT<traceId: STRING, spanId: STRING, traceState: STRING, attributes: {_KVS}>>,
     status: STRUCT<code: STRING, message: STRING>>"""
-_RECORD = f"""STRUCT<timeUnixNano: STRING, severityNumber: INT, severityText: STRING, body: {_VALUE},
+_RECORD = f"""STRUCT<timeUnixNano: STRING, severityNumber: STRING, severityText: STRING, body: {_VALUE},
     attributes: {_KVS}, flags: BIGINT, traceId: STRING, spanId: STRING>"""
 _EXEMPLAR = f"""STRUCT<filteredAttributes: {_KVS}, timeUnixNano: STRING, asDouble: DOUBLE, asInt: STRING,
     spanId: STRING, traceId: STRING>"""
@@ -63,7 +63,7 @@ METRIC_FIELDS = {
 
 def _metric_type(kind: str) -> str:
     point = ", ".join(f"{name}: {_RAW_POINT[name]}" for name in _POINT_FIELDS[kind])
-    return f"STRUCT<dataPoints: ARRAY<STRUCT<{point}>>, aggregationTemporality: INT, isMonotonic: BOOLEAN>"
+    return f"STRUCT<dataPoints: ARRAY<STRUCT<{point}>>, aggregationTemporality: STRING, isMonotonic: BOOLEAN>"
 
 
 _METRIC = (
@@ -166,9 +166,64 @@ def attributes_to_fields(kvs: str) -> Column:
 
 
 def _ns(raw: Column) -> Column:
+    """A time or count; none given is 0. What is given and can't be stored is rejected: see is_storable."""
     return F.coalesce(raw.try_cast("bigint"), F.lit(0).cast("bigint"))
 
 
+def is_storable(raw: Column) -> Column:
+    """Whether a time or count is absent, or a whole number of 0 to 2^63 - 1."""
+    return F.coalesce(raw.try_cast("bigint") >= 0, raw.isNull())
+
+
+def _all_storable(*raws: Column) -> Column:
+    held = is_storable(raws[0])
+    for raw in raws[1:]:
+        held = held & is_storable(raw)
+    return held
+
+
+def _each_storable(items: Column) -> Column:
+    return F.coalesce(F.forall(items, is_storable), F.lit(True))
+
+
+def _span_is_storable(span: Column) -> Column:
+    events = F.transform(span["events"], lambda e: e["timeUnixNano"])
+    return _all_storable(span["startTimeUnixNano"], span["endTimeUnixNano"]) & _each_storable(events)
+
+
+def _record_is_storable(record: Column) -> Column:
+    return is_storable(record["timeUnixNano"])
+
+
+def _point_is_storable(point: Column) -> Column:
+    plain = _all_storable(*[point[c] for c in ("startTimeUnixNano", "timeUnixNano", "count", "zeroCount")])
+    exemplar_times = F.transform(point["exemplars"], lambda e: e["timeUnixNano"])
+    lists = [point["bucketCounts"], point["positive"]["bucketCounts"], point["negative"]["bucketCounts"], exemplar_times]
+    for items in lists:
+        plain = plain & _each_storable(items)
+    return plain
+
+
+# Names of severities and temporalities, as messages may give them instead of numbers.
+SEVERITIES = ("TRACE", "DEBUG", "INFO", "WARN", "ERROR", "FATAL")
+TEMPORALITIES = ("UNSPECIFIED", "DELTA", "CUMULATIVE")
+
+
+def severity_number(raw: Column) -> Column:
+    """1 to 24 from a number or a name: four steps for each severity, the first without a digit."""
+    name = F.regexp_extract(raw, "^SEVERITY_NUMBER_([A-Z]+)([2-4]?)$", 1)
+    step = F.coalesce(F.regexp_extract(raw, "^SEVERITY_NUMBER_([A-Z]+)([2-4]?)$", 2).try_cast("int"), F.lit(1))
+    known = F.array_position(F.array(*map(F.lit, SEVERITIES)), name).cast("int")
+    named = F.when(known > 0, (known - 1) * 4 + step)
+    return F.coalesce(raw.try_cast("int"), named, F.lit(0))
+
+
+def temporality(raw: Column) -> Column:
+    name = F.regexp_extract(raw, "^AGGREGATION_TEMPORALITY_([A-Z]+)$", 1)
+    known = F.array_position(F.array(*map(F.lit, TEMPORALITIES)), name).cast("int")
+    return F.coalesce(raw.try_cast("int"), F.when(known > 0, known - 1), F.lit(0))
+
+
 def _blank(value: Column) -> Column:
     return F.coalesce(value, F.lit(""))
 
@@ -256,7 +311,7 @@ def flatten_spans(messages: DataFrame, fields: bool = False) -> DataFrame:
         _blank(F.col("s.scope.version")).alias("ScopeVersion"),
         *extra,
         F.explode("s.spans").alias("x"),
-    )
+    ).filter(_span_is_storable(F.col("x")))
     start, end = _ns(F.col("x.startTimeUnixNano")), _ns(F.col("x.endTimeUnixNano"))
     columns = {
         "Timestamp": times.ns_to_timestamp(start),
@@ -294,7 +349,7 @@ def flatten_logs(messages: DataFrame, fields: bool = False) -> DataFrame:
         attributes_to_map("s.scope.attributes").alias("ScopeAttributes"),
         *extra,
         F.explode("s.logRecords").alias("x"),
-    )
+    ).filter(_record_is_storable(F.col("x")))
     at = _ns(F.col("x.timeUnixNano"))
     columns = {
         "Timestamp": times.ns_to_timestamp(at),
@@ -303,7 +358,7 @@ def flatten_logs(messages: DataFrame, fields: bool = False) -> DataFrame:
         "SpanId": ids.normal_id(F.col("x.spanId")),
         "TraceFlags": F.coalesce(F.col("x.flags"), F.lit(0).cast("bigint")),
         "SeverityText": _blank(F.col("x.severityText")),
-        "SeverityNumber": F.coalesce(F.col("x.severityNumber"), F.lit(0)),
+        "SeverityNumber": severity_number(F.col("x.severityNumber")),
         "Body": value_text("x.body"),
         "LogAttributes": attributes_to_map("x.attributes"),
     }
@@ -361,7 +416,7 @@ def flatten_metrics(messages: DataFrame, kinds: tuple[str, ...] = schema.METRIC_
         _blank(F.col("m.description")).alias("MetricDescription"),
         _blank(F.col("m.unit")).alias("MetricUnit"),
         F.explode(F.expr(f"concat({', '.join(map(_raw_points, kinds))})")).alias("p"),
-    )
+    ).filter(_point_is_storable(F.col("p")))
     point = F.col("p")
     start, at = _ns(point["startTimeUnixNano"]), _ns(point["timeUnixNano"])
     columns = {
@@ -373,7 +428,7 @@ def flatten_metrics(messages: DataFrame, kinds: tuple[str, ...] = schema.METRIC_
         "Flags": F.coalesce(point["flags"], F.lit(0).cast("bigint")),
         "Value": text.number_value(point["asInt"], point["asDouble"]),
         "Exemplars": _or_empty(exemplars("p.exemplars"), schema.EXEMPLARS),
-        "AggTemp": F.coalesce(point["aggregationTemporality"], F.lit(0)),
+        "AggTemp": temporality(point["aggregationTemporality"]),
         "IsMonotonic": F.coalesce(point["isMonotonic"], F.lit(False)),
         "Count": _ns(point["count"]),
         "Sum": _zero(point["sum"]),
@@ -422,22 +477,46 @@ def untyped_metrics(messages: DataFrame) -> DataFrame:
     )
 
 
+BAD_NUMBER = "a time or count is no whole number of 0 to 2^63 - 1"
+
+
 def out_of_range_times(messages: DataFrame) -> DataFrame:
-    """Spans whose start or end time is no 63-bit number of nanoseconds, with the reason."""
-    spans = (
+    """Spans with a time that can't be stored, with the reason."""
+    return _spans_alone(messages).filter(~_span_is_storable(F.col("x"))).select(
+        ids.normal_id(F.col("x.traceId")).alias("TraceId"), ids.normal_id(F.col("x.spanId")).alias("SpanId"), F.lit(BAD_NUMBER).alias("reason")
+    )
+
+
+def _spans_alone(messages: DataFrame) -> DataFrame:
+    return (
         messages.select(F.explode("resourceSpans").alias("r"))
         .select(F.explode("r.scopeSpans").alias("s"))
         .select(F.explode("s.spans").alias("x"))
     )
-    bad = [
-        F.col(f"x.{c}").isNotNull() & F.col(f"x.{c}").try_cast("bigint").isNull()
-        for c in ("startTimeUnixNano", "endTimeUnixNano")
-    ]
-    return spans.filter(bad[0] | bad[1]).select(
-        ids.normal_id(F.col("x.traceId")).alias("TraceId"),
-        ids.normal_id(F.col("x.spanId")).alias("SpanId"),
-        F.lit("time is no 63-bit number").alias("reason"),
-    )
+
+
+def rejected(messages: DataFrame, signal: str) -> DataFrame:
+    """What of parsed messages no table takes: (what, reason), `what` being the record as JSON or the line as it came.
+
+    A message that is no JSON of the expected form, a record with a time or count out of range, a metric of no known type.
+    All other records of a message are stored.
+    """
+    out = corrupt_messages(messages).select(F.col("message").alias("what"), "reason")
+    if signal == "traces":
+        bad = _spans_alone(messages).filter(~_span_is_storable(F.col("x"))).select(F.to_json("x").alias("what"))
+    elif signal == "logs":
+        records = (
+            messages.select(F.explode("resourceLogs").alias("r")).select(F.explode("r.scopeLogs").alias("s"))
+            .select(F.explode("s.logRecords").alias("x"))
+        )
+        bad = records.filter(~_record_is_storable(F.col("x"))).select(F.to_json("x").alias("what"))
+    else:
+        points = F.expr(f"concat({', '.join(map(_raw_points, schema.METRIC_KINDS))})")
+        one = _metrics(messages).select(F.col("m.name").alias("name"), F.explode(points).alias("p"))
+        bad = one.filter(~_point_is_storable(F.col("p"))).select(F.to_json(F.struct("name", "p")).alias("what"))
+        untyped = untyped_metrics(messages).select(F.col("MetricName").alias("what"), "reason")
+        out = out.unionByName(untyped)
+    return out.unionByName(bad.select("what", F.lit(BAD_NUMBER).alias("reason")))
 
 
 def corrupt_messages(messages: DataFrame) -> DataFrame:

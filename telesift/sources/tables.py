@@ -30,15 +30,20 @@ def promoted_column(map_column: str, key: str) -> str:
 
 
 def attribute_of(df: DataFrame, map_column: str, key: str) -> Column:
-    """An attribute's value, from its promoted column where the table has one; missing is NULL."""
+    """An attribute's value; missing is NULL.
+
+    From its promoted column where the table has one, and from the map in the rows of loads that did not promote it.
+    """
     promoted = promoted_column(map_column, key)
-    return F.col(promoted) if promoted in df.columns else F.col(map_column)[key]
+    inside = F.col(map_column)[key]
+    return F.coalesce(F.col(promoted), inside) if promoted in df.columns else inside
 
 
 def attribute_equals(df: DataFrame, map_columns: list[str], key: str, value: str) -> Column:
     """Whether the first of the maps that has the key holds the value; no key anywhere reads as ''.
 
-    Plain comparisons, so that predicates on promoted columns reach the Parquet scan.
+    Where attributes are promoted, plain comparisons with their columns go along, which reach the Parquet scan; rows that
+    lack the columns' values are left to the maps.
     """
     found = [attribute_of(df, column, key) for column in map_columns]
     if value == "":
@@ -46,7 +51,16 @@ def attribute_equals(df: DataFrame, map_columns: list[str], key: str, value: str
     matches, missing = found[0] == value, found[0].isNull()
     for other in found[1:]:
         matches, missing = matches | (missing & (other == value)), missing & other.isNull()
-    return matches
+    # What the scan can check by itself: a promoted value that is there must be the one asked for, or the next map's.
+    scanned = None
+    for column in reversed(map_columns):
+        promoted = promoted_column(column, key)
+        if promoted in df.columns:
+            open_ = F.col(promoted).isNull()
+            scanned = (F.col(promoted) == value) | (open_ if scanned is None else open_ & scanned)
+        else:
+            scanned = None
+    return matches if scanned is None else scanned & matches
 
 
 def time_range(df: DataFrame, column: str, start=None, end=None) -> DataFrame:
@@ -55,10 +69,15 @@ def time_range(df: DataFrame, column: str, start=None, end=None) -> DataFrame:
         if bound is None:
             continue
         limit, ts = times.moment(bound), F.col(column)
-        df = df.filter(ts >= limit if is_start else ts <= limit)
-        if DAY in df.columns:
-            day = F.to_date(limit)
-            df = df.filter(F.col(DAY) >= day if is_start else F.col(DAY) <= day)
+        day = F.to_date(limit)
+        inside = ts >= limit if is_start else ts <= limit
+        same = (F.col(DAY) >= day if is_start else F.col(DAY) <= day) if DAY in df.columns else None
+        if isinstance(bound, Column):
+            # A subquery that finds nothing bounds nothing.
+            inside, same = F.coalesce(inside, F.lit(True)), None if same is None else F.coalesce(same, F.lit(True))
+        df = df.filter(inside)
+        if same is not None:
+            df = df.filter(same)
     return df
 
 
@@ -91,36 +110,47 @@ def _promote(df: DataFrame, promote: dict[str, list[str]] | None) -> DataFrame:
     return df.withColumns(added) if added else df
 
 
-def _batch_columns(df: DataFrame, batch_id: int | None) -> tuple[DataFrame, list[str], str]:
-    """Partition columns and mode: a stream's batch overwrites only its own folders, so a replay is harmless."""
+WRITER = "writer"
+#: Who writes, where nobody else says so.
+LOADS = "loads"
+
+
+def _batch_columns(df: DataFrame, batch_id: int | None, writer: str) -> tuple[DataFrame, list[str], str]:
+    """Partition columns and mode: a writer's batch overwrites only its own folders, so a replay is harmless.
+
+    Two streams, or a stream and loads, number their batches alike; folders of their own keep them apart.
+    """
     if batch_id is None:
         return df, [DAY], "append"
-    return df.withColumn("batch_id", F.lit(batch_id).cast("bigint")), [DAY, "batch_id"], "overwrite"
+    df = df.withColumns({WRITER: F.lit(writer), "batch_id": F.lit(batch_id).cast("bigint")})
+    return df, [DAY, WRITER, "batch_id"], "overwrite"
 
 
 def write_spans(
-    spans: DataFrame, path: str, promote: dict[str, list[str]] | None = None, batch_id: int | None = None
+    spans: DataFrame, path: str, promote: dict[str, list[str]] | None = None, batch_id: int | None = None,
+    writer: str = LOADS,
 ) -> None:
     """Append spans: by day, sorted by service, operation, time and trace id."""
     df = _promote(spans, promote).withColumn(DAY, F.to_date("Timestamp"))
-    df, partitions, mode = _batch_columns(df, batch_id)
+    df, partitions, mode = _batch_columns(df, batch_id, writer)
     order = ["ServiceName", "SpanName", "Timestamp", "TraceId"]
     _write(df, path, ["ServiceName", "SpanName"], order, partitions, ["TraceId"], mode)
 
 
 def write_logs(
-    logs: DataFrame, path: str, promote: dict[str, list[str]] | None = None, batch_id: int | None = None
+    logs: DataFrame, path: str, promote: dict[str, list[str]] | None = None, batch_id: int | None = None,
+    writer: str = LOADS,
 ) -> None:
     """Append log records: by day, sorted by service, severity, time and trace id."""
     df = _promote(logs, promote).withColumn(DAY, F.to_date("Timestamp"))
-    df, partitions, mode = _batch_columns(df, batch_id)
+    df, partitions, mode = _batch_columns(df, batch_id, writer)
     order = ["ServiceName", "SeverityText", "Timestamp", "TraceId"]
     _write(df, path, ["ServiceName", "SeverityText"], order, partitions, ["TraceId"], mode)
 
 
-def _write_points(df: DataFrame, path: str, leading: list[str], promote, batch_id: int | None) -> None:
+def _write_points(df: DataFrame, path: str, leading: list[str], promote, batch_id: int | None, writer: str) -> None:
     df = _promote(df, promote).withColumn(DAY, F.to_date("TimeUnix"))
-    df, partitions, mode = _batch_columns(df, batch_id)
+    df, partitions, mode = _batch_columns(df, batch_id, writer)
     # Maps have no order; their canonical text is the sort key.
     order = ["MetricName", maps.attributes_id(F.col("Attributes")), "TimeUnix"]
     _write(df, path, ["MetricName"], order, leading + partitions, (), mode)
@@ -131,30 +161,40 @@ def write_metrics(
     path: str,
     promote: dict[str, list[str]] | None = None,
     batch_id: int | None = None,
+    writer: str = LOADS,
 ) -> None:
     """Append metric tables below one folder: by day, sorted by name, attributes and time."""
     for kind, points in tables.items():
-        _write_points(points, metric_table_for(path, kind), [], promote, batch_id)
+        _write_points(points, metric_table_for(path, kind), [], promote, batch_id, writer)
 
 
 def write_metric_points(
-    points: DataFrame, path: str, promote: dict[str, list[str]] | None = None, batch_id: int | None = None
+    points: DataFrame, path: str, promote: dict[str, list[str]] | None = None, batch_id: int | None = None,
+    writer: str = LOADS,
 ) -> None:
     """The same from flatten_metrics: all five tables in one job, with `kind` as the first partition."""
-    _write_points(points, path, [KIND], promote, batch_id)
+    _write_points(points, path, [KIND], promote, batch_id, writer)
 
 
-def write_bounds(bounds: DataFrame, path: str, batch_id: int | None = None) -> None:
-    """Append (partial) trace bounds, sorted by trace id within files."""
-    if batch_id is not None:
-        # A batch writes its own folder, so a replay replaces it.
-        bounds = bounds.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-    df = bounds.withColumn(DAY, F.to_date("Start"))
-    partitions = [DAY] + (["batch_id"] if batch_id is not None else [])
-    mode = "append" if batch_id is None else "overwrite"
+def write_bounds(bounds: DataFrame, path: str, batch_id: int | None = None, writer: str = LOADS) -> None:
+    """Append (partial) trace bounds, sorted by trace id within files; a batch replaces its own folders."""
+    df, partitions, mode = _batch_columns(bounds.withColumn(DAY, F.to_date("Start")), batch_id, writer)
     _write(df, path, ["TraceId"], ["TraceId", "Start"], partitions, ["TraceId"], mode)
 
 
+def write_rejected(rejected: DataFrame, path: str, signal: str, batch_id: int, writer: str = LOADS) -> None:
+    """What a batch could not store, (what, reason); a replay replaces its own folder."""
+    marked = rejected.withColumns({"signal": F.lit(signal), WRITER: F.lit(writer), "batch_id": F.lit(batch_id).cast("bigint")})
+    writing = marked.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writing.partitionBy("signal", WRITER, "batch_id").parquet(path)
+
+
+def read_rejected(spark: SparkSession, path: str) -> DataFrame:
+    """What loads set aside; no rows where nothing was."""
+    kinds = f"what string, reason string, signal string, {WRITER} string, batch_id bigint"
+    return spark.read.schema(kinds).parquet(path)
+
+
 def write_documents(documents: DataFrame, path: str) -> None:
     """Append JSON documents, one folder per target index."""
     laid_out = documents.hint("rebalance", F.col("index_name"))
@@ -172,6 +212,12 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def read_documents(spark: SparkSession, path: str) -> DataFrame:
+    """Written documents with their index names as text: an index may be called 007 or 2024."""
+    stored = spark.read.option("recursiveFileLookup", "true").parquet(path).schema
+    return spark.read.schema(stored.add("index_name", "string")).parquet(path)
+
+
 def read_metric_table(spark: SparkSession, path: str, kind: str) -> DataFrame:
     """One kind's table, without the columns that only other kinds have."""
     table = spark.read.parquet(metric_table_for(path, kind))
@@ -208,8 +254,10 @@ def append_if_absent(existing: DataFrame, new: DataFrame, key: str) -> DataFrame
     """The rows of `new` whose key is not stored yet, one per key; append these.
 
     Rows of one key are the same document written twice, so any one of them will do; the
-    smallest by text is taken to keep reruns equal.
+    smallest by text is taken to keep reruns equal. A row without a key is like no other and always new.
     """
     row = F.struct(*[c for c in new.columns if c != key])
-    first = new.groupBy(key).agg(F.min_by(row, F.to_json(row)).alias("row")).select(key, "row.*")
-    return first.join(existing.select(key), key, "left_anti").select(*new.columns)
+    keyed = new.filter(F.col(key).isNotNull())
+    first = keyed.groupBy(key).agg(F.min_by(row, F.to_json(row)).alias("row")).select(key, "row.*")
+    absent = first.join(existing.select(key), key, "left_anti").select(*new.columns)
+    return absent.unionByName(new.filter(F.col(key).isNull()))

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from telesift.operators import bounds as bounds_ops
 from telesift.operators import logs as log_ops
@@ -36,19 +35,28 @@ class Store:
     # -- loads --
 
     def load_traces(self, messages: DataFrame, load: int) -> None:
-        """Spans, and the partial bounds of their traces; these are worked out from the stored spans."""
+        """Spans, and the partial bounds of their traces.
+
+        Bounds come first: a load that fails in between leaves bounds too many, never spans that no bounds name.
+        """
         promoted = self._promoted("SpanAttributes", "ResourceAttributes")
-        tables.write_spans(otlp.flatten_spans(messages), self._at("spans"), promoted, load)
-        written = self.spans().filter(F.col("batch_id") == load)
-        tables.write_bounds(bounds_ops.trace_bounds(written), self._at("bounds"), load)
+        spans = otlp.flatten_spans(messages)
+        tables.write_bounds(bounds_ops.trace_bounds(spans), self._at("bounds"), load)
+        tables.write_spans(spans, self._at("spans"), promoted, load)
+        self._reject(messages, "traces", load)
 
     def load_logs(self, messages: DataFrame, load: int) -> None:
         promoted = self._promoted("LogAttributes", "ResourceAttributes")
         tables.write_logs(otlp.flatten_logs(messages), self._at("logs"), promoted, load)
+        self._reject(messages, "logs", load)
 
     def load_metrics(self, messages: DataFrame, load: int) -> None:
         promoted = self._promoted("Attributes", "ResourceAttributes")
         tables.write_metric_points(otlp.flatten_metrics(messages), self._at("metrics"), promoted, load)
+        self._reject(messages, "metrics", load)
+
+    def _reject(self, messages: DataFrame, signal: str, load: int) -> None:
+        tables.write_rejected(otlp.rejected(messages, signal), self._at("rejected"), signal, load)
 
     # -- tables --
 
@@ -64,6 +72,10 @@ class Store:
     def metrics(self, kind: str) -> DataFrame:
         return tables.read_metric_table(self.spark, self._at("metrics"), kind)
 
+    def rejected(self) -> DataFrame:
+        """What no table took, with the reason, by signal."""
+        return tables.read_rejected(self.spark, self._at("rejected"))
+
     # -- calls --
 
     def get_trace(self, trace_id: str) -> DataFrame:
@@ -84,14 +96,14 @@ class Store:
     def get_logs(self, trace_id: str) -> DataFrame:
         return log_ops.logs_for_trace(self.logs(), trace_id)
 
-    def get_services(self) -> DataFrame:
-        """Per service its newest resource attributes."""
-        return span_ops.services_latest(self.spans())
+    def get_services(self, start=None, end=None) -> DataFrame:
+        """Per service its newest resource attributes; with a time range only its days are read."""
+        return span_ops.services_latest(self.spans(), start, end)
 
-    def get_operations(self, service: str | None = None, kind: str | None = None) -> DataFrame:
-        return span_ops.operations(self.spans(), service, kind)
+    def get_operations(self, service: str | None = None, kind: str | None = None, start=None, end=None) -> DataFrame:
+        return span_ops.operations(self.spans(), service, kind, start, end)
 
     def metric_points(
-        self, kind: str, name: str, attributes: dict[str, str] | None = None, limit: int | None = 100
+        self, kind: str, name: str, attributes: dict[str, str] | None = None, limit: int | None = None
     ) -> DataFrame:
         return metric_ops.metric_points(self.metrics(kind), name, attributes, limit)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -27,15 +29,9 @@ def _run(stream: DataFrame, each_batch, checkpoint: str, trigger: dict | None) -
     return writer.trigger(**(trigger or AVAILABLE)).start()
 
 
-def _rejected(parsed: DataFrame, signal: str) -> DataFrame:
-    """What of a batch cannot be stored as it should be, with the reason."""
-    rejected = otlp.corrupt_messages(parsed).select(F.col("message").alias("what"), "reason")
-    if signal == "traces":
-        bad = otlp.out_of_range_times(parsed).select(F.concat_ws("/", "TraceId", "SpanId").alias("what"), "reason")
-        rejected = rejected.unionByName(bad)
-    if signal == "metrics":
-        rejected = rejected.unionByName(otlp.untyped_metrics(parsed).select(F.col("MetricName").alias("what"), "reason"))
-    return rejected
+def writer_of(checkpoint: str) -> str:
+    """A name for a stream's folders: streams differ by their checkpoints, and a restarted one keeps its own."""
+    return hashlib.sha256(checkpoint.rstrip("/").encode()).hexdigest()[:16]
 
 
 def stream_ingest(
@@ -46,24 +42,30 @@ def stream_ingest(
     trigger: dict | None = None,
     column: str = "value",
     quarantine: str | None = None,
+    promote: dict[str, list[str]] | None = None,
+    bounds: str | None = None,
 ) -> StreamingQuery:
     """Messages to the tables of a signal, micro-batch by micro-batch.
 
-    A batch overwrites only folders with its own number, so that one run again after a
-    failure leaves each row once. What cannot be stored goes to the quarantine folder, if one
-    is given, and all else still goes through.
+    A batch overwrites only folders with its stream's name and its own number, so that one run again after a
+    failure leaves each row once, and another stream's rows stay. What cannot be stored goes to the quarantine
+    folder (`<path>-rejected` if none is named), and all else still goes through. With a `bounds` folder the
+    traces' partial bounds are written there, before their spans.
     """
+    writer, aside = writer_of(checkpoint), quarantine or f"{path.rstrip('/')}-rejected"
 
     def each_batch(batch: DataFrame, batch_id: int) -> None:
         parsed = otlp.parse_otlp_json(batch, column, signal)
         if signal == "traces":
-            tables.write_spans(otlp.flatten_spans(parsed), path, batch_id=batch_id)
+            spans = otlp.flatten_spans(parsed)
+            if bounds is not None:
+                tables.write_bounds(bounds_ops.trace_bounds(spans), bounds, batch_id, writer)
+            tables.write_spans(spans, path, promote, batch_id, writer)
         elif signal == "logs":
-            tables.write_logs(otlp.flatten_logs(parsed), path, batch_id=batch_id)
+            tables.write_logs(otlp.flatten_logs(parsed), path, promote, batch_id, writer)
         else:
-            tables.write_metric_points(otlp.flatten_metrics(parsed), path, batch_id=batch_id)
-        if quarantine is not None:
-            _rejected(parsed, signal).write.mode("overwrite").parquet(f"{quarantine}/batch_id={batch_id}")
+            tables.write_metric_points(otlp.flatten_metrics(parsed), path, promote, batch_id, writer)
+        tables.write_rejected(otlp.rejected(parsed, signal), aside, signal, batch_id, writer)
 
     return _run(messages, each_batch, checkpoint, trigger)
 
@@ -72,7 +74,7 @@ def stream_trace_bounds(spans: DataFrame, path: str, checkpoint: str, trigger: d
     """Partial trace bounds per batch, appended; merge_trace_bounds reads them. No state is kept."""
 
     def each_batch(batch: DataFrame, batch_id: int) -> None:
-        tables.write_bounds(bounds_ops.trace_bounds(batch), path, batch_id)
+        tables.write_bounds(bounds_ops.trace_bounds(batch), path, batch_id, writer_of(checkpoint))
 
     return _run(spans, each_batch, checkpoint, trigger)
 

@@ -1,5 +1,6 @@
 """JSON documents and the field model."""
 
+import datetime as dt
 import json
 
 import pytest
@@ -26,10 +27,7 @@ def deduplicated(spark, documents):
 
 
 @pytest.mark.parametrize("given_fields, wanted", [
-    ([("a", "1"), ("c", "3")], [("a", "1"), ("c", "3")]),
-    ([("a", "1"), ("c", "3"), ("a", "2")], [("a", "2"), ("c", "3")]),
-    ([("ns", "1"), ("ns.a", "2")], [("ns.a", "2"), ("ns.value", "1")]),
-    ([("ns", "1"), ("ns.a", "2"), ("ns.value", "3")], [("ns.a", "2"), ("ns.value", "3")]),
+    # '-' sorts before '.', and 'ab' only looks like a child of 'a'.
     ([("a", "1"), ("a-b", "2"), ("a.c", "3")], [("a-b", "2"), ("a.c", "3"), ("a.value", "1")]),
     ([("a", "1"), ("ab.c", "2")], [("a", "1"), ("ab.c", "2")]),
     ([], []),
@@ -78,9 +76,11 @@ def test_dedup_and_nesting_against_plain_python(spark, documents):
         assert [list(json.loads(r.d).items()) for r in flat] == [[(k, json.loads(v)) for k, v in d] for d in clean]
 
 
-def test_sorting_is_stable(spark):
-    made = fields_table(spark, [[("z", "26"), ("a", "2"), ("c", "3"), ("a", "1")]]).select(docs.sort_fields(F.col("f")).alias("f")).first().f
-    assert [tuple(f) for f in made] == [("a", "2"), ("a", "1"), ("c", "3"), ("z", "26")]
+@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.lists(st.tuples(KEYS, st.integers(0, 9).map(str)), max_size=12), min_size=5, max_size=20))
+def test_sorting_is_stable(spark, documents):
+    made = fields_table(spark, documents).orderBy("i").select(docs.sort_fields(F.col("f")).alias("f")).collect()
+    assert [[tuple(f) for f in r.f] for r in made] == [sorted(d, key=lambda p: p[0].encode()) for d in documents]
 
 
 def test_empty_values_are_left_out(spark):
@@ -91,44 +91,61 @@ def test_empty_values_are_left_out(spark):
     assert [r.d for r in nested] == ['{"d":null,"e":"[]"}', "{}"]
 
 
-def test_flatten_nested(spark):
-    texts = ['{"i":42,"str":"test","null":null}', '{"a":{"b":{"c":1.50}},"e":{},"l":[],"o":[{"a":1,"c":3,"n.x":2,"n":5}]}', "{}", None]
-    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
-    made = rows.orderBy("i").select(docs.flatten_nested("prefix", F.col("t")).alias("f")).collect()
-    assert [[tuple(f) for f in r.f] for r in made] == [
-        [("prefix.i", "42"), ("prefix.str", '"test"')],
-        [("prefix.a.b.c", "1.5"), ("prefix.l", "[]"), ("prefix.o", '[{"a":1,"c":3,"n":{"value":5,"x":2}}]')],
-        [], [],
-    ]
-    bare = rows.filter("i = 0").select(docs.flatten_nested("", F.col("t")).alias("f")).first().f
-    assert [f.key for f in bare] == ["i", "str"]
+def plain_flat(prefix, value):
+    """Leaves of nested maps by their joined names; lists stay whole, nothing and empty maps go."""
+    out = []
+    for key in value:
+        name, inner = (f"{prefix}.{key}" if prefix else key), value[key]
+        if isinstance(inner, dict):
+            out += plain_flat(name, inner)
+        elif inner is not None:
+            out.append((name, inner))
+    return out
 
 
+LEAVES = st.one_of(st.integers(-5, 5), st.booleans(), st.sampled_from(["", "x y", 'say "so"']), st.none(), st.lists(st.integers(0, 3), max_size=2))
+TREES = st.dictionaries(st.sampled_from(["k", "m", "z2", "list"]), st.recursive(LEAVES, lambda t: st.dictionaries(st.sampled_from(["p", "q", "r"]), t, max_size=3), max_leaves=6), max_size=4)
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(TREES, min_size=5, max_size=15))
+def test_flatten_nested(spark, trees):
+    rows = spark.createDataFrame([(i, json.dumps(t)) for i, t in enumerate(trees)] + [(len(trees), None)], "i int, t string")
+    for prefix in ("outer", ""):
+        made = rows.orderBy("i").select(docs.flatten_nested(prefix, F.col("t")).alias("f")).collect()
+        assert [{f.key: json.loads(f.json) for f in r.f} for r in made] == [dict(plain_flat(prefix, t)) for t in trees] + [{}]
+
+
+BEGIN, TOOK = dt.datetime(2031, 8, 17, 22, 41, 9, 250_000, dt.timezone.utc), dt.timedelta(milliseconds=1750)
+NANOS = lambda t: (int(t.timestamp()) * 1_000_000 + t.microsecond) * 1000
 SPAN = {
-    "traceId": "0a" * 16, "spanId": "1b" * 8, "name": "checkout", "kind": 3, "startTimeUnixNano": "1681873445000000006",
-    "endTimeUnixNano": "1681873446000000006", "attributes": attrs(instance="23", retries=2, ok=True),
-    "links": [{"traceId": "0c" * 16}],
-    "events": [{"timeUnixNano": "1681873445000000006", "name": "paid", "attributes": attrs(b="x", a="y")}],
+    "traceId": "5e" * 16, "spanId": "77" * 8, "name": "load harbour map", "kind": 2, "startTimeUnixNano": str(NANOS(BEGIN) + 37),
+    "endTimeUnixNano": str(NANOS(BEGIN + TOOK) + 37), "attributes": attrs(tile="q7", zoom=11, cached=False),
+    "links": [{"traceId": "d0" * 16, "spanId": "09" * 8}],
+    "events": [{"timeUnixNano": str(NANOS(BEGIN) + 990), "name": "drawn", "attributes": attrs(layer="sea")}],
 }
-WANTED = (
-    '{"@timestamp":"2023-04-19T03:04:05.000000006Z",%s"EndTimestamp":"2023-04-19T03:04:06.000000006Z",'
-    '"Events.paid.a":"y","Events.paid.b":"x","Events.paid.time":"2023-04-19T03:04:05.000000006Z",'
-    '"Kind":"SPAN_KIND_CLIENT","Link":"[{\\"attribute\\":{},\\"spanID\\":\\"\\",\\"traceID\\":\\"0c0c0c0c0c0c0c0c0c0c0c0c0c0c0c0c\\"}]",'
-    '"Name":"checkout",%s"SpanId":"1b1b1b1b1b1b1b1b","TraceId":"0a0a0a0a0a0a0a0a0a0a0a0a0a0a0a0a","TraceStatus":0}'
-)
+
+
+def plain_document(typed):
+    """What a flat document of SPAN must hold, from the span itself."""
+    text = lambda t, ns: t.strftime("%Y-%m-%dT%H:%M:%S.") + f"{t.microsecond * 1000 + ns:09d}Z"
+    values = {"tile": "q7", "zoom": 11, "cached": False}
+    link = [{"attribute": {}, "spanID": "09" * 8, "traceID": "d0" * 16}]
+    return {
+        "@timestamp": text(BEGIN, 37), "EndTimestamp": text(BEGIN + TOOK, 37), "Kind": "SPAN_KIND_SERVER", "Name": "load harbour map",
+        "SpanId": "77" * 8, "TraceId": "5e" * 16, "TraceStatus": 0, "Link": json.dumps(link, separators=(",", ":")),
+        "Events.drawn.time": text(BEGIN, 990), "Events.drawn.layer": "sea", "Resource.service.name": "charts", "Resource.region": "north",
+    } | {f"Attributes.{k}": v if typed else json.dumps(v).strip('"') for k, v in values.items()}
 
 
 def test_span_document(spark):
-    message = trace_message([SPAN], attrs(service_name="shop", cloud_provider="aws"))
-    spans = otlp.flatten_spans(messages_of(spark, [message], "traces"))
-    resource = '"Resource.cloud.provider":"aws","Resource.service.name":"shop",'
-    plain = '"Attributes.instance":"23","Attributes.ok":"true","Attributes.retries":"2",'
-    assert docs.encode_span_documents(spans).first().document == WANTED % (plain, resource)
-    typed = otlp.flatten_spans(messages_of(spark, [message], "traces"), fields=True)
-    kept = '"Attributes.instance":"23","Attributes.ok":true,"Attributes.retries":2,'
-    assert docs.encode_span_documents(typed).first().document == WANTED % (kept, resource)
-    nested = json.loads(docs.encode_span_documents(typed, dedot=True).first().document)
-    assert nested["Resource"] == {"cloud": {"provider": "aws"}, "service": {"name": "shop"}} and nested["Attributes"]["retries"] == 2
+    message = trace_message([SPAN], attrs(service_name="charts", region="north"))
+    for typed in (False, True):
+        spans = otlp.flatten_spans(messages_of(spark, [message], "traces"), fields=typed)
+        made = json.loads(docs.encode_span_documents(spans).first().document)
+        assert made == plain_document(typed) and list(made) == sorted(made, key=str.encode)
+    nested = json.loads(docs.encode_span_documents(spans, dedot=True).first().document)
+    assert nested == plain_nested([(k, json.dumps(v)) for k, v in plain_document(True).items()])
 
 
 def test_same_name_events_collide_and_the_last_wins(spark):
@@ -142,36 +159,36 @@ def test_jaeger_document(spark):
     message = trace_message([{**SPAN, "parentSpanId": "2c" * 8, "status": {"code": 2, "message": "no"}}], attrs(host="h"), {"name": "lib"})
     made = json.loads(docs.encode_jaeger_documents(otlp.flatten_spans(messages_of(spark, [message], "traces"))).first().document)
     assert made["references"] == [
-        {"refType": "CHILD_OF", "traceID": "0a" * 16, "spanID": "2c" * 8}, {"refType": "FOLLOWS_FROM", "traceID": "0c" * 16, "spanID": ""}]
-    assert (made["startTime"], made["startTimeMillis"], made["duration"]) == (1681873445000000, 1681873445000, 1000000)
+        {"refType": "CHILD_OF", "traceID": "5e" * 16, "spanID": "2c" * 8}, {"refType": "FOLLOWS_FROM", "traceID": "d0" * 16, "spanID": "09" * 8}]
+    micros = NANOS(BEGIN) // 1000
+    assert (made["startTime"], made["startTimeMillis"], made["duration"]) == (micros, micros // 1000, TOOK // dt.timedelta(microseconds=1))
     assert made["process"] == {"serviceName": "OTLPResourceNoServiceName", "tags": [{"key": "host", "type": "string", "value": "h"}]}
     tags = {t["key"]: (t["type"], t["value"]) for t in made["tags"]}
-    assert tags["error"] == ("bool", "true") and tags["span.kind"] == ("string", "client") and tags["otel.status_code"][1] == "ERROR"
-    assert made["logs"][0]["timestamp"] == 1681873445000000 and made["logs"][0]["fields"][0]["value"] == "paid"
+    assert tags["error"] == ("bool", "true") and tags["span.kind"] == ("string", "server") and tags["otel.status_code"][1] == "ERROR"
+    assert made["logs"][0]["timestamp"] == micros and made["logs"][0]["fields"][0]["value"] == "drawn"
 
 
 def test_stored_documents_read_back(spark):
-    stored = [
-        {"@timestamp": "2022-09-23T09:51:57.610168000Z", "EndTimestamp": "2022-09-23T09:51:57.882327833Z", "Kind": "SPAN_KIND_CLIENT",
-         "Name": "HTTP GET", "ParentSpanId": "4c", "SpanId": "79", "TraceId": "39", "TraceStatus": 2, "Link": "[]",
-         "Attributes.http.status_code": 200, "Attributes.ratio": 0.5, "Resource.service.name": "demo", "Resource.args": ["a", "b"]},
-        {"@timestamp": "2022-09-23T09:51:57Z"},
-    ]
+    stored = [{**plain_document(True), "TraceStatus": 2, "Attributes.share": 0.25, "Resource.argv": ["-v", "x"]}, {"@timestamp": "2031-08-17T22:41:09Z"}]
     rows = spark.createDataFrame([(json.dumps(d),) for d in stored] + [(None,), ("no json",)], "document string")
     made = documents_to_spans(rows)
-    first = made.filter("SpanName = 'HTTP GET'").first()
-    assert first.TimestampNs == 1663926717610168000 and first.Duration == 272159833
-    assert first.SpanAttributes == {"http.status_code": "200", "ratio": "0.5"}
-    assert first.ResourceAttributes == {"service.name": "demo", "args": '["a","b"]'} and first.ServiceName == "demo"
-    assert (first.SpanKind, first.StatusCode) == ("SPAN_KIND_CLIENT", "STATUS_CODE_ERROR")
+    first = made.filter("SpanName = 'load harbour map'").first()
+    assert first.TimestampNs == NANOS(BEGIN) + 37 and first.Duration == TOOK // dt.timedelta(microseconds=1) * 1000
+    assert first.SpanAttributes == {"tile": "q7", "zoom": "11", "cached": "false", "share": "0.25"}
+    assert first.ResourceAttributes == {"service.name": "charts", "region": "north", "argv": '["-v","x"]'} and first.ServiceName == "charts"
+    assert (first.SpanKind, first.StatusCode) == ("SPAN_KIND_SERVER", "STATUS_CODE_ERROR")
     good, bad = catalog.validate(made, {"trace id is missing": F.col("TraceId") == ""})
     assert good.count() == 1 and bad.count() == 2
 
 
-def test_index_routing(spark):
-    rows = spans_of(spark, [
-        {"SpanAttributes": {"elasticsearch.index.prefix": "attrprefix-", "elasticsearch.index.suffix": "-attrsuffix"},
-         "ResourceAttributes": {"elasticsearch.index.prefix": "resprefix-"}}, {}])
-    made = [r.index_name for r in catalog.route_by_index(rows, "someindex").orderBy("SpanId").collect()]
-    assert made == ["resprefix-someindex-attrsuffix", "someindex"]
-    assert catalog.route_by_index(rows, "someindex", enabled=False).first().index_name == "someindex"
+PREFIX, SUFFIX = catalog.INDEX_PREFIX, catalog.INDEX_SUFFIX
+
+
+@pytest.mark.parametrize("span, resource, wanted", [
+    ({}, {}, "base"), ({PREFIX: "p1."}, {}, "p1.base"), ({SUFFIX: ".s1"}, {PREFIX: "p2."}, "p2.base.s1"),
+    ({PREFIX: "p1.", SUFFIX: ".s1"}, {PREFIX: "p2.", SUFFIX: ".s2"}, "p2.base.s2"),
+])
+def test_index_routing(spark, span, resource, wanted):
+    rows = spans_of(spark, [{"SpanAttributes": span, "ResourceAttributes": resource}])
+    assert catalog.route_by_index(rows, "base").first().index_name == wanted
+    assert catalog.route_by_index(rows, "base", enabled=False).first().index_name == "base"

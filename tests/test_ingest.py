@@ -9,17 +9,17 @@ from telesift.operators import catalog, spans as span_ops
 from telesift.sources import otlp, tables
 from tests.helpers import any_value, attrs, messages_of, spans_of, trace_message
 
-START, END = "1581452772000000321", "1581452773000000789"
+BASE = 1_944_772_869_250_000_000
 
 
 def test_span_columns(spark):
     message = trace_message(
         [{
-            "traceId": "0102030405060708080706050403020A", "spanId": "1112131415161718", "parentSpanId": "0000000000000000",
-            "name": "operationA", "kind": 3, "startTimeUnixNano": START, "endTimeUnixNano": END, "attributes": attrs(n=1, ok=True),
-            "events": [{"timeUnixNano": "1581452773000000123", "name": "event-with-attr", "attributes": attrs(k="v")}, {"name": "event"}],
+            "traceId": "A1B2C3D4" * 4, "spanId": "FeedBeef" * 2, "parentSpanId": "0" * 16,
+            "name": "plot course", "kind": 3, "startTimeUnixNano": str(BASE), "endTimeUnixNano": str(BASE + 77), "attributes": attrs(n=1, ok=True),
+            "events": [{"timeUnixNano": str(BASE + 5), "name": "tacked", "attributes": attrs(side="port")}, {"name": "moored"}],
             "links": [{"traceId": "0A", "spanId": "0b", "traceState": "s", "attributes": attrs(l="w")}, {}],
-            "status": {"code": 2, "message": "status-cancelled"},
+            "status": {"code": 2, "message": "ran aground"},
         }],
         attrs(service_name="svc", host="h"), {"name": "scope", "version": "1"},
     )
@@ -27,13 +27,12 @@ def test_span_columns(spark):
     assert df.schema.names == schema.SPANS.names
     assert [f.dataType for f in df.schema] == [f.dataType for f in schema.SPANS]
     row = df.first()
-    assert row.TimestampNs == int(START) and row.Timestamp.microsecond == 0 and row.Duration == 1_000_000_468
-    assert (row.TraceId, row.SpanId, row.ParentSpanId) == ("0102030405060708080706050403020a", "1112131415161718", "")
-    assert (row.SpanKind, row.StatusCode, row.StatusMessage) == ("SPAN_KIND_CLIENT", "STATUS_CODE_ERROR", "status-cancelled")
+    assert row.TimestampNs == BASE and row.Timestamp.microsecond == 250_000 and row.Duration == 77
+    assert (row.TraceId, row.SpanId, row.ParentSpanId) == ("a1b2c3d4" * 4, "feedbeef" * 2, "")
+    assert (row.SpanKind, row.StatusCode, row.StatusMessage) == ("SPAN_KIND_CLIENT", "STATUS_CODE_ERROR", "ran aground")
     assert row.ServiceName == "svc" and row.ResourceAttributes == {"service.name": "svc", "host": "h"}
     assert row.SpanAttributes == {"n": "1", "ok": "true"} and (row.ScopeName, row.ScopeVersion) == ("scope", "1")
-    assert [(e.Name, e.TimestampNs, e.Attributes) for e in row.Events] == [
-        ("event-with-attr", 1581452773000000123, {"k": "v"}), ("event", 0, {})]
+    assert [(e.Name, e.TimestampNs, e.Attributes) for e in row.Events] == [("tacked", BASE + 5, {"side": "port"}), ("moored", 0, {})]
     assert [(l.TraceId, l.SpanId, l.TraceState, l.Attributes) for l in row.Links] == [("0a", "0b", "s", {"l": "w"}), ("", "", "", {})]
 
 
@@ -48,15 +47,13 @@ def test_missing_pieces(spark):
 
 def test_attribute_values(spark):
     kvs = attrs(
-        key="value", bool=True, int=0, double=0.0, half=0.5, empty="", none=None, list=["a", 1, True, 1.0, None, ["x"]],
-        map={"b": 1, "a": {"z": "q\"", "y": []}}, deep=[[[["d"]]]],
-    ) + [{"key": "key", "value": {"stringValue": "last"}}, {"key": "bytes", "value": {"bytesValue": "AQI="}}]
+        depth=-3, open=False, ratio=2.0, half=0.5, blank="", nothing=None, many=["s", -1, False, 2.0, None, ["t"]],
+        tree={"z": 1, "m": {"q": 'a"b', "e": []}},
+    ) + [{"key": "depth", "value": {"stringValue": "again"}}, {"key": "raw", "value": {"bytesValue": "/wA="}}]
     row = otlp.flatten_spans(messages_of(spark, [trace_message([{"attributes": kvs}])], "traces")).first()
     assert row.SpanAttributes == {
-        "key": "last", "bool": "true", "int": "0", "double": "0", "half": "0.5", "empty": "", "none": "",
-        "list": '["a",1,true,1,null,["x"]]', "map": '{"a":{"y":[],"z":"q\\""},"b":1}',
-        # Below the third level the message text is kept.
-        "deep": '[[[{"values":[{"stringValue":"d"}]}]]]', "bytes": "AQI=",
+        "depth": "again", "open": "false", "ratio": "2", "half": "0.5", "blank": "", "nothing": "",
+        "many": '["s",-1,false,2,null,["t"]]', "tree": '{"m":{"e":[],"q":"a\\"b"},"z":1}', "raw": "/wA=",
     }
 
 
@@ -66,7 +63,7 @@ def test_service_name_is_not_inherited(spark):
         {"resource": {"attributes": attrs(service_name="one")}, "schemaUrl": "r/1.4.0",
          "scopeLogs": [{"schemaUrl": "s/1.7.0", "scope": {"name": "lib", "attributes": attrs(lib="x")},
                         "logRecords": [{"severityText": "Info", "severityNumber": 9, "flags": 1, "body": any_value("hello"),
-                                        "timeUnixNano": START, "traceId": "08040201000000000000000000000000"}]}]},
+                                        "timeUnixNano": str(BASE), "traceId": "3c" * 16}]}]},
         {"scopeLogs": [{"logRecords": [{"body": any_value({"k": 1})}, {}]}]},
     ]}
     df = otlp.flatten_logs(messages_of(spark, [logs], "logs"))
@@ -77,20 +74,20 @@ def test_service_name_is_not_inherited(spark):
     assert rows[0].TraceFlags == 1 and rows[0].SeverityNumber == 9 and rows[1].TraceFlags == 0
 
 
-POINT = {"startTimeUnixNano": "1", "timeUnixNano": "1672218930000000000", "flags": 1, "attributes": attrs(l="v")}
+POINT = {"startTimeUnixNano": "1", "timeUnixNano": str(BASE), "flags": 1, "attributes": attrs(mast="fore")}
 METRICS = {"resourceMetrics": [{"resource": {"attributes": attrs(service_name="m")}, "scopeMetrics": [{
-    "scope": {"name": "lib", "version": "1", "droppedAttributesCount": 10}, "schemaUrl": "u", "metrics": [
+    "scope": {"name": "lib", "version": "1", "droppedAttributesCount": 3}, "schemaUrl": "u", "metrics": [
         {"name": "g", "unit": "1", "description": "d", "gauge": {"dataPoints": [
-            {**POINT, "asInt": "123", "exemplars": [{"filteredAttributes": attrs(a="b")},
-                                                    {"timeUnixNano": "1672218930000000000", "asInt": "20", "spanId": "0102030400000000"}]},
-            {**POINT, "asDouble": 4.5}, POINT]}},
+            {**POINT, "asInt": "-7", "exemplars": [{"filteredAttributes": attrs(why="test")},
+                                                   {"timeUnixNano": str(BASE + 9), "asInt": "31", "spanId": "ab" * 8}]},
+            {**POINT, "asDouble": 0.75}, POINT]}},
         {"name": "s", "sum": {"aggregationTemporality": 2, "isMonotonic": True, "dataPoints": [{**POINT, "asDouble": 1.25}]}},
         {"name": "h", "histogram": {"aggregationTemporality": 2, "dataPoints": [
-            {**POINT, "count": "3", "sum": 6.5, "bucketCounts": ["1", "2"], "explicitBounds": [5.0], "min": 1.0, "max": 4.0}]}},
+            {**POINT, "count": "9", "sum": 20.5, "bucketCounts": ["4", "5"], "explicitBounds": [2.5], "min": 0.5, "max": 6.0}]}},
         {"name": "e", "exponentialHistogram": {"dataPoints": [
-            {**POINT, "count": "2", "sum": 3.0, "scale": -1, "zeroCount": "1", "positive": {"offset": 2, "bucketCounts": ["1"]},
-             "negative": {"offset": -2, "bucketCounts": ["4", "5"]}}]}},
-        {"name": "q", "summary": {"dataPoints": [{**POINT, "count": "1", "sum": 15.0, "quantileValues": [{"quantile": 0.01, "value": 15.0}, {}]}]}},
+            {**POINT, "count": "6", "sum": 3.0, "scale": 3, "zeroCount": "2", "positive": {"offset": 1, "bucketCounts": ["1"]},
+             "negative": {"offset": -4, "bucketCounts": ["1", "2"]}}]}},
+        {"name": "q", "summary": {"dataPoints": [{**POINT, "count": "1", "sum": 8.0, "quantileValues": [{"quantile": 0.9, "value": 8.0}, {}]}]}},
         {"name": "empty", "gauge": {"dataPoints": []}},
         {"name": "untyped"},
     ]}]}]}
@@ -103,19 +100,19 @@ def test_metric_tables(spark):
         assert df.schema.names == schema.METRICS[kind].names, kind
         assert [f.dataType for f in df.schema] == [f.dataType for f in schema.METRICS[kind]], kind
     gauge = made["gauge"].collect()
-    assert [r.Value for r in gauge] == [123.0, 4.5, 0.0]
-    assert gauge[0].Attributes == {"l": "v"} and gauge[0].ScopeDroppedAttrCount == 10 and gauge[0].Flags == 1
+    assert [r.Value for r in gauge] == [-7.0, 0.75, 0.0]
+    assert gauge[0].Attributes == {"mast": "fore"} and gauge[0].ScopeDroppedAttrCount == 3 and gauge[0].Flags == 1
     first, second = gauge[0].Exemplars
-    assert (first.FilteredAttributes, first.Value, first.TraceId, first.SpanId) == ({"a": "b"}, 0.0, "0" * 32, "0" * 16)
-    assert first.TimeUnix == dt.datetime(1970, 1, 1) and (second.Value, second.SpanId) == (20.0, "0102030400000000")
+    assert (first.FilteredAttributes, first.Value, first.TraceId, first.SpanId) == ({"why": "test"}, 0.0, "0" * 32, "0" * 16)
+    assert first.TimeUnix == dt.datetime(1970, 1, 1) and (second.Value, second.SpanId) == (31.0, "ab" * 8)
     total = made["sum"].first()
     assert (total.Value, total.AggTemp, total.IsMonotonic, total.StartTimeUnixNs) == (1.25, 2, True, 1)
     histogram = made["histogram"].first()
-    assert (histogram.Count, histogram.BucketCounts, histogram.ExplicitBounds, histogram.Min) == (3, [1, 2], [5.0], 1.0)
+    assert (histogram.Count, histogram.BucketCounts, histogram.ExplicitBounds, histogram.Min) == (9, [4, 5], [2.5], 0.5)
     exponential = made["exponential_histogram"].first()
-    assert (exponential.Scale, exponential.ZeroCount, exponential.PositiveOffset, exponential.NegativeBucketCounts) == (-1, 1, 2, [4, 5])
+    assert (exponential.Scale, exponential.ZeroCount, exponential.PositiveOffset, exponential.NegativeBucketCounts) == (3, 2, 1, [1, 2])
     summary = made["summary"].first()
-    assert [(q.Quantile, q.Value) for q in summary.ValueAtQuantiles] == [(0.01, 15.0), (0.0, 0.0)]
+    assert [(q.Quantile, q.Value) for q in summary.ValueAtQuantiles] == [(0.9, 8.0), (0.0, 0.0)]
     assert [r.MetricName for r in otlp.untyped_metrics(parsed).collect()] == ["untyped"]
     kinds = otlp.flatten_metrics(parsed).groupBy("kind").count().collect()
     assert {r["kind"]: r["count"] for r in kinds} == {
@@ -125,15 +122,38 @@ def test_metric_tables(spark):
 def test_quarantine(spark):
     """Bad records are collected with a reason, and the good ones go through."""
     good = {"traceId": "1" * 32, "spanId": "2" * 16, "startTimeUnixNano": "5", "endTimeUnixNano": "9"}
-    big = {**good, "startTimeUnixNano": "18446744073709551615"}
-    messages = messages_of(spark, [trace_message([good, big, {**good, "traceId": "12"}, {**good, "endTimeUnixNano": "1"}]), "{broken"], "traces")
-    assert otlp.out_of_range_times(messages).count() == 1
+    odd = [{**good, "startTimeUnixNano": t} for t in (str(2**63), str(2**64 - 1), str(-(2**63)), "-1", "soon")]
+    odd.append({**good, "events": [{"timeUnixNano": str(2**63)}]})
+    messages = messages_of(spark, [trace_message([good, *odd, {**good, "traceId": "12"}, {**good, "endTimeUnixNano": "1"}]), "{broken"], "traces")
+    assert otlp.out_of_range_times(messages).count() == 6
     assert [r.message for r in otlp.corrupt_messages(messages).collect()] == ["{broken"]
+    assert sorted(r.reason for r in otlp.rejected(messages, "traces").collect()) == sorted([otlp.BAD_NUMBER] * 6 + ["message is not valid JSON"])
     kept, bad = catalog.validate(otlp.flatten_spans(messages), catalog.span_rules())
-    assert kept.count() == 2
+    assert kept.count() == 1
     assert sorted(r.reason for r in bad.collect()) == ["span ends before it starts", "trace id is not 32 hex digits"]
 
 
+def test_quarantine_of_logs_and_metrics(spark):
+    logs = {"resourceLogs": [{"scopeLogs": [{"logRecords": [
+        {"timeUnixNano": str(BASE), "severityNumber": "SEVERITY_NUMBER_WARN2"}, {"timeUnixNano": str(2**63)}, {"severityNumber": 23}]}]}]}
+    parsed = messages_of(spark, [logs], "logs")
+    assert sorted((r.TimestampNs, r.SeverityNumber) for r in otlp.flatten_logs(parsed).collect()) == [(0, 23), (BASE, 14)]
+    assert otlp.rejected(parsed, "logs").count() == 1 and otlp.corrupt_messages(parsed).count() == 0
+    points = [{**POINT, "count": c, "bucketCounts": b} for c, b in (("1", ["1"]), (str(2**64 - 1), ["1"]), ("1", ["0", str(2**63)]), ("-1", []))]
+    metrics = {"resourceMetrics": [{"scopeMetrics": [{"metrics": [
+        {"name": "h", "histogram": {"aggregationTemporality": "AGGREGATION_TEMPORALITY_CUMULATIVE", "dataPoints": points}},
+        {"name": "s", "sum": {"aggregationTemporality": "AGGREGATION_TEMPORALITY_DELTA", "dataPoints": [{**POINT, "asInt": "3"}]}}, {"name": "none"}]}]}]}
+    parsed = messages_of(spark, [metrics], "metrics")
+    assert [(r.kind, r.AggTemp) for r in otlp.flatten_metrics(parsed).orderBy("kind").collect()] == [("histogram", 2), ("sum", 1)]
+    assert otlp.rejected(parsed, "metrics").count() == 4
+
+
+def test_severity_names(spark):
+    names = [f"SEVERITY_NUMBER_{n}{d}" for n in otlp.SEVERITIES for d in ("", "2", "3", "4")] + ["SEVERITY_NUMBER_UNSPECIFIED", "x", None, "7"]
+    rows = spark.createDataFrame(list(enumerate(names)), "i int, s string").orderBy("i")
+    assert [r[0] for r in rows.select(otlp.severity_number(F.col("s"))).collect()] == [*range(1, 25), 0, 0, 0, 7]
+
+
 def test_tables_on_disk(spark, tmp_path):
     day = 86_400_000_000_000
     rows = [{"TimestampNs": 1_704_067_200_000_000_000 + d * day + i, "TraceId": f"{i:032x}", "SpanId": f"{d}-{i}",
@@ -145,9 +165,11 @@ def test_tables_on_disk(spark, tmp_path):
     assert "attr_SpanAttributes_a_2e_b" in stored.columns
     assert stored.filter(tables.attribute_equals(stored, ["SpanAttributes"], "a.b", "1")).count() == 4
     assert stored.filter(tables.attribute_equals(stored, ["SpanAttributes"], "a.b", "")).count() == 4
-    # A second load adds to the first.
-    tables.write_spans(spans_of(spark, rows[:1]), path)
-    assert spark.read.parquet(path).count() == 13
+    # A second load adds to the first, and its attributes are found though it promotes none.
+    tables.write_spans(spans_of(spark, rows[1:2]), path)
+    for stored in (tables.read_table(spark, path), spark.read.schema(stored.schema).parquet(path)):
+        assert stored.count() == 13
+        assert stored.filter(tables.attribute_equals(stored, ["SpanAttributes"], "a.b", "1")).count() == 5
     # 1 to 4 January; on the 5th, whatever is from before the 3rd is older than two days.
     now = dt.datetime(2024, 1, 5, 6)
     kept = tables.retained(spark.read.parquet(path), 2, now).select("day").distinct().count()
@@ -167,8 +189,14 @@ def test_attribute_equals_prefers_the_first_map(spark):
 
 def test_append_if_absent(spark):
     existing = spark.createDataFrame([("a", "old", {"m": "1"})], "id string, doc string, attrs map<string,string>")
-    new = spark.createDataFrame([("a", "new", {}), ("b", "x", {}), ("b", "x", {}), ("c", "y", {"k": "v"})], existing.schema)
-    assert sorted(r.id for r in tables.append_if_absent(existing, new, "id").collect()) == ["b", "c"]
+    new = spark.createDataFrame([("a", "new", {}), ("b", "x", {}), ("b", "x", {}), ("c", "y", {"k": "v"}), (None, "p", {}), (None, "q", {})], existing.schema)
+    assert sorted(r.id or "" for r in tables.append_if_absent(existing, new, "id").collect()) == ["", "", "b", "c"]
+
+
+def test_index_names_stay_text(spark, tmp_path):
+    rows = spark.createDataFrame([("{}", "007"), ("{}", "2024"), ("{}", "main")], "document string, index_name string")
+    tables.write_documents(rows, str(tmp_path / "docs"))
+    assert sorted(r.index_name for r in tables.read_documents(spark, str(tmp_path / "docs")).collect()) == ["007", "2024", "main"]
 
 
 def test_parts_split_only_large_groups(spark):
@@ -181,10 +209,3 @@ def test_parts_split_only_large_groups(spark):
     assert len(hot) == 10 and max(r["count"] for r in hot) < 1300
     assert all(r.parts == 1 and r.part == 0 for r in sizes if r.k != "hot")
     assert span_ops.in_parts(rows, ["id"], ["id"], 1000).filter("part <> 0").count() == 0
-
-
-def test_parts_with_more_large_groups_than_are_broadcast(spark, monkeypatch):
-    monkeypatch.setattr(span_ops, "MAX_LARGE_GROUPS", 2)
-    rows = spark.range(1000).select((F.col("id") % 5).alias("k"), "id")
-    sizes = span_ops.in_parts(rows, ["k"], ["id"], 50).groupBy("k", "part").count().collect()
-    assert sum(r["count"] for r in sizes) == 1000 and len(sizes) == 20

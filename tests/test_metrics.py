@@ -74,7 +74,7 @@ def test_derived_metrics(spark):
         assert all(r.Attributes == {"s": "x"} and r.MetricName == "new" for r in rows)
         return [r.Value for r in rows]
 
-    assert made("add") == [14.0, 20.0] and made("subtract") == [6.0, 20.0] and made("multiply") == [40.0, 0.0]
+    assert made("add") == [14.0, 35.0] and made("subtract") == [6.0, 35.0] and made("multiply") == [40.0, 0.0]
     assert made("divide") == [2.5, None] and made("percent") == [250.0, None]
     with pytest.raises(KeyError):
         made("modulo")
@@ -94,5 +94,38 @@ def test_transformed_metrics(spark):
 def test_points_by_series(spark):
     df = sums(spark, [("x", 2, 1.0), ("x", 1, 2.0), ("y", 1, 3.0)])
     assert [r.Value for r in metrics.metric_points(df, "m", limit=2).collect()] == [2.0, 3.0]
-    assert [r.Value for r in metrics.metric_points(df, "m", {"s": "x"}).collect()] == [2.0, 1.0]
+    assert sorted(r.Value for r in metrics.metric_points(df, "m", {"s": "x"}).collect()) == [1.0, 2.0]
     assert metrics.metric_points(df, "n").count() == 0
+
+
+def identified(df, **columns):
+    return df.withColumns({name: F.expr(sql) for name, sql in columns.items()})
+
+
+def test_scopes_and_units_are_series_of_their_own(spark):
+    df = sums(spark, [("a", 10, 1.0), ("a", 20, 2.0), ("b", 10, 100.0), ("b", 20, 200.0)])
+    df = identified(df, ScopeName="Attributes['s']", Attributes="map('s', 'same')")
+    assert deltas(df) == [("same", 10, 20, 1.0, 1), ("same", 10, 20, 100.0, 1)]
+    units = identified(df, MetricUnit="ScopeName", ScopeName="'x'")
+    assert deltas(units) == deltas(df)
+
+
+def test_a_later_start_is_a_restart(spark):
+    df = sums(spark, [("a", 10, 10.0), ("a", 20, 12.0), ("a", 30, 13.0)])
+    df = identified(df, StartTimeUnixNs="CASE WHEN TimeUnixNs = 10 THEN 1L ELSE 15L END")
+    assert deltas(df) == [("a", 10, 20, 12.0, 1), ("a", 20, 30, 1.0, 1)]
+
+
+def test_derived_metrics_keep_scopes_apart_and_add_repeats(spark):
+    df = sums(spark, [("a", 10, 1.0), ("a", 10, 2.0), ("b", 10, 5.0)])
+    df = identified(df, ScopeName="Attributes['s']", Attributes="map('s', 'same')")
+    other = df.withColumns({"MetricName": F.lit("n"), "Value": F.lit(1.0)}).dropDuplicates(["ScopeName"])
+    made = metrics.derive_metric(df.unionByName(other), "r", "m", "n", "divide").collect()
+    assert sorted((r.ScopeName, r.Value) for r in made) == [("a", 3.0), ("b", 5.0)]
+
+
+def test_labels_are_aggregated_within_resource_and_scope(spark):
+    df = sums(spark, [("a", 10, 1.0), ("b", 10, 2.0), ("c", 10, 5.0)])
+    df = identified(df, ResourceAttributes="map('host', if(Attributes['s'] = 'c', 'h2', 'h1'))")
+    made = metrics.transform_metrics(df, keep_labels=[]).collect()
+    assert sorted((r.ResourceAttributes["host"], r.Value) for r in made) == [("h1", 3.0), ("h2", 5.0)]

@@ -47,7 +47,7 @@ def test_only_needed_columns_are_read(stored):
 def test_lookup_by_id_is_pushed_down(stored):
     assert "EqualTo(TraceId,x)" in plan(ts.get_trace(stored["spans"], "x"))
     pruned = plan(ts.get_trace_pruned(stored["spans"], stored["bounds"], "x"))
-    assert "PartitionFilters: [isnotnull(day" in pruned and "Subquery" in pruned
+    assert "PartitionFilters: [coalesce((day" in pruned and "Subquery" in pruned
 
 
 def test_promoted_attributes_are_pushed_down(stored):
@@ -60,9 +60,16 @@ def test_promoted_attributes_are_pushed_down(stored):
 def test_searched_traces_prune_days(stored):
     query = ts.TraceQuery(service_name="svc-click", start=START, end=END)
     for df in (ts.search_traces_by_matches(stored["spans"], query, stored["bounds"]),
-               ts.search_spans_recent(stored["spans"], stored["bounds"], ts.TraceQuery())):
-        text = plan(df)
-        assert "dynamicpruning" in text and "BroadcastHashJoin" in text
+               ts.search_spans_recent(stored["spans"], stored["bounds"], ts.TraceQuery(end=END))):
+        spans_scans = [line for line in scans(plan(df)) if "SpanAttributes" in line or "SpanName" in line]
+        assert spans_scans and all("PartitionFilters: [isnotnull(day" in line for line in spans_scans)
+        assert any("Subquery" in line for line in spans_scans)
+
+
+def test_bounds_are_pruned_by_either_end_of_a_range(stored):
+    for query, sign in ((ts.TraceQuery(start=START), ">= 2024-01-05"), (ts.TraceQuery(end=END), "<= 2024-01-06")):
+        text = plan(ts.search_spans_recent(stored["spans"], stored["bounds"], query))
+        assert any(f"(day#" in line and sign in line for line in scans(text))
 
 
 def test_no_cartesian_products_and_no_python(stored):
@@ -108,18 +115,30 @@ def test_deltas_never_window_a_whole_series(spark):
     assert len(windows) == 2 and "_bucket" in windows[0] and "partial_max" in text
 
 
-def test_ids_are_broadcast_only_up_to_a_bound(stored):
-    few = plan(ts.multi_get_traces(stored["spans"], ["a"], max_rows=None))
-    assert "BroadcastHashJoin" in few
-    many = ts.TraceQuery(start=START, end=END, num_traces=ts.MAX_BROADCAST_IDS + 1)
-    logical = ts.search_traces_by_matches(stored["spans"], many)._jdf.queryExecution().analyzed().toString()
-    assert "ResolvedHint" not in logical
-    logical = ts.search_traces_by_matches(stored["spans"], ts.TraceQuery(start=START, end=END))._jdf.queryExecution().analyzed().toString()
-    assert "ResolvedHint" in logical
+def test_no_search_forces_a_broadcast(stored):
+    query = ts.TraceQuery(start=START, end=END)
+    for df in (ts.multi_get_traces(stored["spans"], ["a"]), ts.search_traces_by_matches(stored["spans"], query, stored["bounds"]),
+               ts.search_spans_recent(stored["spans"], stored["bounds"], query)):
+        assert "ResolvedHint" not in df._jdf.queryExecution().analyzed().toString()
+
+
+def test_catalogues_of_a_time_range_prune_days(stored):
+    for df in (span_ops.services_latest(stored["spans"], START, END), span_ops.services_top(stored["spans"], start=START),
+               span_ops.operations(stored["spans"], start=START), span_ops.operations_top(stored["spans"], start=START, end=END)):
+        for scan in scans(plan(df)):
+            assert "PartitionFilters: [isnotnull(day" in scan and ">= 2024-01-05" in scan
+
+
+def test_building_parts_runs_no_job(stored):
+    context = stored["spans"].sparkSession.sparkContext
+    context.setJobGroup("parts", "parts")
+    sampling.group_by_trace(stored["spans"])
+    span_ops.spans_to_resource_spans(stored["spans"])
+    assert list(context.statusTracker().getJobIdsForGroup("parts")) == []
 
 
 def test_log_filters_are_pushed_down(stored):
-    text = plan(log_ops.logs_by_service(stored["logs"], "svc-view"))
+    text = plan(log_ops.logs_by_service(stored["logs"], "svc-view", limit=100))
     assert "EqualTo(ServiceName,svc-view)" in text and "TakeOrderedAndProject" in text
     assert "StringContains(Body,the)" in plan(log_ops.logs_has_token(stored["logs"], "the"))
 

@@ -51,12 +51,19 @@ def test_trace_calls(store):
     assert store.search_recent_spans(TraceQuery(num_traces=1)).count() == 2
     assert store.get_services().count() == 2
     assert [r[0] for r in store.get_operations("db").collect()] == ["op2"]
+    assert store.get_services(start=dt.datetime(2024, 1, 2)).count() == 1
+    assert [r[0] for r in store.get_operations(end=dt.datetime(2024, 1, 1, 2)).collect()] == ["op3"]
     with pytest.raises(ValueError):
         store.get_trace("")
 
 
+def test_rejected_records_are_kept_aside(store):
+    rows = store.rejected().collect()
+    assert [(r.signal, r.what, r.reason) for r in rows] == [("metrics", "untyped", "metric type is unset or unsupported")]
+
+
 def test_log_and_metric_calls(store):
     assert [r.Body for r in store.search_logs(LogQuery(tokens=("error",))).collect()] == ["an error"]
     assert store.get_logs(f"{1:032x}").count() == 1
-    assert sorted(r.Value for r in store.metric_points("gauge", "g", {"l": "v"}).collect()) == [0.0, 4.5, 123.0]
+    assert sorted(r.Value for r in store.metric_points("gauge", "g", {"mast": "fore"}).collect()) == [-7.0, 0.0, 0.75]
     assert store.metric_points("sum", "g").count() == 0

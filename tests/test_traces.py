@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from telesift.operators import attributes, bounds, catalog, sampling, span_metrics, spans as span_ops
 from telesift.plans import trace_search as ts
 from telesift.plans.log_search import LogQuery, search_logs
+from telesift.sources import tables
 from tests.helpers import spans_of
 
 START, END = dt.datetime(2023, 1, 1), dt.datetime(2024, 1, 1)
@@ -268,3 +269,47 @@ def test_log_search_without_conditions_is_the_newest(spark):
         from telesift.operators.logs import logs_json_number
 
         logs_json_number(logs, "$.x", "~", 1)
+
+
+@pytest.mark.parametrize("name, pattern, keys, wanted, found", [
+    ("1op-1-x1", r"^1op-(\d)-x1$", ["n"], "1op-{n}-x1", {"n": "1"}),
+    ("/u/no/key/o", r"^/u/(\w+)/key/(\w)$", ["n", "o"], "/u/{n}/key/{o}", {"n": "no", "o": "o"}),
+    ("see aa then aa", r"(a+) then (a+)", ["x", "y"], "see {x} then {y}", {"x": "aa", "y": "aa"}),
+    ("[(7)]", r"[\[(]+(\d)(?:\))", ["n"], "[({n})]", {"n": "7"}),
+    ("other", r"^/u/(\w+)$", ["n"], "other", {}),
+])
+def test_names_are_rebuilt_around_the_groups(spark, name, pattern, keys, wanted, found):
+    row = attributes.name_to_attributes(spans_of(spark, [{"SpanName": name}]), pattern, keys).first()
+    assert (row.SpanName, row.SpanAttributes) == (wanted, found)
+
+
+def test_nested_groups_are_refused(spark):
+    for pattern, keys in ((r"((a)b)", ["x"]), (r"(a)(b)", ["x"])):
+        with pytest.raises(ValueError):
+            attributes.name_to_attributes(spans_of(spark, [{}]), pattern, keys)
+
+
+def test_recent_search_takes_each_end_alone(spark, tmp_path):
+    day = 86_400_000_000_000
+    spans = spans_of(spark, [{"TraceId": f"t{d}", "SpanId": f"s{d}", "TimestampNs": 1_704_067_200_000_000_000 + d * day} for d in range(5)])
+    tables.write_spans(spans, str(tmp_path / "s"))
+    tables.write_bounds(bounds.trace_bounds(spans), str(tmp_path / "b"))
+    stored, limits = tables.read_table(spark, str(tmp_path / "s")), tables.read_table(spark, str(tmp_path / "b"))
+
+    def found(**how):
+        return sorted(r.TraceId for r in ts.search_spans_recent(stored, limits, ts.TraceQuery(**how)).collect())
+
+    assert found() == ["t0", "t1", "t2", "t3", "t4"]
+    assert found(end=dt.datetime(2024, 1, 2)) == ["t0", "t1"]
+    assert found(start=dt.datetime(2024, 1, 4)) == ["t3", "t4"]
+    assert found(start=dt.datetime(2024, 1, 2), end=dt.datetime(2024, 1, 3), num_traces=1) == ["t2"]
+
+
+def test_traces_without_bounds_or_start_are_found(spark, tmp_path):
+    spans = spans_of(spark, [{"TraceId": "a", "SpanId": "1", "TimestampNs": 0}, {"TraceId": "a", "SpanId": "2"}, {"TraceId": "b", "SpanId": "3"}])
+    tables.write_spans(spans, str(tmp_path / "s"))
+    stored = tables.read_table(spark, str(tmp_path / "s"))
+    limits = bounds.trace_bounds(spans.filter("TraceId = 'a'"))
+    assert ts.get_trace_pruned(stored, limits, "a").count() == 2
+    assert ts.get_trace_pruned(stored, limits, "b").count() == 1
+    assert ts.multi_get_traces(stored, ["a"], bounds=limits).count() == 2
