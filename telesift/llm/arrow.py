@@ -7,7 +7,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 _KINDS = {
-    "int": T.IntegerType(), "long": T.LongType(), "double": T.DoubleType(), "float": T.FloatType(), "bool": T.BooleanType(),
+    "short": T.ShortType(), "int": T.IntegerType(), "long": T.LongType(), "double": T.DoubleType(), "float": T.FloatType(), "bool": T.BooleanType(),
     "binary": T.BinaryType(), "string": T.StringType(),
 }
 

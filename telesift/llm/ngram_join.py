@@ -44,9 +44,10 @@ PERCENT = 75
 SKETCH = 8
 #: Sketch values that a node must share with a head, to be tried with it while groups are made.
 AGREE = 3
-#: Shingles looked at together for frequent ones, and how often one must come in such a chunk and in all of them.
+#: Shingles looked at together for frequent ones: in a full chunk one must come four times to be counted, in a small one twice;
+#: in all of them FREQUENT times.
 CHUNK = 1 << 22
-CHUNK_TIMES, FREQUENT = 3, 8
+FREQUENT = 8
 #: Frequent shingles known to every task: beyond these, the order treats a shingle as any other.
 KNOWN_FREQUENT = 1 << 20
 #: Bits of the filter that says which sets are wanted; what it lets through too much is dropped by a join.
@@ -61,7 +62,7 @@ _PREFIXES = record(node="long", n="int", least="int", inner="int", tokens="[long
 _RUNS = record(bucket="int", low="binary")
 _SET_BITS = record(word="long", bit="long")
 _CELLS = record(token="long", node="long", n="int", least="int", inner="bool")
-_SETS = record(node="long", n="int", short="[int]", whole="[long]")
+_SETS = record(node="long", n="int", short="[short]", whole="[long]")
 
 
 def _constant(n: int) -> np.ndarray:
@@ -109,7 +110,7 @@ def _first_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         x = np.sort(np.concatenate(chunk))
         start = np.flatnonzero(np.concatenate([[True], x[1:] != x[:-1]]))
         times = np.diff(np.append(start, len(x)))
-        often = times >= CHUNK_TIMES
+        often = times >= 2 + 2 * len(x) // CHUNK
         token, n = x[start[often]].view(np.int64), times[often]
         none = pa.nulls(len(n))
         return batch_of(_SKETCHES, [none.cast(pa.int64()), none.cast(pa.int64()), none.cast(pa.int32()), none.cast(pa.list_(pa.int64())), token, n])
@@ -306,7 +307,7 @@ def _whole_sets(shared):
                     name, x = int(node[row]), sets[row]
                     if len(x) and name not in seen:
                         seen.add(name)
-                        short = np.unique(x >> np.uint64(64 - SHORT_BITS)).astype(np.int32)
+                        short = np.unique(x >> np.uint64(64 - SHORT_BITS)).astype(np.uint16).view(np.int16)
                         rows.append((node[row].view(np.int64), len(x), short, x.view(np.int64)))
                 if len(seen) > 1_000_000:
                     seen.clear()
@@ -372,8 +373,10 @@ def link(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int
     second = stored(texts.mapInArrow(_second_pass(shared, percent), _PREFIXES), "prefixes")
 
     sets = second.filter("whole IS NOT NULL").select("node", "whole")
+    heads = _wanted(tried.select(F.col("head").alias("node")))
+    of_heads = sets.mapInArrow(_only(spark_context.broadcast(heads)), record(node="long", whole="[long]"))
     pairs = tried.join(sets, "node").withColumnRenamed("whole", "x")
-    pairs = pairs.join(sets.select(F.col("node").alias("head"), F.col("whole").alias("y")), "head")
+    pairs = pairs.join(of_heads.select(F.col("node").alias("head"), F.col("whole").alias("y")), "head")
     stars = stored(pairs.filter(_linked(F.col("x"), F.col("y"), percent)).select(F.col("node").alias("a"), F.col("head").alias("b")), "stars")
     groups = stored(components(stars), "groups")
 
@@ -435,18 +438,19 @@ def _open(spark, texts: DataFrame, nodes: DataFrame, groups: DataFrame, candidat
     sets = stored(texts.mapInArrow(_whole_sets(broadcast((_wanted(sides), owners))), _SETS), "sets")
 
     # Overlap of each query with the union of the other group's shingles, both cut short: what the cut confuses adds to it.
-    short = sets.select("node", "short").join(members, "node").dropDuplicates(["node"])
-    alone = sizes.filter("members = 1").select("grp")
-    one = short.join(alone, "grp").select(F.col("grp").alias("other"), F.col("short").alias("union"))
-    many = short.join(sizes.filter("members > 1").select("grp"), "grp").select(F.col("grp").alias("other"), F.explode("short").alias("t"))
+    counted = members.join(sizes.select("grp", "members"), "grp")
+    short = stored(sets.select("node", "short").join(counted, "node").dropDuplicates(["node"]), "short")
+    one = short.filter("members = 1").select(F.col("grp").alias("other"), F.col("short").alias("union"))
+    many = short.filter("members > 1").select(F.col("grp").alias("other"), F.explode("short").alias("t"))
     many = many.distinct().groupBy("other").agg(F.collect_set("t").alias("union"))  # at most 2^SHORT_BITS
-    bound = asked.join(short, "grp").join(one.unionByName(many), "other")
-    overlap = F.size(F.array_intersect("short", "union")) + F.col("n") - F.size("short")
-    opened = stored(bound.filter(overlap * 100 >= percent * F.col("n")).select("node", "n", "other"), "opened")
-
-    # Each query against the members of the groups opened for it, exactly.
-    inside = members.select(F.col("grp").alias("other"), F.col("node").alias("b"), F.col("n").alias("m"))
-    pairs = stored(opened.join(inside, "other").filter(_near_size(F.col("n"), F.col("m"), percent)).select("node", "b"), "pairs")
+    bound = asked.join(short.select("node", "grp", "n", "short"), "grp").join(one.unionByName(many), "other")
+    overlap = lambda other: F.size(F.array_intersect("short", other)) + F.col("n") - F.size("short")
+    opened = bound.filter(overlap("union") * 100 >= percent * F.col("n")).select("node", "n", "short", "other")
+
+    # Each query against the members of the groups opened for it: their short sets first, what is left exactly.
+    inside = short.select(F.col("grp").alias("other"), F.col("node").alias("b"), F.col("n").alias("m"), F.col("short").alias("short2"))
+    near = _near_size(F.col("n"), F.col("m"), percent) & (overlap("short2") * (100 + percent) >= percent * (F.col("n") + F.col("m")))
+    pairs = stored(opened.join(inside, "other").filter(near).select("node", "b"), "pairs")
     bits = _wanted(pairs.select("node").unionByName(pairs.select(F.col("b").alias("node"))))
     whole = sets.select("node", "whole").mapInArrow(_only(broadcast(bits)), record(node="long", whole="[long]")).dropDuplicates(["node"])
     compared = pairs.join(whole.withColumnRenamed("whole", "x"), "node")
@@ -455,14 +459,14 @@ def _open(spark, texts: DataFrame, nodes: DataFrame, groups: DataFrame, candidat
 
 
 def keep_one(docs: DataFrame, text: str = "text", percent: int = PERCENT) -> DataFrame:
-    """The rows of `docs` without near copies: of each component one row stays. Rows without a word all stay."""
-    spark = docs.sparkSession
+    """The rows of `docs` without near copies: of each component the first row stays. Rows without a word all stay.
+
+    Rows are known by their place in `docs`, which must come in the same order whenever it is read, as tables of files do;
+    write anything else to a table first.
+    """
     row = "__row"
     while row in docs.columns:
         row += "_"
-    path = scratch_path(spark, "numbered")
-    # Written with its numbers: a number made anew after a loss could be another.
-    docs.withColumn(row, F.monotonically_increasing_id()).write.parquet(path)
-    numbered = spark.read.parquet(path)
+    numbered = docs.withColumn(row, F.monotonically_increasing_id())
     stays = link(numbered, row, text, percent).filter(F.col(row) == F.col("component_id")).select(row)
     return numbered.join(stays, row, "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
