@@ -157,8 +157,13 @@ def line_first(docs: DataFrame, rules: LineRules = LineRules(), text: str = "tex
 
 def drop_rejected(docs: DataFrame, rules: LineRules = LineRules(), text: str = "text", n_chars: str = "n_chars") -> DataFrame:
     """The kept documents in their own columns, without their failing lines; `n_chars` follows the text."""
-    judged = line_first(docs, rules, text).filter("kept")
+    names = {c: f"c{k}" for k, c in enumerate(docs.columns)}
+    # Columns under other names, so that none meets a result's.
+    judged = line_first(docs.select(*[F.col(f"`{c}`").alias(name) for c, name in names.items()]), rules, names[text])
     new = {text: F.col("cleaned_text")}
     if n_chars in docs.columns:
         new[n_chars] = F.length("cleaned_text").cast(docs.schema[n_chars].dataType)
-    return judged.select(*[new.get(c, F.col(f"`{c}`")).alias(c) for c in docs.columns])
+    row = F.struct("kept", *[new.get(c, F.col(name)).alias(name) for c, name in names.items()])
+    # An array of one row or none instead of a filter, which Spark would work out from the text a second time.
+    kept = judged.select(F.explode(F.filter(F.array(row), lambda r: r["kept"])).alias("row"))
+    return kept.select(*[F.col(f"row.{name}").alias(c) for c, name in names.items()])
