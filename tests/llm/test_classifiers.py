@@ -116,3 +116,12 @@ def test_isotonic_is_monotone():
     x = rng.random(500).round(2)
     knots, values = nearest.isotonic(x, (rng.random(500) < x).astype(float))
     assert (np.diff(knots) > 0).all() and values[0] < 0.2 and values[-1] > 0.8
+
+
+def test_toxicity_compares_whole_texts(spark):
+    """An exact copy of an example is like it, whatever its words say of the label; words of no example count in the norm."""
+    rows = [(i, prose(i, 40)) for i in range(60)] + [(100, prose(7, 40)), (101, prose(7, 40) + " unheard unseen unsaid")]
+    labels = spark.createDataFrame([(i, int(i % 6 == 0)) for i in range(60)], "doc_id long, toxic int")
+    got = {r["doc_id"]: r for r in toxicity.score(docs(spark, rows), labels).collect()}
+    assert got[100]["neighbours"][0] == 7 and got[100]["cosines"][0] == pytest.approx(1)
+    assert got[101]["neighbours"][0] == 7 and 0.5 < got[101]["cosines"][0] < 0.9999
