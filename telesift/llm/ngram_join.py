@@ -461,12 +461,14 @@ def _open(spark, texts: DataFrame, nodes: DataFrame, groups: DataFrame, candidat
 def keep_one(docs: DataFrame, text: str = "text", percent: int = PERCENT) -> DataFrame:
     """The rows of `docs` without near copies: of each component the first row stays. Rows without a word all stay.
 
-    Rows are known by their place in `docs`, which must come in the same order whenever it is read, as tables of files do;
-    write anything else to a table first.
+    Rows are numbered and written once: a second reading might deal files, and so numbers, to the tasks in another way.
     """
-    row = "__row"
+    spark, row = docs.sparkSession, "__row"
     while row in docs.columns:
         row += "_"
+    path = scratch_path(spark, "ngram-rows")
     numbered = docs.withColumn(row, F.monotonically_increasing_id())
+    numbered.write.parquet(path)
+    numbered = spark.read.schema(numbered.schema).parquet(path)
     stays = link(numbered, row, text, percent).filter(F.col(row) == F.col("component_id")).select(row)
     return numbered.join(stays, row, "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])

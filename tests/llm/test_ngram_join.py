@@ -98,6 +98,23 @@ def test_keep_one(spark):
     assert sorted(t or "" for t in texts) == sorted([prose(1, 80), prose(2, 80), "", "", ""])
 
 
+def test_keep_one_holds_to_its_numbers(spark, tmp_path):
+    """Files that are dealt to tasks in another way when they are read again change nothing."""
+    rows = [(i, prose(i // 3, 80)) for i in range(60)]
+    docs(spark, rows).repartition(12, "doc_id").write.parquet(str(tmp_path / "in"))
+    frame = spark.read.parquet(str(tmp_path / "in"))
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "1g")
+        spark.conf.set("spark.sql.files.minPartitionNum", "1")
+        kept = ngram_join.keep_one(frame)
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "1k")
+        spark.conf.set("spark.sql.files.minPartitionNum", "60")
+        assert sorted(r["doc_id"] // 3 for r in kept.collect()) == list(range(20))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.minPartitionNum")
+
+
 @settings(max_examples=8, deadline=None)
 @given(st.lists(st.tuples(st.integers(0, 25), st.integers(0, 25)), max_size=30))
 def test_components_against_plain_python(spark, links):
