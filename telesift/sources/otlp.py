@@ -6,6 +6,11 @@ and scope, before the levels below them are exploded.
 
 from __future__ import annotations
 
+import decimal
+import json
+import re
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType
@@ -87,6 +92,86 @@ MESSAGES = {
 }
 
 
+def _decode_deep(levels: int):
+    """Messages whose values below so many levels are plain JSON text; null where none is so deep. An Arrow UDF, made whole here."""
+    infinite = {"NaN": "NaN", "Infinity": "+Inf", "+INF": "+Inf", "INF": "+Inf", "+Infinity": "+Inf", "-Infinity": "-Inf", "-INF": "-Inf"}
+
+    def string(value):
+        quoted = json.dumps(value if isinstance(value, str) else json.dumps(value, separators=(",", ":"), ensure_ascii=False), ensure_ascii=False)
+        return re.sub(r"\\(\\|u[0-9a-f]{4})", lambda m: m.group(0) if m.group(1) == "\\" else "\\u" + m.group(1)[1:].upper(), quoted)
+
+    def double(value):
+        """As functions.text.double_text_sql."""
+        if isinstance(value, str):
+            return infinite.get(value)
+        if isinstance(value, bool) or not isinstance(value, (int, float)):
+            return None
+        value = float(value)
+        if value != value or value in (float("inf"), float("-inf")):
+            return "NaN" if value != value else "+Inf" if value > 0 else "-Inf"
+        if value == 0:
+            return "0"
+        exact = decimal.Decimal(repr(value))
+        if 1e-6 <= abs(value) < 1e21:
+            return str(int(exact)) if value % 1 == 0 else format(exact, "f")
+        sign, digits, _ = exact.as_tuple()
+        digits, exponent = "".join(map(str, digits)).rstrip("0"), exact.adjusted()
+        return f"{'-' * sign}{digits[0]}{'.' * (len(digits) > 1)}{digits[1:]}e{'+' * (exponent > 0)}{exponent}"
+
+    def plain(value):
+        """A value as JSON text, as _json_value makes it."""
+        given = {k: v for k, v in value.items() if v is not None} if isinstance(value, dict) else {}
+        if "stringValue" in given:
+            return string(given["stringValue"])
+        if isinstance(given.get("boolValue"), bool):
+            return "true" if given["boolValue"] else "false"
+        if "intValue" in given:
+            return str(given["intValue"])
+        if "doubleValue" in given and (text := double(given["doubleValue"])) is not None:
+            return text
+        if "bytesValue" in given:
+            return string(given["bytesValue"])
+        container = given.get("arrayValue", given.get("kvlistValue"))
+        return "null" if container is None else inside(container, "kvlistValue" in given)
+
+    def inside(container, is_map):
+        items = (container.get("values") if isinstance(container, dict) else None) or []
+        items = [i if isinstance(i, dict) else {} for i in items]
+        values = [plain(i["value"] if i.get("value") is not None else i) for i in items]
+        if not is_map:
+            return f"[{','.join(values)}]"
+        last = {str(i.get("key", "")): v for i, v in zip(items, values)}
+        return "{" + ",".join(f"{string(k)}:{last[k]}" for k in sorted(last, key=lambda k: k.encode("utf-8", "surrogatepass"))) + "}"
+
+    def rewrite(node, level) -> bool:
+        """Replace containers below the last level by their text; whether there was any."""
+        if isinstance(node, list):
+            return sum([rewrite(n, level) for n in node]) > 0
+        if not isinstance(node, dict):
+            return False
+        found = False
+        for key, below in node.items():
+            if key not in ("arrayValue", "kvlistValue") or below is None:
+                found |= rewrite(below, level)
+            elif level < levels:
+                found |= rewrite(below, level + 1)
+            else:
+                node[key], found = inside(below, key == "kvlistValue"), True
+        return found
+
+    def decode(messages: pd.Series) -> pd.Series:
+        out = []
+        for raw in messages:
+            try:
+                message = json.loads(raw) if raw else None
+                out.append(json.dumps(message) if rewrite(message, 0) else None)
+            except (ValueError, RecursionError):  # no JSON, or deeper than Spark's own reader goes: kept as it is
+                out.append(None)
+        return pd.Series(out, dtype=object)
+
+    return F.pandas_udf(decode, "string")
+
+
 def read_otlp_json(spark: SparkSession, path: str, signal: str) -> DataFrame:
     """JSON-lines files of one signal; a line that is no JSON keeps its text in `_corrupt`."""
     return parse_otlp_json(spark.read.text(path), "value", signal)
@@ -95,7 +180,11 @@ def read_otlp_json(spark: SparkSession, path: str, signal: str) -> DataFrame:
 def parse_otlp_json(messages: DataFrame, column: str, signal: str) -> DataFrame:
     """The same from a text column, for tables and streams that carry messages."""
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
-    return messages.select(F.from_json(column, MESSAGES[signal], options).alias("m")).select("m.*")
+    # Only messages with containers enough to be deeper than the expressions below go through the UDF; it gives null for the rest.
+    whole = F.col(column)
+    deep = F.regexp_count(whole, F.lit('"(array|kvlist)Value"')) > _NESTED_LEVELS
+    made = F.coalesce(_decode_deep(_NESTED_LEVELS)(F.when(deep, whole)), whole)
+    return messages.select(F.from_json(made, MESSAGES[signal], options).alias("m")).select("m.*")
 
 
 # ---- attribute values -------------------------------------------------------------------------
@@ -103,6 +192,7 @@ def parse_otlp_json(messages: DataFrame, column: str, signal: str) -> DataFrame:
 # These take a column as SQL text and are SQL text inside: the expressions are large, and the
 # parser builds them far faster than one call per node would.
 
+#: Levels that expressions decode; what is nested deeper has been made plain JSON text by _decode_deep.
 _NESTED_LEVELS = 3
 _VALUE_FIELDS = (
     "stringValue STRING, boolValue BOOLEAN, intValue STRING, doubleValue DOUBLE, bytesValue STRING,"
@@ -113,7 +203,7 @@ _ITEMS = f"values ARRAY<STRUCT<key STRING, value STRUCT<{_VALUE_FIELDS}>, {_VALU
 
 
 def _nested(value: str, levels: int) -> str:
-    """An array or map as plain JSON. Below the deepest level its message text is kept as it came."""
+    """An array or map as plain JSON. Below the deepest level its text is plain already: see _decode_deep."""
     raw, is_map = f"coalesce({value}.arrayValue, {value}.kvlistValue)", f"{value}.kvlistValue IS NOT NULL"
     if levels == 0:
         return raw

@@ -57,6 +57,25 @@ def test_attribute_values(spark):
     }
 
 
+def test_values_of_any_depth(spark):
+    """What lies below the levels that expressions decode reads as what lies above them."""
+    leaves = ["d", -1, True, None, 2.0, 0.25, 1e-7, -1.5e22, 1e21, "q\"\n\x1f\\u00e9 é", [], {}, {"b": 1, "a": [[{"z": "end"}]]}]
+    shallow = otlp.flatten_spans(messages_of(spark, [trace_message([{"attributes": attrs(v=[leaves[:-1]])}])], "traces")).first().SpanAttributes["v"]
+    inner = shallow[1:-2] + ',{"a":[[{"z":"end"}]],"b":1}]'
+    deep, far = leaves, "x"
+    for _ in range(4):
+        deep = [deep]
+    for _ in range(40):
+        far = {"k": [far]}
+    row = otlp.flatten_spans(messages_of(spark, [trace_message([{"attributes": attrs(deep=deep, map={"k": [{"k": [deep]}]}, far=far, near=["é"])}])], "traces")).first()
+    assert row.SpanAttributes == {
+        "deep": "[" * 4 + inner + "]" * 4, "map": '{"k":[{"k":[' + "[" * 4 + inner + "]" * 4 + "]}]}",
+        "far": '{"k":[' * 40 + '"x"' + "]}" * 40, "near": '["é"]',
+    }
+    logs = {"resourceLogs": [{"scopeLogs": [{"logRecords": [{"body": any_value([[[["Below the third level"]]]])}]}]}]}
+    assert otlp.flatten_logs(messages_of(spark, [logs], "logs")).first().Body == '[[[["Below the third level"]]]]'
+
+
 def test_service_name_is_not_inherited(spark):
     """A resource without a name does not take over its neighbour's."""
     logs = {"resourceLogs": [
