@@ -3,7 +3,7 @@
 The histogram of piece lengths (at most as many lengths as a sequence has tokens, whatever the corpus) is all that the
 program needs. A configuration is a multiset of lengths that fits a sequence. Multiplicative weights solve the covering
 program: lengths that are short of their counts weigh more, and a knapsack dynamic program over 1..capacity finds the
-configuration of most weight. The fractional solution is rounded down; what is left over is placed by best fit into the
+configuration of most weight, until every length is covered. The fractional solution is rounded; what is left is placed by best fit into the
 rooms that configurations leave open and into new sequences, in decreasing length, on counts as well.
 
 The plan is a list of runs: pieces number a to b of one length go to as many neighbouring sequences at one offset. Spark
@@ -62,16 +62,13 @@ def price(values: np.ndarray, capacity: int) -> np.ndarray:
     """The lengths (repeats allowed) of most value that fit the capacity; values[k] is that of length k, 0 if not for use."""
     best = np.zeros(capacity + 1)
     pick = np.zeros(capacity + 1, np.int64)
-    lengths = np.flatnonzero(values)
-    worth = values[lengths]
+    worth = values[1 : capacity + 1]
     for room in range(1, capacity + 1):
-        n = np.searchsorted(lengths, room, "right")
+        options = worth[:room] + best[room - 1 :: -1]
+        k = int(options.argmax())
         best[room] = best[room - 1]
-        if n:
-            options = worth[:n] + best[room - lengths[:n]]
-            k = int(options.argmax())
-            if options[k] > best[room]:
-                best[room], pick[room] = options[k], lengths[k]
+        if worth[k] and options[k] > best[room]:
+            best[room], pick[room] = options[k], k + 1
     found, room = [], capacity
     while room > 0:
         if pick[room]:
@@ -82,27 +79,57 @@ def price(values: np.ndarray, capacity: int) -> np.ndarray:
     return np.array(found, np.int64)
 
 
+def price_counted(values: np.ndarray, counts: np.ndarray, room: int) -> np.ndarray:
+    """The same with no length more often than it is counted: what repeats beyond that leave open is priced again."""
+    values, left, found = values.copy(), counts.copy(), []
+    while room > 0:
+        lengths, times = np.unique(price(values[: room + 1], room), return_counts=True)
+        if not len(lengths):
+            break
+        times = np.minimum(times, left[lengths])
+        found.append(np.repeat(lengths, times))
+        left[lengths] -= times
+        room -= int((lengths * times).sum())
+        values[left <= 0] = 0
+    return np.concatenate(found) if found else np.zeros(0, np.int64)
+
+
 def fractional(counts: np.ndarray, capacity: int, rounds: int, step: float = 1.0) -> list[tuple[np.ndarray, float]]:
-    """Configurations and how often each is used, so that every length is covered about once, by multiplicative weights."""
+    """Configurations and how often each is used, by multiplicative weights: `rounds`, and more until all lengths are covered.
+
+    Every round covers the scarcest length of its configuration whole, and one not covered yet is worth more than any that is,
+    so that the rounds end after some for each length.
+    """
     open_ = np.flatnonzero(counts)
     covered = np.zeros(len(counts))
     used: dict[bytes, float] = {}
-    for _ in range(rounds):
-        # A length's weight falls with its share covered so far; its value is that weight for one piece of it.
+    done = 0
+    while done < rounds or covered[open_].min() < 1 - 1e-9:
+        # A length's worth is its tokens, less with its share covered so far.
         weight = np.zeros(len(counts))
-        weight[open_] = np.exp(-step * (covered[open_] - covered[open_].min())) / counts[open_]
-        chosen = price(weight, capacity)
+        weight[open_] = open_ * np.exp(-step * (covered[open_] - covered[open_].min()))
+        if done >= rounds:
+            # The longest that is uncovered opens the configuration; the room beside it is priced.
+            longest = int(open_[covered[open_] < 1 - 1e-9].max())
+            beside = counts.copy()
+            beside[longest] -= 1
+            weight[beside <= 0] = 0
+            chosen = np.append(longest, price_counted(weight, beside, capacity - longest))
+        else:
+            chosen = price_counted(weight, counts, capacity)
+        chosen = np.sort(chosen)[::-1]
         lengths, times = np.unique(chosen, return_counts=True)
         # As often as until the scarcest of its lengths is covered by one unit more.
         amount = float((counts[lengths] / times).min())
         covered[lengths] += amount * times / counts[lengths]
         key = chosen.astype(np.int32).tobytes()
         used[key] = used.get(key, 0.0) + amount
+        done += 1
     return [(np.frombuffer(key, np.int32).astype(np.int64), amount) for key, amount in used.items()]
 
 
 def plan(counts: np.ndarray, capacity: int = CAPACITY, rounds: int = 240) -> Plan:
-    """counts[k] pieces of length k. Its work depends on the capacity and `rounds`, not on how many pieces there are."""
+    """counts[k] pieces of length k. Its work depends on the capacity, not on how many pieces there are; `rounds` are the least."""
     left = np.asarray(counts, np.int64).copy()
     runs: list[tuple[int, int, int, int]] = []
     done = np.zeros(capacity + 1, np.int64)
@@ -131,10 +158,12 @@ def plan(counts: np.ndarray, capacity: int = CAPACITY, rounds: int = 240) -> Pla
         for lengths, amount in used:
             np.add.at(total, lengths, amount)
         scale = np.divide(program, total, out=np.full(capacity + 1, np.inf), where=total > 0)
-        # Fullest first; each is rounded down to what is left of all its lengths.
-        for lengths, amount in sorted(used, key=lambda x: -int(x[0].sum())):
+        # Fullest first, of these the ones of few pieces, as short pieces fit anywhere later; as far as all lengths are left.
+        # Full ones are rounded up, others down.
+        for lengths, amount in sorted(used, key=lambda x: (-int(x[0].sum()), len(x[0]))):
             kinds, times = np.unique(lengths, return_counts=True)
-            n = int(min(np.floor(amount * scale[kinds].min()), (left[kinds] // times).min()))
+            often = amount * scale[kinds].min()
+            n = int(min(np.ceil(often) if lengths.sum() == capacity else np.floor(often), (left[kinds] // times).min()))
             if n:
                 first, offset = new_sequences(n), 0
                 for length in lengths.tolist():

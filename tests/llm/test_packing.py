@@ -135,3 +135,16 @@ def test_query_is_close_to_the_bound(spark):
     rows = QUERIES["op8_packing"](spark, "/root/testdata/sf0.001").toPandas()
     used = check_places(rows.length.values, rows.sequence_id.values, rows.offset.values, 4096)
     assert used <= 1 + -(-rows.length.sum() // 4096)
+
+
+def test_configurations_cover_every_length():
+    """However many lengths there are: no fixed number of rounds ends the program before."""
+    rng = np.random.default_rng(3)
+    counts = np.bincount(np.minimum(rng.lognormal(4, 0.8, 20_000).astype(int) + 1, 500), minlength=513)
+    covered = np.zeros(513)
+    for lengths, amount in packing.fractional(counts, 512, 20):
+        assert lengths.sum() <= 512 and (np.bincount(lengths, minlength=513) <= counts).all()
+        np.add.at(covered, lengths, amount)
+    assert (covered >= counts * (1 - 1e-6)).all() and (counts > 0).sum() > 300
+    plan = packing.plan(counts, 512, 20)
+    assert plan.sequences <= 1.01 * (counts * np.arange(513)).sum() / 512
