@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from telesift.llm import decontamination, license_scan, lm_scoring, ngram_join, packing, quality_classifier, quality_rules, sharding, token_output, toxicity
+from telesift.llm import (
+    decontamination, license_scan, lm_scoring, nearest_vectors, ngram_join, packing, quality_classifier, quality_rules, sharding, token_output,
+    toxicity,
+)
 from telesift.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -227,3 +230,24 @@ def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     fold = quality_classifier.in_fold(F.col("doc_id"))
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", (fold == 1).alias("held_out"))
     return lm_scoring.score(docs, ~F.col("held_out"), carry=("doc_id", "held_out"))
+
+
+#: Vectors that take part, and all distances of the queries to them.
+_NEAREST_SQL = f"""
+WITH taking AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), pairs AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_distance(q.v, c.v) AS score
+  FROM taking q JOIN taking c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v) WHERE q.vec_id % 100 = 0
+)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id) AS INTEGER) AS rank, vec_id, score
+FROM pairs QUALIFY rank <= {nearest_vectors.K}
+"""
+
+
+@query("op11_nearest_vectors", _NEAREST_SQL)
+def op11_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten nearest of all other vectors, for every hundredth vec_id."""
+    return nearest_vectors.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
