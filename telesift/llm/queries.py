@@ -239,7 +239,8 @@ WITH taking AS (
   WHERE vec_id IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
     AND len(list_filter(embedding, lambda x: x <> 0)) > 0
 ), pairs AS (
-  SELECT q.vec_id AS query_id, c.vec_id, list_distance(q.v, c.v) AS score
+  SELECT q.vec_id AS query_id, c.vec_id,
+    sqrt(list_sum(list_transform(range(1, len(q.v) + 1), lambda i: (q.v[i] - c.v[i]) * (q.v[i] - c.v[i])))) AS score
   FROM taking q JOIN taking c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v) WHERE q.vec_id % 100 = 0
 )
 SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id) AS INTEGER) AS rank, vec_id, score
