@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from telesift.llm import (
-    decontamination, license_scan, lm_scoring, nearest_vectors, ngram_join, packing, quality_classifier, quality_rules, sharding, token_output,
-    toxicity,
+    decontamination, license_scan, lm_scoring, nearest_vectors, ngram_join, packing, quality_classifier, quality_rules, ranked_search, sharding,
+    token_output, toxicity,
 )
 from telesift.session import scratch_path
 
@@ -252,3 +252,36 @@ FROM pairs QUALIFY rank <= {nearest_vectors.K}
 def op11_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ten nearest of all other vectors, for every hundredth vec_id."""
     return nearest_vectors.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+_RANKED_SQL = f"""
+WITH terms AS (
+  SELECT rid, doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term
+  FROM (SELECT row_number() OVER () AS rid, doc_id, text FROM documents)
+), held AS (
+  SELECT rid, doc_id, term, count(*) AS tf FROM terms GROUP BY ALL
+), sized AS (
+  SELECT rid, CAST(sum(tf) AS BIGINT) AS words FROM held GROUP BY rid
+), whole AS (
+  SELECT count(*) AS texts, CAST(sum(words) AS BIGINT) AS total FROM sized
+), weighed AS (
+  SELECT term, CAST(floor(1000 * ln((2 * texts + 2) / (2 * count(*) + 1))) AS BIGINT) AS weight FROM held, whole GROUP BY term, texts
+), asked AS (
+  SELECT DISTINCT item_id, text FROM benchmark
+), asked_terms AS (
+  SELECT item_id, text, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term
+  FROM asked
+), scored AS (
+  SELECT item_id, asked_terms.text, rid, doc_id,
+    CAST(sum(weight * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * words * texts) // total)))) AS BIGINT) AS score
+  FROM asked_terms JOIN held USING (term) JOIN weighed USING (term) JOIN sized USING (rid), whole GROUP BY ALL
+)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id, text ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+FROM scored WHERE score > 0 QUALIFY rank <= {ranked_search.K}
+"""
+
+
+@query("op12_ranked_search", _RANKED_SQL)
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The twenty documents of highest score for each benchmark item."""
+    return ranked_search.rank(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
