@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from telesift.llm import (
-    decontamination, license_scan, lm_scoring, nearest_vectors, ngram_join, packing, quality_classifier, quality_rules, ranked_search, sharding,
-    token_output, toxicity,
+    conversation_repair, decontamination, license_scan, lm_scoring, nearest_vectors, ngram_join, packing, quality_classifier, quality_rules,
+    ranked_search, sharding, token_output, toxicity,
 )
 from telesift.session import scratch_path
 
@@ -285,3 +285,11 @@ FROM scored WHERE score > 0 QUALIFY rank <= {ranked_search.K}
 def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The twenty documents of highest score for each benchmark item."""
     return ranked_search.rank(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op13_conversation_repair")
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults, cost, edits and digest of the repair of every conversation, after damage by a rule."""
+    damaged = conversation_repair.damage(table(spark, sf_dir, "conversations"))
+    repaired = conversation_repair.repair(damaged, gone=F.col("gone"))
+    return repaired.conversations.withColumnRenamed("sha256", "repaired_sha256")
