@@ -80,15 +80,15 @@ def _(v):
 
 
 @query("flatten_logs", duck("logs_v", """SELECT TimestampNs, TraceId, SpanId, 1::BIGINT AS TraceFlags, SeverityText, SeverityNumber,
-  ServiceName, Body, 'https://opentelemetry.io/schemas/1.4.0' AS ResourceSchemaUrl,
-  'https://opentelemetry.io/schemas/1.7.0' AS ScopeSchemaUrl, 'fixture' AS ScopeName, '1.0' AS ScopeVersion,
-  'fixture' AS lib, k, event_type AS event, host FROM logs_v"""))
+  ServiceName, Body, 'urn:telesift:fixture:resource' AS ResourceSchemaUrl,
+  'urn:telesift:fixture:scope' AS ScopeSchemaUrl, 'fixture' AS ScopeName, '1.0' AS ScopeVersion,
+  'events' AS origin, k, event_type AS event, host FROM logs_v"""))
 def _(v):
     logs = otlp.flatten_logs(otlp.parse_otlp_json(v.log_messages, "value", "logs"))
     return logs.select(
         "TimestampNs", "TraceId", "SpanId", "TraceFlags", "SeverityText", "SeverityNumber", "ServiceName", "Body",
         "ResourceSchemaUrl", "ScopeSchemaUrl", "ScopeName", "ScopeVersion",
-        F.col("ScopeAttributes")["lib"].alias("lib"), F.col("LogAttributes")["k"].alias("k"),
+        F.col("ScopeAttributes")["origin"].alias("origin"), F.col("LogAttributes")["k"].alias("k"),
         F.col("LogAttributes")["event"].alias("event"), F.col("ResourceAttributes")["host.name"].alias("host"),
     )
 

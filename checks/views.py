@@ -211,9 +211,9 @@ class Views:
             "SeverityText": F.expr(_SEVERITY_TEXT),
             "SeverityNumber": F.expr(_SEVERITY_NUMBER),
             "Body": F.col("props"),
-            "ResourceSchemaUrl": F.lit("https://opentelemetry.io/schemas/1.4.0"),
-            "ScopeSchemaUrl": F.lit("https://opentelemetry.io/schemas/1.7.0"),
-            "ScopeAttributes": F.expr("map('lib', 'fixture')"),
+            "ResourceSchemaUrl": F.lit("urn:telesift:fixture:resource"),
+            "ScopeSchemaUrl": F.lit("urn:telesift:fixture:scope"),
+            "ScopeAttributes": F.expr("map('origin', 'events')"),
             "LogAttributes": F.expr(_strip({"k": "k", "event": "event_type"})),
         }
         return wide_spans.select(*_nulls(LOGS, given))
@@ -355,10 +355,10 @@ class Views:
         resource = f"""named_struct(
           'resource', named_struct('attributes', filter(array({_kv('service.name', stringValue="nullif(ServiceName, '')")},
              {_kv('host.name', stringValue='host')}), a -> a.value.stringValue IS NOT NULL)),
-          'schemaUrl', 'https://opentelemetry.io/schemas/1.4.0',
+          'schemaUrl', 'urn:telesift:fixture:resource',
           '{scopes}', array(named_struct('scope', named_struct('name', 'fixture', 'version', '1.0',
-             'attributes', array({_kv('lib', stringValue="'fixture'")})),
-             'schemaUrl', 'https://opentelemetry.io/schemas/1.7.0', '{items}', items)))"""
+             'attributes', array({_kv('origin', stringValue="'events'")})),
+             'schemaUrl', 'urn:telesift:fixture:scope', '{items}', items)))"""
         message = per_resource.groupBy("block").agg(F.collect_list(F.expr(resource)).alias(top))
         return message.select(F.to_json(F.struct(top)).alias("value"))
 

@@ -267,6 +267,17 @@ def encode_span_documents(spans: DataFrame, dedup: bool = True, dedot: bool = Fa
     return _encode(spans, fields, dedup, dedot)
 
 
+def _body_fields(logs: DataFrame) -> Column:
+    """The body: a map as `Body.<key>` fields, other values with their type; plain text where types weren't kept."""
+    if "BodyField" not in logs.columns:
+        return F.array(field("Body", string_value(F.col("Body"))))
+    body = F.col("BodyField")
+    plain = F.array(field("Body", F.when(body["type"].isNotNull(), body["json"])))
+    # Only maps pass through the flattening of values of unknown depth.
+    nested = flatten_nested("Body", F.when(body["type"] == "map", body["json"]))
+    return F.when(body["type"] == "map", nested).otherwise(plain)
+
+
 def encode_log_documents(logs: DataFrame, dedup: bool = True, dedot: bool = False) -> DataFrame:
     """Adds `document`, the JSON document of each log record."""
     fixed = F.array(
@@ -276,10 +287,10 @@ def encode_log_documents(logs: DataFrame, dedup: bool = True, dedot: bool = Fals
         field("TraceFlags", F.col("TraceFlags").cast("string")),
         field("SeverityText", string_value(F.col("SeverityText"))),
         field("SeverityNumber", F.col("SeverityNumber").cast("string")),
-        field("Body", string_value(F.col("Body"))),
     )
     fields = F.concat(
         fixed,
+        _body_fields(logs),
         _attribute_fields(logs, "Attributes", "LogFields", "LogAttributes"),
         _attribute_fields(logs, "Resource", "ResourceFields", "ResourceAttributes"),
     )
@@ -290,18 +301,26 @@ def encode_log_documents(logs: DataFrame, dedup: bool = True, dedot: bool = Fals
 NO_SERVICE = "OTLPResourceNoServiceName"
 
 
-def _tags(attrs: Column) -> Column:
+_TAGS = "array<struct<key:string,type:string,value:string>>"
+
+
+def _tags(attrs: Column, fields: Column | None = None) -> Column:
+    """Attributes as tags. Types come from typed fields where there are some: bytes are hexadecimal then, lists and maps JSON text."""
+    types = maps.empty_map() if fields is None else F.map_from_entries(F.transform(fields, lambda f: F.struct(f["key"], f["type"])))
+    kind = lambda e: F.when(types[e["key"]].isin("bool", "int64", "float64", "binary"), types[e["key"]]).otherwise("string")
+    bytes_of = lambda e: F.coalesce(F.lower(F.hex(F.try_to_binary(e["value"], F.lit("base64")))), e["value"])
     return F.transform(
         F.map_entries(attrs),
-        lambda e: F.struct(e["key"].alias("key"), F.lit("string").alias("type"), e["value"].alias("value")),
+        lambda e: F.struct(
+            e["key"].alias("key"), kind(e).alias("type"), F.when(kind(e) == "binary", bytes_of(e)).otherwise(e["value"]).alias("value")
+        ),
     )
 
 
 def _tag(key: str, value: Column, kind: str = "string") -> Column:
     """A list with one tag, empty where there is no value."""
     tag = F.struct(F.lit(key).alias("key"), F.lit(kind).alias("type"), value.alias("value"))
-    return F.when(F.coalesce(value, F.lit("")) != "", F.array(tag)).otherwise(F.array().cast(
-        "array<struct<key:string,type:string,value:string>>"))
+    return F.when(F.coalesce(value, F.lit("")) != "", F.array(tag)).otherwise(F.array().cast(_TAGS))
 
 
 def _reference(kind: str, trace_id: Column, span_id: Column) -> Column:
@@ -309,7 +328,11 @@ def _reference(kind: str, trace_id: Column, span_id: Column) -> Column:
 
 
 def encode_jaeger_documents(spans: DataFrame) -> DataFrame:
-    """Adds `document`, the span in the document form of Jaeger: times in microseconds, tags and logs as lists."""
+    """Adds `document`, the span in the document form of Jaeger: times in microseconds, tags and logs as lists.
+
+    Tags have the types of the attributes where the spans were flattened with their typed fields, else all are strings.
+    """
+    typed = lambda name: F.col(name) if name in spans.columns else None
     no_references = F.array().cast("array<struct<refType:string,traceID:string,spanID:string>>")
     parent = F.when(
         F.col("ParentSpanId") != "",
@@ -319,7 +342,7 @@ def encode_jaeger_documents(spans: DataFrame) -> DataFrame:
     kind = F.lower(F.regexp_replace("SpanKind", "^SPAN_KIND_(UNSPECIFIED)?", ""))
     code = F.regexp_replace("StatusCode", "^STATUS_CODE_(UNSET)?", "")
     tags = F.concat(
-        _tags(F.col("SpanAttributes")),
+        _tags(F.col("SpanAttributes"), typed("SpanFields")),
         _tag("otel.library.name", F.col("ScopeName")),
         _tag("otel.library.version", F.col("ScopeVersion")),
         _tag("span.kind", kind),
@@ -328,17 +351,18 @@ def encode_jaeger_documents(spans: DataFrame) -> DataFrame:
         _tag("otel.status_description", F.col("StatusMessage")),
         _tag("w3c.tracestate", F.col("TraceState")),
     )
+    of_event = lambda i: None if typed("EventFields") is None else F.get("EventFields", i)
     logs = F.transform(
         "Events",
-        lambda e: F.struct(
+        lambda e, i: F.struct(
             times.floor_div(e["TimestampNs"], 1000).alias("timestamp"),
-            F.concat(_tag("event", e["Name"]), _tags(e["Attributes"])).alias("fields"),
+            F.concat(_tag("event", e["Name"]), _tags(e["Attributes"], of_event(i))).alias("fields"),
         ),
     )
     resource = F.col("ResourceAttributes")
     process = F.struct(
         F.coalesce(resource["service.name"], F.lit(NO_SERVICE)).alias("serviceName"),
-        _tags(maps.without_keys(resource, ["service.name"])).alias("tags"),
+        _tags(maps.without_keys(resource, ["service.name"]), typed("ResourceFields")).alias("tags"),
     )
     start_us = times.floor_div(F.col("TimestampNs"), 1000)
     document = F.struct(

@@ -6,45 +6,36 @@ and scope, before the levels below them are exploded.
 
 from __future__ import annotations
 
-import decimal
-import json
-import re
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType
 
 from telesift import schema
 from telesift.functions import ids, maps, names, text, times
+from telesift.sources.values import FIELDS, KVS, VALUE, attributes_to_fields, attributes_to_map, fields_sql, map_sql, type_sql, json_sql, value_text
 
 SIGNALS = ("traces", "logs", "metrics")
 CORRUPT = "_corrupt"
 
-_VALUE = (
-    "STRUCT<stringValue: STRING, boolValue: BOOLEAN, intValue: STRING, doubleValue: DOUBLE,"
-    " bytesValue: STRING, arrayValue: STRING, kvlistValue: STRING>"
-)
-_KVS = f"ARRAY<STRUCT<key: STRING, value: {_VALUE}>>"
-_SCOPE = f"STRUCT<name: STRING, version: STRING, attributes: {_KVS}, droppedAttributesCount: BIGINT>"
-_RESOURCE = f"STRUCT<attributes: {_KVS}>"
+_SCOPE = f"STRUCT<name: STRING, version: STRING, attributes: {KVS}, droppedAttributesCount: STRING>"
+_RESOURCE = f"STRUCT<attributes: {KVS}>"
 _SPAN = f"""STRUCT<traceId: STRING, spanId: STRING, parentSpanId: STRING, traceState: STRING,
-    name: STRING, kind: STRING, startTimeUnixNano: STRING, endTimeUnixNano: STRING, attributes: {_KVS},
-    events: ARRAY<STRUCT<timeUnixNano: STRING, name: STRING, attributes: {_KVS}>>,
-    links: ARRAY<STRUCT<traceId: STRING, spanId: STRING, traceState: STRING, attributes: {_KVS}>>,
+    name: STRING, kind: STRING, startTimeUnixNano: STRING, endTimeUnixNano: STRING, attributes: {KVS},
+    events: ARRAY<STRUCT<timeUnixNano: STRING, name: STRING, attributes: {KVS}>>,
+    links: ARRAY<STRUCT<traceId: STRING, spanId: STRING, traceState: STRING, attributes: {KVS}>>,
     status: STRUCT<code: STRING, message: STRING>>"""
-_RECORD = f"""STRUCT<timeUnixNano: STRING, severityNumber: STRING, severityText: STRING, body: {_VALUE},
-    attributes: {_KVS}, flags: BIGINT, traceId: STRING, spanId: STRING>"""
-_EXEMPLAR = f"""STRUCT<filteredAttributes: {_KVS}, timeUnixNano: STRING, asDouble: DOUBLE, asInt: STRING,
+_RECORD = f"""STRUCT<timeUnixNano: STRING, severityNumber: STRING, severityText: STRING, body: {VALUE},
+    attributes: {KVS}, flags: STRING, traceId: STRING, spanId: STRING>"""
+_EXEMPLAR = f"""STRUCT<filteredAttributes: {KVS}, timeUnixNano: STRING, asDouble: STRING, asInt: STRING,
     spanId: STRING, traceId: STRING>"""
-_BUCKETS = "STRUCT<offset: INT, bucketCounts: ARRAY<STRING>>"
+_BUCKETS = "STRUCT<offset: STRING, bucketCounts: ARRAY<STRING>>"
 # What data points hold in the messages, and which of it those of each kind.
 _RAW_POINT = {
-    "attributes": _KVS, "startTimeUnixNano": "STRING", "timeUnixNano": "STRING", "flags": "BIGINT", "asDouble": "DOUBLE",
-    "asInt": "STRING", "exemplars": f"ARRAY<{_EXEMPLAR}>", "count": "STRING", "sum": "DOUBLE", "min": "DOUBLE",
-    "max": "DOUBLE", "bucketCounts": "ARRAY<STRING>", "explicitBounds": "ARRAY<DOUBLE>", "scale": "INT",
+    "attributes": KVS, "startTimeUnixNano": "STRING", "timeUnixNano": "STRING", "flags": "STRING", "asDouble": "STRING",
+    "asInt": "STRING", "exemplars": f"ARRAY<{_EXEMPLAR}>", "count": "STRING", "sum": "STRING", "min": "STRING",
+    "max": "STRING", "bucketCounts": "ARRAY<STRING>", "explicitBounds": "ARRAY<STRING>", "scale": "STRING",
     "zeroCount": "STRING", "positive": _BUCKETS, "negative": _BUCKETS,
-    "quantileValues": "ARRAY<STRUCT<quantile: DOUBLE, value: DOUBLE>>",
+    "quantileValues": "ARRAY<STRUCT<quantile: STRING, value: STRING>>",
 }
 _COMMON_FIELDS = ("attributes", "startTimeUnixNano", "timeUnixNano", "flags")
 _NUMBER_FIELDS = (*_COMMON_FIELDS, "asDouble", "asInt", "exemplars")
@@ -68,7 +59,7 @@ METRIC_FIELDS = {
 
 def _metric_type(kind: str) -> str:
     point = ", ".join(f"{name}: {_RAW_POINT[name]}" for name in _POINT_FIELDS[kind])
-    return f"STRUCT<dataPoints: ARRAY<STRUCT<{point}>>, aggregationTemporality: STRING, isMonotonic: BOOLEAN>"
+    return f"STRUCT<dataPoints: ARRAY<STRUCT<{point}>>, aggregationTemporality: STRING, isMonotonic: STRING>"
 
 
 _METRIC = (
@@ -92,164 +83,19 @@ MESSAGES = {
 }
 
 
-def _decode_deep(levels: int):
-    """Messages whose values below so many levels are plain JSON text; null where none is so deep. An Arrow UDF, made whole here."""
-    infinite = {"NaN": "NaN", "Infinity": "+Inf", "+INF": "+Inf", "INF": "+Inf", "+Infinity": "+Inf", "-Infinity": "-Inf", "-INF": "-Inf"}
-
-    def string(value):
-        quoted = json.dumps(value if isinstance(value, str) else json.dumps(value, separators=(",", ":"), ensure_ascii=False), ensure_ascii=False)
-        return re.sub(r"\\(\\|u[0-9a-f]{4})", lambda m: m.group(0) if m.group(1) == "\\" else "\\u" + m.group(1)[1:].upper(), quoted)
-
-    def double(value):
-        """As functions.text.double_text_sql."""
-        if isinstance(value, str):
-            return infinite.get(value)
-        if isinstance(value, bool) or not isinstance(value, (int, float)):
-            return None
-        value = float(value)
-        if value != value or value in (float("inf"), float("-inf")):
-            return "NaN" if value != value else "+Inf" if value > 0 else "-Inf"
-        if value == 0:
-            return "0"
-        exact = decimal.Decimal(repr(value))
-        if 1e-6 <= abs(value) < 1e21:
-            return str(int(exact)) if value % 1 == 0 else format(exact, "f")
-        sign, digits, _ = exact.as_tuple()
-        digits, exponent = "".join(map(str, digits)).rstrip("0"), exact.adjusted()
-        return f"{'-' * sign}{digits[0]}{'.' * (len(digits) > 1)}{digits[1:]}e{'+' * (exponent > 0)}{exponent}"
-
-    def plain(value):
-        """A value as JSON text, as _json_value makes it."""
-        given = {k: v for k, v in value.items() if v is not None} if isinstance(value, dict) else {}
-        if "stringValue" in given:
-            return string(given["stringValue"])
-        if isinstance(given.get("boolValue"), bool):
-            return "true" if given["boolValue"] else "false"
-        if "intValue" in given:
-            return str(given["intValue"])
-        if "doubleValue" in given and (text := double(given["doubleValue"])) is not None:
-            return text
-        if "bytesValue" in given:
-            return string(given["bytesValue"])
-        container = given.get("arrayValue", given.get("kvlistValue"))
-        return "null" if container is None else inside(container, "kvlistValue" in given)
-
-    def inside(container, is_map):
-        items = (container.get("values") if isinstance(container, dict) else None) or []
-        items = [i if isinstance(i, dict) else {} for i in items]
-        values = [plain(i["value"] if i.get("value") is not None else i) for i in items]
-        if not is_map:
-            return f"[{','.join(values)}]"
-        last = {str(i.get("key", "")): v for i, v in zip(items, values)}
-        return "{" + ",".join(f"{string(k)}:{last[k]}" for k in sorted(last, key=lambda k: k.encode("utf-8", "surrogatepass"))) + "}"
-
-    def rewrite(node, level) -> bool:
-        """Replace containers below the last level by their text; whether there was any."""
-        if isinstance(node, list):
-            return sum([rewrite(n, level) for n in node]) > 0
-        if not isinstance(node, dict):
-            return False
-        found = False
-        for key, below in node.items():
-            if key not in ("arrayValue", "kvlistValue") or below is None:
-                found |= rewrite(below, level)
-            elif level < levels:
-                found |= rewrite(below, level + 1)
-            else:
-                node[key], found = inside(below, key == "kvlistValue"), True
-        return found
-
-    def decode(messages: pd.Series) -> pd.Series:
-        out = []
-        for raw in messages:
-            try:
-                message = json.loads(raw) if raw else None
-                out.append(json.dumps(message) if rewrite(message, 0) else None)
-            except (ValueError, RecursionError):  # no JSON, or deeper than Spark's own reader goes: kept as it is
-                out.append(None)
-        return pd.Series(out, dtype=object)
-
-    return F.pandas_udf(decode, "string")
-
-
 def read_otlp_json(spark: SparkSession, path: str, signal: str) -> DataFrame:
     """JSON-lines files of one signal; a line that is no JSON keeps its text in `_corrupt`."""
     return parse_otlp_json(spark.read.text(path), "value", signal)
 
 
 def parse_otlp_json(messages: DataFrame, column: str, signal: str) -> DataFrame:
-    """The same from a text column, for tables and streams that carry messages."""
-    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
-    # Only messages with containers enough to be deeper than the expressions below go through the UDF; it gives null for the rest.
-    whole = F.col(column)
-    deep = F.regexp_count(whole, F.lit('"(array|kvlist)Value"')) > _NESTED_LEVELS
-    made = F.coalesce(_decode_deep(_NESTED_LEVELS)(F.when(deep, whole)), whole)
-    return messages.select(F.from_json(made, MESSAGES[signal], options).alias("m")).select("m.*")
-
-
-# ---- attribute values -------------------------------------------------------------------------
-#
-# These take a column as SQL text and are SQL text inside: the expressions are large, and the
-# parser builds them far faster than one call per node would.
-
-#: Levels that expressions decode; what is nested deeper has been made plain JSON text by _decode_deep.
-_NESTED_LEVELS = 3
-_VALUE_FIELDS = (
-    "stringValue STRING, boolValue BOOLEAN, intValue STRING, doubleValue DOUBLE, bytesValue STRING,"
-    " arrayValue STRING, kvlistValue STRING"
-)
-# An item of an array is a value, one of a map a key with a value; one schema reads both.
-_ITEMS = f"values ARRAY<STRUCT<key STRING, value STRUCT<{_VALUE_FIELDS}>, {_VALUE_FIELDS}>>"
-
-
-def _nested(value: str, levels: int) -> str:
-    """An array or map as plain JSON. Below the deepest level its text is plain already: see _decode_deep."""
-    raw, is_map = f"coalesce({value}.arrayValue, {value}.kvlistValue)", f"{value}.kvlistValue IS NOT NULL"
-    if levels == 0:
-        return raw
-    i, v, p, e = (f"{letter}{levels}" for letter in "ivpe")
-    own = ", ".join(f"{i}.{f.split()[0]}" for f in _VALUE_FIELDS.split(", "))
-    values = f"transform(from_json({raw}, '{_ITEMS}').values, {i} -> struct({i}.key AS key, coalesce({i}.value, struct({own})) AS v))"
-    parts = f"transform({values}, {v} -> struct({v}.key AS key, {_json_value(f'{v}.v', levels - 1)} AS json))"
-    member = f"concat({text.json_string_sql(f'{e}.key')}, ':', {e}.value)"
-    members = f"transform(sort_array(map_entries(map_from_entries({p}))), {e} -> {member})"
-    as_map = f"concat('{{', array_join({members}, ','), '}}')"
-    as_array = f"concat('[', array_join({p}.json, ','), ']')"
-    some = f"coalesce({parts}, CAST(array() AS ARRAY<STRUCT<key: STRING, json: STRING>>))"
-    return f"if({raw} IS NULL, NULL, transform(array({some}), {p} -> if({is_map}, {as_map}, {as_array}))[0])"
-
-
-def _json_value(value: str, levels: int = _NESTED_LEVELS) -> str:
-    """A value as plain JSON."""
-    return f"""coalesce({text.json_string_sql(f'{value}.stringValue')}, CAST({value}.boolValue AS STRING), {value}.intValue,
-        {text.double_text_sql(f'{value}.doubleValue')}, {text.json_string_sql(f'{value}.bytesValue')},
-        {_nested(value, levels)}, 'null')"""
-
-
-def _value_text(value: str) -> str:
-    return f"""coalesce({value}.stringValue, CAST({value}.boolValue AS STRING), {value}.intValue,
-        {text.double_text_sql(f'{value}.doubleValue')}, {value}.bytesValue, {_nested(value, _NESTED_LEVELS)}, '')"""
+    """The same from a text column, for tables and streams that carry messages.
 
-
-def _attribute_map(kvs: str) -> str:
-    pairs = f"transform({kvs}, a -> struct(a.key AS key, {_value_text('a.value')} AS value))"
-    return f"coalesce(map_from_entries({pairs}), CAST(map() AS MAP<STRING,STRING>))"
-
-
-def value_text(value: str) -> Column:
-    """String form of any attribute value; arrays and maps as JSON, an empty value as ''."""
-    return F.expr(_value_text(value))
-
-
-def attributes_to_map(kvs: str) -> Column:
-    """Attribute list to map; of equal keys the last wins, no list gives an empty map."""
-    return F.expr(_attribute_map(kvs))
-
-
-def attributes_to_fields(kvs: str) -> Column:
-    """Attribute list to (key, JSON value) fields, keeping types; for documents."""
-    typed = f"transform({kvs}, a -> struct(a.key AS key, {_json_value('a.value')} AS json))"
-    return F.expr(f"coalesce({typed}, CAST(array() AS ARRAY<STRUCT<key: STRING, json: STRING>>))")
+    Scalars are read as text and judged record by record, so that only what is no JSON, or has lists and objects in the wrong
+    places, spoils a whole message.
+    """
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    return messages.select(F.from_json(F.col(column), MESSAGES[signal], options).alias("m")).select("m.*")
 
 
 # ---- shared pieces ----------------------------------------------------------------------------
@@ -276,22 +122,65 @@ def _each_storable(items: Column) -> Column:
     return F.coalesce(F.forall(items, is_storable), F.lit(True))
 
 
-def _span_is_storable(span: Column) -> Column:
+def _typed(kind: str, *raws: Column) -> Column:
+    """Whether each is absent or reads as the type."""
+    held = F.lit(True)
+    for raw in raws:
+        held = held & (raw.isNull() | raw.try_cast(kind).isNotNull())
+    return held
+
+
+def _each_typed(kind: str, items: Column) -> Column:
+    return F.coalesce(F.forall(items, lambda i: _typed(kind, i)), F.lit(True))
+
+
+BAD_MESSAGE = "message is not valid JSON"
+BAD_NUMBER = "a time or count is no whole number of 0 to 2^63 - 1"
+BAD_TYPE = "a field is not of its type"
+BAD_KIND = "metric type is unset or unsupported"
+
+
+def _span_fault(span: Column) -> Column:
+    """Why a span can't be stored; NULL if it can."""
     events = F.transform(span["events"], lambda e: e["timeUnixNano"])
-    return _all_storable(span["startTimeUnixNano"], span["endTimeUnixNano"]) & _each_storable(events)
+    whole = _all_storable(span["startTimeUnixNano"], span["endTimeUnixNano"]) & _each_storable(events)
+    return F.when(~whole, F.lit(BAD_NUMBER))
 
 
-def _record_is_storable(record: Column) -> Column:
-    return is_storable(record["timeUnixNano"])
+def _record_fault(record: Column) -> Column:
+    return F.when(~is_storable(record["timeUnixNano"]), F.lit(BAD_NUMBER)).when(~_typed("bigint", record["flags"]), F.lit(BAD_TYPE))
 
 
-def _point_is_storable(point: Column) -> Column:
-    plain = _all_storable(*[point[c] for c in ("startTimeUnixNano", "timeUnixNano", "count", "zeroCount")])
-    exemplar_times = F.transform(point["exemplars"], lambda e: e["timeUnixNano"])
-    lists = [point["bucketCounts"], point["positive"]["bucketCounts"], point["negative"]["bucketCounts"], exemplar_times]
-    for items in lists:
+def _point_fault(point: Column, fields: tuple[str, ...] = tuple(_RAW_POINT)) -> Column:
+    """The same of a data point that has these fields."""
+    of = lambda *names: [point[n] for n in names if n in fields]
+    inside = lambda lists, name: [F.transform(point[n], lambda i: i[name]) for n in lists if n in fields]
+    plain = _all_storable(*of("startTimeUnixNano", "timeUnixNano", "count", "zeroCount"))
+    counts = [*of("bucketCounts"), *[point[n]["bucketCounts"] for n in ("positive", "negative") if n in fields], *inside(["exemplars"], "timeUnixNano")]
+    for items in counts:
         plain = plain & _each_storable(items)
-    return plain
+    typed = _typed("double", *of("asDouble", "sum", "min", "max")) & _typed("bigint", *of("flags", "asInt"))
+    typed = typed & _typed("int", *of("scale"), *[point[n]["offset"] for n in ("positive", "negative") if n in fields])
+    numbers = [*of("explicitBounds"), *inside(["exemplars"], "asDouble"), *inside(["quantileValues"], "quantile"), *inside(["quantileValues"], "value")]
+    for items in numbers:
+        typed = typed & _each_typed("double", items)
+    return F.when(~plain, F.lit(BAD_NUMBER)).when(~typed, F.lit(BAD_TYPE))
+
+
+def _untyped(metric: Column) -> Column:
+    held = F.lit(True)
+    for field in METRIC_FIELDS.values():
+        held = held & metric[field].isNull()
+    return held
+
+
+def _metric_fault(metric: Column) -> Column:
+    """Something, where a metric is of no known type or has a point that can't be stored."""
+    some = _untyped(metric)
+    for kind, field in METRIC_FIELDS.items():
+        bad = F.exists(metric[field]["dataPoints"], lambda p: _point_fault(p, _POINT_FIELDS[kind]).isNotNull())  # noqa: B023
+        some = some | F.coalesce(bad, F.lit(False)) | ~_typed("boolean", metric[field]["isMonotonic"])
+    return F.when(some, F.lit(BAD_NUMBER))
 
 
 # Names of severities and temporalities, as messages may give them instead of numbers.
@@ -334,12 +223,12 @@ def _time_sql(value: str) -> str:
 def span_events(events: str) -> Column:
     return F.expr(f"""transform({events}, e -> struct({_time_sql('e.timeUnixNano')} AS Timestamp,
         {_ns_sql('e.timeUnixNano')} AS TimestampNs, coalesce(e.name, '') AS Name,
-        {_attribute_map('e.attributes')} AS Attributes))""")
+        {map_sql('e.attributes')} AS Attributes))""")
 
 
 def span_links(links: str) -> Column:
     return F.expr(f"""transform({links}, l -> struct({_id('l.traceId')} AS TraceId, {_id('l.spanId')} AS SpanId,
-        coalesce(l.traceState, '') AS TraceState, {_attribute_map('l.attributes')} AS Attributes))""")
+        coalesce(l.traceState, '') AS TraceState, {map_sql('l.attributes')} AS Attributes))""")
 
 
 def exemplars(items: str) -> Column:
@@ -348,9 +237,9 @@ def exemplars(items: str) -> Column:
     def filled(value: str, chars: int) -> str:
         return f"if(coalesce({value}, '') = '', repeat('0', {chars}), lower({value}))"
 
-    return F.expr(f"""transform({items}, e -> struct({_attribute_map('e.filteredAttributes')} AS FilteredAttributes,
+    return F.expr(f"""transform({items}, e -> struct({map_sql('e.filteredAttributes')} AS FilteredAttributes,
         {_time_sql('e.timeUnixNano')} AS TimeUnix,
-        coalesce(e.asDouble, try_cast(e.asInt AS DOUBLE), 0.0D) AS Value,
+        coalesce(try_cast(e.asDouble AS DOUBLE), try_cast(e.asInt AS DOUBLE), 0.0D) AS Value,
         {filled('e.spanId', ids.SPAN_ID_CHARS)} AS SpanId, {filled('e.traceId', ids.TRACE_ID_CHARS)} AS TraceId))""")
 
 
@@ -358,8 +247,8 @@ def quantile_pairs(items: Column) -> Column:
     return F.transform(
         items,
         lambda q: F.struct(
-            F.coalesce(q["quantile"], F.lit(0.0)).alias("Quantile"),
-            F.coalesce(q["value"], F.lit(0.0)).alias("Value"),
+            _zero(q["quantile"]).alias("Quantile"),
+            _zero(q["value"]).alias("Value"),
         ),
     )
 
@@ -368,40 +257,77 @@ def _or_empty(column: Column, kind: DataType) -> Column:
     return F.coalesce(column, F.array().cast(kind))
 
 
-def _scopes(messages: DataFrame, top: str, scopes: str, fields: bool = False) -> DataFrame:
+WHAT, REASON = "what", "reason"
+_LINE, _AROUND = "_line", "_around"
+
+
+def _opened(parts: str) -> str:
+    """SQL for the JSON object of some fields without its closing brace, ready for one more field."""
+    whole = f"to_json(struct({parts}))"
+    return f"transform(array({whole}), j -> if(j = '{{}}', '{{', concat(substring(j, 1, length(j) - 1), ',')))[0]"
+
+
+def _scopes(messages: DataFrame, top: str, scopes: str, items: str, fault, fields: bool, refusals: bool) -> DataFrame:
     """One row per (resource, scope), with the resource's columns worked out once.
 
-    Both levels come out of one explode, as each explode copies all that is below it.
+    Both levels come out of one explode, as each explode copies all that is below it. With `refusals` a message that can't be
+    read is a row too, with its text; and where a scope holds a record that can't be stored, the message around it comes along.
     """
     pairs = f"transform(r.{scopes}, s -> struct(r.resource AS resource, r.schemaUrl AS schemaUrl, s AS s))"
-    rows = messages.select(F.explode(F.expr(f"flatten(transform({top}, r -> coalesce({pairs}, array())))")).alias("r"))
+    readable = F.col(CORRUPT).isNull()
+    each = F.expr(f"flatten(transform({top}, r -> coalesce({pairs}, array())))")
+    if refusals:
+        rows = messages.select(F.col(CORRUPT).alias(_LINE), F.explode_outer(F.when(readable, each)).alias("r"))
+    else:
+        rows = messages.filter(readable).select(F.explode(each).alias("r"))
     attrs = "r.resource.attributes"
     columns = [attributes_to_map(attrs).alias("ResourceAttributes"), _blank(F.col("r.schemaUrl")).alias("ResourceSchemaUrl")]
     if fields:
         columns.append(attributes_to_fields(attrs).alias("ResourceFields"))
+    if refusals:
+        start = f"""concat('{{"{top}":[', {_opened("r.resource AS resource, r.schemaUrl AS schemaUrl")}, '"{scopes}":[',
+            {_opened("r.s.scope AS scope, r.s.schemaUrl AS schemaUrl")}, '"{items}":[')"""
+        some = F.coalesce(F.exists(F.col(f"r.s.{items}"), lambda x: fault(x).isNotNull()), F.lit(False))
+        columns += [F.col(_LINE), F.when(some, F.expr(start)).alias(_AROUND)]
     service = maps.attribute(F.col("ResourceAttributes"), "service.name").alias("ServiceName")
     return rows.select(*columns, F.col("r.s").alias("s")).select("*", service)
 
 
+def _each_record(scopes: DataFrame, items: str, columns: list, fault, refusals: bool) -> DataFrame:
+    """Records of every scope as `x`; with `refusals` also those that can't be stored, with what and why."""
+    if not refusals:
+        return scopes.select(*columns, F.explode(items).alias("x")).filter(fault(F.col("x")).isNull())
+    rows = scopes.select(*columns, _LINE, _AROUND, F.explode_outer(items).alias("x")).filter(F.col("x").isNotNull() | F.col(_LINE).isNotNull())
+    reason = F.when(F.col(_LINE).isNotNull(), F.lit(BAD_MESSAGE)).otherwise(fault(F.col("x"))).alias(REASON)
+    what = F.coalesce(_LINE, F.when(F.col(REASON).isNotNull(), F.concat(_AROUND, F.to_json("x"), F.lit("]}]}]}")))).alias(WHAT)
+    return rows.select("*", reason).select("*", what)
+
+
+def _marked(selected: list, refusals: bool) -> list:
+    return [*selected, F.col(WHAT), F.col(REASON)] if refusals else selected
+
+
 # ---- signals ----------------------------------------------------------------------------------
 
 
-def flatten_spans(messages: DataFrame, fields: bool = False) -> DataFrame:
+def flatten_spans(messages: DataFrame, fields: bool = False, refusals: bool = False) -> DataFrame:
     """Trace messages to the spans table.
 
-    `fields` adds SpanFields and ResourceFields, the attributes with their JSON types, which
-    the document encoders prefer over the string maps.
+    `fields` adds SpanFields, ResourceFields and, event by event, EventFields: the attributes with their types, which the
+    document encoders prefer over the string maps. `refusals` adds the records and messages that the table can't take, as rows
+    with a `reason` and, in `what`, the record in a message of its own, with its resource and scope, that can be loaded again.
+    Their other columns mean nothing. Stored rows have no reason.
     """
-    scopes = _scopes(messages, "resourceSpans", "scopeSpans", fields)
+    scopes = _scopes(messages, "resourceSpans", "scopeSpans", "spans", _span_fault, fields, refusals)
     extra = ["ResourceFields"] if fields else []
-    spans = scopes.select(
+    columns = [
         "ResourceAttributes",
         "ServiceName",
         _blank(F.col("s.scope.name")).alias("ScopeName"),
         _blank(F.col("s.scope.version")).alias("ScopeVersion"),
         *extra,
-        F.explode("s.spans").alias("x"),
-    ).filter(_span_is_storable(F.col("x")))
+    ]
+    spans = _each_record(scopes, "s.spans", columns, _span_fault, refusals)
     start, end = _ns(F.col("x.startTimeUnixNano")), _ns(F.col("x.endTimeUnixNano"))
     columns = {
         "Timestamp": times.ns_to_timestamp(start),
@@ -421,15 +347,19 @@ def flatten_spans(messages: DataFrame, fields: bool = False) -> DataFrame:
     }
     selected = [columns[c].alias(c) if c in columns else F.col(c) for c in schema.SPANS.names]
     if fields:
-        selected += [attributes_to_fields("x.attributes").alias("SpanFields"), F.col("ResourceFields")]
-    return spans.select(*selected)
+        of_events = F.expr(f"coalesce(transform(x.events, e -> {fields_sql('e.attributes')}), CAST(array() AS ARRAY<{FIELDS}>))")
+        selected += [attributes_to_fields("x.attributes").alias("SpanFields"), F.col("ResourceFields"), of_events.alias("EventFields")]
+    return spans.select(*_marked(selected, refusals))
+
 
+def flatten_logs(messages: DataFrame, fields: bool = False, refusals: bool = False) -> DataFrame:
+    """Log messages to the logs table. A resource without a name gets '', never its neighbour's.
 
-def flatten_logs(messages: DataFrame, fields: bool = False) -> DataFrame:
-    """Log messages to the logs table. A resource without a name gets '', never its neighbour's."""
-    scopes = _scopes(messages, "resourceLogs", "scopeLogs", fields)
+    `fields` adds LogFields, ResourceFields and BodyField, the body with its type; `refusals` is as for spans.
+    """
+    scopes = _scopes(messages, "resourceLogs", "scopeLogs", "logRecords", _record_fault, fields, refusals)
     extra = ["ResourceFields"] if fields else []
-    records = scopes.select(
+    columns = [
         "ResourceAttributes",
         "ResourceSchemaUrl",
         "ServiceName",
@@ -438,15 +368,15 @@ def flatten_logs(messages: DataFrame, fields: bool = False) -> DataFrame:
         _blank(F.col("s.scope.version")).alias("ScopeVersion"),
         attributes_to_map("s.scope.attributes").alias("ScopeAttributes"),
         *extra,
-        F.explode("s.logRecords").alias("x"),
-    ).filter(_record_is_storable(F.col("x")))
+    ]
+    records = _each_record(scopes, "s.logRecords", columns, _record_fault, refusals)
     at = _ns(F.col("x.timeUnixNano"))
     columns = {
         "Timestamp": times.ns_to_timestamp(at),
         "TimestampNs": at,
         "TraceId": ids.normal_id(F.col("x.traceId")),
         "SpanId": ids.normal_id(F.col("x.spanId")),
-        "TraceFlags": F.coalesce(F.col("x.flags"), F.lit(0).cast("bigint")),
+        "TraceFlags": _ns(F.col("x.flags")),
         "SeverityText": _blank(F.col("x.severityText")),
         "SeverityNumber": severity_number(F.col("x.severityNumber")),
         "Body": value_text("x.body"),
@@ -454,22 +384,9 @@ def flatten_logs(messages: DataFrame, fields: bool = False) -> DataFrame:
     }
     selected = [columns[c].alias(c) if c in columns else F.col(c) for c in schema.LOGS.names]
     if fields:
-        selected += [attributes_to_fields("x.attributes").alias("LogFields"), F.col("ResourceFields")]
-    return records.select(*selected)
-
-
-def _metrics(messages: DataFrame) -> DataFrame:
-    scopes = _scopes(messages, "resourceMetrics", "scopeMetrics")
-    return scopes.select(
-        "ResourceAttributes",
-        "ResourceSchemaUrl",
-        _blank(F.col("s.scope.name")).alias("ScopeName"),
-        _blank(F.col("s.scope.version")).alias("ScopeVersion"),
-        attributes_to_map("s.scope.attributes").alias("ScopeAttributes"),
-        F.coalesce(F.col("s.scope.droppedAttributesCount"), F.lit(0).cast("bigint")).alias("ScopeDroppedAttrCount"),
-        _blank(F.col("s.schemaUrl")).alias("ScopeSchemaUrl"),
-        F.explode("s.metrics").alias("m"),
-    )
+        body = F.expr(f"struct({json_sql('x.body')} AS json, {type_sql('x.body')} AS type)")
+        selected += [attributes_to_fields("x.attributes").alias("LogFields"), F.col("ResourceFields"), body.alias("BodyField")]
+    return records.select(*_marked(selected, refusals))
 
 
 KIND = "kind"
@@ -489,24 +406,68 @@ def _counts(raw: Column) -> Column:
 
 
 def _zero(value: Column) -> Column:
-    return F.coalesce(value, F.lit(0.0))
+    return F.coalesce(value.try_cast("double"), F.lit(0.0))
+
 
+def _int(value: Column) -> Column:
+    return F.coalesce(value.try_cast("int"), F.lit(0))
 
-def flatten_metrics(messages: DataFrame, kinds: tuple[str, ...] = schema.METRIC_KINDS) -> DataFrame:
+
+_UNTYPED = "_untyped"
+
+
+def _point_alone() -> str:
+    """SQL for a metric of one point, as JSON."""
+    point = f"to_json(struct({', '.join(f'p.{name}' for name in _RAW_POINT)}))"
+    field = " ".join(f"WHEN '{kind}' THEN '{name}'" for kind, name in METRIC_FIELDS.items())
+    shell = _opened("MetricName AS name, MetricDescription AS description, MetricUnit AS unit")
+    inside = _opened("p.aggregationTemporality AS aggregationTemporality, p.isMonotonic AS isMonotonic")
+    return f"""concat({shell}, '"', CASE p.{KIND} {field} END, '":', {inside}, '"dataPoints":[', {point}, ']}}}}')"""
+
+
+def flatten_metrics(messages: DataFrame, kinds: tuple[str, ...] = schema.METRIC_KINDS, refusals: bool = False) -> DataFrame:
     """Metric messages to data points of all kinds in one pass, one row per point.
 
     `kind` names the table a point belongs to. There is a column for every column of the five
-    tables; those that a point's own table lacks mean nothing in its row.
+    tables; those that a point's own table lacks mean nothing in its row. `refusals` is as for spans; the rows it adds, among
+    them metrics of no known type, are of no kind.
     """
     shared = ["ResourceAttributes", "ResourceSchemaUrl", "ScopeName", "ScopeVersion", "ScopeAttributes",
               "ScopeDroppedAttrCount", "ScopeSchemaUrl"]
-    points = _metrics(messages).select(
+    scopes = _scopes(messages, "resourceMetrics", "scopeMetrics", "metrics", _metric_fault, False, refusals)
+    around = [_LINE, _AROUND] if refusals else []
+    outer = F.explode_outer if refusals else F.explode
+    metrics = scopes.select(
+        "ResourceAttributes",
+        "ResourceSchemaUrl",
+        _blank(F.col("s.scope.name")).alias("ScopeName"),
+        _blank(F.col("s.scope.version")).alias("ScopeVersion"),
+        attributes_to_map("s.scope.attributes").alias("ScopeAttributes"),
+        _ns(F.col("s.scope.droppedAttributesCount")).alias("ScopeDroppedAttrCount"),
+        _blank(F.col("s.schemaUrl")).alias("ScopeSchemaUrl"),
+        *around,
+        outer("s.metrics").alias("m"),
+    )
+    if refusals:
+        metrics = metrics.filter(F.col("m").isNotNull() | F.col(_LINE).isNotNull())
+        around += [F.when(F.col("m").isNotNull() & _untyped(F.col("m")), F.to_json("m")).alias(_UNTYPED)]
+    points = metrics.select(
         *shared,
         _blank(F.col("m.name")).alias("MetricName"),
         _blank(F.col("m.description")).alias("MetricDescription"),
         _blank(F.col("m.unit")).alias("MetricUnit"),
-        F.explode(F.expr(f"concat({', '.join(map(_raw_points, kinds))})")).alias("p"),
-    ).filter(_point_is_storable(F.col("p")))
+        *around,
+        outer(F.expr(f"concat({', '.join(map(_raw_points, kinds))})")).alias("p"),
+    )
+    fault = F.coalesce(_point_fault(F.col("p")), F.when(~_typed("boolean", F.col("p.isMonotonic")), F.lit(BAD_TYPE)))
+    if refusals:
+        points = points.filter(F.col("p").isNotNull() | F.col(_LINE).isNotNull() | F.col(_UNTYPED).isNotNull())
+        reason = F.when(F.col(_LINE).isNotNull(), F.lit(BAD_MESSAGE)).when(F.col(_UNTYPED).isNotNull(), F.lit(BAD_KIND)).otherwise(fault)
+        points = points.select("*", reason.alias(REASON))
+        alone = F.coalesce(_UNTYPED, F.when(F.col(REASON).isNotNull(), F.expr(_point_alone())))
+        points = points.select("*", F.coalesce(_LINE, F.concat(_AROUND, alone, F.lit("]}]}]}"))).alias(WHAT))
+    else:
+        points = points.filter(fault.isNull())
     point = F.col("p")
     start, at = _ns(point["startTimeUnixNano"]), _ns(point["timeUnixNano"])
     columns = {
@@ -515,29 +476,28 @@ def flatten_metrics(messages: DataFrame, kinds: tuple[str, ...] = schema.METRIC_
         "StartTimeUnixNs": start,
         "TimeUnix": times.ns_to_timestamp(at),
         "TimeUnixNs": at,
-        "Flags": F.coalesce(point["flags"], F.lit(0).cast("bigint")),
-        "Value": text.number_value(point["asInt"], point["asDouble"]),
+        "Flags": _ns(point["flags"]),
+        "Value": text.number_value(point["asInt"], point["asDouble"].try_cast("double")),
         "Exemplars": _or_empty(exemplars("p.exemplars"), schema.EXEMPLARS),
         "AggTemp": temporality(point["aggregationTemporality"]),
-        "IsMonotonic": F.coalesce(point["isMonotonic"], F.lit(False)),
+        "IsMonotonic": F.coalesce(point["isMonotonic"].try_cast("boolean"), F.lit(False)),
         "Count": _ns(point["count"]),
         "Sum": _zero(point["sum"]),
         "Min": _zero(point["min"]),
         "Max": _zero(point["max"]),
         "BucketCounts": _counts(point["bucketCounts"]),
-        "ExplicitBounds": F.coalesce(point["explicitBounds"], F.array().cast("array<double>")),
-        "Scale": F.coalesce(point["scale"], F.lit(0)),
+        "ExplicitBounds": F.coalesce(F.transform(point["explicitBounds"], lambda b: b.try_cast("double")), F.array().cast("array<double>")),
+        "Scale": _int(point["scale"]),
         "ZeroCount": _ns(point["zeroCount"]),
-        "PositiveOffset": F.coalesce(point["positive"]["offset"], F.lit(0)),
+        "PositiveOffset": _int(point["positive"]["offset"]),
         "PositiveBucketCounts": _counts(point["positive"]["bucketCounts"]),
-        "NegativeOffset": F.coalesce(point["negative"]["offset"], F.lit(0)),
+        "NegativeOffset": _int(point["negative"]["offset"]),
         "NegativeBucketCounts": _counts(point["negative"]["bucketCounts"]),
         "ValueAtQuantiles": _or_empty(quantile_pairs(point["quantileValues"]), schema.QUANTILES),
     }
     wanted = dict.fromkeys(name for kind in kinds for name in schema.METRICS[kind].names)
-    return points.select(
-        point[KIND].alias(KIND), *[columns[c].alias(c) if c in columns else F.col(c) for c in wanted]
-    )
+    kind = F.when(F.col(REASON).isNull(), point[KIND]) if refusals else point[KIND]
+    return points.select(*_marked([kind.alias(KIND), *[columns[c].alias(c) if c in columns else F.col(c) for c in wanted]], refusals))
 
 
 def flatten_metric(messages: DataFrame, kind: str) -> DataFrame:
@@ -553,64 +513,33 @@ def split_metrics(messages: DataFrame) -> dict[str, DataFrame]:
     return {kind: flatten_metric(messages, kind) for kind in schema.METRIC_KINDS}
 
 
-def untyped_metrics(messages: DataFrame) -> DataFrame:
-    """Metrics whose type is unset or unsupported, with the reason, for quarantine."""
-    untyped = [F.col(f"m.{field}").isNull() for field in METRIC_FIELDS.values()]
-    condition = untyped[0]
-    for other in untyped[1:]:
-        condition = condition & other
-    return _metrics(messages).filter(condition).select(
-        "ResourceAttributes",
-        "ScopeName",
-        _blank(F.col("m.name")).alias("MetricName"),
-        F.lit("metric type is unset or unsupported").alias("reason"),
-    )
-
-
-BAD_NUMBER = "a time or count is no whole number of 0 to 2^63 - 1"
+def rejected(messages: DataFrame, signal: str) -> DataFrame:
+    """What of parsed messages no table takes: (what, reason).
 
+    A message that can't be read, as it came; a record with a time or count out of range or a field of the wrong type, or a metric
+    of no known type, in a message of its own. All other records of a message are stored.
+    """
+    return judged(messages, signal).filter(F.col(REASON).isNotNull()).select(WHAT, REASON)
 
-def out_of_range_times(messages: DataFrame) -> DataFrame:
-    """Spans with a time that can't be stored, with the reason."""
-    return _spans_alone(messages).filter(~_span_is_storable(F.col("x"))).select(
-        ids.normal_id(F.col("x.traceId")).alias("TraceId"), ids.normal_id(F.col("x.spanId")).alias("SpanId"), F.lit(BAD_NUMBER).alias("reason")
-    )
 
+def judged(messages: DataFrame, signal: str) -> DataFrame:
+    """Rows of a signal's table and of what it can't take, out of one parse."""
+    if signal == "traces":
+        return flatten_spans(messages, refusals=True)
+    return flatten_logs(messages, refusals=True) if signal == "logs" else flatten_metrics(messages, refusals=True)
 
-def _spans_alone(messages: DataFrame) -> DataFrame:
-    return (
-        messages.select(F.explode("resourceSpans").alias("r"))
-        .select(F.explode("r.scopeSpans").alias("s"))
-        .select(F.explode("s.spans").alias("x"))
-    )
 
+def untyped_metrics(messages: DataFrame) -> DataFrame:
+    """Metrics whose type is unset or unsupported, with the reason, for quarantine."""
+    bad = flatten_metrics(messages, refusals=True).filter(F.col(REASON) == BAD_KIND)
+    return bad.select("ResourceAttributes", "ScopeName", "MetricName", REASON)
 
-def rejected(messages: DataFrame, signal: str) -> DataFrame:
-    """What of parsed messages no table takes: (what, reason), `what` being the record as JSON or the line as it came.
 
-    A message that is no JSON of the expected form, a record with a time or count out of range, a metric of no known type.
-    All other records of a message are stored.
-    """
-    out = corrupt_messages(messages).select(F.col("message").alias("what"), "reason")
-    if signal == "traces":
-        bad = _spans_alone(messages).filter(~_span_is_storable(F.col("x"))).select(F.to_json("x").alias("what"))
-    elif signal == "logs":
-        records = (
-            messages.select(F.explode("resourceLogs").alias("r")).select(F.explode("r.scopeLogs").alias("s"))
-            .select(F.explode("s.logRecords").alias("x"))
-        )
-        bad = records.filter(~_record_is_storable(F.col("x"))).select(F.to_json("x").alias("what"))
-    else:
-        points = F.expr(f"concat({', '.join(map(_raw_points, schema.METRIC_KINDS))})")
-        one = _metrics(messages).select(F.col("m.name").alias("name"), F.explode(points).alias("p"))
-        bad = one.filter(~_point_is_storable(F.col("p"))).select(F.to_json(F.struct("name", "p")).alias("what"))
-        untyped = untyped_metrics(messages).select(F.col("MetricName").alias("what"), "reason")
-        out = out.unionByName(untyped)
-    return out.unionByName(bad.select("what", F.lit(BAD_NUMBER).alias("reason")))
+def out_of_range_times(messages: DataFrame) -> DataFrame:
+    """Spans with a time that can't be stored, with the reason."""
+    return flatten_spans(messages, refusals=True).filter(F.col(REASON) == BAD_NUMBER).select("TraceId", "SpanId", REASON)
 
 
 def corrupt_messages(messages: DataFrame) -> DataFrame:
     """Lines that were no JSON of the expected form, with the reason."""
-    return messages.filter(F.col(CORRUPT).isNotNull()).select(
-        F.col(CORRUPT).alias("message"), F.lit("message is not valid JSON").alias("reason")
-    )
+    return messages.filter(F.col(CORRUPT).isNotNull()).select(F.col(CORRUPT).alias("message"), F.lit(BAD_MESSAGE).alias(REASON))

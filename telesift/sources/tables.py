@@ -4,12 +4,16 @@ Rows are rebalanced by the sort key's leading columns, so a hot day or service i
 several files by adaptive execution, and sorted within each file for tight row-group bounds.
 Trace ids get a Parquet bloom filter. Map lookups cannot be pushed to the scan, so attributes
 that are often filtered on can be promoted to columns of their own when a table is written.
+
+Every write goes to folders of its own, day by day, writer by writer, batch by batch. Records that a table can't take are
+written by the same job as the rest, with a reason, under no day; read_table leaves them out, read_rejected gives them.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 import re
+import uuid
 from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -17,6 +21,7 @@ from pyspark.sql import functions as F
 
 from telesift import schema
 from telesift.functions import maps, times
+from telesift.sources.otlp import REASON, WHAT
 
 DAY = "day"
 KIND = "kind"
@@ -110,20 +115,26 @@ def _promote(df: DataFrame, promote: dict[str, list[str]] | None) -> DataFrame:
     return df.withColumns(added) if added else df
 
 
-WRITER = "writer"
+WRITER, BATCH = "writer", "batch_id"
 #: Who writes, where nobody else says so.
 LOADS = "loads"
 
 
-def _batch_columns(df: DataFrame, batch_id: int | None, writer: str) -> tuple[DataFrame, list[str], str]:
+def _batch_columns(df: DataFrame, time: str, batch_id: int | None, writer: str) -> tuple[DataFrame, list[str], str]:
     """Partition columns and mode: a writer's batch overwrites only its own folders, so a replay is harmless.
 
-    Two streams, or a stream and loads, number their batches alike; folders of their own keep them apart.
+    Two streams, or a stream and loads, number their batches alike; folders of their own keep them apart. A write without a
+    number is a writer of its own. Rows with a reason have no day.
     """
+    if REASON in df.columns:
+        day = F.when(F.col(REASON).isNull(), F.to_date(time))
+    else:
+        day, df = F.to_date(time), df.withColumns({WHAT: F.lit(None).cast("string"), REASON: F.lit(None).cast("string")})
     if batch_id is None:
-        return df, [DAY], "append"
-    df = df.withColumns({WRITER: F.lit(writer), "batch_id": F.lit(batch_id).cast("bigint")})
-    return df, [DAY, WRITER, "batch_id"], "overwrite"
+        writer, batch_id, mode = f"{writer}-{uuid.uuid4().hex}", 0, "append"
+    else:
+        mode = "overwrite"
+    return df.withColumns({DAY: day, WRITER: F.lit(writer), BATCH: F.lit(batch_id).cast("bigint")}), [DAY, WRITER, BATCH], mode
 
 
 def write_spans(
@@ -131,8 +142,7 @@ def write_spans(
     writer: str = LOADS,
 ) -> None:
     """Append spans: by day, sorted by service, operation, time and trace id."""
-    df = _promote(spans, promote).withColumn(DAY, F.to_date("Timestamp"))
-    df, partitions, mode = _batch_columns(df, batch_id, writer)
+    df, partitions, mode = _batch_columns(_promote(spans, promote), "Timestamp", batch_id, writer)
     order = ["ServiceName", "SpanName", "Timestamp", "TraceId"]
     _write(df, path, ["ServiceName", "SpanName"], order, partitions, ["TraceId"], mode)
 
@@ -142,15 +152,13 @@ def write_logs(
     writer: str = LOADS,
 ) -> None:
     """Append log records: by day, sorted by service, severity, time and trace id."""
-    df = _promote(logs, promote).withColumn(DAY, F.to_date("Timestamp"))
-    df, partitions, mode = _batch_columns(df, batch_id, writer)
+    df, partitions, mode = _batch_columns(_promote(logs, promote), "Timestamp", batch_id, writer)
     order = ["ServiceName", "SeverityText", "Timestamp", "TraceId"]
     _write(df, path, ["ServiceName", "SeverityText"], order, partitions, ["TraceId"], mode)
 
 
 def _write_points(df: DataFrame, path: str, leading: list[str], promote, batch_id: int | None, writer: str) -> None:
-    df = _promote(df, promote).withColumn(DAY, F.to_date("TimeUnix"))
-    df, partitions, mode = _batch_columns(df, batch_id, writer)
+    df, partitions, mode = _batch_columns(_promote(df, promote), "TimeUnix", batch_id, writer)
     # Maps have no order; their canonical text is the sort key.
     order = ["MetricName", maps.attributes_id(F.col("Attributes")), "TimeUnix"]
     _write(df, path, ["MetricName"], order, leading + partitions, (), mode)
@@ -178,21 +186,20 @@ def write_metric_points(
 
 def write_bounds(bounds: DataFrame, path: str, batch_id: int | None = None, writer: str = LOADS) -> None:
     """Append (partial) trace bounds, sorted by trace id within files; a batch replaces its own folders."""
-    df, partitions, mode = _batch_columns(bounds.withColumn(DAY, F.to_date("Start")), batch_id, writer)
-    _write(df, path, ["TraceId"], ["TraceId", "Start"], partitions, ["TraceId"], mode)
+    df, partitions, mode = _batch_columns(bounds, "Start", batch_id, writer)
+    _write(df.drop(WHAT, REASON), path, ["TraceId"], ["TraceId", "Start"], partitions, ["TraceId"], mode)
 
 
-def write_rejected(rejected: DataFrame, path: str, signal: str, batch_id: int, writer: str = LOADS) -> None:
-    """What a batch could not store, (what, reason); a replay replaces its own folder."""
-    marked = rejected.withColumns({"signal": F.lit(signal), WRITER: F.lit(writer), "batch_id": F.lit(batch_id).cast("bigint")})
-    writing = marked.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writing.partitionBy("signal", WRITER, "batch_id").parquet(path)
+def batch_of(spark: SparkSession, path: str, batch_id: int, writer: str = LOADS) -> DataFrame:
+    """What one batch of a writer stored; only its folders are listed."""
+    folders = f"{path.rstrip('/')}/{DAY}=*-*/{WRITER}={writer}/{BATCH}={batch_id}"
+    return spark.read.option("basePath", path).parquet(folders).drop(WHAT, REASON)
 
 
 def read_rejected(spark: SparkSession, path: str) -> DataFrame:
-    """What loads set aside; no rows where nothing was."""
-    kinds = f"what string, reason string, signal string, {WRITER} string, batch_id bigint"
-    return spark.read.schema(kinds).parquet(path)
+    """What a table's loads could not store: (what, reason, writer, batch_id); no rows where nothing was."""
+    kinds = f"{WHAT} string, {REASON} string, {DAY} date, {WRITER} string, {BATCH} bigint"
+    return spark.read.schema(kinds).parquet(path).filter(F.col(DAY).isNull()).select(WHAT, REASON, WRITER, BATCH)
 
 
 def write_documents(documents: DataFrame, path: str) -> None:
@@ -209,7 +216,9 @@ def metric_table_for(path: str, kind: str) -> str:
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+    """A table without what its loads refused."""
+    table = spark.read.parquet(path)
+    return table.filter(F.col(DAY).isNotNull()).drop(WHAT, REASON) if DAY in table.columns else table
 
 
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
@@ -222,7 +231,7 @@ def read_metric_table(spark: SparkSession, path: str, kind: str) -> DataFrame:
     """One kind's table, without the columns that only other kinds have."""
     table = spark.read.parquet(metric_table_for(path, kind))
     others = {name for other in schema.METRICS.values() for name in other.names} - set(schema.METRICS[kind].names)
-    return table.drop(*others)
+    return table.drop(*others, WHAT, REASON)
 
 
 def retained(table: DataFrame, days: int, now: dt.datetime) -> DataFrame:
@@ -233,23 +242,33 @@ def retained(table: DataFrame, days: int, now: dt.datetime) -> DataFrame:
 
 
 def apply_retention(spark: SparkSession, path: str, days: int, now: dt.datetime) -> list[str]:
-    """Delete the day folders wholly older than `days` and name them. Files are listed, not read."""
+    """Delete the day folders wholly older than `days` and name them. Files are listed, not read; refused records stay.
+
+    A folder with one table, or with the five metric tables below it.
+    """
     if days <= 0:
         return []
     oldest = (now.date() - dt.timedelta(days=days)).isoformat()
     jvm = spark.sparkContext._jvm
     folder = jvm.org.apache.hadoop.fs.Path(path)
     fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    dropped = []
-    for status in fs.listStatus(folder):
-        name = status.getPath().getName()
+    dropped = set()
+    below = [status.getPath() for status in fs.listStatus(folder)]
+    kinds = [p for p in below if p.getName().startswith(f"{KIND}=")]
+    for path in below + [status.getPath() for kind in kinds for status in fs.listStatus(kind)]:
+        name = path.getName()
         day = name.removeprefix(f"{DAY}=")
         if name.startswith(f"{DAY}=") and re.fullmatch(r"\d{4}-\d{2}-\d{2}", day) and day < oldest:
-            fs.delete(status.getPath(), True)
-            dropped.append(day)
+            fs.delete(path, True)
+            dropped.add(day)
     return sorted(dropped)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where)
+
+
 def append_if_absent(existing: DataFrame, new: DataFrame, key: str) -> DataFrame:
     """The rows of `new` whose key is not stored yet, one per key; append these.
 

@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from telesift.operators import bounds as bounds_ops
 from telesift.operators import logs as log_ops
 from telesift.operators import metrics as metric_ops
 from telesift.operators import spans as span_ops
 from telesift.plans import trace_search as ts
 from telesift.plans.log_search import LogQuery, search_logs
 from telesift.session import configure
-from telesift.sources import otlp, tables
+from telesift.sources import tables
+from telesift.sources.loads import load_records, load_spans
 
 
 class Store:
@@ -33,30 +36,26 @@ class Store:
         return {c: keys for c, keys in self.promote.items() if c in columns}
 
     # -- loads --
+    #
+    # A load parses its messages once and writes what it stores and what it refuses in one job. It returns how many of each.
 
-    def load_traces(self, messages: DataFrame, load: int) -> None:
-        """Spans, and the partial bounds of their traces.
+    def load_traces(self, messages: DataFrame, load: int) -> dict[str, int]:
+        """Spans, and after them the partial bounds of their traces, from the spans as stored.
 
-        Bounds come first: a load that fails in between leaves bounds too many, never spans that no bounds name.
+        A load that fails in between is to be run again under its number, like any other.
         """
-        promoted = self._promoted("SpanAttributes", "ResourceAttributes")
-        spans = otlp.flatten_spans(messages)
-        tables.write_bounds(bounds_ops.trace_bounds(spans), self._at("bounds"), load)
-        tables.write_spans(spans, self._at("spans"), promoted, load)
-        self._reject(messages, "traces", load)
+        return load_spans(messages, self._at("spans"), self._at("bounds"), self._promoted("SpanAttributes", "ResourceAttributes"), load)
 
-    def load_logs(self, messages: DataFrame, load: int) -> None:
-        promoted = self._promoted("LogAttributes", "ResourceAttributes")
-        tables.write_logs(otlp.flatten_logs(messages), self._at("logs"), promoted, load)
-        self._reject(messages, "logs", load)
+    def load_logs(self, messages: DataFrame, load: int) -> dict[str, int]:
+        return load_records(messages, "logs", self._at("logs"), self._promoted("LogAttributes", "ResourceAttributes"), load)
 
-    def load_metrics(self, messages: DataFrame, load: int) -> None:
-        promoted = self._promoted("Attributes", "ResourceAttributes")
-        tables.write_metric_points(otlp.flatten_metrics(messages), self._at("metrics"), promoted, load)
-        self._reject(messages, "metrics", load)
+    def load_metrics(self, messages: DataFrame, load: int) -> dict[str, int]:
+        return load_records(messages, "metrics", self._at("metrics"), self._promoted("Attributes", "ResourceAttributes"), load)
 
-    def _reject(self, messages: DataFrame, signal: str, load: int) -> None:
-        tables.write_rejected(otlp.rejected(messages, signal), self._at("rejected"), signal, load)
+    def apply_retention(self, days: int, now: dt.datetime) -> dict[str, list[str]]:
+        """Delete the days wholly older than `days` from every table, and name them."""
+        there = [t for t in ("spans", "bounds", "logs", "metrics") if tables.exists(self.spark, self._at(t))]
+        return {t: tables.apply_retention(self.spark, self._at(t), days, now) for t in there}
 
     # -- tables --
 
@@ -73,8 +72,12 @@ class Store:
         return tables.read_metric_table(self.spark, self._at("metrics"), kind)
 
     def rejected(self) -> DataFrame:
-        """What no table took, with the reason, by signal."""
-        return tables.read_rejected(self.spark, self._at("rejected"))
+        """What no table took, in messages that can be loaded again, with the reason, by signal."""
+        none = self.spark.createDataFrame([], "what string, reason string, writer string, batch_id bigint, signal string")
+        for signal, table in (("traces", "spans"), ("logs", "logs"), ("metrics", "metrics")):
+            if tables.exists(self.spark, self._at(table)):
+                none = none.unionByName(tables.read_rejected(self.spark, self._at(table)).withColumn("signal", F.lit(signal)))
+        return none
 
     # -- calls --
 

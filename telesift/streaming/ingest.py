@@ -12,6 +12,7 @@ from telesift.functions import ids
 from telesift.operators import bounds as bounds_ops
 from telesift.operators import catalog
 from telesift.sources import otlp, tables
+from telesift.sources.loads import load_records, load_spans
 
 AVAILABLE = {"availableNow": True}
 
@@ -41,31 +42,24 @@ def stream_ingest(
     checkpoint: str,
     trigger: dict | None = None,
     column: str = "value",
-    quarantine: str | None = None,
     promote: dict[str, list[str]] | None = None,
     bounds: str | None = None,
 ) -> StreamingQuery:
     """Messages to the tables of a signal, micro-batch by micro-batch.
 
-    A batch overwrites only folders with its stream's name and its own number, so that one run again after a
-    failure leaves each row once, and another stream's rows stay. What cannot be stored goes to the quarantine
-    folder (`<path>-rejected` if none is named), and all else still goes through. With a `bounds` folder the
-    traces' partial bounds are written there, before their spans.
+    A batch is parsed once and written by one job. It overwrites only folders with its stream's name and its own number, so that
+    one run again after a failure leaves each row once, and another stream's rows stay. What cannot be stored is written along,
+    under no day, for tables.read_rejected, and all else still goes through. With a `bounds` folder the traces' partial bounds
+    are written there after their spans.
     """
-    writer, aside = writer_of(checkpoint), quarantine or f"{path.rstrip('/')}-rejected"
+    writer = writer_of(checkpoint)
 
     def each_batch(batch: DataFrame, batch_id: int) -> None:
         parsed = otlp.parse_otlp_json(batch, column, signal)
         if signal == "traces":
-            spans = otlp.flatten_spans(parsed)
-            if bounds is not None:
-                tables.write_bounds(bounds_ops.trace_bounds(spans), bounds, batch_id, writer)
-            tables.write_spans(spans, path, promote, batch_id, writer)
-        elif signal == "logs":
-            tables.write_logs(otlp.flatten_logs(parsed), path, promote, batch_id, writer)
+            load_spans(parsed, path, bounds, promote, batch_id, writer)
         else:
-            tables.write_metric_points(otlp.flatten_metrics(parsed), path, promote, batch_id, writer)
-        tables.write_rejected(otlp.rejected(parsed, signal), aside, signal, batch_id, writer)
+            load_records(parsed, signal, path, promote, batch_id, writer)
 
     return _run(messages, each_batch, checkpoint, trigger)
 

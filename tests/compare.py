@@ -28,7 +28,9 @@ def connect(sf_dir: str):
 def _cell(value):
     if isinstance(value, float):
         return "NaN" if math.isnan(value) else round(value, 9)
-    return value
+    if isinstance(value, (list, tuple)):
+        return tuple(map(_cell, value))
+    return tuple(sorted((k, _cell(v)) for k, v in value.items())) if isinstance(value, dict) else value
 
 
 def spark_rows(df):

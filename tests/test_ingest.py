@@ -1,12 +1,13 @@
 """OTLP JSON to tables, quarantine, tables on disk."""
 
 import datetime as dt
+import json
 
 from pyspark.sql import functions as F
 
 from telesift import schema
 from telesift.operators import catalog, spans as span_ops
-from telesift.sources import otlp, tables
+from telesift.sources import otlp, tables, values
 from tests.helpers import any_value, attrs, messages_of, spans_of, trace_message
 
 BASE = 1_944_772_869_250_000_000
@@ -79,8 +80,8 @@ def test_values_of_any_depth(spark):
 def test_service_name_is_not_inherited(spark):
     """A resource without a name does not take over its neighbour's."""
     logs = {"resourceLogs": [
-        {"resource": {"attributes": attrs(service_name="one")}, "schemaUrl": "r/1.4.0",
-         "scopeLogs": [{"schemaUrl": "s/1.7.0", "scope": {"name": "lib", "attributes": attrs(lib="x")},
+        {"resource": {"attributes": attrs(service_name="one")}, "schemaUrl": "urn:harbour:resource",
+         "scopeLogs": [{"schemaUrl": "urn:harbour:log", "scope": {"name": "tide-gauge", "attributes": attrs(berth="north")},
                         "logRecords": [{"severityText": "Info", "severityNumber": 9, "flags": 1, "body": any_value("hello"),
                                         "timeUnixNano": str(BASE), "traceId": "3c" * 16}]}]},
         {"scopeLogs": [{"logRecords": [{"body": any_value({"k": 1})}, {}]}]},
@@ -89,13 +90,14 @@ def test_service_name_is_not_inherited(spark):
     assert [f.dataType for f in df.schema] == [f.dataType for f in schema.LOGS] and df.schema.names == schema.LOGS.names
     rows = df.collect()
     assert [r.ServiceName for r in rows] == ["one", "", ""] and [r.Body for r in rows] == ["hello", '{"k":1}', ""]
-    assert rows[0].ResourceSchemaUrl == "r/1.4.0" and rows[0].ScopeSchemaUrl == "s/1.7.0" and rows[0].ScopeAttributes == {"lib": "x"}
+    assert rows[0].ResourceSchemaUrl == "urn:harbour:resource" and rows[0].ScopeSchemaUrl == "urn:harbour:log"
+    assert rows[0].ScopeName == "tide-gauge" and rows[0].ScopeAttributes == {"berth": "north"}
     assert rows[0].TraceFlags == 1 and rows[0].SeverityNumber == 9 and rows[1].TraceFlags == 0
 
 
 POINT = {"startTimeUnixNano": "1", "timeUnixNano": str(BASE), "flags": 1, "attributes": attrs(mast="fore")}
 METRICS = {"resourceMetrics": [{"resource": {"attributes": attrs(service_name="m")}, "scopeMetrics": [{
-    "scope": {"name": "lib", "version": "1", "droppedAttributesCount": 3}, "schemaUrl": "u", "metrics": [
+    "scope": {"name": "barometer", "version": "1", "droppedAttributesCount": 3}, "schemaUrl": "u", "metrics": [
         {"name": "g", "unit": "1", "description": "d", "gauge": {"dataPoints": [
             {**POINT, "asInt": "-7", "exemplars": [{"filteredAttributes": attrs(why="test")},
                                                    {"timeUnixNano": str(BASE + 9), "asInt": "31", "spanId": "ab" * 8}]},
@@ -167,6 +169,40 @@ def test_quarantine_of_logs_and_metrics(spark):
     assert otlp.rejected(parsed, "metrics").count() == 4
 
 
+def test_one_wrong_type_refuses_one_record(spark):
+    """Neighbours of a record of a wrong type are stored, and each record goes one way only."""
+    records = [{"timeUnixNano": "5", "flags": f, "severityText": str(i)} for i, f in enumerate([1, "1", "x", {"a": 1}, None, 2.5, True])]
+    parsed = messages_of(spark, [{"resourceLogs": [{"scopeLogs": [{"logRecords": records}]}]}], "logs")
+    stored = {r.SeverityText: r.TraceFlags for r in otlp.flatten_logs(parsed).collect()}
+    refused = [json.loads(r.what)["resourceLogs"][0]["scopeLogs"][0]["logRecords"][0]["severityText"] for r in otlp.rejected(parsed, "logs").collect()]
+    assert stored == {"0": 1, "1": 1, "4": 0} and sorted(refused) == ["2", "3", "5", "6"]
+    points = [{**POINT, "asDouble": v} for v in (1.5, "2.5", "NaN", "many", [1])] + [{**POINT, "asInt": "x"}, {**POINT, "attributes": attrs(ok=True)}]
+    metrics = {"resourceMetrics": [{"resource": {"attributes": attrs(host="h")}, "scopeMetrics": [{"scope": {"name": "a"}, "metrics": [{"name": "g", "unit": "m", "gauge": {"dataPoints": points}},
+               {"name": "s", "sum": {"isMonotonic": "perhaps", "dataPoints": [POINT]}}]}]}]}
+    parsed = messages_of(spark, [metrics], "metrics")
+    assert sorted(str(r.Value) for r in otlp.flatten_metric(parsed, "gauge").collect()) == ["0.0", "1.5", "2.5", "nan"]
+    rows = otlp.rejected(parsed, "metrics").collect()
+    assert len(rows) == 4 and {r.reason for r in rows} == {otlp.BAD_TYPE}
+    again = messages_of(spark, [r.what.replace('"many"', '"4.5"') for r in rows], "metrics")
+    mended = otlp.flatten_metric(again, "gauge").collect()
+    assert [(r.MetricName, r.MetricUnit, r.Value, r.ResourceAttributes, r.ScopeName, r.Attributes) for r in mended] == [("g", "m", 4.5, {"host": "h"}, "a", {"mast": "fore"})]
+    # A list where an object belongs spoils the whole message: nothing of it is stored.
+    whole = messages_of(spark, [{"resourceLogs": [{"scopeLogs": [{"logRecords": [{"timeUnixNano": "5"}, {"attributes": 7}]}]}]}], "logs")
+    assert otlp.flatten_logs(whole).count() == 0 and [r.reason for r in otlp.rejected(whole, "logs").collect()] == [otlp.BAD_MESSAGE]
+
+
+def test_typed_values(spark):
+    kvs = attrs(n=7, on=True, ratio=0.5, word="x", none=None, many=[1, {"a": 2}], tree={"a": {"b": 3}}) + [{"key": "raw", "value": {"bytesValue": "/wA="}}]
+    rows = otlp.flatten_spans(messages_of(spark, [trace_message([{"attributes": kvs, "events": [{"name": "e", "attributes": attrs(n=1)}]}])], "traces"), fields=True)
+    row = rows.first()
+    assert {f.key: f.type for f in row.SpanFields} == {"n": "int64", "on": "bool", "ratio": "float64", "word": "string", "none": None, "many": "array", "tree": "map", "raw": "binary"}
+    assert [[(f.key, f.json, f.type) for f in e] for e in row.EventFields] == [[("n", "1", "int64")]]
+    made = rows.select(values.fields_to_variant("SpanFields").alias("v")).selectExpr(
+        "variant_get(v, '$.n', 'int') AS n", "variant_get(v, '$.tree.a.b', 'int') AS deep", "variant_get(v, '$.many[1].a', 'int') AS item",
+        "try_variant_get(v, '$.word', 'int') AS odd", "schema_of_variant(v) AS kinds").first()
+    assert (made.n, made.deep, made.item, made.odd) == (7, 3, 2, None) and "tree: OBJECT<a: OBJECT<b: BIGINT>>" in made.kinds
+
+
 def test_severity_names(spark):
     names = [f"SEVERITY_NUMBER_{n}{d}" for n in otlp.SEVERITIES for d in ("", "2", "3", "4")] + ["SEVERITY_NUMBER_UNSPECIFIED", "x", None, "7"]
     rows = spark.createDataFrame(list(enumerate(names)), "i int, s string").orderBy("i")

@@ -15,8 +15,11 @@ def con():
 
 @pytest.mark.parametrize("name", list(entry.queries()))
 def test_query(spark, con, name):
-    verdict, note = compare.compare(spark, con, SF, name, entry.queries()[name], entry.oracle_sql().get(name))
-    assert verdict == "ok", note
+    sql = entry.oracle_sql().get(name)
+    verdict, note = compare.compare(spark, con, SF, name, entry.queries()[name], sql)
+    # What SQL can't express has tests of its own against brute force; here it must run, with rows and distinct column names.
+    assert verdict == ("rows" if sql is None else "ok"), note
+    assert sql is not None or not note.startswith("0 ")
 
 
 def test_every_oracle_belongs_to_a_query():

@@ -1,11 +1,13 @@
 """Loads and calls of the store."""
 
 import datetime as dt
+import json
 
 import pytest
 
 from telesift.plans.log_search import LogQuery
 from telesift.plans.trace_search import TraceQuery
+from telesift.sources import otlp
 from telesift.store import Store
 from tests.helpers import any_value, attrs, messages_of, trace_message
 from tests.test_ingest import METRICS
@@ -59,7 +61,24 @@ def test_trace_calls(store):
 
 def test_rejected_records_are_kept_aside(store):
     rows = store.rejected().collect()
-    assert [(r.signal, r.what, r.reason) for r in rows] == [("metrics", "untyped", "metric type is unset or unsupported")]
+    assert [(r.signal, json.loads(r.what)["resourceMetrics"][0]["scopeMetrics"][0]["metrics"], r.reason) for r in rows] == [
+        ("metrics", [{"name": "untyped"}], "metric type is unset or unsupported")]
+
+
+def test_refused_records_can_be_loaded_again(spark, tmp_path):
+    made = Store(spark, str(tmp_path / "s"))
+    message = trace_message([span(1, 1, 0), span(1, 2, 0, startTimeUnixNano="-5")], attrs(service_name="shop", port=80), {"name": "lib", "version": "3"})
+    assert made.load_traces(messages_of(spark, [message, "{broken"], "traces"), 0) == {"stored": 1, "refused": 2}
+    refused = {r.reason: r.what for r in made.rejected().collect()}
+    assert refused["message is not valid JSON"] == "{broken"
+    mended = refused[otlp.BAD_NUMBER].replace('"-5"', f'"{BASE + 7}"')
+    assert made.load_traces(messages_of(spark, [json.loads(mended)], "traces"), 1) == {"stored": 1, "refused": 0}
+    rows = {r.SpanId[-1]: r for r in made.spans().collect()}
+    assert (rows["2"].ServiceName, rows["2"].ResourceAttributes["port"], rows["2"].ScopeName, rows["2"].TimestampNs) == ("shop", "80", "lib", BASE + 7)
+    assert rows["2"].SpanAttributes == rows["1"].SpanAttributes and made.bounds().count() == 2
+    assert made.load_traces(messages_of(spark, [{}], "traces"), 2) == {"stored": 0, "refused": 0}
+    assert made.apply_retention(1, dt.datetime(2030, 1, 1)) == {"spans": ["2024-01-01"], "bounds": ["2024-01-01"]}
+    assert made.rejected().count() == 2
 
 
 def test_log_and_metric_calls(store):

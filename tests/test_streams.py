@@ -28,12 +28,12 @@ def span(i, **more):
 
 
 def test_ingest_goes_on_where_it_stopped_and_survives_a_replay(spark, tmp_path):
-    source, table, check, bad = (str(tmp_path / n) for n in ("in", "spans", "check", "bad"))
+    source, table, check = (str(tmp_path / n) for n in ("in", "spans", "check"))
 
     def run():
         stream = ingest.message_stream(spark, source, files_per_batch=1)
-        ingest.stream_ingest(stream, "traces", table, check, quarantine=bad).awaitTermination()
-        return spark.read.parquet(table)
+        ingest.stream_ingest(stream, "traces", table, check).awaitTermination()
+        return tables.read_table(spark, table)
 
     write_lines(source, "one", [trace_message([span(i) for i in range(10)], attrs(service_name="s"))])
     assert run().count() == 10
@@ -48,8 +48,8 @@ def test_ingest_goes_on_where_it_stopped_and_survives_a_replay(spark, tmp_path):
             os.remove(name)
     again = run()
     assert again.count() == 15 and again.select("SpanId").distinct().count() == 15
-    reasons = {r.reason for r in spark.read.parquet(bad).collect()}
-    assert reasons == {"message is not valid JSON", otlp.BAD_NUMBER}
+    refused = tables.read_rejected(spark, table).collect()
+    assert sorted(r.reason for r in refused) == [otlp.BAD_NUMBER, "message is not valid JSON"]
 
 
 def test_two_streams_and_a_load_share_a_table(spark, tmp_path):
@@ -63,7 +63,9 @@ def test_two_streams_and_a_load_share_a_table(spark, tmp_path):
     tables.write_spans(spans_of(spark, [{"SpanId": "load"}]), table, batch_id=0)
     assert spark.read.parquet(table).count() == 11
     assert bounds.merge_trace_bounds(spark.read.parquet(bounds_table)).count() == 4
-    assert tables.read_rejected(spark, f"{table}-rejected").count() == 0
+    tables.write_spans(spans_of(spark, [{"SpanId": "unnumbered"}]), table)
+    assert spark.read.parquet(table).count() == 12
+    assert tables.read_rejected(spark, table).count() == 0
 
 
 def test_ingest_of_logs_and_metrics(spark, tmp_path):
@@ -72,14 +74,13 @@ def test_ingest_of_logs_and_metrics(spark, tmp_path):
         source = str(tmp_path / f"in-{signal}")
         write_lines(source, "one", [message])
         ingest.stream_ingest(
-            ingest.message_stream(spark, source), signal, str(tmp_path / table), str(tmp_path / f"check-{signal}"),
-            quarantine=str(tmp_path / f"bad-{signal}"),
+            ingest.message_stream(spark, source), signal, str(tmp_path / table), str(tmp_path / f"check-{signal}")
         ).awaitTermination()
     assert spark.read.parquet(str(tmp_path / "l")).count() == 3
     gauge = tables.read_metric_table(spark, str(tmp_path / "m"), "gauge")
     assert gauge.count() == 3 and "ValueAtQuantiles" not in gauge.columns and "Value" in gauge.columns
     assert tables.read_metric_table(spark, str(tmp_path / "m"), "summary").count() == 1
-    assert [r.what for r in spark.read.parquet(str(tmp_path / "bad-metrics")).collect()] == ["untyped"]
+    assert [r.reason for r in tables.read_rejected(spark, str(tmp_path / "m")).collect()] == [otlp.BAD_KIND]
     with pytest.raises(ValueError):
         tables.metric_table_for("x", "counter")
 
