@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("traces", "ingest", "logs", "metrics", "documents", "scalars", "processors", "streams")
+MODULES = ("traces", "ingest", "logs", "metrics", "documents", "scalars", "processors", "streams", "typed")
 
 
 def _load():
