@@ -136,5 +136,5 @@ def _(v):
         rows.filter(F.col("event_id") % 2 == remainder).write.mode("append").parquet(folder)
         stream = v.spark.readStream.schema(rows.schema).parquet(folder)
         ingest.stream_split_late(stream, "Timestamp", "1 DAY", path, checkpoint).awaitTermination()
-    sides = [tables.read_table(v.spark, f"{path}/{side}").select("SpanId", F.lit(side).alias("side")) for side in ("on_time", "late")]
+    sides = [ingest.read_side(v.spark, path, side).select("SpanId", F.lit(side).alias("side")) for side in ("on_time", "late")]
     return sides[0].unionAll(sides[1])

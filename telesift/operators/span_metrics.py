@@ -16,7 +16,7 @@ def _bounds_ns(bounds_ms) -> list[int]:
     return [int(round(b * 1_000_000)) for b in bounds_ms]
 
 
-def _bucket_conditions(duration: Column, bounds_ms) -> list[Column]:
+def bucket_conditions(duration: Column, bounds_ms) -> list[Column]:
     """One condition per bucket, upper bound inclusive; the last is everything above."""
     bounds = _bounds_ns(bounds_ms)
     conditions = [duration <= bounds[0]]
@@ -24,7 +24,7 @@ def _bucket_conditions(duration: Column, bounds_ms) -> list[Column]:
     return conditions + [duration > bounds[-1]]
 
 
-def _dimension(name: str) -> Column:
+def dimension(name: str) -> Column:
     return F.coalesce(F.col("SpanAttributes")[name], F.col("ResourceAttributes")[name], F.lit(""))
 
 
@@ -35,8 +35,8 @@ def span_metrics(
     keys = ["ServiceName", "SpanName", "SpanKind", "StatusCode"]
     interval = F.window("Timestamp", f"{width} seconds").alias("interval")
     duration = F.col("Duration")
-    counts = [F.count_if(c).alias(f"_b{i}") for i, c in enumerate(_bucket_conditions(duration, bounds_ms))]
-    grouped = spans.groupBy(interval, *keys, *[_dimension(d).alias(d) for d in dimensions]).agg(
+    counts = [F.count_if(c).alias(f"_b{i}") for i, c in enumerate(bucket_conditions(duration, bounds_ms))]
+    grouped = spans.groupBy(interval, *keys, *[dimension(d).alias(d) for d in dimensions]).agg(
         F.count("*").alias("calls"), F.sum("Duration").alias("duration_sum_ns"), *counts
     )
     return grouped.select(
@@ -74,8 +74,8 @@ def service_graph(
     """
     traced = spans.filter(F.col("TraceId") != "")
     duration = F.col("Duration")
-    conditions = _bucket_conditions(duration, bounds_ms)
-    dims = {d: _dimension(d) for d in dimensions}
+    conditions = bucket_conditions(duration, bounds_ms)
+    dims = {d: dimension(d) for d in dimensions}
     clients = (
         traced.filter(F.col("SpanKind") == "SPAN_KIND_CLIENT")
         .groupBy("TraceId", "SpanId", F.col("ServiceName").alias("client"),

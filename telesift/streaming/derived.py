@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -53,55 +53,89 @@ def group_by_trace_stream(spans: DataFrame, gap: str = "30 seconds", delay: str
     )
 
 
-def service_graph_pairs_stream(
-    spans: DataFrame, ttl: str = "1 second", delay: str = "1 second", salts: int = 4
-) -> DataFrame:
-    """Client spans with the server spans they call, paired when both have come within `ttl`.
-
-    Both sides have a watermark and the join a time range, so unpaired spans leave the state.
-    A client span is kept once per salt and its children are spread over the salts, so that a
-    client span with countless children is not all one task's.
-    """
-    traced = spans.filter(F.col("TraceId") != "")
+def _clients(traced: DataFrame, delay: str, dimensions: tuple[str, ...]) -> DataFrame:
     failed = F.col("StatusCode") == metric_ops.ERROR
-    clients = (
+    return (
         traced.filter(F.col("SpanKind") == "SPAN_KIND_CLIENT")
         .select(
             F.col("Timestamp").alias("client_time"), F.col("TraceId").alias("client_trace"), F.col("SpanId").alias("client_id"),
             F.col("ServiceName").alias("client"), failed.alias("client_failed"), F.col("Duration").alias("client_ns"),
-            F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("client_salt"),
+            *[metric_ops.dimension(d).alias(f"client_{d}") for d in dimensions],
         )
         .withWatermark("client_time", delay)
     )
-    servers = (
+
+
+def _servers(traced: DataFrame, delay: str, dimensions: tuple[str, ...]) -> DataFrame:
+    failed = F.col("StatusCode") == metric_ops.ERROR
+    return (
         traced.filter((F.col("SpanKind") == "SPAN_KIND_SERVER") & (F.col("ParentSpanId") != ""))
         .select(
-            F.col("Timestamp").alias("server_time"), F.col("TraceId").alias("server_trace"),
+            F.col("Timestamp").alias("server_time"), F.col("TraceId").alias("server_trace"), F.col("SpanId").alias("server_id"),
             F.col("ParentSpanId").alias("server_parent"), F.col("ServiceName").alias("server"),
             failed.alias("server_failed"), F.col("Duration").alias("server_ns"),
-            F.pmod(F.xxhash64("SpanId"), F.lit(salts)).cast("int").alias("server_salt"),
+            *[metric_ops.dimension(d).alias(f"server_{d}") for d in dimensions],
         )
         .withWatermark("server_time", delay)
     )
+
+
+def _calls(ttl: str) -> Column:
     span_of = F.expr(f"INTERVAL {ttl}")
-    condition = (
-        (F.col("client_trace") == F.col("server_trace"))
-        & (F.col("client_id") == F.col("server_parent"))
-        & (F.col("client_salt") == F.col("server_salt"))
-        & (F.col("server_time") >= F.col("client_time") - span_of)
-        & (F.col("server_time") <= F.col("client_time") + span_of)
+    return (
+        (F.col("client_trace") == F.col("server_trace")) & (F.col("client_id") == F.col("server_parent"))
+        & (F.col("server_time") >= F.col("client_time") - span_of) & (F.col("server_time") <= F.col("client_time") + span_of)
     )
-    return clients.join(servers, condition).select(
+
+
+def service_graph_pairs_stream(
+    spans: DataFrame, ttl: str = "1 second", delay: str = "1 second", salts: int = 4, dimensions: tuple[str, ...] = ()
+) -> DataFrame:
+    """Client spans with the server spans they call, paired when both have come within `ttl`, with the graph's dimensions.
+
+    Both sides have a watermark and the join a time range, so unpaired spans leave the state; see unpaired_spans_stream for these.
+    A client span is kept once per salt and its children are spread over the salts, so that a client span with countless children
+    is not all one task's; the number of salts changes no row.
+    """
+    traced = spans.filter(F.col("TraceId") != "")
+    clients = _clients(traced, delay, dimensions).withColumn("client_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    servers = _servers(traced, delay, dimensions).withColumn("server_salt", F.pmod(F.xxhash64("server_id"), F.lit(salts)).cast("int"))
+    return clients.join(servers, _calls(ttl) & (F.col("client_salt") == F.col("server_salt"))).select(
         F.col("client_trace").alias("TraceId"), "client", "server", "client_time", "server_time", "client_ns", "server_ns",
         (F.col("client_failed") | F.col("server_failed")).alias("failed"),
+        *[F.col(f"`{side}_{d}`") for d in dimensions for side in ("client", "server")],
+    )
+
+
+def unpaired_spans_stream(spans: DataFrame, ttl: str = "1 second", delay: str = "1 second") -> DataFrame:
+    """(side, TraceId, SpanId, ServiceName, Timestamp): clients that no server span answered, and parents of server spans that
+    never came as clients, when the watermark has passed the time in which they could have.
+
+    Children are one per client span here, the first that comes: whether there is any is all that matters, so a client with
+    countless children is one row of state. An unpaired server row names the missing parent, and one of its children.
+    """
+    traced = spans.filter(F.col("TraceId") != "")
+    first = _servers(traced, delay, ()).dropDuplicatesWithinWatermark(["server_trace", "server_parent"])
+    joined = _clients(traced, delay, ()).join(first, _calls(ttl), "full_outer").filter(F.col("client_id").isNull() | F.col("server_id").isNull())
+    alone = F.col("server_id").isNull()
+    pick = lambda client, server: F.when(alone, F.col(client)).otherwise(F.col(server))
+    return joined.select(
+        F.when(alone, "client").otherwise("server").alias("side"), pick("client_trace", "server_trace").alias("TraceId"),
+        pick("client_id", "server_parent").alias("SpanId"), pick("client", "server").alias("ServiceName"),
+        pick("client_time", "server_time").alias("Timestamp"),
     )
 
 
-def edges_of(pairs: DataFrame) -> DataFrame:
-    """Edges of the service graph from stored pairs."""
-    return pairs.groupBy("client", "server").agg(
+def edges_of(pairs: DataFrame, dimensions: tuple[str, ...] = (), bounds_ms: tuple[float, ...] | None = None) -> DataFrame:
+    """Edges of the service graph from stored pairs, with the dimensions these were made with, and latency buckets if asked for."""
+    buckets = []
+    for side in ("client", "server") if bounds_ms else ():
+        counts = [F.count_if(c) for c in metric_ops.bucket_conditions(F.col(f"{side}_ns"), bounds_ms)]
+        buckets.append(F.array(*counts).alias(f"{side}_bucket_counts"))
+    return pairs.groupBy("client", "server", *[F.col(f"`{side}_{d}`") for d in dimensions for side in ("client", "server")]).agg(
         F.count("*").alias("calls"),
         F.count_if("failed").alias("failed"),
         F.sum("client_ns").alias("client_duration_ns"),
         F.sum("server_ns").alias("server_duration_ns"),
+        *buckets,
     )

@@ -4,15 +4,15 @@ from __future__ import annotations
 
 import hashlib
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import pandas as pd
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from telesift.functions import ids
 from telesift.operators import bounds as bounds_ops
-from telesift.operators import catalog
 from telesift.sources import otlp, tables
 from telesift.sources.loads import load_records, load_spans
+from telesift.streaming.assembly import service_operations_stream
 
 AVAILABLE = {"availableNow": True}
 
@@ -76,38 +76,14 @@ def stream_trace_bounds(spans: DataFrame, path: str, checkpoint: str, trigger: d
 def stream_service_operations(
     spans: DataFrame, path: str, checkpoint: str, ttl: str = "12 hours", trigger: dict | None = None
 ) -> StreamingQuery:
-    """Each (service, operation) with its id, again only when it was last written `ttl` ago or more.
-
-    A batch is first combined to its distinct pairs on the map side, which deduplicating state
-    keyed by service and operation would not do; the pairs written so far are the state.
-    """
-    spark = spans.sparkSession
-    schema = "id string, serviceName string, operationName string, Timestamp timestamp, batch_id bigint"
-    pair = ["serviceName", "operationName"]
-
-    def each_batch(batch: DataFrame, batch_id: int) -> None:
-        fresh = (
-            batch.filter(~catalog.has_no_service(batch))
-            .groupBy(F.col("ServiceName").alias("serviceName"), F.col("SpanName").alias("operationName"))
-            .agg(F.max("Timestamp").alias("Timestamp"))
-        )
-        if batch_id > 0:
-            known = spark.read.schema(schema).parquet(path).filter(F.col("batch_id") < batch_id)
-            written = known.groupBy(*pair).agg(F.max("Timestamp").alias("written"))
-            expired = F.col("Timestamp") >= F.col("written") + F.expr(f"INTERVAL {ttl}")
-            fresh = fresh.join(written, pair, "left").filter(F.col("written").isNull() | expired)
-        key = ids.service_operation_id(F.col("serviceName"), F.col("operationName"))
-        rows = fresh.select(key.alias("id"), *pair, "Timestamp")
-        rows.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
-
-    return _run(spans, each_batch, checkpoint, trigger)
+    """Each (service, operation) with its id, again only when it was last written `ttl` ago or more; see service_operations_stream."""
+    ends = not trigger or "processingTime" not in trigger
+    rows = service_operations_stream(spans, int(pd.Timedelta(ttl).total_seconds() * 1000), forget=not ends)
+    writer = rows.writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint)
+    return writer.trigger(**(trigger or AVAILABLE)).start(path)
 
 
-def split_late(batch: DataFrame, seen_until: Column, column: str, delay: str) -> tuple[DataFrame, DataFrame]:
-    """Rows in time and rows more than `delay` behind the newest time seen before this batch."""
-    late = F.col(column) < seen_until - F.expr(f"INTERVAL {delay}")
-    late = F.coalesce(late, F.lit(False))
-    return batch.filter(~late), batch.filter(late)
+SIDE = "side"
 
 
 def stream_split_late(
@@ -118,24 +94,30 @@ def stream_split_late(
     checkpoint: str,
     trigger: dict | None = None,
 ) -> StreamingQuery:
-    """Rows to `<path>/on_time`, those behind the newest time of earlier batches to `<path>/late`.
+    """Rows to `<path>/rows`, by `side`: 'late' ones are more than `delay` behind the newest time of earlier batches.
 
-    Each batch leaves its newest time in `<path>/newest`, from where the next ones read it, so
-    a restart goes on where it stopped.
+    A batch is read once: tagged, counted on the way, and written by one job. It leaves the newest time up to now in
+    `<path>/newest`, where the next one reads only the file of its predecessor, so a restart goes on where it stopped.
     """
     spark = rows.sparkSession
 
     def each_batch(batch: DataFrame, batch_id: int) -> None:
-        newest = batch.agg(F.max(column).alias("newest"))
-        newest.write.mode("overwrite").parquet(f"{path}/newest/batch_id={batch_id}")
-        seen = (
-            spark.read.schema("newest timestamp, batch_id bigint")
-            .parquet(f"{path}/newest")
-            .filter(F.col("batch_id") < batch_id)
-            .agg(F.max("newest").alias("newest"))
-        )
-        on_time, late = split_late(batch, seen.scalar(), column, delay)
-        on_time.write.mode("overwrite").parquet(f"{path}/on_time/batch_id={batch_id}")
-        late.write.mode("overwrite").parquet(f"{path}/late/batch_id={batch_id}")
+        seen = None
+        if batch_id > 0:
+            seen = spark.read.schema("newest timestamp").parquet(f"{path}/newest/batch_id={batch_id - 1}").first()["newest"]
+        behind = F.lit(False) if seen is None else F.coalesce(F.col(column) < F.lit(seen) - F.expr(f"INTERVAL {delay}"), F.lit(False))
+        side = F.when(behind, "late").otherwise("on_time")
+        counted = Observation()
+        tagged = batch.observe(counted, F.max(column).alias("newest")).withColumns({SIDE: side, "batch_id": F.lit(batch_id).cast("bigint")})
+        writing = tagged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writing.partitionBy(SIDE, "batch_id").parquet(f"{path}/rows")
+        newest = max((t for t in (seen, counted.get["newest"]) if t is not None), default=None)
+        one = spark.createDataFrame([(newest,)], "newest timestamp").coalesce(1)
+        one.write.mode("overwrite").parquet(f"{path}/newest/batch_id={batch_id}")
 
     return _run(rows, each_batch, checkpoint, trigger)
+
+
+def read_side(spark: SparkSession, path: str, side: str) -> DataFrame:
+    """Rows that stream_split_late found in time ('on_time') or 'late'."""
+    return spark.read.parquet(f"{path}/rows").filter(F.col(SIDE) == side).drop(SIDE, "batch_id")

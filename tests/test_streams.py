@@ -6,9 +6,9 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from telesift.operators import bounds, catalog, span_metrics
+from telesift.operators import bounds, catalog, sampling, span_metrics
 from telesift.sources import otlp, tables
-from telesift.streaming import derived, ingest
+from telesift.streaming import assembly, derived, ingest
 from tests.helpers import attrs, spans_of, trace_message
 from tests.test_ingest import METRICS
 
@@ -134,8 +134,53 @@ def test_late_rows_go_aside(spark, tmp_path):
     path, check = str(tmp_path / "split"), str(tmp_path / "check")
     for n in range(2):
         ingest.stream_split_late(arrive(n), "Timestamp", "60 SECONDS", path, check).awaitTermination()
-    assert sorted(r.SpanId for r in spark.read.parquet(f"{path}/on_time").collect()) == ["just", "x"]
-    assert [r.SpanId for r in spark.read.parquet(f"{path}/late").collect()] == ["late"]
+    assert sorted(r.SpanId for r in ingest.read_side(spark, path, "on_time").collect()) == ["just", "x"]
+    assert [r.SpanId for r in ingest.read_side(spark, path, "late").collect()] == ["late"]
+
+
+def test_late_rows_are_told_from_one_small_file(spark, tmp_path):
+    """Batches long gone are not needed: their files may go."""
+    times = [100, 10, 50, 200, 120]
+    arrive = loads(spark, tmp_path, *[[{"SpanId": str(t), "TimestampNs": BASE + t * SECOND}] for t in times])
+    path, check = str(tmp_path / "split"), str(tmp_path / "check")
+    for n in range(len(times)):
+        ingest.stream_split_late(arrive(n), "Timestamp", "60 SECONDS", path, check).awaitTermination()
+        for old in range(n):
+            for file in os.listdir(f"{path}/newest/batch_id={old}"):
+                os.remove(f"{path}/newest/batch_id={old}/{file}")
+    assert sorted(r.SpanId for r in ingest.read_side(spark, path, "late").collect()) == ["10", "120"]
+
+
+def test_assembled_traces_equal_the_batch(spark, tmp_path):
+    rows = [{"TraceId": f"t{i % 7}", "SpanId": f"{i:03}", "TimestampNs": BASE + i * SECOND} for i in range(200)]
+    rows += [{"TraceId": "hot", "SpanId": f"h{i:04}", "TimestampNs": BASE + i * 1000} for i in range(1000)] + [{"TraceId": "", "SpanId": "x", "TimestampNs": BASE}]
+    last = [{"TraceId": "z", "TimestampNs": BASE + 100_000 * SECOND}]
+    arrive = loads(spark, tmp_path, rows[:100] + rows[200:], rows[100:200], last)
+    table, check = str(tmp_path / "traces"), str(tmp_path / "check")
+    for n in range(3):
+        stream = assembly.assemble_traces_stream(arrive(n), gap_ms=30_000, delay="1 second", max_spans=60)
+        derived.to_table(stream, table, check).awaitTermination()
+    made = spark.read.parquet(table)
+    spans = lambda df: sorted((r.TraceId, r.s.SpanId, r.s.TimestampNs) for r in df.selectExpr("TraceId", "explode(Spans) AS s").collect())
+    assert spans(made) == spans(sampling.group_by_trace(spans_of(spark, rows)))
+    parts = made.collect()
+    assert max(r.span_count for r in parts) <= 60 and sorted(r.part for r in parts if r.TraceId == "hot") == list(range(17))
+    assert all([s.TimestampNs for s in r.Spans] == sorted(s.TimestampNs for s in r.Spans) for r in parts)
+    assert sorted(r.TraceId for r in parts if r["last"]) == ["hot"] + [f"t{i}" for i in range(7)]
+
+
+def test_unpaired_spans_come_out_on_expiry(spark, tmp_path):
+    client = {"SpanKind": "SPAN_KIND_CLIENT", "ServiceName": "a", "TimestampNs": BASE}
+    server = {"SpanKind": "SPAN_KIND_SERVER", "ServiceName": "b", "TimestampNs": BASE}
+    rows = [{**client, "TraceId": "1", "SpanId": "c"}, *[{**server, "TraceId": "1", "ParentSpanId": "c", "SpanId": f"s{i}"} for i in range(5)],
+            {**client, "TraceId": "2", "SpanId": "alone"}, {**server, "TraceId": "3", "ParentSpanId": "gone", "SpanId": "y"},
+            {**server, "TraceId": "4", "SpanId": "root"}]
+    later = [{**client, "TraceId": "9", "SpanId": "n", "TimestampNs": BASE + 1000 * SECOND}, {**server, "TraceId": "8", "SpanId": "m", "ParentSpanId": "l", "TimestampNs": BASE + 1000 * SECOND}]
+    arrive = loads(spark, tmp_path, rows, later)
+    table, check = str(tmp_path / "unpaired"), str(tmp_path / "check")
+    for n in range(2):
+        derived.to_table(derived.unpaired_spans_stream(arrive(n)), table, check).awaitTermination()
+    assert sorted((r.side, r.TraceId, r.SpanId) for r in spark.read.parquet(table).collect()) == [("client", "2", "alone"), ("server", "3", "gone")]
 
 
 def test_span_metrics_windows_close_behind_the_watermark(spark, tmp_path):
