@@ -78,6 +78,15 @@ def _(v):
     return done.select("SpanId", "SpanName", _attr("number", "number"))
 
 
+@query("name_to_attributes_alternatives", duck("spans_v", """SELECT SpanId,
+  CASE WHEN event_id % 7 < 3 THEN 'op-{low}' WHEN event_id % 7 < 6 THEN '{kind}-{high}' ELSE SpanName END AS SpanName,
+  CASE WHEN event_id % 7 < 3 THEN substr(SpanName, 4) END AS low, CASE WHEN event_id % 7 BETWEEN 3 AND 5 THEN substr(SpanName, 4) END AS high,
+  CASE WHEN event_id % 7 BETWEEN 3 AND 5 THEN 'op' END AS kind FROM spans_v"""))
+def _(v):
+    done = attrs.name_to_attributes(v.spans, "^op-(?P<low>[0-2])$|^(?P<kind>[a-z]+)-(?P<high>[3-5])+$")
+    return done.select("SpanId", "SpanName", _attr("low", "low"), _attr("high", "high"), _attr("kind", "kind"))
+
+
 @query("enrich", duck("spans_v", """SELECT SpanId, r_name AS region, n_name AS nation FROM spans_v
   LEFT JOIN nation ON host = 'host-' || n_nationkey LEFT JOIN region ON n_regionkey = r_regionkey"""))
 def _(v):

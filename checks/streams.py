@@ -9,14 +9,14 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from checks.ingest import FNV_SQL
-from checks.metrics import BOUNDS, COUNTS_SQL
+from checks.metrics import BOUNDS, COUNTS_SQL, GRAPH_SQL
 from checks.registry import query
 from checks.traces import BOUNDS_SQL, micros
 from checks.views import duck
 from telesift.operators import bounds
 from telesift.session import scratch_path
 from telesift.sources import tables
-from telesift.streaming import derived, ingest
+from telesift.streaming import assembly, derived, ingest
 
 LAST_SQL = "(SELECT max(\"Timestamp\") FROM spans_v)"
 
@@ -105,6 +105,47 @@ def _(v):
     return tables.read_table(v.spark, path)
 
 
+@query("stream_assemble_traces", duck("spans_v", """SELECT TraceId, SpanId, SpanName, ServiceName, Duration, size, place FROM (
+  SELECT *, count(*) OVER (PARTITION BY TraceId, session) AS size, row_number() OVER (PARTITION BY TraceId, session ORDER BY TimestampNs, SpanId) AS place,
+    max("Timestamp") OVER (PARTITION BY TraceId, session) AS ended FROM sessions)
+  WHERE ended + INTERVAL 2 HOUR <= (SELECT max("Timestamp") FROM spans_v WHERE TraceId <> '') - INTERVAL 10 MINUTE""", sessions=SESSIONS_SQL))
+def _(v):
+    stream = assembly.assemble_traces_stream(_spans(v), gap_ms=7_200_000)
+    path = _finish(v, lambda table, checkpoint: derived.to_table(stream, table, checkpoint), "traces", "checkpoint")
+    rows = tables.read_table(v.spark, path).select("TraceId", F.col("span_count").cast("bigint").alias("size"), F.posexplode("Spans").alias("at", "s"))
+    return rows.select("TraceId", "s.SpanId", "s.SpanName", "s.ServiceName", "s.Duration", "size", (F.col("at") + 1).cast("bigint").alias("place"))
+
+
+@query("stream_service_graph_full", duck("spans_v", GRAPH_SQL))
+def _(v):
+    """Dimensions and latency buckets as in the batch, whose pairs are as far apart as they like."""
+    stream = derived.service_graph_pairs_stream(_spans(v), ttl="400 days", dimensions=("host.name",))
+    path = _finish(v, lambda table, checkpoint: derived.to_table(stream, table, checkpoint), "pairs", "checkpoint")
+    edges = derived.edges_of(tables.read_table(v.spark, path), ("host.name",), BOUNDS)
+    return edges.select(
+        "client", "server", F.col("`client_host.name`").alias("client_host"), F.col("`server_host.name`").alias("server_host"),
+        "calls", "failed", "client_duration_ns", "server_duration_ns",
+        F.concat_ws(",", F.col("client_bucket_counts").cast("array<string>")).alias("client_buckets"),
+        F.concat_ws(",", F.col("server_bucket_counts").cast("array<string>")).alias("server_buckets"),
+    )
+
+
+_NEAR = """o."Timestamp" BETWEEN spans_v."Timestamp" - INTERVAL 1 HOUR AND spans_v."Timestamp" + INTERVAL 1 HOUR AND o.TraceId = spans_v.TraceId"""
+
+
+@query("stream_unpaired_spans", duck("spans_v", f"""SELECT side, TraceId, SpanId, ServiceName FROM (
+  SELECT 'client' AS side, TraceId, SpanId, ServiceName, "Timestamp" FROM spans_v WHERE TraceId <> '' AND SpanKind = 'SPAN_KIND_CLIENT' AND NOT EXISTS (
+    SELECT 1 FROM spans_v o WHERE o.SpanKind = 'SPAN_KIND_SERVER' AND o.ParentSpanId = spans_v.SpanId AND {_NEAR})
+  UNION ALL SELECT 'server', TraceId, SpanId, ServiceName, "Timestamp" FROM spans_v WHERE TraceId <> '' AND SpanKind = 'SPAN_KIND_SERVER' AND ParentSpanId <> '' AND NOT EXISTS (
+    SELECT 1 FROM spans_v o WHERE o.SpanKind = 'SPAN_KIND_CLIENT' AND o.SpanId = spans_v.ParentSpanId AND {_NEAR}))
+  WHERE "Timestamp" < {LAST_SQL} - INTERVAL 2 DAY"""))
+def _(v):
+    stream = derived.unpaired_spans_stream(_spans(v), ttl="1 hour", delay="1 hour")
+    path = _finish(v, lambda table, checkpoint: derived.to_table(stream, table, checkpoint), "unpaired", "checkpoint")
+    last = v.spans.agg((F.max("Timestamp") - F.expr("INTERVAL 2 DAY")).alias("t")).scalar()
+    return tables.read_table(v.spark, path).filter(F.col("Timestamp") < last).select("side", "TraceId", "SpanId", "ServiceName")
+
+
 @query("stream_service_graph", duck("spans_v", """SELECT c.ServiceName AS client, s.ServiceName AS server, count(*) AS calls,
   count(CASE WHEN c.StatusCode = 'STATUS_CODE_ERROR' OR s.StatusCode = 'STATUS_CODE_ERROR' THEN 1 END) AS failed,
   sum(c.Duration)::BIGINT AS client_duration_ns, sum(s.Duration)::BIGINT AS server_duration_ns

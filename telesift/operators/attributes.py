@@ -112,61 +112,109 @@ def rename_spans(spans: DataFrame, from_attributes: list[str], separator: str =
     return spans.withColumn("SpanName", F.when(complete, F.concat_ws(separator, *values)).otherwise(F.col("SpanName")))
 
 
-def _pieces(pattern: str) -> list[str]:
-    """A pattern cut at its outermost groups: what is between them and the groups themselves, in turns."""
-    pieces, depth, start, in_class, at, opened = [], 0, 0, False, 0, -1
+_REST = r"[\s\S]*"
+
+
+def _located(pattern: str) -> tuple[str, list[int], list[str | None]]:
+    """A pattern whose groups also tell where they end, the new numbers of its own groups, and their names.
+
+    After each group a lookahead takes all that follows. That holds in alternatives and repetitions, where the last turn counts,
+    as for the group itself.
+    """
+    out, numbers, names, open_, at, count, in_class = [], [], [], [], 0, 0, 0
     while at < len(pattern):
         c = pattern[at]
         if c == "\\":
+            reference = re.match(r"\\([1-9]\d?)", pattern[at:])
+            if reference and not in_class:
+                out.append(("reference", int(reference[1])))
+                at += len(reference[0])
+                continue
+            out.append(pattern[at : at + 2])
             at += 2
             continue
         if in_class:
-            in_class = c != "]"
+            in_class += (c == "[") - (c == "]")
         elif c == "[":
-            in_class = True
+            in_class = 1
+            # A bracket right at the start of a class is one of its characters.
+            first = re.match(r"\[\^?\]", pattern[at:])
+            if first:
+                out.append(first[0])
+                at += len(first[0])
+                continue
         elif c == "(":
-            if depth == 0 and pattern[at + 1 : at + 2] != "?":
-                pieces.append(pattern[start:at])
-                opened = at
-            depth += 1
-        elif c == ")":
-            depth -= 1
-            if depth == 0 and opened >= 0:
-                pieces.append(pattern[opened + 1 : at])
-                start, opened = at + 1, -1
+            named = re.match(r"\(\?P?<([A-Za-z]\w*)>", pattern[at:])
+            if named or pattern[at + 1 : at + 2] != "?":
+                count += 1
+                numbers.append(count)
+                names.append(named[1] if named else None)
+                open_.append(True)
+                out.append("(?:(")
+                at += len(named[0]) if named else 1
+                continue
+            open_.append(False)
+        elif c == ")" and open_.pop():
+            count += 1
+            out.append(("end", None))
+            at += 1
+            continue
+        out.append(c)
         at += 1
-    return [*pieces, pattern[start:]]
+    text = "".join(f")(?=({_REST})))" if piece == ("end", None) else f"\\{numbers[piece[1] - 1]}" if isinstance(piece, tuple) else piece for piece in out)
+    return text, numbers, names
 
 
-def name_to_attributes(spans: DataFrame, pattern: str, keys: list[str]) -> DataFrame:
+def _ends(pattern: str) -> dict[int, int]:
+    """The number of the group after each group of _located, which holds what follows it: groups close inside out."""
+    ends, open_, count, at = {}, [], 0, 0
+    for found in re.finditer(r"\\.|\[(?:\\.|[^\]])*\]|\((?!\?)|\((?=\?)|\)", pattern):
+        piece = found[0]
+        if piece == "(":
+            capturing = pattern[found.end() : found.end() + 1] != "?"
+            count += capturing
+            open_.append(count if capturing else 0)
+        elif piece == ")":
+            ends[open_.pop()] = count + 1
+    return ends
+
+
+def name_to_attributes(spans: DataFrame, pattern: str, keys: list[str] | None = None) -> DataFrame:
     """Take attributes from the groups of a pattern in the span name, and put `{key}` in their place.
 
-    The new name is what the pattern found around its outermost groups, left to right, with the keys between.
+    Each group needs a key, or a name that is its key, as in `(?P<key>...)`. All else of the name stays as it is. Groups that took
+    no part, or matched nothing, change nothing; of a group within a group only the outer one gives way in the name.
     """
-    name = F.col("SpanName")
-    matches = name.rlike(pattern)
-    values = [F.regexp_extract(name, pattern, i + 1) for i in range(len(keys))]
-    found = F.map_from_arrays(F.array(*map(F.lit, keys)), F.array(*values))
-    pieces = _pieces(pattern)
-    if not len(pieces) // 2 == len(keys) == re.compile(pattern).groups:
-        raise ValueError("the pattern must have one group for each key, and no group in a group")
-    # Every piece a group of its own; those that were groups give way to their keys, where they matched something.
-    split = "".join(f"({p})" for p in pieces)
-    parts = [
-        F.regexp_extract(name, split, k + 1) if k % 2 == 0 else F.when(values[k // 2] == "", "").otherwise("{" + keys[k // 2] + "}")
-        for k in range(len(pieces))
-    ]
-    inside = F.regexp_extract(name, pattern, 0)
-    at = F.instr(name, inside)
-    renamed = F.concat(F.substring(name, F.lit(1), at - 1), *parts, F.substring(name, at + F.length(inside), F.length(name)))
-    return spans.withColumns(
-        {
-            "SpanAttributes": F.when(matches, maps.merge_maps(F.col("SpanAttributes"), found)).otherwise(
-                F.col("SpanAttributes")
-            ),
-            "SpanName": F.when(matches, renamed).otherwise(name),
-        }
+    located, numbers, names = _located(pattern)
+    keys = list(keys) if keys is not None else names
+    if len(keys) != len(numbers) or None in keys:
+        raise ValueError("the pattern must have one group for each key, or a name for each group")
+    name, ends = F.col("SpanName"), _ends(located)
+    take = lambda number: F.regexp_extract(name, located, number)
+    end = lambda number: F.length(name) - F.length(take(ends[number]))
+    groups = F.array(*[
+        F.struct((end(n) - F.length(take(n))).alias("start"), end(n).alias("end"), F.lit(key).alias("key"), take(n).alias("value"))
+        for n, key in zip(numbers, keys)
+    ])
+    rows = spans.withColumn("_groups", F.when(name.rlike(pattern_of(pattern)), F.filter(groups, lambda g: g["value"] != "")))
+    # From left to right: what is before a group, then its key; groups inside the last one are passed over.
+    begin = F.struct(F.lit("").alias("text"), F.lit(0).alias("at"))
+    step = lambda done, g: F.when(g["start"] < done["at"], done).otherwise(
+        F.struct(F.concat(done["text"], F.substring(name, done["at"] + 1, g["start"] - done["at"]), F.lit("{"), g["key"], F.lit("}")).alias("text"), g["end"].alias("at"))
     )
+    outer_first = F.array_sort(F.col("_groups"), lambda a, b: F.when(a["start"] != b["start"], a["start"] - b["start"]).otherwise(b["end"] - a["end"]))
+    renamed = F.aggregate(outer_first, begin, step, lambda done: F.concat(done["text"], F.substring(name, done["at"] + 1, F.length(name))))
+    found = F.map_from_entries(F.transform("_groups", lambda g: F.struct(g["key"], g["value"])))
+    attributes = F.col("SpanAttributes")
+    return rows.withColumns({
+        "SpanAttributes": F.when(F.col("_groups").isNotNull(), maps.merge_maps(attributes, found)).otherwise(attributes),
+        "SpanName": F.when(F.col("_groups").isNotNull(), renamed).otherwise(name),
+    }).drop("_groups")
+
+
+def pattern_of(pattern: str) -> str:
+    """A pattern with its groups named as Java's are."""
+    return pattern.replace("(?P<", "(?<")
 
 
 def enrich(df: DataFrame, dimension: DataFrame, key: str, column: str = "ResourceAttributes") -> DataFrame:

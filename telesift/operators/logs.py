@@ -70,7 +70,11 @@ def logs_json_number(
     return _newest(rows.filter(compare(text.json_number(F.col("Body"), path), F.lit(float(number)))), limit)
 
 
-def logs_for_trace(logs: DataFrame, trace_id: str) -> DataFrame:
+def logs_for_trace(logs: DataFrame, trace_id: str, bounds: DataFrame | None = None, slack: str = "1 DAY") -> DataFrame:
+    """Records of one trace. With the bounds of traces only days within `slack` of them are read, or all where it has none."""
     if not trace_id:
         raise ValueError("trace id must not be empty")
+    if bounds is not None:
+        one, more = bounds.filter(F.col("TraceId") == trace_id), F.expr(f"INTERVAL {slack}")
+        logs = time_range(logs, "Timestamp", one.agg((F.min("Start") - more).alias("s")).scalar(), one.agg((F.max("End") + more).alias("e")).scalar())
     return logs.filter(F.col("TraceId") == trace_id)

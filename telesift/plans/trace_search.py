@@ -47,12 +47,12 @@ def _between(value: Column, low: int | None, high: int | None) -> Column:
 def _spans_of(spans: DataFrame, traces: DataFrame) -> DataFrame:
     """All spans of traces given with their Start and End.
 
-    On a table with days only those from the first trace's first day to the last one's last are read: two scalar
-    subqueries, which Spark runs first. How the join is done is left to Spark, which knows the sizes.
+    On a table with days only the days that some trace touches are read, not those between: their set, which the number of days
+    bounds, is a scalar subquery that Spark runs first. How the join is done is left to Spark, which knows the sizes.
     """
     if DAY in spans.columns:
-        first, last = (traces.agg(how(day).alias("d")).scalar() for how, day in ((F.min, F.to_date("Start")), (F.max, F.to_date("End"))))
-        spans = spans.filter((F.col(DAY) >= first) & (F.col(DAY) <= last))
+        touched = traces.select(F.explode(F.sequence(F.to_date("Start"), F.to_date("End"))).alias("d"))
+        spans = spans.filter(F.array_contains(touched.agg(F.collect_set("d").alias("days")).scalar(), F.col(DAY)))
     return spans.join(traces.select("TraceId"), "TraceId", "left_semi")
 
 

@@ -274,9 +274,13 @@ def append_if_absent(existing: DataFrame, new: DataFrame, key: str) -> DataFrame
 
     Rows of one key are the same document written twice, so any one of them will do; the
     smallest by text is taken to keep reruns equal. A row without a key is like no other and always new.
+
+    Stored keys are looked up among the new ones first, so that only those found are shuffled where the new keys are few enough
+    for Spark to broadcast them.
     """
     row = F.struct(*[c for c in new.columns if c != key])
     keyed = new.filter(F.col(key).isNotNull())
     first = keyed.groupBy(key).agg(F.min_by(row, F.to_json(row)).alias("row")).select(key, "row.*")
-    absent = first.join(existing.select(key), key, "left_anti").select(*new.columns)
+    stored = existing.select(key).join(keyed.select(key).distinct(), key, "left_semi").distinct()
+    absent = first.join(stored, key, "left_anti").select(*new.columns)
     return absent.unionByName(new.filter(F.col(key).isNull()))

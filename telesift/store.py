@@ -96,8 +96,10 @@ class Store:
     def search_logs(self, query: LogQuery) -> DataFrame:
         return search_logs(self.logs(), query)
 
-    def get_logs(self, trace_id: str) -> DataFrame:
-        return log_ops.logs_for_trace(self.logs(), trace_id)
+    def get_logs(self, trace_id: str, slack: str = "1 DAY") -> DataFrame:
+        """Records of a trace from the days it touches and those within `slack` of them."""
+        bounds = self.bounds() if tables.exists(self.spark, self._at("bounds")) else None
+        return log_ops.logs_for_trace(self.logs(), trace_id, bounds, slack)
 
     def get_services(self, start=None, end=None) -> DataFrame:
         """Per service its newest resource attributes; with a time range only its days are read."""

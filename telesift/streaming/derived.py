@@ -108,21 +108,15 @@ def service_graph_pairs_stream(
 
 
 def unpaired_spans_stream(spans: DataFrame, ttl: str = "1 second", delay: str = "1 second") -> DataFrame:
-    """(side, TraceId, SpanId, ServiceName, Timestamp): clients that no server span answered, and parents of server spans that
-    never came as clients, when the watermark has passed the time in which they could have.
-
-    Children are one per client span here, the first that comes: whether there is any is all that matters, so a client with
-    countless children is one row of state. An unpaired server row names the missing parent, and one of its children.
-    """
+    """(side, TraceId, SpanId, ServiceName, Timestamp): client spans that no server span answered within `ttl`, and server spans
+    whose client never came, when the watermark has passed the time in which it could have."""
     traced = spans.filter(F.col("TraceId") != "")
-    first = _servers(traced, delay, ()).dropDuplicatesWithinWatermark(["server_trace", "server_parent"])
-    joined = _clients(traced, delay, ()).join(first, _calls(ttl), "full_outer").filter(F.col("client_id").isNull() | F.col("server_id").isNull())
+    joined = _clients(traced, delay, ()).join(_servers(traced, delay, ()), _calls(ttl), "full_outer")
     alone = F.col("server_id").isNull()
-    pick = lambda client, server: F.when(alone, F.col(client)).otherwise(F.col(server))
-    return joined.select(
-        F.when(alone, "client").otherwise("server").alias("side"), pick("client_trace", "server_trace").alias("TraceId"),
-        pick("client_id", "server_parent").alias("SpanId"), pick("client", "server").alias("ServiceName"),
-        pick("client_time", "server_time").alias("Timestamp"),
+    pick = lambda name: F.when(alone, F.col(f"client{name}")).otherwise(F.col(f"server{name}"))
+    return joined.filter(F.col("client_id").isNull() | alone).select(
+        F.when(alone, "client").otherwise("server").alias("side"), pick("_trace").alias("TraceId"), pick("_id").alias("SpanId"),
+        pick("").alias("ServiceName"), pick("_time").alias("Timestamp"),
     )
 
 

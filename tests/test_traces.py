@@ -283,6 +283,39 @@ def test_names_are_rebuilt_around_the_groups(spark, name, pattern, keys, wanted,
     assert (row.SpanName, row.SpanAttributes) == (wanted, found)
 
 
+@pytest.mark.parametrize("name, pattern, keys, wanted, found", [
+    ("x1", r"^x(\d)|y(\d)$", ["a", "b"], "x{a}", {"a": "1"}),
+    ("ay2", r"^x(\d)|y(\d)$", ["a", "b"], "ay{b}", {"b": "2"}),
+    ("abc", r"^(\w)+$", ["last"], "ab{last}", {"last": "c"}),
+    ("GET /u/17/x", r"/u/(?P<id>\d+)", None, "GET /u/{id}/x", {"id": "17"}),
+    ("GET /u/17/x", r"^(?<verb>[A-Z]+) (?:/[^/]+)/(?P<id>\d+)", None, "{verb} /u/{id}/x", {"verb": "GET", "id": "17"}),
+    ("a-a-b", r"(\w)-\1-([^)(\]]+)", ["x", "y"], "{x}-{x}-{y}".replace("-{x}-", "-a-"), {"x": "a", "y": "b"}),
+    ("k=v;", r"((\w)=(\w));", ["pair", "k", "v"], "{pair};", {"pair": "k=v", "k": "k", "v": "v"}),
+    ("line1\nline 2", r"line (\d)", ["n"], "line1\nline {n}", {"n": "2"}),
+    ("nothing", r"(\d+)", ["n"], "nothing", {}),
+])
+def test_groups_keep_their_places(spark, name, pattern, keys, wanted, found):
+    row = attributes.name_to_attributes(spans_of(spark, [{"SpanName": name}]), pattern, keys).first()
+    assert (row.SpanName, row.SpanAttributes) == (wanted, found)
+
+
+def test_only_days_that_traces_touch_are_read(spark, tmp_path):
+    """One trace of 1970 and one of today: the files of the days between are not opened."""
+    day = 86_400_000_000_000
+    rows = [{"TraceId": t, "SpanId": t, "ServiceName": "s", "TimestampNs": n} for t, n in (("old", 0), ("between", 9_000 * day), ("new", 19_000 * day))]
+    spans = spans_of(spark, rows)
+    tables.write_spans(spans, str(tmp_path / "s"), batch_id=0)
+    limits = bounds.trace_bounds(spans)
+    stored = tables.read_table(spark, str(tmp_path / "s"))
+    for folder in (tmp_path / "s").iterdir():
+        if folder.name not in ("day=1970-01-01", "day=2022-01-08") and folder.is_dir():
+            for file in folder.rglob("*.parquet"):
+                file.write_bytes(b"broken")
+    assert sorted(r.TraceId for r in ts.multi_get_traces(stored, ["old", "new"], bounds=limits).collect()) == ["new", "old"]
+    with pytest.raises(Exception):
+        ts.multi_get_traces(stored, ["old", "between"], bounds=limits).collect()
+
+
 def test_nested_groups_are_refused(spark):
     for pattern, keys in ((r"((a)b)", ["x"]), (r"(a)(b)", ["x"])):
         with pytest.raises(ValueError):
