@@ -26,10 +26,12 @@ NOISE = r"[#*$%&|<>{}\[\]^~=_\\]|!!+|\?\?+|\.{4,}"
 LINE_END = r"[.!?:;,…\"'”’»)\]]" + SPACE + "*$"
 #: Separators of menus and table rows.
 SEPARATORS = r"[|•»›·]| [>/-] "
-#: Standing phrases of sites rather than of texts.
+#: Standing phrases of sites rather than of texts, as whole words. What also says something else in prose (a cookie, a sign in
+#: the window) only counts with the words it has on sites.
 BOILERPLATE = (
-    "(^|[^a-z])(all rights reserved|cookie|privacy policy|terms of (use|service)|javascript|lorem ipsum|click here"
-    "|sign (in|up)|log ?in|subscribe|newsletter|read more|share this|skip to content)"
+    "(^|[^a-z])((all rights reserved|(use|uses|using|accept|our) cookies|cookie (policy|settings|notice)|privacy policy|terms of (use|service)"
+    "|(enable|require|requires) javascript|javascript is|lorem ipsum|click here|subscribe (to|now|here)|newsletters?|read more|share this"
+    "|skip to (main )?content)([^a-z]|$)|(sign (in|up)|log ?in)( (to|with|now|here|or)([^a-z]|$)|[^a-z ]|$))"
 )
 
 RESULT_COLUMNS = (
@@ -40,13 +42,19 @@ RESULT_COLUMNS = (
 
 @dataclass(frozen=True)
 class LineRules:
-    """Bounds of the rules. A share is of the line's words, but `max_lost` of the text's word characters."""
+    """Bounds of the rules. A share is of the line's words, but `max_lost` of the text's word characters.
+
+    Separators and noise fail a line by their share, standing phrases only one of at most `phrase_line_words`, so that a whole
+    text written as one line doesn't go for a few words of it.
+    """
 
     min_words: int = 20
     max_repeat_percent: int = 30
     max_noise_share: float = 0.25
     short_line_words: int = 4
     min_separators: int = 3
+    min_separator_share: float = 0.2
+    phrase_line_words: int = 30
     max_lost: float = 0.3
 
 
@@ -99,11 +107,12 @@ def _verdict(line: Column, rules: LineRules, found: Column) -> Column:
     `found` says what the whole text has at all: a rule whose signs it lacks is not looked at line by line.
     """
     short = f"^{SPACE}*{WORD}+({SPACE}+{WORD}+){{0,{rules.short_line_words - 2}}}{SPACE}*$"
+    words, separators = _count(line, WORD + "+"), _count(line, SEPARATORS)
     return (
-        F.when(found["separators"] & (_count(line, SEPARATORS) >= rules.min_separators), "navigation")
-        .when(found["noise"] & line.rlike(WORD) & (_count(line, NOISE) >= _count(line, WORD + "+") * rules.max_noise_share), "punctuation")
+        F.when(found["separators"] & (separators >= rules.min_separators) & (separators >= words * rules.min_separator_share), "navigation")
+        .when(found["noise"] & line.rlike(WORD) & (_count(line, NOISE) >= words * rules.max_noise_share), "punctuation")
         .when(line.rlike(short) & ~line.rlike(LINE_END), "navigation")
-        .when(found["boilerplate"] & F.lower(line).rlike(BOILERPLATE), "boilerplate")
+        .when(found["boilerplate"] & F.lower(line).rlike(BOILERPLATE) & (words <= rules.phrase_line_words), "boilerplate")
         .otherwise("")
     )
 

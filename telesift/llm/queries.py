@@ -35,7 +35,31 @@ def _sql_text(pattern: str) -> str:
     return "'" + pattern.replace("'", "''") + "'"
 
 
-@query("op7_sharding")
+# The checksum's table is worked out by its rule, and texts are read byte by byte; order and cuts are the operator's law.
+_SHARDING_SQL = """
+WITH steps AS (
+  SELECT list_transform(range(256), lambda n: list_reduce(list_prepend(n, range(8)),
+    lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END)) AS crc
+), read AS (
+  SELECT doc_id, strlen(coalesce(text, '')) + 8 AS size, string_split(hex(encode(coalesce(text, ''))), '') AS digits FROM documents
+), summed AS (
+  SELECT doc_id, size, xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(range(1, size - 7),
+      lambda i: (instr('0123456789ABCDEF', digits[2 * i - 1]) - 1) * 16 + instr('0123456789ABCDEF', digits[2 * i]) - 1)),
+    lambda c, b: xor(c // 256, crc[xor(c % 256, b) + 1]))) AS text_crc32
+  FROM read, steps
+), placed AS (
+  SELECT *, row_number() OVER w - 1 AS row_no, sum(size) OVER w - size AS before, sum(size) OVER () AS total
+  FROM summed WINDOW w AS (ORDER BY doc_id NULLS FIRST, size, text_crc32)
+), cut AS (
+  SELECT *, CAST(((2 * before + size) * 24) // (2 * total) AS INTEGER) AS shard FROM placed
+)
+SELECT doc_id, CAST(size AS BIGINT) AS size, CAST(text_crc32 AS BIGINT) AS text_crc32, 'bytes' AS law, shard,
+  row_no - min(row_no) OVER (PARTITION BY shard) AS slot, CAST(NULL AS INTEGER) AS grown_shard
+FROM cut
+"""
+
+
+@query("op7_sharding", _SHARDING_SQL)
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """24 contiguous shards of near equal bytes, in ascending doc_id order."""
     text = F.coalesce("text", F.lit(""))
@@ -73,12 +97,14 @@ WITH base AS (
   GROUP BY rid
 ), judged AS (
   SELECT rid, line, pos, CASE
-      WHEN {_count("line", quality_rules.SEPARATORS)} >= {_RULES.min_separators} THEN 'navigation'
+      WHEN {_count("line", quality_rules.SEPARATORS)} >= {_RULES.min_separators}
+        AND {_count("line", quality_rules.SEPARATORS)} >= {_count("line", quality_rules.WORD + "+")} * {_RULES.min_separator_share} THEN 'navigation'
       WHEN {_has("line", quality_rules.WORD)}
         AND {_count("line", quality_rules.NOISE)} >= {_count("line", quality_rules.WORD + "+")} * {_RULES.max_noise_share}
         THEN 'punctuation'
       WHEN {_has("line", _SHORT)} AND NOT {_has("line", quality_rules.LINE_END)} THEN 'navigation'
-      WHEN {_has("lower(line)", quality_rules.BOILERPLATE)} THEN 'boilerplate'
+      WHEN {_has("lower(line)", quality_rules.BOILERPLATE)}
+        AND {_count("line", quality_rules.WORD + "+")} <= {_RULES.phrase_line_words} THEN 'boilerplate'
       ELSE '' END AS rule
   FROM (SELECT rid, unnest(lines) AS line, unnest(range(1, len(lines) + 1)) AS pos FROM base)
 ), by_text AS (
@@ -218,7 +244,38 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-@query("op9_ngram_join")
+# All pairs of documents that share a shingle, counted; components by what links reach.
+_NGRAM_SQL = """
+WITH RECURSIVE split AS (
+  SELECT row_number() OVER () AS rid, doc_id, list_filter(string_split_regex(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') AS words FROM documents
+), sets AS (
+  SELECT rid, doc_id, CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 5 THEN [array_to_string(words, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(words) - 3), lambda i: array_to_string(words[i:i + 4], ' '))) END AS shingles FROM split
+), texts AS (
+  SELECT min(rid) AS node, shingles, len(shingles) AS n FROM (SELECT rid, list_sort(shingles) AS shingles FROM sets) WHERE len(shingles) > 0 GROUP BY shingles
+), held AS (
+  SELECT node, n, unnest(shingles) AS shingle FROM texts
+), links AS (
+  SELECT a.node AS a, b.node AS b FROM held a JOIN held b ON a.shingle = b.shingle AND a.node < b.node
+  GROUP BY a.node, b.node, a.n, b.n HAVING 100 * count(*) >= 75 * (a.n + b.n - count(*))
+), both_ways AS (
+  SELECT a, b FROM links UNION ALL SELECT b, a FROM links
+), reached(node, other) AS (
+  SELECT node, node FROM texts UNION SELECT reached.node, both_ways.b FROM reached JOIN both_ways ON reached.other = both_ways.a
+), members AS (
+  SELECT rid, doc_id, len(sets.shingles) AS n_shingles, node FROM sets LEFT JOIN texts ON list_sort(sets.shingles) = texts.shingles
+), least AS (
+  SELECT node, min(doc_id) AS doc_id FROM members GROUP BY node
+), components AS (
+  SELECT reached.node, min(least.doc_id) AS component_id FROM reached JOIN least ON reached.other = least.node GROUP BY reached.node
+)
+SELECT doc_id, CAST(n_shingles AS BIGINT) AS n_shingles, coalesce(component_id, doc_id) AS component_id
+FROM members LEFT JOIN components USING (node)
+"""
+
+
+@query("op9_ngram_join", _NGRAM_SQL)
 def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the smallest doc_id that links of 75 % or more lead to."""
     return ngram_join.link(table(spark, sf_dir, "documents"))

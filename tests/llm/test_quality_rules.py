@@ -50,6 +50,21 @@ def test_each_rule_removes_its_lines(spark):
     assert (row["n_punctuation_lines"], row["n_navigation_lines"], row["n_boilerplate_lines"]) == (1, 2, 1)
 
 
+def test_a_whole_text_in_one_line_is_not_lost_to_a_few_words(spark):
+    text = prose(9, 2400)
+    ends = ["She ate a cookie.", "We use cookies. Read more, sign in to subscribe to our newsletter.", "a - b - c - d.", "a sign indicating rain", "one | two | three | four."]
+    rows = [(i, f"{text} {end}") for i, end in enumerate(ends)] + [(90, prose(8, 30) + " She saw a sign in the window and ate a cookie.")]
+    for row in quality_rules.line_first(docs(spark, rows)).collect():
+        assert row["kept"] and row["lost_share"] == 0 and row["cleaned_text"] == row["text"]
+
+
+def test_phrases_are_whole_words(spark):
+    good = prose(3, 48)
+    lines = ["Please log into the sea of logins", "A sign indicating rain", "Sign in to go on.", "Log in", "Sign up!", "Newsletter: every week, once", "No cookies were left on the plate that day."]
+    row = quality_rules.line_first(docs(spark, [(1, "\n".join([good, *lines]))])).first()
+    assert row["cleaned_text"].split("\n")[1:] == [lines[0], lines[1], lines[6]]
+
+
 def test_a_text_that_loses_too_much_is_rejected(spark):
     noise = " ".join(f"word{i}###" for i in range(100))
     rows = [(1, prose(5, 200) + "\n" + noise[:300]), (2, prose(6, 40) + "\n" + noise)]
