@@ -1,16 +1,19 @@
 """Documents that hold benchmark items: BM25 over an inverted index of the items with block maxima, then a check of the words.
 
 Every training passage is a query. A passage is two neighbouring runs of `stride` words, so runs overlap by half and an item
-of up to `stride` words lies in one passage whole. BM25 scores are divided by the item's score of itself: 1 means that all
+of up to `stride` words lies in one passage whole. Items are taken by length: those of up to MIN_STRIDE words share that stride,
+longer ones the next power of two times it, so that a long item makes no passage longer for a short one. BM25 scores are divided by the item's score of itself: 1 means that all
 of an item's words are there. All items of at least MIN_SCORE are retrieved, in three steps that lose none:
     the sum of its words' largest weights in any item must reach the bound (else the passage is done with);
     so must, for a block of items, the sum of the words' largest weights in the block; only blocks that qualify are opened;
     their items are scored exactly.
-A retrieved item is verified if enough of its question's and enough of its answer's word triples stand in or near the
+So blocks are passed over by their bounds, as in block-max WAND, but for all passages at once by matrix products instead of a
+pivot for each. A retrieved item is verified if enough of its question's and enough of its answer's word triples stand in or near the
 passage. The answer is an item's last sentence, or the last quarter of its words if it has one sentence only.
 
-The index is built on the driver for some ITEM_BYTES of items at a time, and sent to all tasks; more items take more passes
-over the documents. Documents are never shuffled.
+How many items hold a word, and how long items are, is counted over all items first. The index is built on the driver for some
+ITEM_BYTES of items at a time, and sent to all tasks; more items take more passes over the documents, and each score is the same
+in however many. Documents are never shuffled.
 
 Words are runs of letters and digits, lower-cased (A-Z), compared by 64-bit hashes.
 
@@ -33,7 +36,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from telesift.llm.arrow import batch_of, record
-from telesift.llm.words import NOT_ALPHANUMERIC, find_words, mix, slices
+from telesift.llm.words import NOT_ALPHANUMERIC, Words, find_words, mix, slices
+from telesift.session import scratch_path
 
 MIN_SCORE = 0.6
 MIN_OVERLAP = 0.5
@@ -73,6 +77,14 @@ def _parts(text: str) -> tuple[str, str]:
     return " ".join(words[:cut] or words), " ".join(words[cut:])
 
 
+def stride_of(words: int) -> int:
+    """The stride of items of so many words."""
+    stride = MIN_STRIDE
+    while stride < words:
+        stride *= 2
+    return stride
+
+
 @dataclass(frozen=True)
 class Items:
     ids: list[int | None]
@@ -95,7 +107,8 @@ class Items:
     blocks: int
 
     @staticmethod
-    def build(rows: list[tuple[int, str]]) -> Items | None:
+    def build(rows: list[tuple[int, str]], held: dict[int, int] | None = None, n: int | None = None, mean: float | None = None) -> Items | None:
+        """An index of some items: `held` says how many of all `n` items hold a word, `mean` how long these are on average."""
         words = find_words(pa.array([t for _, t in rows], pa.string()), NOT_ALPHANUMERIC)
         lengths = np.diff(words.first)
         if not len(words.doc):
@@ -103,9 +116,12 @@ class Items:
         vocabulary, term = np.unique(words.hashes().view(np.int64), return_inverse=True)
         pair, tf = np.unique(term * np.int64(len(rows)) + words.doc, return_counts=True)
         term, item = pair // len(rows), pair % len(rows)
-        df, n = np.bincount(term), int((lengths > 0).sum())
+        if held is None:
+            df, n, mean = np.bincount(term), int((lengths > 0).sum()), lengths[lengths > 0].mean()
+        else:
+            df = np.array([held[t] for t in vocabulary.tolist()])
         idf = np.log(1 + (n - df + 0.5) / (df + 0.5))
-        weight = idf[term] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * lengths[item] / lengths[lengths > 0].mean()))
+        weight = idf[term] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * lengths[item] / mean))
         weight /= np.bincount(item, weight, len(rows))[item]
         blocks = -(-len(rows) // BLOCK)
         key = term * np.int64(blocks) + item // BLOCK
@@ -120,7 +136,7 @@ class Items:
         parts = [_parts(t or "") for _, t in rows]
         hashed = [[find_words(pa.array([p[k]], pa.string()), NOT_ALPHANUMERIC).hashes() for p in parts] for k in (0, 1)]
         return Items(
-            [i for i, _ in rows], *hashed, max(MIN_STRIDE, int(lengths.max())), vocabulary, most,
+            [i for i, _ in rows], *hashed, stride_of(int(lengths.max())), vocabulary, most,
             np.where(is_common, np.cumsum(is_common) - 1, -1), common_max, np.searchsorted(keys // blocks, np.arange(len(vocabulary) + 1)),
             keys % blocks, block_most, np.append(first, len(key)), item, weight, blocks,
         )
@@ -195,10 +211,14 @@ def _retrieve(items: Items, bound: float, row: np.ndarray, place: np.ndarray, te
     return row, run - base[row], key[good] % len(items.ids), score[good]
 
 
-def _matches(items: Items, texts: pa.Array, bound: float, overlap: float) -> list[tuple]:
-    """(row, item, score, question overlap, answer overlap, first word, last word) of the verified items of each text."""
+def _matches(indexes: list[Items], texts: pa.Array, bound: float, overlap: float) -> list[tuple]:
+    """(row, item id, score, question overlap, answer overlap, first word, last word) of the verified items of each text."""
     words = find_words(texts, NOT_ALPHANUMERIC)
     hashes = words.hashes()
+    return sorted((m for items in indexes for m in _of_length(items, words, hashes, bound, overlap)), key=lambda m: m[0])
+
+
+def _of_length(items: Items, words: Words, hashes: np.ndarray, bound: float, overlap: float) -> list[tuple]:
     marks = np.zeros(1 << 16, bool)
     marks[items.vocabulary.view(np.uint64) >> np.uint64(48)] = True
     maybe = np.flatnonzero(marks[hashes >> np.uint64(48)])
@@ -216,19 +236,39 @@ def _matches(items: Items, texts: pa.Array, bound: float, overlap: float) -> lis
         share = [_overlap(part, near) for part in (items.question[item], items.answer[item])]
         if min(share) >= overlap and (score, min(share)) > best.get((row, item), ((-1.0, -1.0),))[0]:
             best[row, item] = ((score, min(share)), row, item, min(score, 1.0), *share, begin - a, end - a - 1)
-    return [x[1:] for _, x in sorted(best.items())]
+    return [(row, items.ids[item], *rest) for _, (_, row, item, *rest) in sorted(best.items())]
+
+
+_COUNTED = record(id="long", text="string", words="long", terms="[long]")
+
+
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Items with their number of words, and each of these once."""
+    for batch in batches:
+        for some in slices(batch, "text"):
+            words = find_words(some.column("text"), NOT_ALPHANUMERIC)
+            lengths, hashes = np.diff(words.first), words.hashes().view(np.int64)
+            terms = [np.unique(hashes[a:b]) for a, b in zip(words.first, words.first[1:])]
+            yield batch_of(_COUNTED, [some.column("id"), some.column("text"), lengths, pa.array(terms, pa.list_(pa.int64()))])
 
 
-def _indexes(items: DataFrame, key: str, text: str) -> Iterator[Items]:
-    """Indexes of about ITEM_BYTES of items each."""
+def _indexes(items: DataFrame, key: str, text: str) -> Iterator[list[Items]]:
+    """Indexes of about ITEM_BYTES of items each time, one for each stride."""
+    spark, path = items.sparkSession, scratch_path(items.sparkSession, "items")
     picked = items.select(F.col(f"`{key}`").cast("long").alias("id"), F.col(f"`{text}`").cast("string").alias("text")).filter("text IS NOT NULL")
-    total = picked.agg(F.coalesce(F.sum(F.octet_length("text") + 64), F.lit(0))).first()[0]
+    picked.mapInArrow(_counted, _COUNTED).write.parquet(path)
+    counted = spark.read.schema(_COUNTED).parquet(path).filter("words > 0")
+    total, n, mean = counted.agg(F.coalesce(F.sum(F.octet_length("text") + 64), F.lit(0)), F.count("*"), F.avg("words")).first()
     passes = max(1, -(-total // ITEM_BYTES))
+    held = counted.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("held"))
     for k in range(passes):
-        some = picked.filter(F.pmod(F.xxhash64("id", "text"), F.lit(passes)) == k).orderBy("id", "text").collect()
-        index = Items.build([(r["id"], r["text"]) for r in some]) if some else None
-        if index is not None:
-            yield index
+        mine = counted.filter(F.pmod(F.xxhash64("id", "text"), F.lit(passes)) == k)
+        known = {r["term"]: r["held"] for r in held.join(mine.select(F.explode("terms").alias("term")).distinct(), "term", "left_semi").collect()}
+        by_stride: dict[int, list] = {}
+        for r in mine.select("id", "text", "words").orderBy("id", "text").collect():
+            by_stride.setdefault(stride_of(r["words"]), []).append((r["id"], r["text"]))
+        if by_stride:
+            yield [Items.build(rows, known, n, mean) for _, rows in sorted(by_stride.items())]
 
 
 def find(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", item_key: str = "item_id", item_text: str = "text", min_score: float = MIN_SCORE, min_overlap: float = MIN_OVERLAP) -> DataFrame:
@@ -236,15 +276,15 @@ def find(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "te
     spark = docs.sparkSession
     picked = docs.select(F.col(f"`{key}`").cast("long").alias("id"), F.col(f"`{text}`").cast("string").alias("text"))
     out = spark.createDataFrame([], MATCHES)
-    for index in _indexes(items, item_key, item_text):
-        shared = spark.sparkContext.broadcast(index)
+    for indexes in _indexes(items, item_key, item_text):
+        shared = spark.sparkContext.broadcast(indexes)
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 for some in slices(batch, "text"):
                     rows = _matches(shared.value, some.column("text"), min_score, min_overlap)
                     ids = some.column("id").to_pylist()
-                    named = [(ids[r], shared.value.ids[i], *rest) for r, i, *rest in rows]
+                    named = [(ids[r], *rest) for r, *rest in rows]
                     yield batch_of(MATCHES, [list(c) for c in zip(*named)] if named else [[]] * len(MATCHES))
 
         out = out.union(picked.mapInArrow(run, MATCHES))
@@ -255,8 +295,8 @@ def drop_contaminated(docs: DataFrame, items: DataFrame, text: str = "text", ite
     """The rows in which no item is found, in their own columns; rows pass by one by one, so no key is needed."""
     spark = docs.sparkSession
     kinds = docs.schema
-    for index in _indexes(items, item_key, item_text):
-        shared = spark.sparkContext.broadcast(index)
+    for indexes in _indexes(items, item_key, item_text):
+        shared = spark.sparkContext.broadcast(indexes)
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             for batch in batches:

@@ -270,8 +270,9 @@ WITH RECURSIVE split AS (
 ), components AS (
   SELECT reached.node, min(least.doc_id) AS component_id FROM reached JOIN least ON reached.other = least.node GROUP BY reached.node
 )
-SELECT doc_id, CAST(n_shingles AS BIGINT) AS n_shingles, coalesce(component_id, doc_id) AS component_id
-FROM members LEFT JOIN components USING (node)
+SELECT members.doc_id, CAST(n_shingles AS BIGINT) AS n_shingles, coalesce(component_id, members.doc_id) AS component_id,
+  coalesce(least.doc_id, members.doc_id) AS class_id
+FROM members LEFT JOIN components USING (node) LEFT JOIN least USING (node)
 """
 
 

@@ -91,3 +91,23 @@ def test_items_in_several_passes(spark, monkeypatch):
     several = {(r["doc_id"], r["item_id"]) for r in dc.find(frame, items(spark, rows)).collect()}
     assert one == several == {(i, i) for i in range(40)}
     assert dc.drop_contaminated(frame, items(spark, rows)).count() == 0
+
+
+def test_a_long_item_changes_no_other_items_passages(spark):
+    """The halves of a short item far apart are no find, whatever else is in the benchmark."""
+    item = prose(40, 20).split()
+    apart = " ".join(item[:10]) + " " + prose(41, 3000) + " " + " ".join(item[10:])
+    frame = docs(spark, [(1, apart), (2, prose(42, 50) + " " + " ".join(item) + " " + prose(43, 50))])
+    short, long = (7, " ".join(item)), (8, prose(44, 5000))
+    for rows in ([short], [short, long]):
+        assert {(r["doc_id"], r["item_id"]) for r in dc.find(frame, items(spark, rows)).collect()} == {(2, 7)}
+    assert [r["doc_id"] for r in dc.drop_contaminated(frame, items(spark, [short, long])).collect()] == [1]
+
+
+def test_passes_give_equal_rows(spark, monkeypatch):
+    rows = [(i, prose(100 + i, 12 + 30 * (i % 7))) for i in range(40)]
+    frame = docs(spark, [(i, prose(500 + i, 80) + " " + " ".join(t.split()[3:]) + " " + prose(900 + i, 100)) for i, t in rows])
+    found = lambda: sorted(tuple(r) for r in dc.find(frame, items(spark, rows), min_score=0.3, min_overlap=0.1).collect())
+    one = found()
+    monkeypatch.setattr(dc, "ITEM_BYTES", 6000)
+    assert found() == one and len(one) > 20
