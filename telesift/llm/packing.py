@@ -4,7 +4,10 @@ The histogram of piece lengths (at most as many lengths as a sequence has tokens
 program needs. A configuration is a multiset of lengths that fits a sequence. Multiplicative weights solve the covering
 program: lengths that are short of their counts weigh more, and a knapsack dynamic program over 1..capacity finds the
 configuration of most weight, until every length is covered. The fractional solution is rounded; what is left is placed by best fit into the
-rooms that configurations leave open and into new sequences, in decreasing length, on counts as well.
+rooms that configurations leave open and into new sequences, in decreasing length, on counts as well. The program starts from a
+first solution, the configurations that best fit alone makes; what the rounds find takes its place unless it needs more sequences.
+Every priced configuration also gives a bound from below: no packing needs fewer sequences than all weight by the most weight of
+one. The plan carries the best of these bounds as `least`, so that the gap to the optimum is known.
 
 The plan is a list of runs: pieces number a to b of one length go to as many neighbouring sequences at one offset. Spark
 numbers the pieces of each length (in each task, then by offsets of the tasks' counts), and looks each up in the plan.
@@ -20,7 +23,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -51,6 +54,8 @@ class Plan:
     sequence: np.ndarray
     offset: np.ndarray
     sequences: int
+    #: No packing has fewer sequences.
+    least: int = 0
 
     def place(self, length: np.ndarray, number: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         bits = np.int64(44)
@@ -79,23 +84,28 @@ def price(values: np.ndarray, capacity: int) -> np.ndarray:
     return np.array(found, np.int64)
 
 
-def price_counted(values: np.ndarray, counts: np.ndarray, room: int) -> np.ndarray:
-    """The same with no length more often than it is counted: what repeats beyond that leave open is priced again."""
-    values, left, found = values.copy(), counts.copy(), []
+def price_counted(values: np.ndarray, counts: np.ndarray, room: int) -> tuple[np.ndarray, float]:
+    """The same with no length more often than it is counted: what repeats beyond that leave open is priced again.
+
+    Also the value of a configuration without that limit, which none can exceed.
+    """
+    values, left, found, most = values.copy(), counts.copy(), [], 0.0
     while room > 0:
         lengths, times = np.unique(price(values[: room + 1], room), return_counts=True)
         if not len(lengths):
             break
+        most = most or float((values[lengths] * times).sum())
         times = np.minimum(times, left[lengths])
         found.append(np.repeat(lengths, times))
         left[lengths] -= times
         room -= int((lengths * times).sum())
         values[left <= 0] = 0
-    return np.concatenate(found) if found else np.zeros(0, np.int64)
+    return (np.concatenate(found) if found else np.zeros(0, np.int64)), most
 
 
-def fractional(counts: np.ndarray, capacity: int, rounds: int, step: float = 1.0) -> list[tuple[np.ndarray, float]]:
-    """Configurations and how often each is used, by multiplicative weights: `rounds`, and more until all lengths are covered.
+def fractional(counts: np.ndarray, capacity: int, rounds: int, step: float = 1.0) -> tuple[list[tuple[np.ndarray, float]], float]:
+    """Configurations and how often each is used, by multiplicative weights: `rounds`, and more until all lengths are covered;
+    and the largest bound from below that the weights gave.
 
     Every round covers the scarcest length of its configuration whole, and one not covered yet is worth more than any that is,
     so that the rounds end after some for each length.
@@ -103,7 +113,7 @@ def fractional(counts: np.ndarray, capacity: int, rounds: int, step: float = 1.0
     open_ = np.flatnonzero(counts)
     covered = np.zeros(len(counts))
     used: dict[bytes, float] = {}
-    done = 0
+    done, least = 0, 0.0
     while done < rounds or covered[open_].min() < 1 - 1e-9:
         # A length's worth is its tokens, less with its share covered so far.
         weight = np.zeros(len(counts))
@@ -114,9 +124,10 @@ def fractional(counts: np.ndarray, capacity: int, rounds: int, step: float = 1.0
             beside = counts.copy()
             beside[longest] -= 1
             weight[beside <= 0] = 0
-            chosen = np.append(longest, price_counted(weight, beside, capacity - longest))
+            chosen = np.append(longest, price_counted(weight, beside, capacity - longest)[0])
         else:
-            chosen = price_counted(weight, counts, capacity)
+            chosen, most = price_counted(weight, counts, capacity)
+            least = max(least, float((weight * counts).sum()) / most)
         chosen = np.sort(chosen)[::-1]
         lengths, times = np.unique(chosen, return_counts=True)
         # As often as until the scarcest of its lengths is covered by one unit more.
@@ -125,11 +136,26 @@ def fractional(counts: np.ndarray, capacity: int, rounds: int, step: float = 1.0
         key = chosen.astype(np.int32).tobytes()
         used[key] = used.get(key, 0.0) + amount
         done += 1
-    return [(np.frombuffer(key, np.int32).astype(np.int64), amount) for key, amount in used.items()]
+    return [(np.frombuffer(key, np.int32).astype(np.int64), amount) for key, amount in used.items()], least
 
 
 def plan(counts: np.ndarray, capacity: int = CAPACITY, rounds: int = 240) -> Plan:
     """counts[k] pieces of length k. Its work depends on the capacity, not on how many pieces there are; `rounds` are the least."""
+    program = np.asarray(counts, np.int64).copy()
+    full = int(program[capacity])
+    program[capacity] = 0
+    first = _rounded(counts, capacity, [])
+    used, least = fractional(program, capacity, rounds) if program.any() else ([], 0.0)
+    made = _rounded(counts, capacity, used) if used else first
+    tokens = int((program * np.arange(len(program))).sum())
+    # The bound is a quotient of sums; a little of it goes to their rounding.
+    # Of pieces longer than half a sequence no two share one.
+    least = full + max(-(-tokens // capacity), int(program[capacity // 2 + 1 :].sum()), int(np.ceil(least * (1 - 1e-9) - 1e-6)))
+    return replace(made if made.sequences <= first.sequences else first, least=least)
+
+
+def _rounded(counts: np.ndarray, capacity: int, used: list[tuple[np.ndarray, float]]) -> Plan:
+    """Whole pieces placed by configurations, as far as these go, and the rest by best fit."""
     left = np.asarray(counts, np.int64).copy()
     runs: list[tuple[int, int, int, int]] = []
     done = np.zeros(capacity + 1, np.int64)
@@ -152,8 +178,7 @@ def plan(counts: np.ndarray, capacity: int = CAPACITY, rounds: int = 240) -> Pla
         put(capacity, new_sequences(n), n, 0)
     program = left.copy()
     program[capacity] = 0
-    if program.any():
-        used = fractional(program, capacity, rounds)
+    if used:
         total = np.zeros(capacity + 1)
         for lengths, amount in used:
             np.add.at(total, lengths, amount)

@@ -142,9 +142,23 @@ def test_configurations_cover_every_length():
     rng = np.random.default_rng(3)
     counts = np.bincount(np.minimum(rng.lognormal(4, 0.8, 20_000).astype(int) + 1, 500), minlength=513)
     covered = np.zeros(513)
-    for lengths, amount in packing.fractional(counts, 512, 20):
+    for lengths, amount in packing.fractional(counts, 512, 20)[0]:
         assert lengths.sum() <= 512 and (np.bincount(lengths, minlength=513) <= counts).all()
         np.add.at(covered, lengths, amount)
     assert (covered >= counts * (1 - 1e-6)).all() and (counts > 0).sum() > 300
     plan = packing.plan(counts, 512, 20)
     assert plan.sequences <= 1.01 * (counts * np.arange(513)).sum() / 512
+
+
+@pytest.mark.parametrize("shape", ["halves", "lognormal", "few", "short", "long"])
+def test_never_more_sequences_than_best_fit_and_no_fewer_than_the_bound(shape):
+    r = np.random.default_rng(3)
+    capacity = 512
+    lengths = {
+        "halves": lambda: r.integers(160, 350, 20_000), "lognormal": lambda: r.lognormal(4, 1, 20_000).astype(int), "few": lambda: r.choice([100, 171, 256, 300], 3000),
+        "short": lambda: r.integers(1, 30, 5000), "long": lambda: r.integers(300, 513, 2000),
+    }[shape]()
+    counts = np.bincount(np.clip(lengths, 1, capacity), minlength=capacity + 1)
+    made, alone = packing.plan(counts, capacity, 60), packing._rounded(counts, capacity, [])
+    assert made.least <= made.sequences <= alone.sequences
+    assert made.sequences <= made.least * 1.1 + 1
