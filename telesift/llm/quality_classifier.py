@@ -106,6 +106,13 @@ def in_fold(key: Column, folds: int = 5) -> Column:
     return F.crc32(F.coalesce(key.cast("string"), F.lit("")).cast("binary")) % folds
 
 
+def likely_smallest(rows: DataFrame, key: str, most: int) -> DataFrame:
+    """Rows among which are those of the `most` smallest hashes of the key: some more than that in all, not that many a partition."""
+    n = rows.count()
+    share = (1.05 * most + 1000) / max(n, 1)
+    return rows if share >= 1 else rows.filter(F.xxhash64(key) <= F.lit(int(share * (1 << 64)) - (1 << 63)))
+
+
 def _learned(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str, max_rows: int, settings: gam.Settings, keep: list[str]):
     """(the model; keys and columns to keep with the features of each document, as written)."""
     spark = docs.sparkSession
@@ -118,7 +125,7 @@ def _learned(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str
     known = labels.select(F.col(f"`{key}`").alias("__key"), F.col(f"`{label}`").cast("int").alias("__label")).filter("__label IN (0, 1) AND __key IS NOT NULL")
     known = known.groupBy("__key").agg(F.max("__label").alias("__label"))
     taught = stored.join(known, F.col(f"`{key}`") == F.col("__key")).select("__key", "__features", "__label")
-    rows = taught.orderBy(F.xxhash64("__key"), "__key", "__features").limit(max_rows).collect()
+    rows = likely_smallest(taught, "__key", max_rows).orderBy(F.xxhash64("__key"), "__key", "__features").limit(max_rows).collect()
     x = np.array([r["__features"] for r in rows]).reshape(-1, len(FEATURES))
     return gam.fit(x, np.array([r["__label"] for r in rows], np.float64), settings), stored
 

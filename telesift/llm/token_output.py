@@ -30,7 +30,8 @@ from telesift.session import scratch_path
 
 BLOCK_IDS = 1 << 20
 
-_RAW = record(part="int", block="int", before="long", keys="[long]", lengths="[int]", ids="binary")
+#: `totals` is only in a task's last block: how often the task met each id, by id, as 64-bit numbers.
+_RAW = record(part="int", block="int", before="long", keys="[long]", lengths="[int]", ids="binary", totals="binary")
 _BLOCKS = record(part="int", block="int", start="long", keys="[long]", data="binary")
 _COUNTS = record(id="int", n="long")
 _IDS = record(key="long", start="long", ids="[int]")
@@ -44,10 +45,16 @@ def _tokenised(path: str, end_id: int):
         part, encode = TaskContext.get().partitionId(), encoder(path).encode
         block, before, held = 0, 0, 0
         keys, lengths, ids = [], [], []
-
-        def flush() -> pa.RecordBatch:
-            nonlocal block, before, held
-            row = [[part], [block], [before], [sum(keys, [])], [np.concatenate(lengths)], [np.concatenate(ids).astype("<u4").tobytes()]]
+        totals = np.zeros(0, np.int64)
+
+        def flush(last: bool = False) -> pa.RecordBatch:
+            nonlocal block, before, held, totals
+            whole = np.concatenate(ids) if ids else np.zeros(0, np.uint32)
+            n = np.bincount(whole, minlength=len(totals))
+            n[: len(totals)] += totals
+            totals = n
+            row = [[part], [block], [before], [sum(keys, [])], [np.concatenate(lengths) if lengths else []], [whole.astype("<u4").tobytes()]]
+            row.append([totals.astype("<i8").tobytes() if last else None])
             block, before, held = block + 1, before + held, 0
             for x in (keys, lengths, ids):
                 x.clear()
@@ -70,8 +77,8 @@ def _tokenised(path: str, end_id: int):
                     held, a = held + int(upto[b] - upto[a]), b
                     if held >= BLOCK_IDS:
                         yield flush()
-        if held:
-            yield flush()
+        if held or block:
+            yield flush(last=True)
 
     return run
 
@@ -79,8 +86,9 @@ def _tokenised(path: str, end_id: int):
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total = np.zeros(0, np.int64)
     for batch in batches:
-        for ids in batch.column("ids"):
-            n = np.bincount(np.frombuffer(ids.as_buffer(), "<u4"), minlength=len(total))
+        for totals in batch.column("totals"):
+            n = np.frombuffer(totals.as_buffer(), "<i8").copy()
+            n, total = (n, total) if len(n) >= len(total) else (total.copy(), n)
             n[: len(total)] += total
             total = n
     seen = np.flatnonzero(total)
@@ -108,13 +116,13 @@ def write(docs: DataFrame, folder: str, key: str, text: str, end_id: int, tokeni
     picked = docs.select(F.col(f"`{key}`").cast("long").alias("key"), F.col(f"`{text}`").cast("string").alias("text"))
     ordered = picked.repartitionByRange(parts, "key").sortWithinPartitions("key")
     raw_path = scratch_path(spark, "token-ids")
-    # Encoded once and written: counting and coding read the ids, not the texts.
+    # Encoded once and written: coding reads the ids, not the texts; counting reads a row a task.
     tokenised = ordered.mapInArrow(_tokenised(tokenizer or vocabulary_path(), end_id), _RAW)
     tokenised.write.option("compression", "zstd").parquet(raw_path)
     raw = spark.read.schema(_RAW).parquet(raw_path)
 
     # A row for each id in use: bounded by the vocabulary.
-    counts = raw.select("ids").mapInArrow(_count, _COUNTS).groupBy("id").agg(F.sum("n").alias("n")).orderBy("id").toPandas()
+    counts = raw.filter("totals IS NOT NULL").select("totals").mapInArrow(_count, _COUNTS).groupBy("id").agg(F.sum("n").alias("n")).orderBy("id").toPandas()
     table = rans.Table.of_counts(counts["id"].to_numpy(), counts["n"].to_numpy())
     rows = list(zip(table.ids.tolist(), table.freq.astype(np.int64).tolist()))
     spark.createDataFrame(rows, "id int, freq long").coalesce(1).write.parquet(f"{folder}/table")
@@ -123,7 +131,8 @@ def write(docs: DataFrame, folder: str, key: str, text: str, end_id: int, tokeni
     parts_of = sizes.groupBy("part").agg(F.max("upto").alias("n"))  # a row for each range partition
     upto = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = parts_of.select("part", F.coalesce(F.sum("n").over(upto), F.lit(0)).alias("offset"))
-    placed = raw.join(F.broadcast(offsets), "part").select(
+    # A task's last block may hold its totals only.
+    placed = raw.filter(F.size("keys") > 0).join(F.broadcast(offsets), "part").select(
         "part", "block", (F.col("offset") + F.col("before")).alias("start"), "keys", "lengths", "ids"
     )
     coded = placed.mapInArrow(_encoded(counts["id"].to_numpy(), counts["n"].to_numpy()), _BLOCKS)

@@ -1,9 +1,15 @@
 """Quality and toxicity: held-out accuracy on the given tables, exact neighbours, defined results."""
 
+import bisect
+import math
+import zlib
+
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from telesift.llm import gam, nearest, quality_classifier, toxicity
 from telesift.llm.queries import QUERIES
@@ -125,3 +131,54 @@ def test_toxicity_compares_whole_texts(spark):
     got = {r["doc_id"]: r for r in toxicity.score(docs(spark, rows), labels).collect()}
     assert got[100]["neighbours"][0] == 7 and got[100]["cosines"][0] == pytest.approx(1)
     assert got[101]["neighbours"][0] == 7 and 0.5 < got[101]["cosines"][0] < 0.9999
+
+
+def test_likely_smallest_holds_the_smallest_hashes(spark):
+    from telesift.llm.quality_classifier import likely_smallest
+
+    rows = spark.range(40_000).withColumnRenamed("id", "key")
+    some = likely_smallest(rows, "key", 3000)
+    assert 3000 <= some.count() < 5000
+    first = lambda df: [r[0] for r in df.orderBy(F.xxhash64("key"), "key").limit(3000).collect()]
+    assert first(some) == first(rows) and likely_smallest(rows, "key", 50_000).count() == 40_000
+
+
+def plain_score(model, x):
+    """The additive model read entry by entry."""
+    out = []
+    for row in x:
+        total = model.intercept
+        for j, table in enumerate(model.tables):
+            total += table[bisect.bisect_right(model.edges[j].tolist(), row[j])]
+        for (a, b), table in zip(model.pairs, model.pair_tables):
+            total += table[bisect.bisect_right(model.pair_edges[a].tolist(), row[a])][bisect.bisect_right(model.pair_edges[b].tolist(), row[b])]
+        out.append(1 / (1 + math.exp(-total)))
+    return out
+
+
+def test_scores_are_sums_of_table_entries():
+    r = np.random.default_rng(4)
+    x = r.normal(size=(400, 3))
+    y = ((x[:, 0] + x[:, 1] * x[:, 2]) > 0).astype(float)
+    model = gam.fit(x, y)
+    assert model.pairs and np.allclose(model.score(x), plain_score(model, x), atol=1e-12)
+    assert ((model.score(x) >= 0.5) == y).mean() > 0.85
+
+
+def test_quality_query_against_plain_scoring(spark):
+    """Every score of the query from the model learned anew on the driver, and the tables read entry by entry."""
+    folder = "/root/testdata/sf0.001"
+    got = {r["doc_id"]: (r["score"], r["predicted"], r["held_out"]) for r in QUERIES["op6_quality_classifier"](spark, folder).collect()}
+    rows = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").collect()
+    labels = {}
+    for r in spark.read.parquet(f"{folder}/labels.parquet").collect():
+        if zlib.crc32(str(r["doc_id"]).encode()) % 5 and r["quality"] is not None:
+            labels[r["doc_id"]] = max(r["quality"], labels.get(r["doc_id"], 0))
+    features = {r["doc_id"]: quality_classifier.features(pa.array([r["text"]], pa.string()))[0] for r in rows}
+    hashes = {r["id"]: r["h"] for r in spark.createDataFrame([(i,) for i in labels], "id long").select("id", F.xxhash64("id").alias("h")).collect()}
+    taught = sorted((i for i in labels if i in features), key=lambda i: (hashes[i], i))
+    model = gam.fit(np.array([features[i] for i in taught]), np.array([labels[i] for i in taught], float))
+    want = dict(zip(features, plain_score(model, features.values())))
+    assert got.keys() == want.keys()
+    for i, (score, predicted, out) in got.items():
+        assert score == pytest.approx(want[i], abs=1e-9) and predicted == (score >= 0.3) and out == (zlib.crc32(str(i).encode()) % 5 == 0)
