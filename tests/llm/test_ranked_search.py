@@ -2,7 +2,6 @@
 
 import collections
 import math
-import random
 import re
 
 import duckdb
