@@ -16,8 +16,12 @@ from telesift.functions import ids
 from telesift.operators import catalog
 
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-_SPAN = "TimestampNs bigint, SpanId string, ParentSpanId string, SpanName string, SpanKind string, ServiceName string, Duration bigint, StatusCode string"
-_NAMES = [f.split()[0] for f in _SPAN.split(", ")]
+_FIELDS = {
+    "TimestampNs": "bigint", "SpanId": "string", "ParentSpanId": "string", "SpanName": "string", "SpanKind": "string",
+    "ServiceName": "string", "Duration": "bigint", "StatusCode": "string",
+}
+_SPAN = ", ".join(f"{name} {kind}" for name, kind in _FIELDS.items())
+_TRACE = f"TraceId string, part int, last boolean, span_count int, Spans array<struct<{', '.join(f'{n}: {k}' for n, k in _FIELDS.items())}>>"
 
 
 def _by_time(span: tuple) -> tuple:
@@ -43,7 +47,7 @@ class _Assembly(StatefulProcessor):
         spans = [tuple(s) for s in self.waiting.get()]
         part, _ = self.part.get() if self.part.exists() else (0, 0)
         for frame in rows:
-            spans.extend(zip(*(frame[name].tolist() for name in _NAMES)))
+            spans.extend(zip(*(frame[name].tolist() for name in _FIELDS)))
             if len(spans) >= self.most:
                 # A giant trace goes out in parts while it lasts.
                 spans.sort(key=_by_time)
@@ -84,7 +88,7 @@ class _Assembly(StatefulProcessor):
         self.part.update((part, timer))
 
     def _row(self, key, part: int, spans: list[tuple], last: bool) -> pd.DataFrame:
-        listed = [dict(zip(_NAMES, s)) for s in spans]
+        listed = [dict(zip(_FIELDS, s)) for s in spans]
         return pd.DataFrame({"TraceId": [key[0]], "part": [part], "last": [last], "span_count": [len(spans)], "Spans": [listed]})
 
     def close(self) -> None:
@@ -98,11 +102,9 @@ def assemble_traces_stream(spans: DataFrame, gap_ms: int = 30_000, delay: str =
     the one after which it was quiet. No more than that many wait for a trace, whatever its size.
     """
     _with_state(spans)
-    rows = spans.filter(F.col("TraceId") != "").select("TraceId", "Timestamp", *_NAMES)
-    return rows.withWatermark("Timestamp", delay).groupBy("TraceId").transformWithStateInPandas(
-        _Assembly(gap_ms, max_spans), f"TraceId string, part int, last boolean, span_count int, Spans array<struct<{_SPAN.replace(' ', ': ').replace(',:', ',')}>>",
-        "append", "eventTime",
-    )
+    rows = spans.filter(F.col("TraceId") != "").select("TraceId", "Timestamp", *_FIELDS)
+    keyed = rows.withWatermark("Timestamp", delay).groupBy("TraceId")
+    return keyed.transformWithStateInPandas(_Assembly(gap_ms, max_spans), _TRACE, "append", "eventTime")
 
 
 class _Announced(StatefulProcessor):
