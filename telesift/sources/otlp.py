@@ -279,7 +279,8 @@ def _scopes(messages: DataFrame, top: str, scopes: str, items: str, fault, field
     if refusals:
         rows = messages.select(F.col(CORRUPT).alias(_LINE), F.explode_outer(F.when(readable, each)).alias("r"))
     else:
-        rows = messages.filter(readable).select(F.explode(each).alias("r"))
+        # No filter: Spark would push it below the parse, and parse for it once more.
+        rows = messages.select(F.explode(F.when(readable, each)).alias("r"))
     attrs = "r.resource.attributes"
     columns = [attributes_to_map(attrs).alias("ResourceAttributes"), _blank(F.col("r.schemaUrl")).alias("ResourceSchemaUrl")]
     if fields:

@@ -50,9 +50,36 @@ def _object(items: str) -> str:
     return f"concat('{{', array_join(transform({entries}, e -> concat({text.json_string_sql('e.key')}, ':', e.value)), ','), '}}')"
 
 
+# Numbers whose text is what double_text_sql makes of them, but for a `.0` behind whole ones.
+_FRACTION, _WHOLE = r"-?(?:0|[1-9]\d{0,5})\.\d{0,5}[1-9]", r"(?:-?[1-9]\d{0,14}|0)"
+_NUMBERS = rf"""intValue":"?-?\d+"?|boolValue":"?(?:true|false)"?|doubleValue":"?(?:{_FRACTION}|{_WHOLE}(?:\.0)?)"?"""
+# Containers written plainly, as most are: lists of lists and scalars whose texts have no brackets, maps of scalars.
+_PLAIN_LIST = (
+    r"""r'^\{"values":\[(?:,|\{"arrayValue":\{"values":\[|\]\}\}|\{"(?:stringValue|bytesValue)":"[^"\\\[\]{}]*+"\}|\{"(?:"""
+    + _NUMBERS + r""")\})*+\]\}\z'"""
+)
+_PLAIN_MAP = (
+    r"""r'^\{"values":\[(?:\{"key":"[^"\\]*+","value":\{"(?:(?:stringValue|bytesValue)":"[^"\\]*+"|""" + _NUMBERS + r""")\}\},?+)*+\]\}\z'"""
+)
+_SCALAR = r"""\{"(?:(?:stringValue|bytesValue)":("[^"]*+")|(?:intValue|boolValue|doubleValue)":"?([-.0-9a-z]+?)(?:\.0)?"?)\}"""
+
+
+def _plain_list(raw: str) -> str:
+    bare = f"""regexp_replace({raw}, r'{_SCALAR}', '$1$2')"""
+    lists = f"""replace(replace({bare}, '{{"arrayValue":{{"values":[', '['), ']}}}}', ']')"""
+    return f"""rtrim('}}', substring({lists}, 11))"""
+
+
+def _plain_map(raw: str) -> str:
+    found = lambda group: f"""regexp_extract_all({raw}, r'\\{{"key":"([^"]*+)","value":{_SCALAR}\\}}', {group})"""
+    value = f"zip_with({found(2)}, {found(3)}, (a, b) -> concat(a, b))"
+    return _object(f"zip_with({found(1)}, {value}, (k, j) -> struct(k AS key, j AS json))")
+
+
 def plain_json(raw: str, is_map: str) -> str:
     """An array or a map of the message format as plain JSON text, to any depth.
 
+    Containers that are plainly written are rewritten as text; all others are folded.
     A frame of the stack is an object that is open: the field whose value comes next, and what is known of its own value: a key
     and JSON of an item, or the items of a list. The first frame stands for the value that holds the container.
     """
@@ -85,7 +112,9 @@ def plain_json(raw: str, is_map: str) -> str:
         WHEN t = '}}' THEN concat(array({closed}), slice(stack, 3, size(stack)))
         WHEN endswith(t, ':') THEN concat(array({named}), {rest}) ELSE concat(array({read}), {rest}) END"""
     folded = f"aggregate(regexp_extract_all({raw}, {_TOKENS}, 0), array({first}), (stack, t) -> {step}, stack -> stack[0].json)"
-    return f"if({raw} IS NULL, NULL, coalesce({folded}, if({is_map}, '{{}}', '[]')))"
+    written = f"""CASE WHEN NOT ({is_map}) AND {raw} RLIKE {_PLAIN_LIST} THEN {_plain_list(raw)}
+        WHEN {is_map} AND {raw} RLIKE {_PLAIN_MAP} THEN {_plain_map(raw)} ELSE {folded} END"""
+    return f"if({raw} IS NULL, NULL, coalesce({written}, if({is_map}, '{{}}', '[]')))"
 
 
 def _nested(value: str) -> str:
@@ -93,7 +122,8 @@ def _nested(value: str) -> str:
 
 
 def _double(value: str) -> str:
-    return f"transform(array(try_cast({value}.doubleValue AS DOUBLE)), d -> {text.double_text_sql('d')})[0]"
+    written = f"transform(array(try_cast({value}.doubleValue AS DOUBLE)), d -> {text.double_text_sql('d')})[0]"
+    return rf"CASE WHEN {value}.doubleValue RLIKE r'^{_FRACTION}\z' THEN {value}.doubleValue ELSE {written} END"
 
 
 def json_sql(value: str) -> str:

@@ -77,6 +77,34 @@ def test_values_of_any_depth(spark):
     assert otlp.flatten_logs(messages_of(spark, [logs], "logs")).first().Body == '[[[["Below the third level"]]]]'
 
 
+def test_plainly_written_containers_are_rewritten_as_folded(spark):
+    texts = [
+        ('{"values":[{"intValue":"1"},{"arrayValue":{"values":[{"stringValue":"x, y"},{"arrayValue":{"values":[]}}]}},{"doubleValue":2.0}]}', False, True),
+        ('{"values":[{"bytesValue":"/wA="},{"boolValue":true},{"doubleValue":"0.25"},{"intValue":-7}]}', False, True),
+        ('{"values":[{"key":"b","value":{"stringValue":"]}}"}},{"key":"a","value":{"intValue":10}},{"key":"b","value":{"boolValue":false}}]}', True, True),
+        ('{"values":[{"stringValue":"]}}"},{}]}', False, False), ('{"values":[{"doubleValue":-0.0},{"doubleValue":1e21}]}', False, False),
+        ('{"values":[{"value":{"intValue":1},"key":"a"}]}', True, False), ('{"values":[{"stringValue":"\\n"}]}', False, False),
+    ]
+    rows = spark.createDataFrame([(i, *t) for i, t in enumerate(texts)], "i int, raw string, m boolean, plain boolean")
+    plainly = f"if(m, raw RLIKE {values._PLAIN_MAP}, raw RLIKE {values._PLAIN_LIST}) AS found"
+    # Written with a space, the same container goes through the fold.
+    folded = values.plain_json("replace(raw, 'values\":', 'values\": ')", "m")
+    got = rows.selectExpr("i", "plain", plainly, values.plain_json("raw", "m") + " AS now", folded + " AS folded").orderBy("i").collect()
+    assert [r.found for r in got] == [r.plain for r in got]
+    assert [r.now for r in got] == [r.folded for r in got]
+    assert [r.now for r in got[:3]] == ['[1,["x, y",[]],2]', '["/wA=",true,0.25,-7]', '{"a":10,"b":false}']
+
+
+def test_messages_are_parsed_once(spark):
+    texts = [("{",), ('{"resourceSpans":[{"scopeSpans":[{"spans":[{"spanId":"0a","startTimeUnixNano":"1"}]}]}]}',), ('{"resourceSpans":[]}',), (None,)]
+    parsed = otlp.parse_otlp_json(spark.createDataFrame(texts, "value string").repartition(2), "value", "traces")
+    spans = otlp.flatten_spans(parsed)
+    assert spans.count() == 1
+    # A filter below the parse parsed every message for itself.
+    plan = spans._jdf.queryExecution().optimizedPlan().toString()
+    assert not any("Filter" in line[:80] and "from_json" in line for line in plan.splitlines())
+
+
 def test_service_name_is_not_inherited(spark):
     """A resource without a name does not take over its neighbour's."""
     logs = {"resourceLogs": [
