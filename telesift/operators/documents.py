@@ -155,27 +155,39 @@ def sort_fields(fields: Column) -> Column:
 _LOW = "\x01"
 
 
+def _once(value: Column, then) -> Column:
+    """What `then` makes of a value that it uses more than once.
+
+    The value is a lambda's argument, as steps that are columns are put into each other again, and into lambdas, where Spark
+    gathers Arrow UDFs.
+    """
+    return F.get(F.transform(F.array(value), then), F.lit(0))
+
+
 def with_deduplicated(df: DataFrame, column: str) -> DataFrame:
     """Fields of a column sorted by key, one per key, the last wins.
 
     A field that is also the parent of others is renamed to `<key>.value`, unless there is
-    such a field already. Each step is a column of its own, so that it is evaluated once.
+    such a field already.
     """
     entries = F.transform(F.col(column), lambda f: F.struct(f["key"], F.struct(f["json"].alias("json"))))
-    family = F.transform(
-        F.map_entries("_last"),
-        lambda e: F.struct(F.translate(e["key"], ".", _LOW).alias("rank"), e["key"].alias("key"), e["value"]["json"].alias("json")),
-    )
-    df = df.withColumn("_last", F.map_from_entries(entries)).withColumn("_family", F.sort_array(family))
 
-    def renamed(f: Column, i: Column) -> Column:
-        is_parent = F.coalesce(F.get("_family", i + 1)["rank"].startswith(F.concat(f["rank"], F.lit(_LOW))), F.lit(False))
-        lifted = F.concat(f["key"], F.lit(".value"))
-        name = F.when(~is_parent, f["key"]).when(~F.map_contains_key("_last", lifted), lifted)
-        return field(name, f["json"])
+    def family_of(last: Column) -> Column:
+        return F.sort_array(F.transform(
+            F.map_entries(last),
+            lambda e: F.struct(F.translate(e["key"], ".", _LOW).alias("rank"), e["key"].alias("key"), e["value"]["json"].alias("json")),
+        ))
+
+    def kept(last: Column, family: Column) -> Column:
+        def renamed(f: Column, i: Column) -> Column:
+            is_parent = F.coalesce(F.get(family, i + 1)["rank"].startswith(F.concat(f["rank"], F.lit(_LOW))), F.lit(False))
+            lifted = F.concat(f["key"], F.lit(".value"))
+            name = F.when(~is_parent, f["key"]).when(~F.map_contains_key(last, lifted), lifted)
+            return field(name, f["json"])
 
-    kept = F.filter(F.transform("_family", renamed), lambda f: f["key"].isNotNull())
-    return df.withColumn(column, F.sort_array(kept)).drop("_last", "_family")
+        return F.sort_array(F.filter(F.transform(family, renamed), lambda f: f["key"].isNotNull()))
+
+    return df.withColumn(column, _once(F.map_from_entries(entries), lambda last: _once(family_of(last), lambda family: kept(last, family))))
 
 
 def _written(fields: Column) -> Column:
@@ -199,8 +211,8 @@ def with_nested_json(df: DataFrame, column: str, into: str) -> DataFrame:
         return F.substr(literal, F.lit(2), F.length(literal) - 2)
 
     escaped = F.transform(_written(F.col(column)), lambda f: F.struct(unquoted(f["key"]).alias("key"), f["json"].alias("json")))
-    paths = F.transform(
-        "_escaped",
+    paths_of = lambda fields: F.transform(
+        fields,
         lambda f: F.struct(
             f["key"].alias("key"),
             f["json"].alias("json"),
@@ -211,21 +223,26 @@ def with_nested_json(df: DataFrame, column: str, into: str) -> DataFrame:
             ).alias("parents"),
         ),
     )
-    df = df.withColumn("_escaped", escaped).withColumn("_paths", paths)
-
-    def member(f: Column, i: Column) -> Column:
-        before = F.get("_paths", i - 1)
-        shared = F.size(F.filter(f["parents"], lambda p: F.startswith(before["key"], p)))
-        closed = F.concat(F.repeat(F.lit("}"), F.size(before["parents"]) - shared), F.lit(","))
-        own = F.slice(f["steps"], shared + 1, F.size(f["parents"]) - shared)
-        opened = F.when(F.size(own) > 0, F.concat(F.lit('"'), F.array_join(own, '":{"'), F.lit('":{'))).otherwise("")
-        start = F.when(i == 0, F.lit("")).otherwise(closed)
-        return F.concat(start, opened, F.lit('"'), F.element_at(f["steps"], -1), F.lit('":'), f["json"])
-
-    ending = F.repeat(F.lit("}"), F.greatest(F.size(F.get("_paths", F.size("_paths") - 1)["parents"]), F.lit(0)))
-    body = F.array_join(F.transform("_paths", member), "")
-    whole = F.concat(F.lit("{"), body, F.coalesce(ending, F.lit("")), F.lit("}"))
-    return df.withColumn(into, whole).drop("_escaped", "_paths")
+
+    def whole(paths: Column) -> Column:
+        def member(f: Column, i: Column) -> Column:
+            before = F.get(paths, i - 1)
+            common = F.size(F.filter(f["parents"], lambda p: F.startswith(before["key"], p)))
+
+            def written(shared: Column) -> Column:
+                closed = F.concat(F.repeat(F.lit("}"), F.size(before["parents"]) - shared), F.lit(","))
+                own = F.slice(f["steps"], shared + 1, F.size(f["parents"]) - shared)
+                opened = F.when(F.size(own) > 0, F.concat(F.lit('"'), F.array_join(own, '":{"'), F.lit('":{'))).otherwise("")
+                start = F.when(i == 0, F.lit("")).otherwise(closed)
+                return F.concat(start, opened, F.lit('"'), F.element_at(f["steps"], -1), F.lit('":'), f["json"])
+
+            return _once(common, written)
+
+        ending = F.repeat(F.lit("}"), F.greatest(F.size(F.get(paths, F.size(paths) - 1)["parents"]), F.lit(0)))
+        body = F.array_join(F.transform(paths, member), "")
+        return F.concat(F.lit("{"), body, F.coalesce(ending, F.lit("")), F.lit("}"))
+
+    return df.withColumn(into, _once(paths_of(escaped), whole))
 
 
 def _encode(df: DataFrame, fields: Column, dedup: bool, dedot: bool) -> DataFrame:
