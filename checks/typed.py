@@ -20,7 +20,7 @@ _ATTRIBUTES = """concat('[{"key":"n","value":{"intValue":"', event_id, '"}},{"ke
 
 def _messages(v, top: str, scopes: str, items: str, record: str, signal: str):
     text = f"""concat('{{"{top}":[{{"{scopes}":[{{"{items}":[', {record}, ']}}]}}]}}')"""
-    return otlp.parse_otlp_json(v.wide_spans.selectExpr(f"{text} AS value"), "value", signal)
+    return otlp.parse_otlp_json(v.dealt_spans.selectExpr(f"{text} AS value"), "value", signal)
 
 
 def _records(v):

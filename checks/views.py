@@ -199,6 +199,13 @@ class Views:
         """Spans with the event columns they were made from."""
         return self.spans_of(self.table("events"))
 
+    @cached_property
+    def dealt_spans(self) -> DataFrame:
+        """The same, dealt over all cores first: small files are few splits, however much work is done on a row."""
+        spark = self.spark
+        parts = max(3 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+        return self.spans_of(self.table("events").repartition(parts, "event_id", "user_id", "ts"))
+
     @cached_property
     def spans(self) -> DataFrame:
         return self.wide_spans.select(*SPANS.names)
