@@ -9,6 +9,7 @@ from checks.registry import query
 from checks.views import duck
 from telesift.operators import documents as docs
 from telesift.operators.catalog import route_by_index
+from telesift.schema import SPANS
 from telesift.session import scratch_path
 from telesift.sources import tables
 from telesift.sources.documents import documents_to_spans
@@ -92,7 +93,7 @@ def _(v):
   (4 + (SpanKind <> 'SPAN_KIND_UNSPECIFIED')::BIGINT + CASE StatusCode WHEN 'STATUS_CODE_ERROR' THEN 3 WHEN 'STATUS_CODE_OK' THEN 1 ELSE 0 END)::BIGINT AS tags
   FROM spans_v"""))
 def _(v):
-    encoded = docs.encode_jaeger_documents(v.spans)
+    encoded = docs.encode_jaeger_documents(v.dealt_spans.select(*SPANS.names))
 
     def at(path: str, name: str):
         return F.get_json_object("document", f"$.{path}").alias(name)

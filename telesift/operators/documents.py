@@ -323,15 +323,17 @@ _TAGS = "array<struct<key:string,type:string,value:string>>"
 
 def _tags(attrs: Column, fields: Column | None = None) -> Column:
     """Attributes as tags. Types come from typed fields where there are some: bytes are hexadecimal then, lists and maps JSON text."""
-    types = maps.empty_map() if fields is None else F.map_from_entries(F.transform(fields, lambda f: F.struct(f["key"], f["type"])))
-    kind = lambda e: F.when(types[e["key"]].isin("bool", "int64", "float64", "binary"), types[e["key"]]).otherwise("string")
+    if fields is None:
+        return F.transform(F.map_entries(attrs), lambda e: F.struct(e["key"].alias("key"), F.lit("string").alias("type"), e["value"].alias("value")))
     bytes_of = lambda e: F.coalesce(F.lower(F.hex(F.try_to_binary(e["value"], F.lit("base64")))), e["value"])
-    return F.transform(
-        F.map_entries(attrs),
-        lambda e: F.struct(
-            e["key"].alias("key"), kind(e).alias("type"), F.when(kind(e) == "binary", bytes_of(e)).otherwise(e["value"]).alias("value")
-        ),
-    )
+
+    def tag(e: Column, kind: Column) -> Column:
+        known = F.when(kind.isin("bool", "int64", "float64", "binary"), kind).otherwise("string")
+        return F.struct(e["key"].alias("key"), known.alias("type"), F.when(kind == "binary", bytes_of(e)).otherwise(e["value"]).alias("value"))
+
+    types = F.map_from_entries(F.transform(fields, lambda f: F.struct(f["key"], f["type"])))
+    listed = lambda types: F.transform(F.map_entries(attrs), lambda e: _once(types[e["key"]], lambda kind: tag(e, kind)))
+    return _once(types, listed)
 
 
 def _tag(key: str, value: Column, kind: str = "string") -> Column:

@@ -155,6 +155,34 @@ def test_same_name_events_collide_and_the_last_wins(spark):
     assert document["Events.e.n"] == "2" and document["Events.e.time"] == "1970-01-01T00:00:00.000000002Z"
 
 
+def test_fields_of_values_of_unknown_depth_are_deduplicated_once(spark):
+    record = {"spanId": "0a", "body": {"stringValue": "b"}, "attributes": attrs(n=1, a={"b": 2}, a_b=3)}
+    parsed = messages_of(spark, [{"resourceLogs": [{"scopeLogs": [{"logRecords": [record]}]}]}], "logs")
+    flat = docs.encode_log_documents(otlp.flatten_logs(parsed, fields=True))
+    nested = docs.encode_log_documents(flat.withColumnRenamed("document", "flat"), dedot=True)
+    # Fields gathered below an Arrow UDF were put into every lambda that looked at them: four times a document, field by field.
+    for made in (flat, nested):
+        plan = made.select("document")._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("map_from_entries(transform(concat(") == 1
+    row = nested.select("flat", "document").first()
+    assert json.loads(row["flat"])["Attributes.a.b"] == 3 and json.loads(row["document"])["Attributes"] == {"a": {"b": 3}, "n": 1}
+
+
+def test_types_of_tags_are_looked_up_once(spark):
+    span = {"spanId": "0a", "startTimeUnixNano": "1", "attributes": attrs(n=1, even=True, s="x", half=0.5) + [{"key": "none", "value": {}}]}
+    span["attributes"].append({"key": "raw", "value": {"bytesValue": "/wA="}})
+    flat = otlp.flatten_spans(messages_of(spark, [trace_message([span])], "traces"), fields=True)
+    encoded = docs.encode_jaeger_documents(flat).select("document")
+    plan = encoded._jdf.queryExecution().optimizedPlan().toString()
+    # One of the span, of an event, of the resource; before, each lookup of each tag made its own.
+    assert plan.count("struct(key, lambda") and plan.split("+- ")[0].count("map_from_entries(") == 3
+    tags = {t["key"]: (t["type"], t["value"]) for t in json.loads(encoded.first()[0])["tags"]}
+    assert tags == {
+        "n": ("int64", "1"), "even": ("bool", "true"), "s": ("string", "x"), "half": ("float64", "0.5"), "none": ("string", ""),
+        "raw": ("binary", "ff00"),
+    }
+
+
 def test_jaeger_document(spark):
     message = trace_message([{**SPAN, "parentSpanId": "2c" * 8, "status": {"code": 2, "message": "no"}}], attrs(host="h"), {"name": "lib"})
     made = json.loads(docs.encode_jaeger_documents(otlp.flatten_spans(messages_of(spark, [message], "traces"))).first().document)
