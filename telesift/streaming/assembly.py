@@ -5,6 +5,7 @@ State is kept in RocksDB, key by key; what a key holds is bounded here, and time
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 
 import pandas as pd
@@ -20,8 +21,12 @@ _FIELDS = {
     "TimestampNs": "bigint", "SpanId": "string", "ParentSpanId": "string", "SpanName": "string", "SpanKind": "string",
     "ServiceName": "string", "Duration": "bigint", "StatusCode": "string",
 }
-_SPAN = ", ".join(f"{name} {kind}" for name, kind in _FIELDS.items())
-_TRACE = f"TraceId string, part int, last boolean, span_count int, Spans array<struct<{', '.join(f'{n}: {k}' for n, k in _FIELDS.items())}>>"
+_SPANS = f"array<struct<{', '.join(f'{n}: {k}' for n, k in _FIELDS.items())}>>"
+#: Spans go through Python as texts, which only Spark writes and reads.
+_TRACE = "TraceId string, part int, last boolean, span_count int, spans string"
+_TRACE_NAMES = ["TraceId", "part", "last", "span_count", "spans"]
+#: Buckets of traces that wait together: enough that one's traces are little to rewrite, and that many traces share a message.
+BUCKETS = 1 << 14
 
 
 def _by_time(span: tuple) -> tuple:
@@ -33,34 +38,62 @@ def _with_state(df: DataFrame) -> None:
 
 
 class _Assembly(StatefulProcessor):
-    """Spans of one trace until it has been quiet for a gap; at most `most` of them wait."""
+    """Spans (time, id, text) of the traces of one bucket, each until it has been quiet for a gap; of a trace at most `most` wait.
+
+    Every call on state, and every frame, is a message to Spark and back; so a bucket's traces are read, written and woken at once.
+    """
 
     def __init__(self, gap_ms: int, most: int):
         self.gap_ns, self.most = gap_ms * 1_000_000, most
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.waiting = handle.getListState("waiting", _SPAN)
-        self.part = handle.getValueState("part", "part int, timer bigint")
+        self.state = handle.getValueState("waiting", "timer bigint, traces binary")
+
+    def _waiting(self) -> tuple[int | None, dict[str, tuple[int, int, bytes]]]:
+        """(the timer; of each trace its part, when to look at it again, and its packed spans)."""
+        held = self.state.get()
+        return (None, {}) if held is None else (held[0], pickle.loads(held[1]))
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        spans = [tuple(s) for s in self.waiting.get()]
-        part, _ = self.part.get() if self.part.exists() else (0, 0)
-        for frame in rows:
-            spans.extend(zip(*(frame[name].tolist() for name in _FIELDS)))
-            if len(spans) >= self.most:
-                # A giant trace goes out in parts while it lasts.
-                spans.sort(key=_by_time)
-                while len(spans) >= self.most:
-                    yield self._row(key, part, spans[: self.most], False)
-                    spans, part = spans[self.most :], part + 1
-        yield from self._close(key, spans, part, timerValues.getCurrentWatermarkInMs())
+        timer, waiting = self._waiting()
+        yield from self._frames(self._taken(waiting, rows, timerValues.getCurrentWatermarkInMs()))
+        self._keep(timer, waiting)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        part, _ = self.part.get() if self.part.exists() else (0, 0)
-        yield from self._close(key, [tuple(s) for s in self.waiting.get()], part, timerValues.getCurrentWatermarkInMs())
-
-    def _close(self, key, spans: list[tuple], part: int, watermark_ms: int) -> Iterator[pd.DataFrame]:
+        timer, waiting = self._waiting()
+        yield from self._frames(self._woken(waiting, timerValues.getCurrentWatermarkInMs()))
+        # Spark deletes the timer that expired.
+        self._keep(None if timer == expiredTimerInfo.getExpiryTimeInMs() else timer, waiting)
+
+    def _taken(self, waiting: dict, rows: Iterator[pd.DataFrame], watermark_ms: int) -> Iterator[tuple]:
+        """Add spans to their traces; what these give."""
+        parts: dict[str, int] = {}
+        spans: dict[str, list[tuple]] = {}
+        for frame in rows:
+            ids = frame["TraceId"].tolist()
+            for trace in set(ids):
+                if trace not in spans:
+                    parts[trace], _, packed = waiting.get(trace, (0, 0, None))
+                    spans[trace] = pickle.loads(packed) if packed else []
+            for trace, *span in zip(ids, *(frame[name].tolist() for name in ("TimestampNs", "SpanId", "span"))):
+                spans[trace].append(tuple(span))
+            for trace in set(ids):
+                # A giant trace goes out in parts while it lasts.
+                if len(spans[trace]) >= self.most:
+                    spans[trace].sort(key=_by_time)
+                    while len(spans[trace]) >= self.most:
+                        yield trace, parts[trace], False, spans[trace][: self.most]
+                        spans[trace], parts[trace] = spans[trace][self.most :], parts[trace] + 1
+        for trace in spans:
+            yield from self._close(waiting, trace, spans[trace], parts[trace], watermark_ms)
+
+    def _woken(self, waiting: dict, watermark_ms: int) -> Iterator[tuple]:
+        for trace, (part, wake, packed) in list(waiting.items()):
+            if wake <= watermark_ms:
+                yield from self._close(waiting, trace, pickle.loads(packed), part, watermark_ms)
+
+    def _close(self, waiting: dict, trace: str, spans: list[tuple], part: int, watermark_ms: int) -> Iterator[tuple]:
         """Emit the runs of spans that are quiet by now, keep the rest, and wake up when the first of those may be."""
         spans.sort(key=_by_time)
         cut = 0
@@ -68,43 +101,62 @@ class _Assembly(StatefulProcessor):
             if i == len(spans) or spans[i][0] - spans[i - 1][0] >= self.gap_ns:
                 if spans[i - 1][0] + self.gap_ns > watermark_ms * 1_000_000:
                     break
-                yield self._row(key, part, spans[cut:i], True)
+                yield trace, part, True, spans[cut:i]
                 cut, part = i, 0
         rest = spans[cut:]
-        if self.part.exists():
-            _, timer = self.part.get()
-            self.handle.deleteTimer(timer)
         if not rest:
-            self.waiting.clear()
             # Parts of a trace that went out already say that more may come.
             if part:
-                yield self._row(key, part, [], True)
-            self.part.clear()
+                yield trace, part, True, []
+            waiting.pop(trace, None)
             return
         end = next((rest[i - 1][0] for i in range(1, len(rest)) if rest[i][0] - rest[i - 1][0] >= self.gap_ns), rest[-1][0])
-        timer = (end + self.gap_ns) // 1_000_000 + 1
-        self.handle.registerTimer(timer)
-        self.waiting.put(rest)
-        self.part.update((part, timer))
-
-    def _row(self, key, part: int, spans: list[tuple], last: bool) -> pd.DataFrame:
-        listed = [dict(zip(_FIELDS, s)) for s in spans]
-        return pd.DataFrame({"TraceId": [key[0]], "part": [part], "last": [last], "span_count": [len(spans)], "Spans": [listed]})
+        waiting[trace] = part, (end + self.gap_ns) // 1_000_000 + 1, pickle.dumps(rest)
+
+    def _keep(self, timer: int | None, waiting: dict) -> None:
+        wake = min((wake for _, wake, _ in waiting.values()), default=None)
+        if timer != wake:
+            if timer is not None:
+                self.handle.deleteTimer(timer)
+            if wake is not None:
+                self.handle.registerTimer(wake)
+        if waiting:
+            self.state.update((wake, pickle.dumps(waiting)))
+        else:
+            self.state.clear()
+
+    def _frames(self, found: Iterator[tuple]) -> Iterator[pd.DataFrame]:
+        """What traces give, in frames of few more than `most` spans."""
+        rows, held = [], 0
+        for trace, part, last, spans in found:
+            rows.append((trace, part, last, len(spans), f"[{','.join(s[2] for s in spans)}]"))
+            held += len(spans)
+            if held >= self.most:
+                yield pd.DataFrame(rows, columns=_TRACE_NAMES)
+                rows, held = [], 0
+        if rows:
+            yield pd.DataFrame(rows, columns=_TRACE_NAMES)
 
     def close(self) -> None:
         pass
 
 
-def assemble_traces_stream(spans: DataFrame, gap_ms: int = 30_000, delay: str = "10 minutes", max_spans: int = 10_000) -> DataFrame:
+def assemble_traces_stream(
+    spans: DataFrame, gap_ms: int = 30_000, delay: str = "10 minutes", max_spans: int = 10_000, buckets: int = BUCKETS
+) -> DataFrame:
     """(TraceId, part, last, span_count, Spans): a trace's spans in order, once none came for the gap.
 
     A trace with more than `max_spans` spans that aren't quiet yet goes out in parts of that many while it lasts; `last` marks
-    the one after which it was quiet. No more than that many wait for a trace, whatever its size.
+    the one after which it was quiet. No more than that many wait for a trace, whatever its size. Traces share state by
+    buckets of their ids: a batch reads and writes those of the buckets that it has spans for. Their number is fixed once a stream runs.
     """
     _with_state(spans)
-    rows = spans.filter(F.col("TraceId") != "").select("TraceId", "Timestamp", *_FIELDS)
-    keyed = rows.withWatermark("Timestamp", delay).groupBy("TraceId")
-    return keyed.transformWithStateInPandas(_Assembly(gap_ms, max_spans), _TRACE, "append", "eventTime")
+    span = F.to_json(F.struct(*[F.col(name).cast(kind).alias(name) for name, kind in _FIELDS.items()]))
+    bucket = F.pmod(F.xxhash64("TraceId"), F.lit(buckets)).cast("int").alias("bucket")
+    rows = spans.filter(F.col("TraceId") != "").select(bucket, "TraceId", "Timestamp", "TimestampNs", "SpanId", span.alias("span"))
+    keyed = rows.withWatermark("Timestamp", delay).groupBy("bucket")
+    made = keyed.transformWithStateInPandas(_Assembly(gap_ms, max_spans), _TRACE, "append", "eventTime")
+    return made.select("TraceId", "part", "last", "span_count", F.from_json("spans", _SPANS).alias("Spans"))
 
 
 class _Announced(StatefulProcessor):

@@ -3,6 +3,7 @@
 import json
 import os
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -169,6 +170,52 @@ def test_assembled_traces_equal_the_batch(spark, tmp_path):
     assert sorted(r.TraceId for r in parts if r["last"]) == ["hot"] + [f"t{i}" for i in range(7)]
 
 
+def test_traces_of_a_bucket_are_assembled_together(spark, tmp_path):
+    """Each by its own times and gaps, with all fields as they were; one message of state serves them all."""
+    odd = {"SpanName": 'a "b", \\ c\n{}[]', "StatusCode": None, "ParentSpanId": "", "Duration": None}
+    rows = [{"TraceId": f"t{i % 5}", "SpanId": f"{i:02}", "TimestampNs": BASE + i * SECOND, **(odd if i % 2 else {})} for i in range(40)]
+    rows += [{"TraceId": "t0", "SpanId": "again", "TimestampNs": BASE + 2000 * SECOND}]
+    nudge = [{"TraceId": "y", "SpanId": "y", "TimestampNs": BASE + 300 * SECOND}]
+    last = [{"TraceId": "z", "SpanId": "z", "TimestampNs": BASE + 100_000 * SECOND}]
+    arrive = loads(spark, tmp_path, rows[:20], rows[20:40], nudge, rows[40:], last)
+    table, check = str(tmp_path / "traces"), str(tmp_path / "check")
+    for n in range(5):
+        stream = assembly.assemble_traces_stream(arrive(n), gap_ms=30_000, delay="20 seconds", buckets=1)
+        derived.to_table(stream, table, check).awaitTermination()
+    made = spark.read.parquet(table)
+    fields = ["SpanId", "SpanName", "StatusCode", "ParentSpanId", "Duration"]
+    found = made.selectExpr("TraceId", "explode(Spans) AS s").select("TraceId", *[f"s.{c}" for c in fields]).collect()
+    given = [r for r in spans_of(spark, rows + nudge).select("TraceId", *fields).collect()]
+    assert sorted(map(str, found)) == sorted(map(str, given))
+    assert sorted((r.TraceId, r.span_count) for r in made.collect()) == sorted([*[(f"t{i}", 8) for i in range(5)], ("t0", 1), ("y", 1)])
+    assert all(r["last"] and r.part == 0 for r in made.collect())
+
+
+def test_state_of_a_bucket_is_one_value():
+    calls = []
+
+    class Handle:
+        def getValueState(self, *_):
+            return self
+
+        def get(self):
+            calls.append("get")
+
+        def update(self, value):
+            calls.append("update")
+
+        def registerTimer(self, at):
+            calls.append("timer")
+
+    class Times:
+        getCurrentWatermarkInMs = staticmethod(lambda: 0)
+
+    made = assembly._Assembly(30_000, 10_000)
+    made.init(Handle())
+    frame = pd.DataFrame({"TraceId": [f"t{i % 300}" for i in range(3000)], "TimestampNs": range(BASE, BASE + 3000), "SpanId": "s", "span": "{}"})
+    assert list(made.handleInputRows((0,), iter([frame]), Times)) == [] and calls == ["get", "timer", "update"]
+
+
 def test_unpaired_spans_come_out_on_expiry(spark, tmp_path):
     client = {"SpanKind": "SPAN_KIND_CLIENT", "ServiceName": "a", "TimestampNs": BASE}
     server = {"SpanKind": "SPAN_KIND_SERVER", "ServiceName": "b", "TimestampNs": BASE}
