@@ -250,7 +250,10 @@ class Views:
 
     @cached_property
     def gauge(self) -> DataFrame:
-        return self._point("gauge", self.wide_spans, {
+        return self._gauge_of(self.wide_spans)
+
+    def _gauge_of(self, wide_spans: DataFrame) -> DataFrame:
+        return self._point("gauge", wide_spans, {
             "MetricName": F.expr("concat(event_type, '.value')"),
             "Attributes": F.expr("map('user', user_text)"),
             "ResourceAttributes": F.expr("map('host.name', host)"),
@@ -259,8 +262,11 @@ class Views:
 
     @cached_property
     def sum(self) -> DataFrame:
+        return self._sum_of(self.wide_spans)
+
+    def _sum_of(self, wide_spans: DataFrame) -> DataFrame:
         value = "CAST((unix_micros(`Timestamp`) % 86400000000) DIV 1000000 + CAST(k AS BIGINT) AS DOUBLE)"
-        return self._point("sum", self.wide_spans, {
+        return self._point("sum", wide_spans, {
             "MetricName": F.expr("concat(event_type, '.total')"),
             "Attributes": F.expr("map('user', user_text)"),
             "ResourceAttributes": F.expr("map('host.name', host)"),
@@ -395,6 +401,7 @@ class Views:
             "summary": f"""named_struct({distribution}, 'quantileValues', transform(ValueAtQuantiles,
                 q -> named_struct('quantile', q.Quantile, 'value', q.Value)))""",
         }
+        dealt = {"gauge": self._gauge_of, "sum": self._sum_of}
         messages = None
         for kind, expression in points.items():
             more = ", 'aggregationTemporality', AggTemp, 'isMonotonic', IsMonotonic" if kind == "sum" else ""
@@ -404,6 +411,7 @@ class Views:
                 metric += ", to_json(named_struct('name', concat('untyped.', MetricName)))"
             text = f"""concat('{{"resourceMetrics":[{{"resource":{{"attributes":', to_json({_kvs('ResourceAttributes')}),
                 '}},"scopeMetrics":[{{"scope":{{"name":"fixture"}},"metrics":[', concat_ws(',', {metric}), ']}}]}}]}}')"""
-            rows = getattr(self, kind).select(F.expr(text).alias("value"))
+            rows = dealt[kind](self.dealt_spans) if kind in dealt else getattr(self, kind)
+            rows = rows.select(F.expr(text).alias("value"))
             messages = rows if messages is None else messages.unionAll(rows)
         return messages

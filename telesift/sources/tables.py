@@ -86,6 +86,14 @@ def time_range(df: DataFrame, column: str, start=None, end=None) -> DataFrame:
     return df
 
 
+def _laid_out(df: DataFrame, spread: list[str], order: list, partitions: list[str]) -> DataFrame:
+    """Rows where they are to be written, in order. Spark works out sort expressions in every comparison, columns once a row."""
+    keys = {f"_order_{i}": key for i, key in enumerate(order) if not isinstance(key, str)}
+    named = [key if isinstance(key, str) else f"_order_{i}" for i, key in enumerate(order)]
+    rows = df.hint("rebalance", *[F.col(c) for c in partitions + spread])
+    return (rows.withColumns(keys) if keys else rows).sortWithinPartitions(*partitions, *named).drop(*keys)
+
+
 def _write(
     df: DataFrame,
     path: str,
@@ -95,7 +103,7 @@ def _write(
     bloom: Iterable[str] = (),
     mode: str = "append",
 ) -> None:
-    laid_out = df.hint("rebalance", *[F.col(c) for c in partitions + spread]).sortWithinPartitions(*partitions, *order)
+    laid_out = _laid_out(df, spread, order, partitions)
     writer = laid_out.write.mode(mode).partitionBy(*partitions).option("compression", "zstd")
     if mode == "overwrite":
         writer = writer.option("partitionOverwriteMode", "dynamic")

@@ -2,10 +2,12 @@
 
 import datetime as dt
 import json
+import random
 
 from pyspark.sql import functions as F
 
 from telesift import schema
+from telesift.functions import maps
 from telesift.operators import catalog, spans as span_ops
 from telesift.sources import otlp, tables, values
 from tests.helpers import any_value, attrs, messages_of, spans_of, trace_message
@@ -292,3 +294,20 @@ def test_parts_split_only_large_groups(spark):
     assert len(hot) == 10 and max(r["count"] for r in hot) < 1300
     assert all(r.parts == 1 and r.part == 0 for r in sizes if r.k != "hot")
     assert span_ops.in_parts(rows, ["id"], ["id"], 1000).filter("part <> 0").count() == 0
+
+
+def test_points_are_sorted_by_a_column_for_their_attributes(spark):
+    """An expression among the sort keys would be worked out again in every comparison."""
+    r = random.Random(5)
+    rows = [(r.choice("ab"), {str(r.randrange(3)): str(r.randrange(9)) for _ in range(2)}, r.randrange(50)) for _ in range(300)]
+    df = spark.createDataFrame([*rows, (None, None, None)], "MetricName string, Attributes map<string,string>, TimeUnix long").coalesce(1)
+    laid_out = tables._laid_out(df, ["MetricName"], ["MetricName", maps.attributes_id(F.col("Attributes")), "TimeUnix"], [])
+    sorts = [line for line in laid_out._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Sort [" in line]
+    assert len(sorts) == 1 and "lambda" not in sorts[0]
+    assert laid_out.columns == df.columns
+    key = lambda row: (row[0] or "", ";".join(sorted(f"{k}:{v}" for k, v in (row[1] or {}).items())), row[2] or 0)
+    parts: dict[int, list[tuple]] = {}
+    for *row, part in laid_out.select("*", F.spark_partition_id()).collect():
+        parts.setdefault(part, []).append(tuple(row))
+    assert all(part == sorted(part, key=key) for part in parts.values())
+    assert sorted(map(key, sum(parts.values(), []))) == sorted(map(key, [*rows, (None, None, None)]))
