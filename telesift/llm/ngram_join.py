@@ -9,13 +9,15 @@
    L of the smaller one's first |set| - ceil(2t / (1 + t) |set|) + L and the larger one's first |set| - ceil(t |set|) + L
    shingles; L is a fiftieth of the smaller, and 1 more. The matrix has a row for each shingle that is among these of some
    member of a group, with the group: the union of its members' shingles. Shingles that many sets hold come last in the
-   order, so that shared passages hardly enter it.
+   order, so that shared passages hardly enter it. Where more than CROWD groups hold a shingle, a member of each is first
+   tried against a few members of the largest; links that hold join the groups, and their rows of the matrix fall together.
+   So a large family doesn't meet pair by pair, whose number would grow with its square.
 4. Two groups that share at least L such matrix shingles are a candidate pair: each member of the smaller group is a query. Its
    overlap with the union of all shingles of the other group bounds its overlap with any member; only where the bound
    reaches the threshold the group is opened and the query compared with its members exactly.
 5. Components of all links. Links inside a group change nothing, and every link between groups is found in step 4.
 
-Which shingles count as frequent, and which groups step 2 makes, decides how fast it is, never what is linked.
+Which shingles count as frequent, and which groups steps 2 and 3 make, decides how fast it is, never what is linked.
 
 Defined results
     Null and empty texts, and those without a word, have 0 shingles and are linked with nothing, not even each other. Fewer
@@ -30,7 +32,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -44,6 +46,9 @@ PERCENT = 75
 SKETCH = 8
 #: Sketch values that a node must share with a head, to be tried with it while groups are made.
 AGREE = 3
+#: Groups that hold a matrix shingle, beyond which they are tried with the largest; its members are the first ones in so many orders.
+CROWD = 64
+ORDERS = 8
 #: Shingles looked at together for frequent ones: in a full chunk one must come four times to be counted, in a small one twice;
 #: in all of them FREQUENT times.
 CHUNK = 1 << 22
@@ -61,7 +66,8 @@ _SKETCHES = record(key="long", node="long", n="int", sketch="[long]", shingle="l
 _PREFIXES = record(node="long", n="int", least="int", inner="int", tokens="[long]", whole="[long]")
 _RUNS = record(bucket="int", low="binary")
 _SET_BITS = record(word="long", bit="long")
-_CELLS = record(token="long", node="long", n="int", least="int", inner="bool")
+_CELLS = record(token="long", node="long", n="int", inner="bool")
+_MATRIX = record(token="long", grp="long", node="long", members="long", least_n="int", most_n="int", inner="bool", times="long")
 _SETS = record(node="long", n="int", short="[short]", whole="[long]")
 
 
@@ -83,7 +89,7 @@ def shingle_sets(texts: pa.Array) -> tuple[np.ndarray, list[np.ndarray]]:
     node = mix(total[words.first[1:]] - total[words.first[:-1]] + n.astype(np.uint64))
     run = np.zeros(max(0, len(h) - SHINGLE + 1), np.uint64)
     for k in range(SHINGLE):
-        run += h[k : len(h) - SHINGLE + 1 + k] * _PLACE[k]
+        run += h[k : k + len(run)] * _PLACE[k]
     run = mix(run)
     sets = []
     for row, (a, m) in enumerate(zip(words.first[:-1].tolist(), n.tolist())):
@@ -107,11 +113,15 @@ def _first_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     chunk, held = [], 0
 
     def frequent() -> pa.RecordBatch:
-        x = np.sort(np.concatenate(chunk))
-        start = np.flatnonzero(np.concatenate([[True], x[1:] != x[:-1]]))
-        times = np.diff(np.append(start, len(x)))
-        often = times >= 2 + 2 * len(x) // CHUNK
-        token, n = x[start[often]].view(np.int64), times[often]
+        x = np.concatenate(chunk)
+        chunk.clear()
+        x.sort()
+        least = 2 + 2 * len(x) // CHUNK
+        often = x[least - 1 :] == x[: len(x) - least + 1]
+        often[1:] &= x[1 : len(often)] != x[: len(often) - 1]  # where each begins
+        token = x[: len(often)][often]
+        n = np.searchsorted(x, token, "right") - np.flatnonzero(often)
+        token = token.view(np.int64)
         none = pa.nulls(len(n))
         return batch_of(_SKETCHES, [none.cast(pa.int64()), none.cast(pa.int64()), none.cast(pa.int32()), none.cast(pa.list_(pa.int64())), token, n])
 
@@ -131,7 +141,7 @@ def _first_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 seen.clear()
             if held >= CHUNK:
                 yield frequent()
-                chunk, held = [], 0
+                held = 0
     if held:
         yield frequent()
 
@@ -193,7 +203,9 @@ def _cut_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held, size = [], 0
 
     def runs() -> pa.RecordBatch:
-        key = np.sort(np.concatenate(held))
+        key = np.concatenate(held)
+        held.clear()
+        key.sort()
         # Two of a kind say it all, however many sets of the task hold the shingle.
         key = key[np.concatenate([np.ones(min(2, len(key)), bool), key[2:] != key[:-2]])]
         bucket = (key >> np.uint64(32)).astype(np.int32)
@@ -210,7 +222,7 @@ def _cut_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         size += len(inner)
         if size >= CHUNK:
             yield runs()
-            held, size = [], 0
+            size = 0
     if size:
         yield runs()
 
@@ -279,17 +291,19 @@ def _inner(batch: pa.RecordBatch, per_row: np.ndarray) -> np.ndarray:
     return place < np.repeat(batch.column("inner").to_numpy(), per_row)
 
 
-def _cells(shared):
-    """(token, node, least) for the first shingles that the filter lets through."""
+def _cells(shared, grouped: bool):
+    """(token, node, size) for the first shingles that the filter lets through, of nodes that the other filter has, or of the rest."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        met, groups = shared.value
         for batch in batches:
+            batch = batch.filter(pa.array(_in_filter(groups, batch.column("node").to_numpy().view(np.uint64)) == grouped))
             tokens = batch.column("tokens")
             flat, per_row = tokens.flatten().to_numpy(), np.diff(tokens.offsets.to_numpy())
-            use = _in_filter(shared.value, flat.view(np.uint64) >> np.uint64(64 - 31 - BUCKET_BITS))
+            use = _in_filter(met, flat.view(np.uint64) >> np.uint64(64 - 31 - BUCKET_BITS))
             inner = _inner(batch, per_row)[use]
             row = np.repeat(np.arange(batch.num_rows), per_row)[use]
-            yield batch_of(_CELLS, [flat[use], *[batch.column(c).to_numpy()[row] for c in ("node", "n", "least")], inner])
+            yield batch_of(_CELLS, [flat[use], *[batch.column(c).to_numpy()[row] for c in ("node", "n")], inner])
 
     return run
 
@@ -317,12 +331,12 @@ def _whole_sets(shared):
     return run
 
 
-def _only(shared):
-    """Rows whose node the filter lets through."""
+def _only(shared, column: str = "node", inside: bool = True):
+    """Rows whose node the filter lets through, or the others."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield batch.filter(pa.array(_in_filter(shared.value, batch.column("node").to_numpy().view(np.uint64))))
+            yield batch.filter(pa.array(_in_filter(shared.value, batch.column(column).to_numpy().view(np.uint64)) == inside))
 
     return run
 
@@ -361,49 +375,57 @@ def link(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int
     best = F.max(F.struct("central", (-F.col("node").cast("decimal(20,0)")).alias("minus"), "node")).alias("best")
     heads = keyed.join(central, "node").groupBy("value").agg(best).select("value", F.col("best.node").alias("head"))
     agreed = keyed.join(heads, "value").filter("node <> head").groupBy("node", "head").agg(F.count("*").alias("agree"))
-    tried = stored(agreed.filter(F.col("agree") >= AGREE).select("node", "head"), "tried")
+    tried = agreed.filter(F.col("agree") >= AGREE).select("node", "head").join(nodes.select("node", "n"), "node")
+    tried = tried.join(nodes.select(F.col("node").alias("head"), F.col("n").alias("m")), "head").filter(_near_size(F.col("n"), F.col("m"), percent))
+    tried = stored(tried.select("node", "head"), "tried")
 
     counted = first.filter("shingle IS NOT NULL").groupBy("shingle").agg(F.sum("times").alias("times")).filter(F.col("times") >= FREQUENT)
     often = counted.orderBy(F.desc("times"), "shingle").limit(KNOWN_FREQUENT).toArrow()
     frequent = often.column("shingle").to_numpy().view(np.uint64)
     order = np.argsort(frequent)
     ends = tried.select("node").unionByName(tried.select(F.col("head").alias("node")))
-    known = (frequent[order], often.column("times").to_numpy()[order], _wanted(ends), _owners(nodes))
-    shared = spark_context.broadcast(known)  # KNOWN_FREQUENT pairs and twice FILTER_BITS bits at most
+    owners = _owners(nodes)
+    # KNOWN_FREQUENT pairs and twice FILTER_BITS bits at most; copies on the executors go as soon as the rows are stored.
+    shared = spark_context.broadcast((frequent[order], often.column("times").to_numpy()[order], _wanted(ends), owners))
     second = stored(texts.mapInArrow(_second_pass(shared, percent), _PREFIXES), "prefixes")
+    shared.destroy()
 
     sets = second.filter("whole IS NOT NULL").select("node", "whole")
-    heads = _wanted(tried.select(F.col("head").alias("node")))
-    of_heads = sets.mapInArrow(_only(spark_context.broadcast(heads)), record(node="long", whole="[long]"))
-    pairs = tried.join(sets, "node").withColumnRenamed("whole", "x")
-    pairs = pairs.join(of_heads.select(F.col("node").alias("head"), F.col("whole").alias("y")), "head")
-    stars = stored(pairs.filter(_linked(F.col("x"), F.col("y"), percent)).select(F.col("node").alias("a"), F.col("head").alias("b")), "stars")
+    stars = stored(_tried(sets, tried, percent), "stars")
     groups = stored(components(stars), "groups")
 
     # Shingles that two nodes or more have among their first ones; no other can be in two groups' rows of the matrix.
     # They meet as sorted runs of cut keys, four bytes a shingle; what the cut confuses, the exact keys below part again.
     packed = second.select("tokens", "inner").mapInArrow(_cut_keys, _RUNS)
     met = packed.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "bucket").mapInArrow(_met_twice, _SET_BITS)
-    bits = spark_context.broadcast(_filled(met))
-    some = second.select("node", "n", "least", "inner", "tokens").mapInArrow(_cells(bits), _CELLS)
+    bits = spark_context.broadcast((_filled(met), _wanted(groups)))
+    one = second.select("node", "n", "inner", "tokens")
+    # Only rows of nodes in groups look for their group.
+    some = one.mapInArrow(_cells(bits, grouped=True), _CELLS).join(groups, "node", "left").withColumn("grp", F.coalesce("label", "node"))
+    some = some.select("token", "grp", "node", "n", "inner").unionByName(one.mapInArrow(_cells(bits, grouped=False), _CELLS).withColumn("grp", F.col("node")))
     # The matrix itself. Copies that several tasks saw fall together here, and so do the members of a group.
-    cells = some.join(groups, "node", "left").groupBy("token", F.coalesce("label", "node").alias("grp")).agg(
-        F.min("least").alias("least"), F.max("inner").alias("inner"), F.min("n").alias("least_n"), F.max("n").alias("most_n")
+    order = F.xxhash64("node", F.pmod("token", F.lit(ORDERS)))
+    cells = some.repartition("token").groupBy("token", "grp").agg(
+        F.min_by("node", order).alias("node"), F.count("*").alias("members"), F.min("n").alias("least_n"), F.max("n").alias("most_n"), F.max("inner").alias("inner")
     )
-    cells = stored(cells, "cells")
-    split = cells.groupBy("token").agg(F.count("*").alias("times")).filter("times > 1").select("token")
-    cells = cells.join(split, "token")
+    cells = stored(cells.withColumn("times", F.count("*").over(Window.partitionBy("token"))).filter("times > 1").select(*_MATRIX.names), "cells")
+    bits.destroy()
+    near_copies = _crowds(texts, cells, owners, percent, stored)
+    if near_copies is not None:
+        stars = stars.unionByName(near_copies)
+        before, groups = groups, stored(components(stars), "joined")
+        cells = _joined(cells, before, groups, stored)
     other = cells.select("token", *[F.col(c).alias(f"{c}2") for c in ("grp", "least_n", "most_n")])
     # The group of the smaller set on the left. Sizes must be able to come near.
     near = (F.col("most_n2") >= F.col("least_n")) & (F.col("least_n2") * percent <= F.col("most_n") * 100)
     met = cells.filter("inner").join(other, "token").filter((F.col("grp") != F.col("grp2")) & near)
-    met = met.groupBy("grp", "grp2").agg(F.count("*").alias("n"), F.min("least").alias("least")).filter("n >= least")
+    met = met.groupBy("grp", "grp2").agg(F.count("*").alias("n"), F.min("least_n").alias("least_n")).filter("n >= 1 + least_n div 50")
     candidates = met.select(F.least("grp", "grp2").alias("grp"), F.greatest("grp", "grp2").alias("grp2")).distinct()
     candidates = stored(candidates, "candidates")
 
     found = stars
     if not candidates.isEmpty():
-        found = found.unionByName(_open(spark, texts, nodes, groups, candidates, percent, stored))
+        found = found.unionByName(_open(spark, texts, nodes, groups, candidates, owners, percent, stored))
     labels = components(found)
 
     # Smallest key of every component.
@@ -417,7 +439,57 @@ def link(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int
     )
 
 
-def _open(spark, texts: DataFrame, nodes: DataFrame, groups: DataFrame, candidates: DataFrame, percent: int, stored) -> DataFrame:
+def _tried(sets: DataFrame, tried: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) among the pairs (node, head) tried, by the whole sets of both."""
+    broadcast, kind = sets.sparkSession.sparkContext.broadcast, record(node="long", whole="[long]")
+    of_nodes = sets.mapInArrow(_only(broadcast(_wanted(tried))), kind)
+    of_heads = sets.mapInArrow(_only(broadcast(_wanted(tried.select(F.col("head").alias("node"))))), kind)
+    pairs = tried.join(of_nodes.withColumnRenamed("whole", "x"), "node")
+    pairs = pairs.join(of_heads.select(F.col("node").alias("head"), F.col("whole").alias("y")), "head")
+    return pairs.filter(_linked(F.col("x"), F.col("y"), percent)).select(F.col("node").alias("a"), F.col("head").alias("b"))
+
+
+def _crowds(texts: DataFrame, cells: DataFrame, owners: np.ndarray, percent: int, stored) -> DataFrame | None:
+    """Links of groups that hold a shingle with more than CROWD others to the largest of these. None without a crowd.
+
+    A node tries one member for each crowded shingle, the first that has it in one of ORDERS orders, which the shingle's bits name:
+    a member of a family that is not near its centre is near some others.
+    """
+    crowded = cells.filter(F.col("times") > CROWD)
+    largest = F.max(F.struct("members", F.col("grp").alias("of"), F.col("node").alias("head"))).alias("most")
+    heads = crowded.groupBy("token").agg(largest).filter("most.members > 1").select("token", "most.of", "most.head")
+    met = crowded.join(heads, "token").filter("grp <> of").select("grp", "node", "of", "head", "least_n")
+    met = stored(met, "crowds")
+    enough = met.groupBy("grp", "of").agg(F.count("*").alias("n"), F.min("least_n").alias("least_n")).filter("n >= 1 + least_n div 50")
+    tried = met.join(enough.select("grp", "of"), ["grp", "of"]).select("node", "head").distinct()
+    tried = stored(tried, "crowds-tried")
+    if tried.isEmpty():
+        return None
+    ends = _wanted(tried.select("node").unionByName(tried.select(F.col("head").alias("node"))))
+    shared = tried.sparkSession.sparkContext.broadcast((ends, owners))
+    sets = stored(texts.mapInArrow(_whole_sets(shared), _SETS).select("node", "n", "whole").dropDuplicates(["node"]), "crowd-sets")
+    shared.destroy()
+    sizes = sets.select("node", "n")
+    near = tried.join(sizes, "node").join(sizes.select(F.col("node").alias("head"), F.col("n").alias("m")), "head")
+    near = near.filter(_near_size(F.col("n"), F.col("m"), percent)).select("node", "head")
+    return stored(_tried(sets.select("node", "whole"), near, percent), "near-copies")
+
+
+def _joined(cells: DataFrame, before: DataFrame, after: DataFrame, stored) -> DataFrame:
+    """Cells with the groups that are now joined; rows of other groups are not shuffled."""
+    old = after.join(before.withColumnRenamed("label", "was"), "node", "left").select(F.coalesce("was", "node").alias("grp"), "label").distinct()
+    some = old.groupBy("label").agg(F.count("*").alias("groups")).filter("groups > 1").select("label")
+    moved = stored(old.join(some, "label"), "moved")
+    bits = cells.sparkSession.sparkContext.broadcast(_wanted(moved.select(F.col("grp").alias("node"))))
+    rest = cells.mapInArrow(_only(bits, "grp", inside=False), _MATRIX)
+    there = cells.mapInArrow(_only(bits, "grp"), _MATRIX).join(moved, "grp", "left").withColumn("grp", F.coalesce("label", "grp"))
+    there = there.groupBy("token", "grp").agg(F.min("least_n").alias("least_n"), F.max("most_n").alias("most_n"), F.max("inner").alias("inner"))
+    return there.unionByName(rest.select(*there.columns))
+
+
+def _open(
+    spark, texts: DataFrame, nodes: DataFrame, groups: DataFrame, candidates: DataFrame, owners: np.ndarray, percent: int, stored
+) -> DataFrame:
     """Links (a, b) between members of candidate groups."""
     broadcast = spark.sparkContext.broadcast
     members = nodes.select("node", "n").join(groups, "node", "left").select("node", "n", F.coalesce("label", "node").alias("grp"))
@@ -434,8 +506,9 @@ def _open(spark, texts: DataFrame, nodes: DataFrame, groups: DataFrame, candidat
     )
     asked = stored(asked, "asked")
     sides = members.join(asked.select("grp").unionByName(asked.select(F.col("other").alias("grp"))).distinct(), "grp")
-    owners = _owners(nodes)
-    sets = stored(texts.mapInArrow(_whole_sets(broadcast((_wanted(sides), owners))), _SETS), "sets")
+    shared = broadcast((_wanted(sides), owners))
+    sets = stored(texts.mapInArrow(_whole_sets(shared), _SETS), "sets")
+    shared.destroy()
 
     # Overlap of each query with the union of the other group's shingles, both cut short: what the cut confuses adds to it.
     counted = members.join(sizes.select("grp", "members"), "grp")

@@ -2,6 +2,7 @@
 
 import random
 
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -138,3 +139,47 @@ def test_a_long_chain_and_a_hub(spark):
     hub = [(1000, 1000 + k) for k in range(1, 2000)]
     got = dict(components(spark.createDataFrame(chain + hub, "a long, b long")).collect())
     assert {got[k] for k in range(301)} == {0} and {got[1000 + k] for k in range(2000)} == {1000}
+
+
+def test_a_large_family_does_not_meet_pair_by_pair(spark, monkeypatch):
+    """Texts that are near some members of a large group only: they join it before candidates are made, and links are whole."""
+    r, base = random.Random(11), prose(77, 100).split()
+
+    def made(k, at=(), other=False):
+        words = list(base)
+        if other:
+            words[50] = "else"
+        for place in at:
+            words[place] = f"new{k}x{place}"
+        return " ".join([*words, f"tail{k}"])
+
+    texts = [made(k, other=k % 4 == 0) for k in range(80)]
+    texts += [made(k, (r.randrange(8, 40), r.randrange(60, 90)), True) for k in range(80, 160)]
+    seen, real = [], ngram_join._open
+    monkeypatch.setattr(ngram_join, "_open", lambda *args: seen.append(args[4].count()) or real(*args))
+    check(spark, list(enumerate(texts)))
+    assert sum(seen) < 1000  # 80 texts have 3,160 pairs
+
+
+@pytest.mark.parametrize("seed", [4, 5])
+def test_crowds_of_any_size(spark, monkeypatch, seed):
+    monkeypatch.setattr(ngram_join, "CROWD", 1)
+    r = random.Random(seed)
+    texts = [t for k in range(8) for t in family(300 * seed + k, r.randrange(2, 20), r.randrange(5, 160), 0.08)]
+    passage = prose(seed + 8000, 60)
+    texts += [prose(seed + 9000 + k, 30) + " " + passage for k in range(25)] + [passage + " " + prose(seed + 9500 + k, 8) for k in range(12)]
+    r.shuffle(texts)
+    check(spark, [*AWKWARD, *enumerate(texts + texts[:9], 1000)])
+
+
+def test_frequent_shingles_of_a_chunk():
+    rows = [(1, "a b c d e f g"), (2, "a b c d e f"), (3, "c d e f g"), (4, "x y z"), (5, "a b c d e")]
+    batch = pa.RecordBatch.from_arrays([pa.array([k for k, _ in rows]), pa.array([t for _, t in rows])], names=["key", "text"])
+    got = {}
+    for out in ngram_join._first_pass(iter([batch])):
+        got.update((t, n) for t, n in zip(out.column("shingle").to_pylist(), out.column("times").to_pylist()) if t is not None)
+    counts = {}
+    for _, text in rows:
+        for x in ngram_join.shingle_sets(pa.array([text]))[1][0].view("int64").tolist():
+            counts[x] = counts.get(x, 0) + 1
+    assert got == {x: n for x, n in counts.items() if n > 1} and sorted(got.values()) == [2, 2, 3]
