@@ -273,10 +273,13 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, rounds: int = 240) -> Data
     spark = pieces.sparkSession
     keep = pieces.select(*[F.col(f"`{c}`") for c in pieces.columns if c.lower() not in (*ADDED, "__part", "__number")])
     schema = T.StructType([*keep.schema.fields, T.StructField("__part", T.IntegerType()), T.StructField("__number", T.LongType())])
-    # Written once: numbers and counts must be of the same rows, even if executors are lost in between.
+    # Written before they are numbered, so that a task has one Python worker at a time: the one that makes the pieces keeps many words.
     path, names = scratch_path(spark, "packing"), keep.columns
-    keep.mapInArrow(_numbered(capacity), schema).write.parquet(path)
-    stored = spark.read.schema(schema).parquet(path)
+    keep.write.parquet(f"{path}/pieces")
+    keep = spark.read.schema(keep.schema).parquet(f"{path}/pieces")
+    # Written once: numbers and counts must be of the same rows, even if executors are lost in between.
+    keep.mapInArrow(_numbered(capacity), schema).write.parquet(f"{path}/numbered")
+    stored = spark.read.schema(schema).parquet(f"{path}/numbered")
 
     by_part = stored.groupBy("length", "__part").agg(F.count("*").alias("n"))
     histogram = by_part.groupBy("length").agg(F.sum("n").alias("n")).collect()  # at most `capacity` rows

@@ -162,3 +162,12 @@ def test_never_more_sequences_than_best_fit_and_no_fewer_than_the_bound(shape):
     made, alone = packing.plan(counts, capacity, 60), packing._rounded(counts, capacity, [])
     assert made.least <= made.sequences <= alone.sequences
     assert made.sequences <= made.least * 1.1 + 1
+
+
+def test_tasks_have_one_python_worker_at_a_time(spark, monkeypatch):
+    """What feeds a Python step is read from files: two workers in a task would hold their memory side by side."""
+    kind, fed = type(spark.range(1)), []
+    real = kind.mapInArrow
+    monkeypatch.setattr(kind, "mapInArrow", lambda self, *a, **k: fed.append(self._jdf.queryExecution().analyzed().toString()) or real(self, *a, **k))
+    assert packing.pack(packing.token_pieces(docs(spark), 1)).count() >= len(AWKWARD)
+    assert len(fed) == 3 and not any("MapInArrow" in plan for plan in fed)
