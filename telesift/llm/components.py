@@ -12,32 +12,27 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, label) of all linked nodes; the label is the component's smallest node.
 
     Rounds of two steps: every node hands its larger neighbours to its smallest neighbour, then its smaller ones. Links
-    become stars around the smallest node in a number of rounds that grows with the logarithm of the longest chain. A
-    round's links are written, so that lost executors don't bring earlier rounds back. Nodes of any degree are grouped by
-    minimum and joined, never collected. Null ends are left out.
+    become stars around the smallest node in a number of rounds that grows with the logarithm of the longest chain; links that
+    are such stars already need none. A round's links are written, so that lost executors don't bring earlier rounds back.
+    Nodes of any degree are grouped by minimum and joined, never collected. Null ends are left out.
     """
     spark = links.sparkSession
     name = scratch_path(spark, "components")
-    one = links.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).filter("u <> v AND u IS NOT NULL AND v IS NOT NULL").distinct()
+    one = links.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).filter("u <> v AND u IS NOT NULL AND v IS NOT NULL")
     one.write.parquet(f"{name}/0")
-    state = None
-    for k in range(1, 200):
+    for k in range(200):
         # u > v in every row.
-        edges = spark.read.parquet(f"{name}/{k - 1}")
-        both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("x"), F.least("u", "m").alias("m"))
-        large = both.filter("v > u").join(least, F.col("u") == F.col("x")).select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        edges = spark.read.parquet(f"{name}/{k}")
+        ends = edges.select(F.explode(F.array(F.struct(F.col("u").alias("node"), "v"), F.struct(F.col("v").alias("node"), "v"))).alias("e"))
+        least = ends.groupBy("e.node").agg(F.min("e.v").alias("label"), F.max("e.v").alias("most"))
+        # In stars every node meets their smallest one only, which meets itself.
+        if not least.agg(F.max(F.col("label") < F.col("most"))).first()[0]:
+            return least.select("node", "label")
+        # A node with larger neighbours is some row's v, so that its label is the smallest of it and its neighbours.
+        nearest = least.select(F.col("node").alias("x"), F.col("label").alias("m"))
+        large = edges.select(F.col("v").alias("x"), F.col("u")).join(nearest, "x").select("u", F.col("m").alias("v"))
         smallest = large.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("x"), "m")
         small = large.join(smallest, F.col("u") == F.col("x"))
         small = small.select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e"))
-        small.select("e.u", "e.v").filter("u <> v").distinct().write.parquet(f"{name}/{k}")
-        after = spark.read.parquet(f"{name}/{k}")
-        sums = after.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v")), F.coalesce(F.sum(F.xxhash64("v", "u").cast("decimal(38,0)")), F.lit(0)))
-        now = tuple(sums.first())
-        if now == state or now[0] == 0:
-            break
-        state = now
-    else:
-        raise RuntimeError("links didn't settle into components")
-    labels = after.groupBy("u").agg(F.min("v").alias("label")).select(F.col("u").alias("node"), "label")
-    return labels.unionByName(labels.select(F.col("label").alias("node"), "label").distinct())
+        small.select("e.u", "e.v").filter("u <> v").distinct().write.parquet(f"{name}/{k + 1}")
+    raise RuntimeError("links didn't settle into components")

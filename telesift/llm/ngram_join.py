@@ -29,6 +29,7 @@ Defined results
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -146,12 +147,14 @@ def _first_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield frequent()
 
 
-def _filled(words: DataFrame) -> np.ndarray:
-    """A filter of FILTER_BITS bits from rows of (word, bit)."""
-    filled = np.zeros(FILTER_BITS // 64, np.int64)
-    got = words.groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()  # at most FILTER_BITS / 64 rows
+def _filled(*tables: DataFrame) -> list[np.ndarray]:
+    """A filter of FILTER_BITS bits from each table of (word, bit), all in one job."""
+    n = FILTER_BITS // 64
+    filled = np.zeros(n * len(tables), np.int64)
+    words = reduce(DataFrame.unionByName, [table.withColumn("word", F.col("word") + k * n) for k, table in enumerate(tables)])
+    got = words.groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()  # at most FILTER_BITS / 64 rows a table
     filled[got.column("word").to_numpy()] = got.column("bits").to_numpy()
-    return filled.view(np.uint64)
+    return np.split(filled.view(np.uint64), len(tables))
 
 
 def _bits_of(key: np.ndarray) -> pa.RecordBatch:
@@ -164,12 +167,17 @@ def _bits_of(key: np.ndarray) -> pa.RecordBatch:
 
 def _wanted(nodes: DataFrame) -> np.ndarray:
     """A filter of the values of a column `node`."""
+    return _filled(_wanted_bits(nodes))[0]
+
+
+def _wanted_bits(nodes: DataFrame) -> DataFrame:
+    """(word, bit) of that filter."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             yield _bits_of(batch.column("node").to_numpy().view(np.uint64))
 
-    return _filled(nodes.select("node").mapInArrow(run, _SET_BITS))
+    return nodes.select("node").mapInArrow(run, _SET_BITS)
 
 
 def _filter_places(key: np.ndarray) -> np.ndarray:
@@ -188,14 +196,14 @@ def _owned(node: np.ndarray, key: pa.Array) -> np.ndarray:
     return mix(node ^ mix(low * np.uint64(2) + missing + np.uint64(0x632BE59BD9B4E019)))
 
 
-def _owners(nodes: DataFrame) -> np.ndarray:
-    """A filter of (node, smallest key): copies of a text that pass it by need not be looked at again."""
+def _owner_bits(nodes: DataFrame) -> DataFrame:
+    """(word, bit) of a filter of (node, smallest key): copies of a text that pass it by need not be looked at again."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             yield _bits_of(_owned(batch.column("node").to_numpy().view(np.uint64), batch.column("key")))
 
-    return _filled(nodes.select("node", "key").mapInArrow(run, _SET_BITS))
+    return nodes.select("node", "key").mapInArrow(run, _SET_BITS)
 
 
 def _cut_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -368,25 +376,24 @@ def link(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int
     nodes = stored(nodes, "nodes")
 
     # Groups: stars around the most central nodes of sketch values.
-    keyed = nodes.select("node", F.explode(F.array_distinct("sketch")).alias("value"))
+    keyed = nodes.select("node", "n", F.explode(F.array_distinct("sketch")).alias("value"))
     shared_values = keyed.groupBy("value").agg(F.count("*").alias("times")).filter("times > 1")
     keyed = stored(keyed.join(shared_values, "value"), "values")
     central = keyed.groupBy("node").agg(F.sum("times").alias("central"))
-    best = F.max(F.struct("central", (-F.col("node").cast("decimal(20,0)")).alias("minus"), "node")).alias("best")
-    heads = keyed.join(central, "node").groupBy("value").agg(best).select("value", F.col("best.node").alias("head"))
-    agreed = keyed.join(heads, "value").filter("node <> head").groupBy("node", "head").agg(F.count("*").alias("agree"))
-    tried = agreed.filter(F.col("agree") >= AGREE).select("node", "head").join(nodes.select("node", "n"), "node")
-    tried = tried.join(nodes.select(F.col("node").alias("head"), F.col("n").alias("m")), "head").filter(_near_size(F.col("n"), F.col("m"), percent))
-    tried = stored(tried.select("node", "head"), "tried")
+    best = F.max(F.struct("central", (-F.col("node").cast("decimal(20,0)")).alias("minus"), "node", "n")).alias("best")
+    heads = keyed.join(central, "node").groupBy("value").agg(best).select("value", F.col("best.node").alias("head"), F.col("best.n").alias("m"))
+    agreed = keyed.join(heads, "value").filter((F.col("node") != F.col("head")) & _near_size(F.col("n"), F.col("m"), percent))
+    agreed = agreed.groupBy("node", "head").agg(F.count("*").alias("agree"))
+    tried = stored(agreed.filter(F.col("agree") >= AGREE).select("node", "head"), "tried")
 
     counted = first.filter("shingle IS NOT NULL").groupBy("shingle").agg(F.sum("times").alias("times")).filter(F.col("times") >= FREQUENT)
     often = counted.orderBy(F.desc("times"), "shingle").limit(KNOWN_FREQUENT).toArrow()
     frequent = often.column("shingle").to_numpy().view(np.uint64)
     order = np.argsort(frequent)
     ends = tried.select("node").unionByName(tried.select(F.col("head").alias("node")))
-    owners = _owners(nodes)
+    wanted, owners = _filled(_wanted_bits(ends), _owner_bits(nodes))
     # KNOWN_FREQUENT pairs and twice FILTER_BITS bits at most; copies on the executors go as soon as the rows are stored.
-    shared = spark_context.broadcast((frequent[order], often.column("times").to_numpy()[order], _wanted(ends), owners))
+    shared = spark_context.broadcast((frequent[order], often.column("times").to_numpy()[order], wanted, owners))
     second = stored(texts.mapInArrow(_second_pass(shared, percent), _PREFIXES), "prefixes")
     shared.destroy()
 
@@ -398,7 +405,7 @@ def link(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int
     # They meet as sorted runs of cut keys, four bytes a shingle; what the cut confuses, the exact keys below part again.
     packed = second.select("tokens", "inner").mapInArrow(_cut_keys, _RUNS)
     met = packed.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "bucket").mapInArrow(_met_twice, _SET_BITS)
-    bits = spark_context.broadcast((_filled(met), _wanted(groups)))
+    bits = spark_context.broadcast(tuple(_filled(met, _wanted_bits(groups))))
     one = second.select("node", "n", "inner", "tokens")
     # Only rows of nodes in groups look for their group.
     some = one.mapInArrow(_cells(bits, grouped=True), _CELLS).join(groups, "node", "left").withColumn("grp", F.coalesce("label", "node"))
@@ -412,9 +419,8 @@ def link(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int
     bits.destroy()
     near_copies = _crowds(texts, cells, owners, percent, stored)
     if near_copies is not None:
-        stars = stars.unionByName(near_copies)
-        before, groups = groups, stored(components(stars), "joined")
-        cells = _joined(cells, before, groups, stored)
+        groups = stored(components(_stars(groups).unionByName(near_copies)), "joined")
+        cells = _joined(cells, near_copies, groups, stored)
     other = cells.select("token", *[F.col(c).alias(f"{c}2") for c in ("grp", "least_n", "most_n")])
     # The group of the smaller set on the left. Sizes must be able to come near.
     near = (F.col("most_n2") >= F.col("least_n")) & (F.col("least_n2") * percent <= F.col("most_n") * 100)
@@ -423,10 +429,9 @@ def link(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int
     candidates = met.select(F.least("grp", "grp2").alias("grp"), F.greatest("grp", "grp2").alias("grp2")).distinct()
     candidates = stored(candidates, "candidates")
 
-    found = stars
+    labels = groups
     if not candidates.isEmpty():
-        found = found.unionByName(_open(spark, texts, nodes, groups, candidates, owners, percent, stored))
-    labels = components(found)
+        labels = components(_stars(groups).unionByName(_open(spark, texts, nodes, groups, candidates, owners, percent, stored)))
 
     # Smallest key of every component.
     of_node = nodes.select("node", "key").join(labels, "node", "left").select("node", F.col("key").alias("class_id"), F.coalesce("label", "node").alias("label"))
@@ -439,12 +444,16 @@ def link(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int
     )
 
 
+def _stars(groups: DataFrame) -> DataFrame:
+    """Links (a, b) that make the same groups again: of each member to the node that names it."""
+    return groups.select(F.col("node").alias("a"), F.col("label").alias("b"))
+
+
 def _tried(sets: DataFrame, tried: DataFrame, percent: int) -> DataFrame:
-    """Links (a, b) among the pairs (node, head) tried, by the whole sets of both."""
+    """Links (a, b) among the pairs (node, head) tried, by the whole sets of both; `sets` has hardly more than their ends."""
     broadcast, kind = sets.sparkSession.sparkContext.broadcast, record(node="long", whole="[long]")
-    of_nodes = sets.mapInArrow(_only(broadcast(_wanted(tried))), kind)
     of_heads = sets.mapInArrow(_only(broadcast(_wanted(tried.select(F.col("head").alias("node"))))), kind)
-    pairs = tried.join(of_nodes.withColumnRenamed("whole", "x"), "node")
+    pairs = tried.join(sets.withColumnRenamed("whole", "x"), "node")
     pairs = pairs.join(of_heads.select(F.col("node").alias("head"), F.col("whole").alias("y")), "head")
     return pairs.filter(_linked(F.col("x"), F.col("y"), percent)).select(F.col("node").alias("a"), F.col("head").alias("b"))
 
@@ -475,11 +484,13 @@ def _crowds(texts: DataFrame, cells: DataFrame, owners: np.ndarray, percent: int
     return stored(_tried(sets.select("node", "whole"), near, percent), "near-copies")
 
 
-def _joined(cells: DataFrame, before: DataFrame, after: DataFrame, stored) -> DataFrame:
-    """Cells with the groups that are now joined; rows of other groups are not shuffled."""
-    old = after.join(before.withColumnRenamed("label", "was"), "node", "left").select(F.coalesce("was", "node").alias("grp"), "label").distinct()
-    some = old.groupBy("label").agg(F.count("*").alias("groups")).filter("groups > 1").select("label")
-    moved = stored(old.join(some, "label"), "moved")
+def _joined(cells: DataFrame, near_copies: DataFrame, after: DataFrame, stored) -> DataFrame:
+    """Cells with the groups that links of near copies joined; rows of other groups are not shuffled.
+
+    A group is named by a member, so that what this is in now is what the group is in.
+    """
+    some = after.join(near_copies.select(F.col("a").alias("node")).distinct(), "node").select("label").distinct()
+    moved = stored(after.join(some, "label").select(F.col("node").alias("grp"), "label"), "moved")
     bits = cells.sparkSession.sparkContext.broadcast(_wanted(moved.select(F.col("grp").alias("node"))))
     rest = cells.mapInArrow(_only(bits, "grp", inside=False), _MATRIX)
     there = cells.mapInArrow(_only(bits, "grp"), _MATRIX).join(moved, "grp", "left").withColumn("grp", F.coalesce("label", "grp"))

@@ -6,6 +6,7 @@ import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql.readwriter import DataFrameWriter
 
 from telesift.llm import ngram_join
 from telesift.llm.components import components
@@ -183,3 +184,20 @@ def test_frequent_shingles_of_a_chunk():
         for x in ngram_join.shingle_sets(pa.array([text]))[1][0].view("int64").tolist():
             counts[x] = counts.get(x, 0) + 1
     assert got == {x: n for x, n in counts.items() if n > 1} and sorted(got.values()) == [2, 2, 3]
+
+
+def test_components_of_stars_need_no_round(spark, monkeypatch):
+    """Links that are stars around their smallest node, copies and turned ones too, are written once and grouped once."""
+    written, real = [], DataFrameWriter.parquet
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda self, path, *a, **k: written.append(path) or real(self, path, *a, **k))
+    links = [(1, 5), (5, 1), (1, 6), (1, 6), (2, 9), (3, 3), (None, 4)]
+    assert dict(components(spark.createDataFrame(links, "a long, b long")).collect()) == {1: 1, 5: 1, 6: 1, 2: 2, 9: 2}
+    assert len(written) == 1
+
+
+def test_few_shuffles(spark, monkeypatch):
+    """Sizes come along with sketch values, and filters that are needed together are made in one job."""
+    jobs, real = [], ngram_join._filled
+    monkeypatch.setattr(ngram_join, "_filled", lambda *tables: jobs.append(len(tables)) or real(*tables))
+    check(spark, list(enumerate(family(5, 20, 100, 0.05) + family(6, 20, 100, 0.05))))
+    assert sum(jobs) > len(jobs)
