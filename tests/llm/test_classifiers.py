@@ -2,6 +2,8 @@
 
 import bisect
 import math
+import pickle
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -182,3 +184,26 @@ def test_quality_query_against_plain_scoring(spark):
     assert got.keys() == want.keys()
     for i, (score, predicted, out) in got.items():
         assert score == pytest.approx(want[i], abs=1e-9) and predicted == (score >= 0.3) and out == (zlib.crc32(str(i).encode()) % 5 == 0)
+
+
+def test_an_index_is_built_without_second_copies(monkeypatch):
+    """A worker holds its examples' entries once, as counts, and their postings: no arrays of doubles over all entries."""
+    monkeypatch.setattr(nearest, "TABLE", 1 << 16)
+    monkeypatch.setattr(nearest, "STEP", 1 << 12)
+    rng, rows, terms, own = np.random.default_rng(3), 2000, 5000, 200
+    term = np.sort(np.array([rng.choice(terms, own, replace=False) for _ in range(rows)], np.int32), axis=1).ravel()
+    count, first = rng.integers(1, 9, rows * own).astype(np.uint8), np.arange(rows + 1) * own
+    model = toxicity.Model(np.arange(rows), (np.arange(rows) % 5 == 0).astype(float), first, term, count, rng.random(terms).astype(np.float32), 0.3)
+    weights = model.units(first, term, count, np.zeros(rows))
+    model = pickle.loads(pickle.dumps(model))
+    tracemalloc.start()
+    index = model.index
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 25 * rows * own
+    plain = nearest.Index(np.repeat(np.arange(rows), own), term, weights, rows, terms)
+    some = np.arange(0, rows, 90)
+    cut = (some[:, None] * own + np.arange(own)).ravel()
+    want = plain.nearest_of(np.arange(len(some) + 1) * own, term[cut], weights[cut], 10, some)
+    got = index.nearest_of(*index.entries(some), 10, some)
+    assert all((a == c).all() and (b == d).all() for (a, b), (c, d) in zip(got, want))
