@@ -95,3 +95,8 @@ class WordIds(dict):
 def encoder(path: str) -> WordIds:
     """The encoder of this Python worker, which keeps its words from task to task."""
     return WordIds(path)
+
+
+def forget_words() -> None:
+    """For other work in a Python worker that may have encoded before: its words, some 200 MB at most, go."""
+    encoder.cache_clear()

@@ -3,12 +3,13 @@
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from telesift.llm import packing
+from telesift.llm import packing, quality_classifier, token_ids
 from telesift.llm.queries import QUERIES
 from telesift.llm.token_ids import vocabulary_path
 from tests.llm.cases import AWKWARD, docs, prose
@@ -171,3 +172,11 @@ def test_tasks_have_one_python_worker_at_a_time(spark, monkeypatch):
     monkeypatch.setattr(kind, "mapInArrow", lambda self, *a, **k: fed.append(self._jdf.queryExecution().analyzed().toString()) or real(self, *a, **k))
     assert packing.pack(packing.token_pieces(docs(spark), 1)).count() >= len(AWKWARD)
     assert len(fed) == 3 and not any("MapInArrow" in plan for plan in fed)
+
+
+def test_a_worker_forgets_words_when_it_goes_on_to_quality():
+    """Python workers serve one stage after another: what packing kept is not held beside the features."""
+    token_ids.encoder(vocabulary_path()).encode(pa.array(["some words to keep"]), 1)
+    batch = pa.RecordBatch.from_arrays([pa.array([1]), pa.array(["a text"])], names=["doc_id", "__text"])
+    assert len(list(quality_classifier._featured(["doc_id"])(iter([batch])))) == 1
+    assert token_ids.encoder.cache_info().currsize == 0
