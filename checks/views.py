@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from telesift import configure
 from telesift.schema import EVENTS, LINKS, LOGS, METRICS, SPANS
+from telesift.session import scratch_path
 from telesift.sources.otlp import METRIC_FIELDS
 
 # Every event is a span. Traces are runs of 8 or 16 neighbouring events; a span's parent is one
@@ -340,6 +341,16 @@ class Views:
 
     # -- OTLP messages ---------------------------------------------------------------------------
 
+    @cached_property
+    def event_count(self) -> int:
+        return self.table("events").count()
+
+    def written(self, messages: DataFrame, files: int | None = None) -> str:
+        """Messages as compressed JSON lines, as they repeat most of their text; so many files, or one from each partition."""
+        path = scratch_path(self.spark, "messages")
+        (messages.coalesce(files) if files else messages).write.option("compression", "gzip").text(path)
+        return path
+
     @cached_property
     def trace_messages(self) -> DataFrame:
         """The spans as trace messages: one per 64 events, its spans under their resources."""
@@ -360,9 +371,15 @@ class Views:
         return self._messages("resourceSpans", "scopeSpans", "spans", span)
 
     def _messages(self, top: str, scopes: str, items: str, item: str) -> DataFrame:
-        """JSON messages of 64 events each; every group gathered here is bounded by that."""
-        block = F.expr("event_id DIV 64").alias("block")
-        per_resource = self.wide_spans.groupBy(block, "ServiceName", "host").agg(
+        """JSON messages of 64 events each; every group gathered here is bounded by that.
+
+        Events are dealt by message as they are stored, so that only their few columns are shuffled, and once; a task has some
+        65,536 of them, as gathering sorts all that a span holds.
+        """
+        block = F.expr("event_id DIV 64")
+        parts = max(4, self.spark.sparkContext.defaultParallelism, -(-self.event_count // 2**16))
+        dealt = self.spans_of(self.table("events").repartition(parts, block))
+        per_resource = dealt.groupBy(block.alias("block"), "ServiceName", "host").agg(
             F.collect_list(F.expr(item)).alias("items")
         )
         resource = f"""named_struct(

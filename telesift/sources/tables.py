@@ -111,6 +111,9 @@ def _write(
         # Parquet leaves the bloom filter out of a dictionary-encoded column; ids gain nothing from one.
         writer = writer.option(f"parquet.bloom.filter.enabled#{column}", "true")
         writer = writer.option(f"parquet.enable.dictionary#{column}", "false")
+        # As large as a file's ids need, from 512 bytes up; else 1 MB whatever it holds, and small batches make small files.
+        writer = writer.option("parquet.bloom.filter.adaptive.enabled", "true")
+        writer = writer.option(f"parquet.bloom.filter.candidates.number#{column}", "12")
     writer.parquet(path)
 
 

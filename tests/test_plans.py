@@ -1,6 +1,7 @@
 """What the physical plans must look like, whatever the data."""
 
 import datetime as dt
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,6 +10,7 @@ from checks.views import Views
 from telesift.operators import attributes, bounds, documents, logs as log_ops, metrics, sampling, span_metrics, spans as span_ops
 from telesift.plans import trace_search as ts
 from telesift.sources import otlp, tables
+from tests.helpers import spans_of
 
 SF = "/root/testdata/sf0.001"
 START, END = dt.datetime(2024, 1, 5), dt.datetime(2024, 1, 6)
@@ -151,3 +153,17 @@ def test_trace_ids_have_a_bloom_filter(stored):
     rows = duckdb.connect().execute(
         "SELECT path_in_schema, bloom_filter_offset FROM parquet_metadata(?)", [files[0].removeprefix("file://")]).fetchall()
     assert dict(rows)["TraceId"] is not None and dict(rows)["SpanName"] is None
+
+
+def test_bloom_filters_are_as_large_as_the_ids_need(spark, tmp_path):
+    import duckdb
+
+    rows = spans_of(spark, [{"TraceId": f"{i:032x}"} for i in range(50)])
+    tables.write_spans(rows.coalesce(1), str(tmp_path / "spans"))
+    spans = tables.read_table(spark, str(tmp_path / "spans"))
+    files = [name.removeprefix("file://") for name in spans.inputFiles()]
+    assert sum(map(os.path.getsize, files)) < 50_000
+    lengths = duckdb.connect().execute(
+        "SELECT bloom_filter_length FROM parquet_metadata(?) WHERE path_in_schema = 'TraceId'", [files]).fetchall()
+    assert all(0 < length < 10_000 for length, in lengths)
+    assert [spans.filter(F.col("TraceId") == f"{i:032x}").count() for i in (0, 49, 50)] == [1, 1, 0]

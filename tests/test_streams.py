@@ -1,12 +1,16 @@
 """Streams: equal to batch, restartable, replayable, bounded by watermarks."""
 
+import datetime as dt
 import json
 import os
+import uuid
 
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from checks import all_queries
+from checks.views import Views
 from telesift.operators import bounds, catalog, sampling, span_metrics
 from telesift.sources import otlp, tables
 from telesift.streaming import assembly, derived, ingest
@@ -69,6 +73,69 @@ def test_two_streams_and_a_load_share_a_table(spark, tmp_path):
     assert tables.read_rejected(spark, table).count() == 0
 
 
+def shuffle_files(spark):
+    manager = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    files = manager.getAllFiles()
+    names = (files.apply(i).getName() for i in range(files.size()))
+    return {name for name in names if name.startswith("shuffle_")}
+
+
+def test_batches_of_messages_are_bounded_and_leave_no_shuffle(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(ingest, "BATCH_BYTES", 1, raising=False)
+    source, table, check = (str(tmp_path / n) for n in ("in", "spans", "check"))
+    for k in range(3):
+        write_lines(source, f"part{k}", [trace_message([span(10 * k + i) for i in range(5)])])
+    before = shuffle_files(spark)
+    ingest.stream_ingest(ingest.message_stream(spark, source), "traces", table, check).awaitTermination()
+    left = shuffle_files(spark) - before
+    stored = tables.read_table(spark, table)
+    assert sorted(r["count"] for r in stored.groupBy("batch_id").count().collect()) == [5, 5, 5]
+    assert stored.select("SpanId").distinct().count() == 15 and not left
+
+
+def test_a_batch_of_few_partitions_is_dealt(spark, tmp_path):
+    """A compressed file can't be split; all its messages are kept, equal ones too."""
+    one = spark.range(0, 400, 1, 1).selectExpr("CAST(id % 100 AS STRING) AS value")
+    one.write.option("compression", "gzip").text(str(tmp_path / "one"))
+    batch = spark.read.text(str(tmp_path / "one"))
+    dealt = ingest._dealt(batch)
+    assert batch.rdd.getNumPartitions() == 1 and "Exchange" in dealt._jdf.queryExecution().executedPlan().toString()
+    assert sorted(r.value for r in dealt.collect()) == sorted(r.value for r in batch.collect())
+    many = batch.repartition(spark.sparkContext.defaultParallelism)
+    assert ingest._dealt(many) is many
+
+
+def test_two_streams_take_halves_of_the_same_messages(spark, monkeypatch):
+    """Made twice, a message may come out otherwise, and be of both halves or of none."""
+    fresh = F.udf(lambda: uuid.uuid4().hex, "string").asNondeterministic()
+    text = ['{"resourceSpans":[{"resource":{"attributes":[{"key":"service.name","value":{"stringValue":"', F.col("id").cast("string"),
+            '"}}]},"scopeSpans":[{"scope":{"name":"', fresh(), '"},"spans":[{"spanId":"1"}]}]}]}']
+    messages = spark.range(40).select(F.concat(*[F.lit(t) if isinstance(t, str) else t for t in text]).alias("value"))
+    monkeypatch.setattr(Views, "trace_messages", messages)
+    made = all_queries()["two_streams_one_table"](spark, "/nowhere").collect()
+    assert sorted((int(r.ServiceName), r.spans) for r in made) == [(i, 1) for i in range(40)]
+
+
+def events_of(spark, folder, ids):
+    rows = [(i, dt.datetime(2024, 1, 1, 0, i % 60), i % 9, ("view", "error", "purchase")[i % 3], i / 4, f'{{"k": {i}}}') for i in ids]
+    df = spark.createDataFrame(rows, "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string")
+    df.write.parquet(f"{folder}/events.parquet")
+    return Views(spark, str(folder))
+
+
+def test_messages_are_made_by_one_shuffle_of_events_as_stored(spark, tmp_path):
+    ids = [*range(300), 7, 7, 64]
+    views = events_of(spark, tmp_path, ids)
+    plan = views.trace_messages._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange ") == 1 and "Sort " not in plan
+    made = views.trace_messages.collect()
+    assert len(made) == 5
+    spans = otlp.flatten_spans(otlp.parse_otlp_json(spark.read.text(views.written(views.trace_messages)), "value", "traces"))
+    columns = ["SpanId", "TraceId", "ServiceName", "Duration", "TimestampNs"]
+    assert sorted(map(tuple, spans.select(columns).collect())) == sorted(map(tuple, views.spans.select(columns).collect()))
+    assert spans.count() == len(ids)
+
+
 def test_ingest_of_logs_and_metrics(spark, tmp_path):
     logs = {"resourceLogs": [{"scopeLogs": [{"logRecords": [{"timeUnixNano": str(BASE), "severityText": "Info"}] * 3}]}]}
     for signal, message, table in (("logs", logs, "l"), ("metrics", METRICS, "m")):
