@@ -35,8 +35,8 @@ def _finish(v, start, *names: str):
 @query("stream_ingest", duck("spans_v", """SELECT ServiceName, SpanKind, count(*) AS spans, sum(Duration)::BIGINT AS ns
   FROM spans_v GROUP BY 1, 2"""))
 def _(v):
-    messages = scratch_path(v.spark, "messages")
-    v.trace_messages.repartition(4).write.text(messages)
+    # Four files, or one for a million events, so that a batch of two doesn't grow with the table.
+    messages = v.written(v.trace_messages, max(4, -(-v.event_count // 2**20)))
     path = _finish(
         v, lambda table, checkpoint: ingest.stream_ingest(
             ingest.message_stream(v.spark, messages, files_per_batch=2), "traces", table, checkpoint),

@@ -136,6 +136,20 @@ def test_messages_are_made_by_one_shuffle_of_events_as_stored(spark, tmp_path):
     assert spans.count() == len(ids)
 
 
+def test_batches_do_not_grow_with_the_table(spark, tmp_path, monkeypatch):
+    """A table that is said to hold more events is ingested from more files, compressed, two a batch."""
+    events_of(spark, tmp_path, range(2000))
+    folders, read = [], ingest.message_stream
+    monkeypatch.setattr(ingest, "message_stream", lambda s, folder, **how: folders.append(folder) or read(s, folder, **how))
+    files = lambda: [name for name in os.listdir(folders[-1]) if name.startswith("part-")]
+    for count, wanted in ((2000, 4), (6 * 2**20, 6)):
+        monkeypatch.setattr(Views, "event_count", count, raising=False)
+        made = all_queries()["stream_ingest"](spark, str(tmp_path))
+        assert sum(r.spans for r in made.collect()) == 2000
+        assert len(files()) == wanted and all(name.endswith(".gz") for name in files())
+        assert {p.split("batch_id=")[1].split("/")[0] for p in made.inputFiles()} == {str(i) for i in range(wanted // 2)}
+
+
 def test_ingest_of_logs_and_metrics(spark, tmp_path):
     logs = {"resourceLogs": [{"scopeLogs": [{"logRecords": [{"timeUnixNano": str(BASE), "severityText": "Info"}] * 3}]}]}
     for signal, message, table in (("logs", logs, "l"), ("metrics", METRICS, "m")):
